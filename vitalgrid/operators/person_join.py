@@ -1,0 +1,26 @@
+"""Joining one row per person to many rows per person, safe for very large persons."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: how many tasks one person's rows are spread over. The per-person side is copied this often;
+#: it has one short row per person, so the copies weigh about a month of daily rows.
+SALTS = 32
+
+
+def salt(columns: Sequence[str]):
+    """A salt that is the same when a task is run again, unlike a random number."""
+    return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
+
+
+def join_person_values(
+    rows: DataFrame, persons: DataFrame, spread_by: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join ``persons`` (unique ``user_id``) to ``rows``; ``spread_by`` splits big persons."""
+    salted = rows.withColumn("_salt", salt(spread_by))
+    copies = persons.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, ["user_id", "_salt"], how).drop("_salt")
