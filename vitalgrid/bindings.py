@@ -69,3 +69,53 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded, because engines add in different orders."""
     return df.select(*[
         F.round(c, digits).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes])
+
+
+# ---- an export derived from the events, as the device would have written it -------------------
+
+HEART_RATE_ID = "com.samsung.shealth.tracker.heart_rate"
+SLEEP_COMBINED_ID = "com.samsung.shealth.sleep_combined"
+TIME_TEXT = "date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSS')"
+
+#: record -> (metadata line, header line, filter, lines of one event in file order)
+EXPORT_RECORDS = {
+    "heart_rate": (
+        f"{HEART_RATE_ID},7",
+        ",".join(f"com.samsung.health.heart_rate.{c}" for c in (
+            "start_time", "heart_rate", "comment", "binning_data")),
+        "event_type = 'view'",
+        # every tenth reading is reported twice, the second report corrects the first; lines end
+        # with a comma too many, and comments hold commas and line breaks
+        (f"""if(event_id % 10 = 0, concat({TIME_TEXT}, ',1,first,[],'), null)""",
+         f"""concat({TIME_TEXT}, ',', 48 + event_id % 90, ',"a, \\n b","',
+             replace(props, '"', '""'), '",')"""),
+    ),
+    "sleep_combined": (
+        f"{SLEEP_COMBINED_ID},1",
+        ",".join(f"com.samsung.health.sleep_combined.{c}" for c in (
+            "start_time", "sleep_score", "efficiency", "sleep_duration")),
+        "event_type = 'error'",
+        # times as epoch milliseconds
+        ("""concat(unix_millis(cast(ts as timestamp)), ',', 55 + event_id % 38, ',',
+            if(event_id % 7 = 0, 'NaN', string(70 + event_id % 27)), ',', 360 + event_id % 141)""",),
+    ),
+}
+
+
+def write_export(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Write the events as export folders below ``root``: one per person, one file per record."""
+    lines = None
+    for record, (meta, header, condition, texts) in EXPORT_RECORDS.items():
+        body = events(spark, sf_dir).where(condition).select(
+            "user_id", F.posexplode(F.array(*[F.expr(t) for t in texts])).alias("n", "value"),
+            (F.col("event_id") * 10 + 10).alias("line")).where("value is not null")
+        top = events(spark, sf_dir).where(condition).select("user_id").distinct().select(
+            "user_id", F.posexplode(F.array(F.lit(meta), F.lit(header))).alias("n", "value"),
+            F.lit(0).cast("long").alias("line"))
+        part = top.unionByName(body).select(
+            F.concat(F.lit("wear_"), F.col("user_id"), F.lit("_20240131120000")).alias("export"),
+            F.lit(record).alias("record"), (F.col("line") + F.col("n")).alias("line"), "value")
+        lines = part if lines is None else lines.unionByName(part)
+    (lines.repartition("export", "record").sortWithinPartitions("export", "record", "line")
+     .select("export", "record", "value")
+     .write.mode("overwrite").partitionBy("export", "record").text(root))

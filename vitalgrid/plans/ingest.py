@@ -1 +1,173 @@
-def ingest(): ...
+"""Ingest: export folders or archives to typed, de-duplicated tables."""
+
+from __future__ import annotations
+
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vitalgrid.functions.clean import (
+    EPOCH_MS_BELOW_AT_INGEST, null_tokens_to_null, parse_number, parse_time,
+)
+from vitalgrid.functions.names import header_names, short_name, unique_names
+from vitalgrid.operators.dedup import keep_last
+from vitalgrid.sources import export
+from vitalgrid.sources.blobs import ROW_KEY, attach_blobs
+from vitalgrid.sources.registry import TableSpec, spec_of, spec_of_table
+from vitalgrid.sources.tables import write_table
+
+OWN_COLUMNS = ("user_id", "export_ts")
+#: later rows win: newer export, then file name, then position in the file
+LAST_ORDER = ("export_ts", "export_dir", "file_name", "row_no")
+#: distinct (record type, header) pairs a driver may hold; real data has some hundreds
+MAX_LAYOUTS = 20000
+
+
+@dataclass(frozen=True)
+class Layout:
+    """One distinct header of one record type."""
+
+    datatype_id: str
+    layout: int
+    columns: tuple[str, ...]
+
+
+def stage_rows(cells: DataFrame, staging: str, max_columns: int | None = export.MAX_COLUMNS) -> DataFrame:
+    """Write described rows once, split by record type, so that each table reads only its own.
+
+    The rebalance evens out the files and lets adaptive execution split a dominant type.
+    """
+    described = export.describe_rows(cells, max_columns)
+    (described.hint("rebalance", "datatype_id")
+     .write.mode("overwrite").partitionBy("datatype_id").parquet(staging))
+    return described.sparkSession.read.schema(
+        described.drop("datatype_id").schema.add("datatype_id", "string")).parquet(staging)
+
+
+def layouts_of(staged: DataFrame) -> list[Layout]:
+    """The distinct headers: the only thing that comes to the driver, and its number is checked."""
+    found = (
+        staged.where("row_no = 1").select("datatype_id", "layout", "cells").distinct()
+        .limit(MAX_LAYOUTS + 1).collect()
+    )
+    if len(found) > MAX_LAYOUTS:
+        raise ValueError(f"more than {MAX_LAYOUTS} distinct headers; this is not one export format")
+    return [
+        Layout(row["datatype_id"], row["layout"], tuple(
+            unique_names(map(short_name, header_names(row["cells"])), OWN_COLUMNS)))
+        for row in sorted(found, key=lambda r: (r["datatype_id"], r["layout"]))
+    ]
+
+
+def _cell_of(layouts: list[Layout], spec: TableSpec, name: str) -> Column:
+    """The text cell of a column, wherever each layout puts it."""
+    where: dict[tuple[int, ...], list[int]] = {}
+    for layout in layouts:
+        at = tuple(
+            i for i, column in enumerate(layout.columns) if spec.rename.get(column, column) == name)
+        where.setdefault(at, []).append(layout.layout)
+
+    def read(at: tuple[int, ...]) -> Column:
+        # a renamed column may meet one of its new name: the first filled one counts
+        cells = [null_tokens_to_null(F.get("cells", F.lit(i))) for i in at]
+        return F.coalesce(*cells) if cells else F.lit(None).cast("string")
+
+    if len(where) == 1:
+        return read(next(iter(where)))
+    case = F
+    for at, hashes in where.items():
+        case = case.when(F.col("layout").isin(hashes), read(at))
+    return case
+
+
+def table_columns(layouts: list[Layout], spec: TableSpec) -> list[str]:
+    columns = [spec.rename.get(c, c) for layout in layouts for c in layout.columns]
+    return list(dict.fromkeys(columns))
+
+
+def build_table(
+    staged: DataFrame, layouts: list[Layout], spec: TableSpec, blobs: DataFrame | None
+) -> DataFrame:
+    """Typed and de-duplicated rows of one table; ``layouts`` are all those of the table."""
+    ids = sorted({layout.datatype_id for layout in layouts})
+    columns = table_columns(layouts, spec)
+
+    def typed(name: str) -> Column:
+        cell = _cell_of(layouts, spec, name)
+        if name in spec.times:
+            return parse_time(cell, EPOCH_MS_BELOW_AT_INGEST)
+        return parse_number(cell) if name in spec.numbers else cell
+
+    rows = staged.where(F.col("datatype_id").isin(ids) & (F.col("row_no") > 1)).select(
+        *OWN_COLUMNS, *ROW_KEY, "datatype_id", *[typed(c).alias(c) for c in columns])
+    keys = [c for c in spec.times if c in columns]
+    if keys:
+        rows = keep_last(rows, ["user_id", *keys], LAST_ORDER)
+    for name in spec.blobs:
+        if name in columns:
+            rows = attach_blobs(rows, name, blobs)
+            columns = [*columns, f"{name}_json"]
+    return rows.select(*OWN_COLUMNS, *columns)
+
+
+def wide_rows(staged: DataFrame, layouts: list[Layout]) -> DataFrame:
+    """One row: how many data rows have filled cells beyond their header (those cells are cut)."""
+    by_width: dict[int, list[int]] = {}
+    for layout in layouts:
+        by_width.setdefault(len(layout.columns), []).append(layout.layout)
+    beyond = F.lit(False)
+    for width, hashes in by_width.items():
+        beyond = beyond | (F.col("layout").isin(hashes) & (F.size("cells") > width))
+    ids = sorted({layout.datatype_id for layout in layouts})
+    return staged.where(F.col("datatype_id").isin(ids) & (F.col("row_no") > 1)).agg(
+        F.count_if(beyond).alias("wide_rows"))
+
+
+def layouts_by_table(staged: DataFrame) -> dict[str, list[Layout]]:
+    """Every table found and the headers of the record types that belong to it."""
+    by_table: dict[str, list[Layout]] = {}
+    for layout in layouts_of(staged):
+        by_table.setdefault(spec_of(layout.datatype_id).table, []).append(layout)
+    return dict(sorted(by_table.items()))
+
+
+def scratch_folder(spark: SparkSession, fallback: str) -> str:
+    """Below the shared folder the cluster names, else ``fallback``, which must be shared too."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{shared}/vitalgrid-{uuid.uuid4().hex}" if shared else fallback
+
+
+def ingest(
+    spark: SparkSession, root: str, out: str, archives: bool = False,
+    max_columns: int = export.MAX_COLUMNS,
+) -> DataFrame:
+    """Read every export below ``root``, write one table per record type below ``out``.
+
+    With ``archives`` the exports are ZIP files instead of folders. Every table is replaced; so
+    ``metrics_daily`` should be built again afterwards. Result: ``table_name, row_count,
+    wide_rows``.
+    """
+    cells = export.read_archive_cells(spark, root) if archives \
+        else export.read_export_cells(spark, root, max_columns)
+    blobs = export.read_archive_blobs(spark, root) if archives \
+        else export.read_export_blobs(spark, root)
+    staged = stage_rows(
+        cells, scratch_folder(spark, f"{out}/_staging"), None if archives else max_columns)
+    report = None
+    for name, layouts in layouts_by_table(staged).items():
+        ids = [layout.datatype_id for layout in layouts]
+        write_table(build_table(staged, layouts, spec_of_table(ids), blobs), out, name)
+        kept = spark.read.parquet(f"{out}/{name}").agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("row_count"),
+            F.lit(0).cast("long").alias("wide_rows"))
+        cut = wide_rows(staged, layouts).select(
+            F.lit(name), F.lit(0).cast("long"), F.col("wide_rows"))
+        part = kept.unionAll(cut)
+        report = part if report is None else report.unionAll(part)
+    if report is None:
+        return spark.createDataFrame([], "table_name string, row_count long, wide_rows long")
+    return report.groupBy("table_name").agg(
+        F.sum("row_count").alias("row_count"), F.sum("wide_rows").alias("wide_rows"),
+    ).orderBy("table_name")

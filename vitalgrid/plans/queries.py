@@ -69,7 +69,7 @@ def kpi_points(metrics: DataFrame, range_name: str = "30d") -> DataFrame:
     window = _long(in_range(metrics, range_name), ["user_id", "day"], names)
     newest_first = Window.partitionBy("user_id", "key").orderBy(F.col("day").desc())
     return (
-        window.where("v is not null").withColumn("pos", F.row_number().over(newest_first))
+        window.where("v is not null").withColumn("pos", F.row_number().over(newest_first).cast("long"))
         .where(F.col("pos") <= KPI_SPARK_POINTS)
     )
 
@@ -235,8 +235,8 @@ def sleep_next_day(metrics: DataFrame, range_name: str = "90d") -> DataFrame:
 
 # ---- goals -----------------------------------------------------------------------------------
 
-def goals(metrics: DataFrame) -> DataFrame:
-    """Mean of each goal over the last rows and the progress towards its target."""
+def goal_values(metrics: DataFrame) -> DataFrame:
+    """Mean of each goal over the last rows and the progress towards its target, unrounded."""
     names = [g[0] for g in GOALS]
     recent = metrics.withColumn("_newest", F.max("day").over(Window.partitionBy("user_id"))) \
         .where(F.col("day") > F.date_sub("_newest", GOAL_DAYS))
@@ -251,10 +251,18 @@ def goals(metrics: DataFrame) -> DataFrame:
     reached = F.least(F.lit(1.5), F.col("current") / F.col("target"))
     progress = F.when(
         F.col("current").isNotNull(), F.when(F.col("key") == "acwr", near_one).otherwise(reached))
-    return current.withColumns({"label": per_goal(1), "target": per_goal(2), "unit": per_goal(3)}) \
-        .select("user_id", "key", "label", "unit",
-                round_half_even(F.col("current"), 1).alias("current"), "target",
-                round_half_even(progress, 2).alias("progress"))
+    labelled = current.withColumns(
+        {"label": per_goal(1), "target": per_goal(2), "unit": per_goal(3)})
+    return labelled.select(
+        "user_id", "key", "label", "unit", "current", "target", progress.alias("progress"))
+
+
+def goals(metrics: DataFrame) -> DataFrame:
+    """``goal_values`` as shown: one decimal for the mean, two for the progress."""
+    return goal_values(metrics).withColumns({
+        "current": round_half_even(F.col("current"), 1),
+        "progress": round_half_even(F.col("progress"), 2),
+    })
 
 
 def steps_streak(metrics: DataFrame) -> DataFrame:
