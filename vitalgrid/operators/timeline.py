@@ -9,21 +9,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from vitalgrid.functions.clean import clip, round_half_even
 from vitalgrid.params import READINESS_WEIGHTS
 
-#: all windows share one partitioning and, but for back-fill, one ordering
-DAYS = Window.partitionBy("user_id").orderBy("day")
-ALL_DAYS = DAYS.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 #: fewest readings for a baseline or a regularity
 FEWEST = 3
 
 
-def last_days(n: int):
-    return DAYS.rowsBetween(-(n - 1), Window.currentRow)
+def days() -> WindowSpec:
+    """A person's days in order. All windows share this, but for the back-fill."""
+    return Window.partitionBy("user_id").orderBy("day")
+
+
+def all_days() -> WindowSpec:
+    return days().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
+def last_days(n: int) -> WindowSpec:
+    return days().rowsBetween(-(n - 1), Window.currentRow)
 
 
 def dense_days(
@@ -38,9 +44,9 @@ def dense_days(
     values = [c for c in daily.columns if c not in ("user_id", "day")]
     spanning = F.col("day") if spans is None else F.when(spans, F.col("day"))
     bounded = daily.withColumns({
-        "_first": F.min(spanning).over(ALL_DAYS),
-        "_last": F.max(spanning).over(ALL_DAYS),
-        "_next": F.lead("day").over(DAYS),
+        "_first": F.min(spanning).over(all_days()),
+        "_last": F.max(spanning).over(all_days()),
+        "_next": F.lead("day").over(days()),
     }).where("day between _first and _last")
     until = F.coalesce(F.least(F.date_sub("_next", 1), F.col("_last")), F.col("day"))
     filled = bounded.withColumn("_day", F.explode(F.sequence(F.col("day"), until)))
@@ -50,8 +56,8 @@ def dense_days(
           for c in values])
 
 
-def mean_load(days: int) -> Column:
-    return F.avg("load").over(last_days(days))
+def mean_load(window: int) -> Column:
+    return F.avg("load").over(last_days(window))
 
 
 def load_balance(daily: DataFrame, acute_days: int = 7, chronic_days: int = 28) -> DataFrame:
@@ -99,7 +105,7 @@ def resting_baseline(daily: DataFrame, window: int = 30) -> DataFrame:
 def last_known(name: str, days_ago: int = 0) -> Column:
     """The newest non-null value as of some rows ago."""
     return F.last(name, ignorenulls=True).over(
-        DAYS.rowsBetween(Window.unboundedPreceding, -days_ago))
+        days().rowsBetween(Window.unboundedPreceding, -days_ago))
 
 
 def weight_columns() -> dict[str, Column]:
@@ -153,7 +159,7 @@ def weighted_mean(has: dict[str, Column], weights: dict[str, float] = READINESS_
 
 def ever(condition: Column) -> Column:
     """Whether the condition holds on any of the person's days."""
-    return F.max(condition).over(ALL_DAYS)
+    return F.max(condition).over(all_days())
 
 
 def presence_flags() -> dict[str, Column]:

@@ -10,7 +10,7 @@ from vitalgrid.functions.codes import STAGES, exercise_name
 from vitalgrid.operators import load as l
 from vitalgrid.operators.candidates import position_of, value_of
 from vitalgrid.operators.person_join import join_person_values
-from vitalgrid.operators.timeline import ALL_DAYS, DAYS
+from vitalgrid.operators.timeline import all_days, days
 from vitalgrid.params import (
     CORRELATED, DEFAULT_PARAMS, GOAL_DAYS, GOALS, KPI_PREVIOUS_POSITION, KPI_SPARK_POINTS, KPIS,
     RANGES, READINESS_WEIGHTS, STREAK_STEPS, MetricParams,
@@ -41,11 +41,11 @@ def days_of(range_name: str) -> int | None:
 
 def in_range(metrics: DataFrame, range_name: str) -> DataFrame:
     """The last days of each person, counted from that person's last day."""
-    days = days_of(range_name)
-    if days is None:
+    length = days_of(range_name)
+    if length is None:
         return metrics
     newest = metrics.withColumn("_newest", F.max("day").over(Window.partitionBy("user_id")))
-    return newest.where(F.col("day") >= F.date_sub("_newest", days - 1)).drop("_newest")
+    return newest.where(F.col("day") >= F.date_sub("_newest", length - 1)).drop("_newest")
 
 
 def _long(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -147,7 +147,7 @@ def workouts(
     Persons are not windowed: their newest start and resting heart rate come from aggregates, and
     the sort is a range partitioning on person and time, so a large person is split.
     """
-    days = days_of(range_name)
+    length = days_of(range_name)
     rows = l.workout_rows(exercise, LISTED_MEAN_HR)
     resting = None if metrics is None or params.hr_rest is not None else l.resting_median(metrics)
     persons = l.person_values(l.workout_choices(rows), resting, params, profiles)
@@ -168,8 +168,9 @@ def workouts(
     listed = join_person_values(
         tagged.where("_start is not null"), persons, ["_start", "_minutes"]
     ).where("_time_position = _best_time")
-    if days is not None:
-        listed = listed.where(F.col("_start") >= F.col("_newest") - F.make_dt_interval(days=F.lit(days - 1)))
+    if length is not None:
+        oldest = F.col("_newest") - F.make_dt_interval(days=F.lit(length - 1))
+        listed = listed.where(F.col("_start") >= oldest)
 
     def chosen(name: str, position: str, wanted: str) -> Column:
         return F.when(F.col(position) == F.col(wanted), F.col(name))
@@ -226,7 +227,7 @@ def correlation_matrix(metrics: DataFrame, range_name: str = "90d", digits: int
 
 def sleep_next_day(metrics: DataFrame, range_name: str = "90d") -> DataFrame:
     """Hours slept and the readiness of the following row, where both are known."""
-    following = in_range(metrics, range_name).withColumn("_next", F.lead("readiness").over(DAYS))
+    following = in_range(metrics, range_name).withColumn("_next", F.lead("readiness").over(days()))
     return following.where("sleep_minutes is not null and _next is not null").select(
         "user_id", "day",
         round_half_even(F.col("sleep_minutes") / F.lit(60.0), 2).alias("sleep_h"),
@@ -268,6 +269,6 @@ def goals(metrics: DataFrame) -> DataFrame:
 def steps_streak(metrics: DataFrame) -> DataFrame:
     """Days in a row, back from the last, with the step goal reached."""
     reached = F.coalesce(F.col("steps") >= STREAK_STEPS, F.lit(False))
-    last_missed = F.max(F.when(~reached, F.col("day"))).over(ALL_DAYS)
+    last_missed = F.max(F.when(~reached, F.col("day"))).over(all_days())
     return metrics.withColumn("_missed", last_missed).groupBy("user_id").agg(
         F.count_if(F.col("_missed").isNull() | (F.col("day") > F.col("_missed"))).alias("steps_streak"))

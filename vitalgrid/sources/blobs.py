@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitalgrid.functions.json import LOOKS_LIKE_JSON, inline_json, normalized_json
 from vitalgrid.operators.person_join import salt
@@ -13,7 +14,7 @@ from vitalgrid.sources.export import BLOB_FOLDER
 ROW_KEY = ("export_dir", "file_name", "row_no")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def blob_text(content: pd.Series) -> pd.Series:
     """Text of plain or gzip-compressed blobs; a damaged gzip gives null."""
     import gzip

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 #: widest file the folder scan can read; a file with a wider header fails the job
@@ -17,7 +17,6 @@ MAX_COLUMNS = 256
 CELL_SCHEMA = "export_dir string, file_name string, row_no long, cells array<string>"
 ARCHIVE_BATCH_ROWS = 5000
 BLOB_FOLDER = "jsons"
-IN_FILE = Window.partitionBy("export_dir", "file_name")
 
 
 def file_path() -> Column:
@@ -26,6 +25,10 @@ def file_path() -> Column:
     return F.url_decode(encoded)
 
 
+def _in_file() -> WindowSpec:
+    return Window.partitionBy("export_dir", "file_name")
+
+
 def _folder_of(path: Column) -> Column:
     return F.regexp_replace(path, r"/[^/]*$", "")
 
@@ -57,7 +60,7 @@ def read_export_cells(
         "position", "cells",
     ).select(
         "export_dir", "file_name",
-        (F.row_number().over(IN_FILE.orderBy("position")) - 1).cast("long").alias("row_no"), "cells")
+        (F.row_number().over(_in_file().orderBy("position")) - 1).cast("long").alias("row_no"), "cells")
 
 
 def _members(content: bytes) -> Iterator[tuple[str, bytes]]:
@@ -138,7 +141,7 @@ def describe_rows(cells: DataFrame, max_columns: int | None = MAX_COLUMNS) -> Da
     Adds ``datatype_id, version, layout`` (a hash of type and header), ``user_id, export_ts``.
     The metadata line itself is dropped; header rows stay, as ``row_no`` 1.
     """
-    so_far = IN_FILE.orderBy("row_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    so_far = _in_file().orderBy("row_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     header = F.nth_value("cells", 2).over(so_far)
     described = cells.withColumns({"_meta": F.first("cells").over(so_far), "_header": header})
     meta = F.transform("_meta", lambda c: F.trim(F.regexp_replace(c, r"^\uFEFF", "")))
