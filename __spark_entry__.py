@@ -125,8 +125,8 @@ def kpi_direction(spark, sf):
 
 def clean_times(spark, sf):
     """Times as text in every form an export uses, and junk."""
-    text = F.expr("""case event_id % 8
-        when 1 then string(unix_millis(cast(ts as timestamp)))
+    text = F.expr(f"""case event_id % 8
+        when 1 then string({b.EPOCH_MS})
         when 2 then concat('  ', date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSS'), ' ')
         when 3 then '1001-01-01 00:00:00' when 4 then 'junk' when 5 then '99999999999999999'
         when 6 then date_format(ts, 'yyyyMMdd') when 7 then null
