@@ -119,6 +119,7 @@ def write_export(spark: SparkSession, sf_dir: str, root: str) -> None:
             F.concat(F.lit("wear_"), F.col("user_id"), F.lit("_20240131120000")).alias("export"),
             F.lit(record).alias("record"), (F.col("line") + F.col("n")).alias("line"), "value")
         lines = part if lines is None else lines.unionByName(part)
-    (lines.repartition("export", "record").sortWithinPartitions("export", "record", "line")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # writing files takes longer than its bytes suggest
+    (lines.repartition(tasks, "export", "record").sortWithinPartitions("export", "record", "line")
      .select("export", "record", "value")
      .write.mode("overwrite").partitionBy("export", "record").text(root))

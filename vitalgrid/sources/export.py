@@ -12,8 +12,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
-#: widest file the folder scan can read; a file with a wider header fails the job
-MAX_COLUMNS = 256
+#: widest file the folder scan can read; a file with a wider header fails the job. Spark sets up a
+#: reader of this width per file, so it should not be much wider than the data.
+MAX_COLUMNS = 128
 CELL_SCHEMA = "export_dir string, file_name string, row_no long, cells array<string>"
 ARCHIVE_BATCH_ROWS = 5000
 BLOB_FOLDER = "jsons"
