@@ -15,9 +15,10 @@ from vitalgrid import build_daily_metrics, ingest
 from vitalgrid.functions.names import ID_PREFIXES
 from vitalgrid.operators.dedup import keep_last
 from vitalgrid.plans import ingest as plan
+from vitalgrid.plans.metrics import load_metrics
 from vitalgrid.plans.profile import profile
 from vitalgrid.sources import export
-from vitalgrid.sources.tables import read_table, read_tables, table_listing, write_table
+from vitalgrid.sources.tables import read_table, read_tables, table_listing
 
 SHEALTH, HEALTH = ID_PREFIXES
 HEART_RATE = f"{SHEALTH}tracker.heart_rate"
@@ -220,12 +221,16 @@ def test_ingest_to_metrics(spark, tmp_path, root):
     csv(root, f"{SHEALTH}tracker.pedometer_day_summary", ["day_time", "step_count"],
         [f"{1704067200000 + i * 86400000},{9000 + i}" for i in range(5)])
     found = tables(spark, tmp_path)
-    metrics = build_daily_metrics(found)
-    write_table(metrics, str(tmp_path / "out"), "metrics_daily")
-    back = read_table(spark, str(tmp_path / "out"), "metrics_daily").orderBy("day").collect()
+    assert "metrics_daily" not in found
+    back = load_metrics(spark, str(tmp_path / "out")).orderBy("day").collect()
+    assert sorted(back) == sorted(build_daily_metrics(found).collect())
     assert [r["steps"] for r in back] == [9000.0 + i for i in range(5)]
     assert [r["sleep_minutes"] for r in back] == [None] + [480.0] * 4
     assert [r["resting_hr"] for r in back] == [56.0, 57.0, 58.0, 59.0, 60.0]
+    # stored metrics follow the tables when those are read again
+    csv(root, STRESS, ["start_time", "score"], ["2024-01-09 07:00:00.000,30"])
+    tables(spark, tmp_path)
+    assert load_metrics(spark, str(tmp_path / "out")).count() == 9
 
 
 def test_missing_table(spark, tmp_path):

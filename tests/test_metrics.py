@@ -184,6 +184,11 @@ def test_parameters_and_profiles(spark, metrics):
     assert column(given, "sleep_debt")[0] == 100.0
 
 
+def test_no_daily_table(spark):
+    got = build_daily_metrics({"exercise": person(spark, 1)["exercise"]})
+    assert got.columns == ["user_id", "day", *METRIC_COLUMNS] and got.count() == 0
+
+
 def test_empty_tables(spark):
     empty = {k: v.where("false") for k, v in person(spark, 1).items()}
     assert build_daily_metrics(empty).count() == 0

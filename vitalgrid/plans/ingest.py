@@ -13,10 +13,12 @@ from vitalgrid.functions.clean import (
 )
 from vitalgrid.functions.names import header_names, short_name, unique_names
 from vitalgrid.operators.dedup import keep_last
+from vitalgrid.params import DEFAULT_PARAMS, MetricParams
+from vitalgrid.plans.metrics import METRICS_TABLE, write_metrics
 from vitalgrid.sources import export
 from vitalgrid.sources.blobs import ROW_KEY, attach_blobs
 from vitalgrid.sources.registry import TableSpec, spec_of, spec_of_table
-from vitalgrid.sources.tables import write_table
+from vitalgrid.sources.tables import read_table, write_table
 
 OWN_COLUMNS = ("user_id", "export_ts")
 #: later rows win: newer export, then file name, then position in the file
@@ -35,21 +37,29 @@ class Layout:
 
 
 def stage_rows(cells: DataFrame, staging: str, max_columns: int | None = export.MAX_COLUMNS) -> DataFrame:
-    """Write described rows once, split by record type, so that each table reads only its own.
+    """Write described rows once, split into headers and data and by record type, so that each
+    reader opens only what it needs.
 
     The rebalance evens out the files and lets adaptive execution split a dominant type.
     """
-    described = export.describe_rows(cells, max_columns)
-    (described.hint("rebalance", "datatype_id")
-     .write.mode("overwrite").partitionBy("datatype_id").parquet(staging))
+    described = export.describe_rows(cells, max_columns).withColumn(
+        "part", F.when(F.col("row_no") == 1, "header").otherwise("data"))
+    (described.hint("rebalance", "part", "datatype_id")
+     .write.mode("overwrite").partitionBy("part", "datatype_id").parquet(staging))
+    stored = described.drop("part", "datatype_id").schema
     return described.sparkSession.read.schema(
-        described.drop("datatype_id").schema.add("datatype_id", "string")).parquet(staging)
+        stored.add("part", "string").add("datatype_id", "string")).parquet(staging)
+
+
+def _data(staged: DataFrame, layouts: list[Layout]) -> DataFrame:
+    ids = sorted({layout.datatype_id for layout in layouts})
+    return staged.where((F.col("part") == "data") & F.col("datatype_id").isin(ids))
 
 
 def layouts_of(staged: DataFrame) -> list[Layout]:
     """The distinct headers: the only thing that comes to the driver, and its number is checked."""
     found = (
-        staged.where("row_no = 1").select("datatype_id", "layout", "cells").distinct()
+        staged.where("part = 'header'").select("datatype_id", "layout", "cells").distinct()
         .limit(MAX_LAYOUTS + 1).collect()
     )
     if len(found) > MAX_LAYOUTS:
@@ -91,7 +101,6 @@ def build_table(
     staged: DataFrame, layouts: list[Layout], spec: TableSpec, blobs: DataFrame | None
 ) -> DataFrame:
     """Typed and de-duplicated rows of one table; ``layouts`` are all those of the table."""
-    ids = sorted({layout.datatype_id for layout in layouts})
     columns = table_columns(layouts, spec)
 
     def typed(name: str) -> Column:
@@ -100,7 +109,7 @@ def build_table(
             return parse_time(cell, EPOCH_MS_BELOW_AT_INGEST)
         return parse_number(cell) if name in spec.numbers else cell
 
-    rows = staged.where(F.col("datatype_id").isin(ids) & (F.col("row_no") > 1)).select(
+    rows = _data(staged, layouts).select(
         *OWN_COLUMNS, *ROW_KEY, "datatype_id", *[typed(c).alias(c) for c in columns])
     keys = [c for c in spec.times if c in columns]
     if keys:
@@ -120,9 +129,7 @@ def wide_rows(staged: DataFrame, layouts: list[Layout]) -> DataFrame:
     beyond = F.lit(False)
     for width, hashes in by_width.items():
         beyond = beyond | (F.col("layout").isin(hashes) & (F.size("cells") > width))
-    ids = sorted({layout.datatype_id for layout in layouts})
-    return staged.where(F.col("datatype_id").isin(ids) & (F.col("row_no") > 1)).agg(
-        F.count_if(beyond).alias("wide_rows"))
+    return _data(staged, layouts).agg(F.count_if(beyond).alias("wide_rows"))
 
 
 def layouts_by_table(staged: DataFrame) -> dict[str, list[Layout]]:
@@ -141,13 +148,13 @@ def scratch_folder(spark: SparkSession, fallback: str) -> str:
 
 def ingest(
     spark: SparkSession, root: str, out: str, archives: bool = False,
-    max_columns: int = export.MAX_COLUMNS,
+    max_columns: int = export.MAX_COLUMNS, params: MetricParams = DEFAULT_PARAMS,
 ) -> DataFrame:
     """Read every export below ``root``, write one table per record type below ``out``.
 
-    With ``archives`` the exports are ZIP files instead of folders. Every table is replaced; so
-    ``metrics_daily`` should be built again afterwards. Result: ``table_name, row_count,
-    wide_rows``.
+    With ``archives`` the exports are ZIP files instead of folders. Every table is replaced, and a
+    ``metrics_daily`` that is there is built again from the new tables with ``params``. Result:
+    ``table_name, row_count, wide_rows``.
     """
     cells = export.read_archive_cells(spark, root) if archives \
         else export.read_export_cells(spark, root, max_columns)
@@ -166,6 +173,8 @@ def ingest(
             F.lit(name), F.lit(0).cast("long"), F.col("wide_rows"))
         part = kept.unionAll(cut)
         report = part if report is None else report.unionAll(part)
+    if read_table(spark, out, METRICS_TABLE) is not None:
+        write_metrics(spark, out, params)
     if report is None:
         return spark.createDataFrame([], "table_name string, row_count long, wide_rows long")
     return report.groupBy("table_name").agg(

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.operators import daily as d
 from vitalgrid.operators import load as l
 from vitalgrid.operators import timeline as t
 from vitalgrid.params import DEFAULT_PARAMS, MetricParams
+from vitalgrid.sources.tables import read_table, read_tables, write_table
 
+METRICS_TABLE = "metrics_daily"
+DAILY_TABLES = (
+    "heart_rate", "sleep_stage", "stress", "spo2", *d.STEP_TABLES, *d.SLEEP_TABLES, *d.BODY_TABLES)
 RAW_COLUMNS = (
     "resting_hr", "hr_avg", "steps", "active_minutes", "calories",
     "sleep_minutes", "sleep_efficiency", "sleep_score", "sleep_midpoint",
@@ -95,8 +99,11 @@ def build_daily_metrics(
     ``user_id``; missing tables leave their columns null.
 
     ``profiles`` may hold one row per person ``(user_id, sex, hr_max, hr_rest,
-    target_sleep_min)``; its nulls, and persons without a row, use ``params``.
+    target_sleep_min)``; its nulls, and persons without a row, use ``params``. Days come from the
+    daily tables only, so without any of those the result is empty.
     """
+    if not set(tables) & set(DAILY_TABLES):
+        return _no_metrics(next(iter(tables.values())))
     daily = daily_frame(tables, params, profiles)
     target = F.lit(float(params.target_sleep_min))
     if profiles is not None:
@@ -118,3 +125,28 @@ def build_daily_metrics(
     })
     metrics = t.readiness_scores(metrics, target)
     return metrics.select("user_id", "day", *[F.col(c).cast("double") for c in METRIC_COLUMNS])
+
+
+def _no_metrics(table: DataFrame) -> DataFrame:
+    return table.where("false").select(
+        "user_id", F.lit(None).cast("date").alias("day"),
+        *[F.lit(None).cast("double").alias(c) for c in METRIC_COLUMNS])
+
+
+def write_metrics(
+    spark: SparkSession, root: str, params: MetricParams = DEFAULT_PARAMS,
+    profiles: DataFrame | None = None,
+) -> None:
+    """Build ``metrics_daily`` from the stored tables and replace it."""
+    tables = {k: v for k, v in read_tables(spark, root).items() if k != METRICS_TABLE}
+    write_table(build_daily_metrics(tables, params, profiles), root, METRICS_TABLE)
+
+
+def load_metrics(
+    spark: SparkSession, root: str, params: MetricParams = DEFAULT_PARAMS,
+    profiles: DataFrame | None = None,
+) -> DataFrame:
+    """The stored ``metrics_daily``; built and stored first if it does not exist."""
+    if read_table(spark, root, METRICS_TABLE) is None:
+        write_metrics(spark, root, params, profiles)
+    return read_table(spark, root, METRICS_TABLE)

@@ -9,13 +9,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: widest file the folder scan can read; a file with a wider header fails the job. Spark sets up a
 #: reader of this width per file, so it should not be much wider than the data.
 MAX_COLUMNS = 128
-CELL_SCHEMA = "export_dir string, file_name string, row_no long, cells array<string>"
+CELL_SCHEMA = "export_dir string, file_name string, position long, cells array<string>"
 ARCHIVE_BATCH_ROWS = 5000
 BLOB_FOLDER = "jsons"
 
@@ -26,10 +26,6 @@ def file_path() -> Column:
     return F.url_decode(encoded)
 
 
-def _in_file() -> WindowSpec:
-    return Window.partitionBy("export_dir", "file_name")
-
-
 def _folder_of(path: Column) -> Column:
     return F.regexp_replace(path, r"/[^/]*$", "")
 
@@ -39,8 +35,7 @@ def read_export_cells(
 ) -> DataFrame:
     """Every row of every CSV file below ``root``, blob folders aside: see ``CELL_SCHEMA``.
 
-    A file is one read task, because its quoted cells may span lines. Rows are numbered within
-    their file: the one shuffle here is by file, and no file exceeds what one task has read.
+    ``position`` grows along a file, which is one read task, because quoted cells may span lines.
     """
     names = [f"c{i}" for i in range(max_columns)]
     scan = (
@@ -58,10 +53,7 @@ def read_export_cells(
     return rows.select(
         _folder_of(F.col("path")).alias("export_dir"),
         F.regexp_extract("path", r"([^/]*)$", 1).alias("file_name"),
-        "position", "cells",
-    ).select(
-        "export_dir", "file_name",
-        (F.row_number().over(_in_file().orderBy("position")) - 1).cast("long").alias("row_no"), "cells")
+        "position", "cells")
 
 
 def _members(content: bytes) -> Iterator[tuple[str, bytes]]:
@@ -92,15 +84,15 @@ def _archive_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 text = io.StringIO(data.decode("utf-8-sig", errors="replace"), newline="")
                 numbered = enumerate(row for row in csv.reader(text) if row)
                 chunk = []
-                for row_no, cells in numbered:
+                for position, cells in numbered:
                     while cells and not cells[-1]:
                         cells.pop()
-                    chunk.append((folder, name, row_no, [c or None for c in cells]))
+                    chunk.append((folder, name, position, [c or None for c in cells]))
                     if len(chunk) == ARCHIVE_BATCH_ROWS:
-                        yield pd.DataFrame(chunk, columns=["export_dir", "file_name", "row_no", "cells"])
+                        yield pd.DataFrame(chunk, columns=["export_dir", "file_name", "position", "cells"])
                         chunk = []
                 if chunk:
-                    yield pd.DataFrame(chunk, columns=["export_dir", "file_name", "row_no", "cells"])
+                    yield pd.DataFrame(chunk, columns=["export_dir", "file_name", "position", "cells"])
 
 
 def _archive_blobs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -139,12 +131,17 @@ def read_export_blobs(spark: SparkSession, root: str) -> DataFrame:
 def describe_rows(cells: DataFrame, max_columns: int | None = MAX_COLUMNS) -> DataFrame:
     """Add to every row what the first two lines of its file and its folder say.
 
-    Adds ``datatype_id, version, layout`` (a hash of type and header), ``user_id, export_ts``.
-    The metadata line itself is dropped; header rows stay, as ``row_no`` 1.
+    Adds ``datatype_id, version, layout`` (a hash of type and header), ``user_id, export_ts`` and
+    the row's number ``row_no``. The metadata line itself is dropped; header rows stay, as
+    ``row_no`` 1. The one shuffle and sort is by file, and no file exceeds what one task has read.
     """
-    so_far = _in_file().orderBy("row_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    header = F.nth_value("cells", 2).over(so_far)
-    described = cells.withColumns({"_meta": F.first("cells").over(so_far), "_header": header})
+    in_file = Window.partitionBy("export_dir", "file_name").orderBy("position")
+    so_far = in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    described = cells.withColumns({
+        "row_no": (F.row_number().over(in_file) - 1).cast("long"),
+        "_meta": F.first("cells").over(so_far),
+        "_header": F.nth_value("cells", 2).over(so_far),
+    })
     meta = F.transform("_meta", lambda c: F.trim(F.regexp_replace(c, r"^\uFEFF", "")))
     trimmed = F.transform("_header", lambda c: F.trim(F.coalesce(c, F.lit(""))))
     layout = F.xxhash64(F.get("_meta", 0), F.array_join(trimmed, "\u001f"))
