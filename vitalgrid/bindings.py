@@ -67,8 +67,8 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded, because engines add in different orders."""
-    return df.select(*[
-        F.round(c, digits).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes])
+    return df.selectExpr(*[
+        f"round({c}, {digits}) as {c}" if kind == "double" else c for c, kind in df.dtypes])
 
 
 # ---- an export derived from the events, as the device would have written it -------------------

@@ -7,8 +7,6 @@ the person has.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -32,11 +30,8 @@ def last_days(n: int) -> WindowSpec:
     return days().rowsBetween(-(n - 1), Window.currentRow)
 
 
-def dense_days(
-    daily: DataFrame, spans: Column | None = None, constant: Sequence[str] = ()
-) -> DataFrame:
-    """Add the missing days between a person's first and last day, with nulls in all columns
-    but the person's ``constant`` ones.
+def dense_days(daily: DataFrame, spans: Column | None = None) -> DataFrame:
+    """Add the missing days between a person's first and last day, with nulls.
 
     ``spans`` marks the rows that set the first and last day; others outside are dropped. Each
     row is repeated up to the day before the next one, so no calendar has to be joined.
@@ -50,10 +45,8 @@ def dense_days(
     }).where("day between _first and _last")
     until = F.coalesce(F.least(F.date_sub("_next", 1), F.col("_last")), F.col("day"))
     filled = bounded.withColumn("_day", F.explode(F.sequence(F.col("day"), until)))
-    return filled.select(
-        "user_id", F.col("_day").alias("day"),
-        *[F.col(c) if c in constant else F.when(F.col("_day") == F.col("day"), F.col(c)).alias(c)
-          for c in values])
+    return filled.selectExpr(
+        "user_id", "_day as day", *[f"if(_day = day, `{c}`, null) as `{c}`" for c in values])
 
 
 def mean_load(window: int) -> Column:

@@ -18,7 +18,7 @@ from vitalgrid.plans.metrics import METRICS_TABLE, write_metrics
 from vitalgrid.sources import export
 from vitalgrid.sources.blobs import ROW_KEY, attach_blobs
 from vitalgrid.sources.registry import TableSpec, spec_of, spec_of_table
-from vitalgrid.sources.tables import read_table, write_table
+from vitalgrid.sources.tables import delete_folder, read_table, write_table
 
 OWN_COLUMNS = ("user_id", "export_ts")
 #: later rows win: newer export, then file name, then position in the file
@@ -160,8 +160,8 @@ def ingest(
         else export.read_export_cells(spark, root, max_columns)
     blobs = export.read_archive_blobs(spark, root) if archives \
         else export.read_export_blobs(spark, root)
-    staged = stage_rows(
-        cells, scratch_folder(spark, f"{out}/_staging"), None if archives else max_columns)
+    staging = scratch_folder(spark, f"{out}/_staging")
+    staged = stage_rows(cells, staging, None if archives else max_columns)
     report = None
     for name, layouts in layouts_by_table(staged).items():
         ids = [layout.datatype_id for layout in layouts]
@@ -173,10 +173,10 @@ def ingest(
             F.lit(name), F.lit(0).cast("long"), F.col("wide_rows"))
         part = kept.unionAll(cut)
         report = part if report is None else report.unionAll(part)
+    counted = [] if report is None else report.groupBy("table_name").agg(
+        F.sum("row_count").alias("row_count"), F.sum("wide_rows").alias("wide_rows"),
+    ).orderBy("table_name").collect()  # one row per table
+    delete_folder(spark, staging)
     if read_table(spark, out, METRICS_TABLE) is not None:
         write_metrics(spark, out, params)
-    if report is None:
-        return spark.createDataFrame([], "table_name string, row_count long, wide_rows long")
-    return report.groupBy("table_name").agg(
-        F.sum("row_count").alias("row_count"), F.sum("wide_rows").alias("wide_rows"),
-    ).orderBy("table_name")
+    return spark.createDataFrame(counted, "table_name string, row_count long, wide_rows long")

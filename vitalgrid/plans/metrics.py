@@ -124,7 +124,7 @@ def build_daily_metrics(
         "rhr_baseline": t.next_known(F.col("rhr_baseline")),
     })
     metrics = t.readiness_scores(metrics, target)
-    return metrics.select("user_id", "day", *[F.col(c).cast("double") for c in METRIC_COLUMNS])
+    return metrics.select("user_id", "day", *METRIC_COLUMNS)
 
 
 def _no_metrics(table: DataFrame) -> DataFrame:

@@ -55,14 +55,6 @@ def _long(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
 
 # ---- summary ---------------------------------------------------------------------------------
 
-def _kpi_values(metrics: DataFrame) -> DataFrame:
-    """Per person and KPI: value on the last day of all (may be null), with ``day`` as of."""
-    names = [k[0] for k in KPIS]
-    last = metrics.groupBy("user_id").agg(
-        F.max("day").alias("as_of"), *[F.max_by(c, "day").alias(c) for c in names])
-    return _long(last, ["user_id", "as_of"], names).withColumnRenamed("v", "value")
-
-
 def kpi_points(metrics: DataFrame, range_name: str = "30d") -> DataFrame:
     """Per person and KPI the last non-null values in range; ``pos`` 1 is the newest."""
     names = [k[0] for k in KPIS]
@@ -75,13 +67,25 @@ def kpi_points(metrics: DataFrame, range_name: str = "30d") -> DataFrame:
 
 
 def summary_kpis(metrics: DataFrame, range_name: str = "30d") -> DataFrame:
-    """``user_id, as_of, key, label, unit, better, value, delta, spark`` (oldest point first)."""
-    points = kpi_points(metrics, range_name).groupBy("user_id", "key").agg(
+    """``user_id, as_of, key, label, unit, better, value, delta, spark`` (oldest point first).
+
+    ``value`` is that of the person's last day, even if null. The last day is in every range, so
+    one pass over the days in range gives everything.
+    """
+    names = [k[0] for k in KPIS]
+    window = _long(in_range(metrics, range_name), ["user_id", "day"], names)
+    filled = F.col("v").isNotNull()
+    newest_first = Window.partitionBy("user_id", "key").orderBy(~filled, F.col("day").desc())
+    ranked = window.withColumn("pos", F.row_number().over(newest_first))
+    point = F.struct("day", round_half_even(F.col("v"), 2).alias("v"))
+    kpis = ranked.groupBy("user_id", "key").agg(
+        F.max("day").alias("as_of"),
+        F.max_by("v", "day").alias("value"),
         F.max(F.when(F.col("pos") == KPI_PREVIOUS_POSITION, F.col("v"))).alias("_at_position"),
-        F.max_by("v", "pos").alias("_oldest"),
-        F.max("pos").alias("_points"),
-        F.sort_array(F.collect_list(F.struct("day", round_half_even(F.col("v"), 2).alias("v"))))
-        .alias("_spark"),
+        F.max_by("v", F.when(filled, F.col("pos"))).alias("_oldest"),
+        F.sort_array(F.collect_list(
+            F.when(filled & (F.col("pos") <= KPI_SPARK_POINTS), point))).alias("_spark"),
+        F.count("v").alias("_points"),
     )
     previous = F.when(F.col("_points") >= KPI_PREVIOUS_POSITION, F.col("_at_position")) \
         .otherwise(F.col("_oldest"))
@@ -89,11 +93,10 @@ def summary_kpis(metrics: DataFrame, range_name: str = "30d") -> DataFrame:
         name: F.element_at(F.create_map(*[F.lit(x) for k in KPIS for x in (k[0], k[i])]), F.col("key"))
         for i, name in ((1, "label"), (2, "unit"), (3, "better"))
     }
-    return _kpi_values(metrics).join(points, ["user_id", "key"], "left").select(
+    return kpis.select(
         "user_id", "as_of", "key", *[c.alias(n) for n, c in texts.items()], "value",
         (F.col("value") - previous).alias("delta"),
-        F.coalesce(F.transform("_spark", lambda p: p["v"]), F.array().cast("array<double>"))
-        .alias("spark"),
+        F.transform("_spark", lambda p: p["v"]).alias("spark"),
     )
 
 

@@ -25,11 +25,19 @@ def read_table(
     return None if schema is None else spark.createDataFrame([], schema)
 
 
+def _file_system(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path, files = _file_system(spark, folder)
+    files.delete(path, True)
+
+
 def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """All tables below ``root``."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    path, files = _file_system(spark, root)
     names = sorted(
         status.getPath().getName() for status in files.listStatus(path) if status.isDirectory())
     return {
