@@ -212,12 +212,14 @@ def profile_counts(spark, sf):
     return profile.profile(b.tables(spark, sf)).drop("samples")
 
 
-def _ingested(spark: SparkSession, sf: str, tables: bool = True):
+def _ingested(spark: SparkSession, sf: str):
     """Write the events as export folders, stage them, and hand back what ingest works on."""
-    if spark.conf.get("spark.checkpoint.dir", None) or not spark.sparkContext.master.startswith("local"):
-        folder = ingest.scratch_folder(spark, f"{sf}/_export")
-    else:
+    if spark.conf.get("spark.checkpoint.dir", None):
+        folder = ingest.scratch_folder(spark, "")
+    elif spark.sparkContext.master.startswith("local"):
         folder = tempfile.mkdtemp(prefix="vitalgrid-")
+    else:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     b.write_export(spark, sf, f"{folder}/export")
     cells = export.read_export_cells(spark, f"{folder}/export", files="*.txt")
     staged = ingest.stage_rows(cells, f"{folder}/staged")
