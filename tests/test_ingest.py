@@ -21,14 +21,14 @@ from vitalgrid.plans.profile import profile
 from vitalgrid.sources import export
 from vitalgrid.sources.tables import read_table, read_tables, table_listing
 
-SHEALTH, HEALTH = ID_PREFIXES
-HEART_RATE = f"{SHEALTH}tracker.heart_rate"
-STRESS = f"{SHEALTH}stress"
+TRACKED, PLAIN = ID_PREFIXES
+HEART_RATE = f"{TRACKED}tracker.heart_rate"
+STRESS = f"{TRACKED}stress"
 
 
 def csv(folder, datatype_id, columns, lines, name=None, version="1", bom=False):
     folder.mkdir(parents=True, exist_ok=True)
-    header = ",".join(f"{HEALTH}x.{c}" for c in columns)
+    header = ",".join(f"{PLAIN}x.{c}" for c in columns)
     text = f"{datatype_id},{version}\n{header}\n" + "".join(f"{line}\n" for line in lines)
     path = folder / f"{name or datatype_id}.csv"
     path.write_text(text, encoding="utf-8-sig" if bom else "utf-8")
@@ -65,7 +65,7 @@ def test_quoted_commas_and_line_breaks(spark, tmp_path, root, rows):
 
 
 def test_trailing_commas_short_and_wide_rows(spark, tmp_path, root, rows):
-    csv(root, f"{SHEALTH}sleep_combined", ["start_time", "sleep_score", "efficiency", "deviceuuid"], [
+    csv(root, f"{TRACKED}sleep_combined", ["start_time", "sleep_score", "efficiency", "deviceuuid"], [
         "2024-01-01 23:00:00.000,80,88,uuid-1,", "2024-01-02 23:10:00.000,72", "x,1,2,3,extra",
         "NA,null, 7 ,#N/A,"])
     report = rows(ingest(spark, str(tmp_path / "in"), str(tmp_path / "out")))
@@ -103,18 +103,18 @@ def test_newer_export_then_file_then_row_wins(spark, tmp_path, rows):
 
 
 def test_layouts_of_one_table_are_united(spark, tmp_path, root, rows):
-    csv(root, f"{SHEALTH}tracker.oxygen_saturation", ["start_time", "spo2"], ["2024-01-01,97"], name="a")
-    csv(root, f"{SHEALTH}tracker.oxygen_saturation", ["oxygen_saturation", "extra", "start_time"],
+    csv(root, f"{TRACKED}tracker.oxygen_saturation", ["start_time", "spo2"], ["2024-01-01,97"], name="a")
+    csv(root, f"{TRACKED}tracker.oxygen_saturation", ["oxygen_saturation", "extra", "start_time"],
         ["95,e,2024-01-02"], name="b", version="")
-    csv(root, f"{SHEALTH}tracker.oxygen_saturation", ["spo2", "oxygen_saturation", "start_time"],
+    csv(root, f"{TRACKED}tracker.oxygen_saturation", ["spo2", "oxygen_saturation", "start_time"],
         [",93,2024-01-03", "92,91,2024-01-04"], name="c")
     found = rows(tables(spark, tmp_path)["spo2"], "start_time")
     assert [(r["spo2"], r["extra"]) for r in found] == [(97.0, None), (95.0, "e"), (93.0, None), (92.0, None)]
 
 
 def test_clashing_names_and_ids(spark, tmp_path, root):
-    csv(root, f"{HEALTH}sleep_stage", ["stage", "Stage", "user_id", "start_time"], ["1,2,me,2024-01-01"], name="a")
-    csv(root, f"{SHEALTH}sleep_stage", ["stage", "start_time"], ["3,2024-01-02"], name="b")
+    csv(root, f"{PLAIN}sleep_stage", ["stage", "Stage", "user_id", "start_time"], ["1,2,me,2024-01-01"], name="a")
+    csv(root, f"{TRACKED}sleep_stage", ["stage", "start_time"], ["3,2024-01-02"], name="b")
     table = tables(spark, tmp_path)["sleep_stage"]
     assert table.columns == ["user_id", "export_ts", "stage", "Stage_2", "user_id_2", "start_time"]
     # two types share the table: the known one gives the types
@@ -218,9 +218,9 @@ def test_folder_names(spark, tmp_path, rows):
 def test_ingest_to_metrics(spark, tmp_path, root):
     csv(root, HEART_RATE, ["start_time", "end_time", "heart_rate"],
         [f"2024-01-0{i} 07:00:00.000,2024-01-0{i} 07:10:00.000,{55 + i}" for i in range(1, 6)])
-    csv(root, f"{SHEALTH}sleep_combined", ["start_time", "end_time", "sleep_score"],
+    csv(root, f"{TRACKED}sleep_combined", ["start_time", "end_time", "sleep_score"],
         [f"2024-01-0{i} 23:00:00.000,2024-01-0{i + 1} 07:00:00.000,{70 + i}," for i in range(1, 5)])
-    csv(root, f"{SHEALTH}tracker.pedometer_day_summary", ["day_time", "step_count"],
+    csv(root, f"{TRACKED}tracker.pedometer_day_summary", ["day_time", "step_count"],
         [f"{1704067200000 + i * 86400000},{9000 + i}" for i in range(5)])
     found = tables(spark, tmp_path)
     assert "metrics_daily" not in found
