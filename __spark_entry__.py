@@ -25,6 +25,12 @@ from vitalgrid.plans import ingest, profile, queries as q  # noqa: E402
 from vitalgrid.plans.metrics import build_daily_metrics, daily_frame  # noqa: E402
 from vitalgrid.sources import export, tables as stored  # noqa: E402
 
+try:  # the corpus operators are an add-on: without them everything else still works
+    import corpus_pipeline
+    from vitalgrid.llm import oracle as corpus_oracle, queries as corpus_queries
+except ImportError:
+    corpus_pipeline = corpus_oracle = corpus_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -267,7 +273,8 @@ def queries() -> dict[str, Query]:
     def over(read, *args) -> Query:
         return lambda spark, sf: b.rounded(read(_metrics(spark, sf), *args))
 
-    return {
+    corpus = {} if corpus_queries is None else corpus_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return corpus | {
         "readiness_daily": lambda spark, sf: b.rounded(_metrics(spark, sf)),
         "daily_resting_hr": of(daily.daily_resting_hr, "heart_rate"),
         "daily_steps": of(daily.daily_steps, "steps_daily"),
@@ -321,4 +328,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracle_sql()
+    return _oracle_sql() | ({} if corpus_oracle is None else corpus_oracle.oracle_sql())
