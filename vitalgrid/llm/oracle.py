@@ -1,0 +1,45 @@
+"""DuckDB equivalents of the registered corpus queries, where SQL can express them."""
+
+from __future__ import annotations
+
+WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
+
+EXACT_DEDUP = """
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+       doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
+from documents window same as (partition by coalesce(text, ''))
+"""
+
+MIXING = rf"""
+with sized as (
+  select doc_id, source, {WORDS} as size, md5(cast(doc_id as varchar)) as hash from documents),
+classed as (select *, cast(floor(log2(size + 1.0::double) * 8) as int) as class from sized),
+totals as (select source, sum(size)::bigint as source_size from sized group by source),
+weighed as (
+  select *, [5, 2, 1][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int] as weight,
+         3 * source_size as cap from totals),
+leveled as (
+  select *, case when sum(weight) over () > coalesce(sum(weight) over before, 0) then
+    (sum(source_size) over () - coalesce(sum(cap) over before, 0))::double
+    / (sum(weight) over () - coalesce(sum(weight) over before, 0))::double end as own_level,
+    row_number() over (order by cap / weight::double, source nulls last) as pos
+  from weighed
+  window before as (order by cap / weight::double, source nulls last
+                    rows between unbounded preceding and 1 preceding)),
+targets as (
+  select *, least(cap::double, weight * (select arg_min(own_level, pos) from leveled
+                                         where cap >= own_level * weight)) as target from leveled),
+numbered as (
+  select d.*, t.source_size, t.target,
+    row_number() over (partition by d.source order by class, hash, doc_id) as pos,
+    case when t.source_size > 0 then t.target / t.source_size else 0 end as expected,
+    ('0x' || substr(md5('0:' || coalesce(d.source, chr(0))), 1, 8))::bigint / 4294967296::double as shift
+  from classed d join targets t on d.source is not distinct from t.source)
+select doc_id, size, source_size, target,
+  ((floor(pos * expected + shift) - floor((pos - 1) * expected + shift)) * size)::bigint as taken
+from numbered
+"""
+
+
+def oracle_sql() -> dict[str, str]:
+    return {"op8_exact_dedup": EXACT_DEDUP, "op9_mixing": MIXING}
