@@ -7,8 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import exact_dedup, mixing
-from vitalgrid.llm.common import documents
+from vitalgrid.llm import binary_output, exact_dedup, mixing, packing
+from vitalgrid.llm.common import documents, shared_folder
+
+
+def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written to shards in the shared folder, then read back from them."""
+    manifest = binary_output.write_tokens(documents(spark, sf_dir), shared_folder(spark, "token-shards"))
+    return binary_output.read_tokens(manifest).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,5 +27,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir)).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_exact_dedup, op9_mixing)}
+    return {f.__name__: f for f in (
+        op5_token_output, op8_exact_dedup, op9_mixing, op10_packing)}
