@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import binary_output, exact_dedup, mixing, packing
+from vitalgrid.llm import binary_output, exact_dedup, mixing, near_dedup, packing
 from vitalgrid.llm.common import documents, shared_folder
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(documents(spark, sf_dir))
+
+
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written to shards in the shared folder, then read back from them."""
     manifest = binary_output.write_tokens(documents(spark, sf_dir), shared_folder(spark, "token-shards"))
@@ -34,4 +38,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op5_token_output, op8_exact_dedup, op9_mixing, op10_packing)}
+        op4_near_dedup, op5_token_output, op8_exact_dedup, op9_mixing, op10_packing)}
