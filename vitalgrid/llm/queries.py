@@ -7,8 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import binary_output, exact_dedup, mixing, near_dedup, packing
-from vitalgrid.llm.common import documents, shared_folder
+from vitalgrid.llm import binary_output, exact_dedup, mixing, near_dedup, order_minhash, packing, quality
+from vitalgrid.llm.common import crc_remainder, documents, shared_folder
+
+
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.compare_with_next(documents(spark, sf_dir))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.fit(docs, quality.learnable(labels))
+    return quality.score(docs, model).select(
+        "doc_id", (crc_remainder("doc_id", 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,4 +51,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op4_near_dedup, op5_token_output, op8_exact_dedup, op9_mixing, op10_packing)}
+        op2_order_minhash, op3_quality, op4_near_dedup, op5_token_output, op8_exact_dedup, op9_mixing, op10_packing)}

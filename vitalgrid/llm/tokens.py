@@ -14,19 +14,23 @@ END_ID = 1
 REMEMBERED_WORDS = 800_000
 
 
-class _Numbers(dict):
+class Numbers(dict):
     """Numbers words in the order in which they are first asked for."""
 
     def __missing__(self, word: str) -> int:
         number = self[word] = len(self)
         return number
 
+    def after(self, number: int) -> list[str]:
+        """The words numbered from ``number`` on."""
+        return list(islice(self, number, None)) if number < len(self) else []
+
 
 class _Runs:
     """Runs of ids by name: names are numbered when asked for and learned afterwards."""
 
     def __init__(self):
-        self.number = _Numbers()
+        self.number = Numbers()
         self.ids = np.zeros(0, np.uint32)
         self.start = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
@@ -35,7 +39,7 @@ class _Runs:
         return np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))
 
     def new(self) -> list[str]:
-        return list(islice(self.number, len(self.size), None))
+        return self.number.after(len(self.size))
 
     def learn(self, names: list[str], sizes, ids) -> None:
         for name in names:
