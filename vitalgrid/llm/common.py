@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+import zipfile
+from pathlib import Path
 
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +15,26 @@ from pyspark.sql import functions as F
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the session, once, as a ZIP file that Spark hands out."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    top = Path(__file__).resolve().parents[2]
+    path = f"{SparkFiles.getRootDirectory()}/package/vitalgrid.zip"
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted((top / "vitalgrid").rglob("*.py")):
+            archive.write(file, str(file.relative_to(top)))
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

@@ -26,7 +26,8 @@ DIMENSIONS = 16
 NGRAMS = (3, 4)
 #: most training documents of each label
 SAMPLE_PER_LABEL = 1500
-EPOCHS = 6
+#: passes over the sample, and the fewest single steps, for small samples
+EPOCHS, LEAST_STEPS = 6, 6000
 RATE = 0.5
 THRESHOLD = 0.3
 #: features without meaning that every document has besides its own, so that few words decide little
@@ -163,16 +164,21 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(examples: list[tuple[int, np.ndarray, np.ndarray]], prior: float, seed: int = 7) -> Model:
     """Stochastic gradient descent, one document at a time, in an order fixed by ``seed``.
 
-    ``prior`` is the share of label 1 among all labelled documents; examples are drawn evenly from
-    both labels, and the difference goes into the bias.
+    Both labels take part equally often. ``prior`` is the share of label 1 among all labelled
+    documents; how it differs from one half goes into the bias.
     """
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1, 1, (ROWS, DIMENSIONS)).astype(np.float32) / DIMENSIONS
     output = np.zeros((DIMENSIONS, 2), np.float32)
     offset = np.zeros(2, np.float32)
-    steps, done = EPOCHS * max(1, len(examples)), 0
-    for _ in range(EPOCHS):
-        for i in rng.permutation(len(examples)):
+    of_label = [np.array([i for i, e in enumerate(examples) if e[0] == k], np.int64) for k in (0, 1)]
+    present = [x for x in of_label if len(x)]
+    passes = max(EPOCHS, -(-LEAST_STEPS // max(1, len(examples))))
+    steps, done = passes * sum(max(map(len, present)) for _ in present), 0
+    for _ in range(passes if present else 0):
+        most = max(map(len, present))
+        even = np.concatenate([np.resize(rng.permutation(x), most) for x in present])
+        for i in rng.permutation(even):
             label, rows, often = examples[i]
             rate = np.float32(RATE * (1 - done / steps))
             done += 1
@@ -187,10 +193,8 @@ def train(examples: list[tuple[int, np.ndarray, np.ndarray]], prior: float, seed
             offset -= rate * error * np.float32(0.1)
             # every feature takes a full share of the error, as features are many and rare
             table[rows] -= rate * np.minimum(share * 20, 1)[:, None] * back
-    labels = np.array([e[0] for e in examples])
-    drawn = np.clip(labels.mean() if len(labels) else 0.5, 1e-3, 1 - 1e-3)
     prior = min(max(prior, 1e-3), 1 - 1e-3)
-    shift = np.log(prior / (1 - prior)) - np.log(drawn / (1 - drawn))
+    shift = np.log(prior / (1 - prior)) if len(present) == 2 else 0.0
     weight = table @ (output[:, 1] - output[:, 0])
     return Model(weight.astype(np.float64), float(offset[1] - offset[0] + shift))
 
@@ -239,6 +243,19 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
     return chosen.mapInArrow(lambda batches: _score(batches, model), schema).drop("_text")
 
 
+def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score reaches the threshold, with all their columns, in one scan."""
+    def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = model.scorer()
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            found = [scorer.scores(texts[part]) for part in text_groups(texts)]
+            if found:
+                yield batch.filter(pa.array(np.concatenate(found) >= threshold))
+
+    return docs.mapInArrow(good, docs.schema)
+
+
 def learnable(labels: DataFrame) -> DataFrame:
     """Labels that may be learned from; a fifth of the ids is held out."""
     return labels.where(crc_remainder("doc_id", 5) != 0)

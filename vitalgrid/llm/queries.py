@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import binary_output, exact_dedup, mixing, near_dedup, order_minhash, packing, quality
+from vitalgrid.llm import binary_output, exact_dedup, hmm, language, mixing, near_dedup, order_minhash, packing, quality
 from vitalgrid.llm.common import crc_remainder, documents, shared_folder
 
 
@@ -35,6 +35,17 @@ def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = language.identify(docs, language.fit(language.learnable(docs)))
+    return found.select(
+        "doc_id", (crc_remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op7_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_texts(documents(spark, sf_dir))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir)).drop("uid")
 
@@ -51,4 +62,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_order_minhash, op3_quality, op4_near_dedup, op5_token_output, op8_exact_dedup, op9_mixing, op10_packing)}
+        op2_order_minhash, op3_quality, op4_near_dedup, op5_token_output, op6_language,
+        op7_hmm_scores, op8_exact_dedup, op9_mixing, op10_packing)}
