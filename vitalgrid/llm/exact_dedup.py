@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import shuffle_tasks, stored
+from vitalgrid.llm.common import shuffle_tasks, stored, unused_names
 
 #: runs that meet in one merge
 FAN_IN = 8
@@ -97,13 +97,13 @@ def keep_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     with the same text, one of its rows is taken.
     """
     staying = exact_groups(docs, id_col, text_col).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    kept = stored(staying.groupBy("doc_id", "text_sha256").agg(F.count("*").alias("rows")), "kept-ids")
-    kept = kept.toDF("_kept_id", "_kept_digest", "_kept_rows")
-    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
-    joined = docs.withColumn("_digest", digest).join(
-        kept, F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_digest") == F.col("_kept_digest")))
-    once = joined.where("_kept_rows = 1").select(*docs.columns)
-    if kept.where("_kept_rows > 1").isEmpty():
+    digest, kept_id, kept_digest, kept_rows = unused_names(docs, "digest", "kept_id", "kept_digest", "kept_rows")
+    kept = stored(staying.groupBy("doc_id", "text_sha256").agg(F.count("*").alias("rows")).toDF(
+        kept_id, kept_digest, kept_rows), "kept-ids")
+    joined = docs.withColumn(digest, F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).join(
+        kept, F.col(id_col).eqNullSafe(F.col(kept_id)) & (F.col(digest) == F.col(kept_digest)))
+    once = joined.where(F.col(kept_rows) == 1).select(*docs.columns)
+    if kept.where(F.col(kept_rows) > 1).isEmpty():
         return once
-    repeated = joined.where("_kept_rows > 1").dropDuplicates(["_kept_id", "_digest"])
+    repeated = joined.where(F.col(kept_rows) > 1).dropDuplicates([kept_id, digest])
     return once.unionByName(repeated.select(*docs.columns))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import WORD_PATTERN, stored
+from vitalgrid.llm.common import WORD_PATTERN, stored, unused_names
 
 #: weights of the sources in the order of their names, repeating
 WEIGHTS = (5, 2, 1)
@@ -122,11 +122,12 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int = MA
 
     Rows that share an id and a size get the larger of their numbers of copies.
     """
+    names = unused_names(docs, "taken_id", "taken_source", "taken_size", "copies", "own_size", "copy")
+    taken_id, taken_source, taken_size, copies, own_size, copy = names
     taken = systematic_copies(docs, weights, max_repeats, seed).groupBy("doc_id", "source", "size").agg(
-        F.max("copies").alias("_copies")).where("_copies > 0").toDF(
-        "_taken_id", "_taken_source", "_taken_size", "_copies")
-    joined = docs.withColumn("_size", word_count(F.col("text"))).join(
-        taken, F.col("doc_id").eqNullSafe(F.col("_taken_id"))
-        & F.col("source").eqNullSafe(F.col("_taken_source")) & (F.col("_size") == F.col("_taken_size")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))) \
+        F.max("copies").alias("copies")).where("copies > 0").toDF(taken_id, taken_source, taken_size, copies)
+    joined = docs.withColumn(own_size, word_count(F.col("text"))).join(
+        taken, F.col("doc_id").eqNullSafe(F.col(taken_id))
+        & F.col("source").eqNullSafe(F.col(taken_source)) & (F.col(own_size) == F.col(taken_size)))
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))) \
         .select(*docs.columns)

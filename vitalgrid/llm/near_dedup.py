@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import stored
+from vitalgrid.llm.common import stored, unused_names
 from vitalgrid.llm.components import components
 
 WORDS = 5
@@ -286,5 +286,6 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     ``docs`` should hold each id once; rows that repeat a kept id all stay.
     """
-    kept = near_groups(docs, percent).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
+    kept_id, = unused_names(docs, "kept_id")
+    kept = near_groups(docs, percent).where("kept").select(F.col("doc_id").alias(kept_id)).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col(kept_id)), "left_semi")

@@ -4,6 +4,22 @@ from __future__ import annotations
 
 WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
+TOKEN_ROLLUP = r"""
+with kept as (
+  select max(doc_id) as doc_id from documents group by coalesce(text, '')),
+left_over as (
+  select d.*, coalesce(text, '') as t from documents d join kept using (doc_id)),
+counted as (
+  select source, lang, 'words/1' as tokenizer,
+    len(regexp_extract_all(array_to_string(list_distinct(string_split(t, chr(10))), chr(10)),
+                           '[^\x20\x09-\x0D]+')) as n from left_over
+  union all
+  select source, lang, 'words/2',
+    len(regexp_extract_all(t, '[A-Za-z0-9]+|[^A-Za-z0-9\x20\x09-\x0D]')) from left_over)
+select source, lang, tokenizer, count(*) as documents, sum(n)::bigint as tokens
+from counted group by source, lang, tokenizer
+"""
+
 EXACT_DEDUP = """
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
        doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
@@ -42,4 +58,4 @@ from numbered
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": EXACT_DEDUP, "op9_mixing": MIXING}
+    return {"op1_token_rollup": TOKEN_ROLLUP, "op8_exact_dedup": EXACT_DEDUP, "op9_mixing": MIXING}

@@ -8,7 +8,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.llm import binary_output, exact_dedup, hmm, language, mixing, near_dedup, order_minhash, packing, quality
-from vitalgrid.llm.common import crc_remainder, documents, shared_folder
+from vitalgrid.llm.common import WORD_PATTERN, crc_remainder, documents, shared_folder
+from vitalgrid.llm.token_rollup import Rollup
+
+
+#: second version of the word tokenizer: runs of letters and digits, every other mark on its own
+MARKS_PATTERN = r"[A-Za-z0-9]+|[^A-Za-z0-9\x20\x09-\x0D]"
+
+
+def op1_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after four batches: all documents come in; copies of later documents go; a second tokenizer
+    version comes in; documents that repeat lines are counted again without the repetitions."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+
+    def changes(rows: DataFrame, op: str, tokenizer: str, n_tokens) -> DataFrame:
+        return rows.select("doc_id", F.lit(op).alias("op"), "source", "lang", F.lit(tokenizer).alias("tokenizer"),
+                           n_tokens.cast("long").alias("n_tokens"))
+
+    def words(part, pattern: str = WORD_PATTERN):
+        return F.regexp_count(part, F.lit(pattern))
+
+    docs = documents(spark, sf_dir)
+    rollup = Rollup.create(spark, shared_folder(spark, "token-rollup"))
+    rollup.commit("load", changes(docs, "insert", "words/1", words(text)))
+    copies = exact_dedup.exact_groups(docs).where("not kept").select("doc_id").withColumns(
+        {"source": F.lit(None).cast("string"), "lang": F.lit(None).cast("string")})
+    rollup.commit("copies", changes(copies, "delete", "words/1", F.lit(0)))
+    counted = rollup.documents().where("tokenizer = 'words/1'").select(
+        F.col("doc_id").alias("_id"), F.col("n_tokens").alias("_n_tokens"))
+    left = docs.join(counted, docs["doc_id"].eqNullSafe(F.col("_id")))
+    rollup.commit("words/2", changes(left, "insert", "words/2", words(text, MARKS_PATTERN)))
+    once = F.array_join(F.array_distinct(F.split(text, "\n", -1)), "\n")
+    rollup.commit("lines", changes(left, "revise", "words/1", words(once)))
+    return rollup.totals()
 
 
 def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,5 +94,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_order_minhash, op3_quality, op4_near_dedup, op5_token_output, op6_language,
+        op1_token_rollup, op2_order_minhash, op3_quality, op4_near_dedup, op5_token_output, op6_language,
         op7_hmm_scores, op8_exact_dedup, op9_mixing, op10_packing)}
