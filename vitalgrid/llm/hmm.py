@@ -28,6 +28,8 @@ ROUNDS = 4
 CLASSES = 256
 #: a word is a symbol if it makes up one in so many training tokens: at most as many symbols
 SYMBOL_SHARE = 200_000
+#: and occurs so often in training; rarer words teach their classes how likely rare words are
+SYMBOL_COUNT = 10
 #: a word's count is handed to all tasks if it makes up one in so many tokens: at most as many words
 LISTED_SHARE = 2_000_000
 #: steps of a piece, and steps between two scalings
@@ -131,7 +133,7 @@ def describe_words(counts: DataFrame) -> Words:
     total = counts.agg(F.sum("n_train").alias("t"), F.sum("n_all").alias("a"),
                        F.count_if(F.col("n_train") > 0).alias("v")).first()
     tokens, everywhere = total["t"] or 0, total["a"] or 0
-    is_symbol = (F.col("n_train") > 0) & (F.col("n_train") * SYMBOL_SHARE >= F.lit(tokens))
+    is_symbol = (F.col("n_train") >= SYMBOL_COUNT) & (F.col("n_train") * SYMBOL_SHARE >= F.lit(tokens))
     symbols = counts.where(is_symbol).select("word", "n_train").toArrow().sort_by("word")
     listed = counts.where(F.col("n_all") * LISTED_SHARE >= F.lit(everywhere)).select(
         "word", "n_train").toArrow().sort_by("word")
