@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 from vitalgrid.llm import binary_output as bits
 from vitalgrid.llm import hmm, language, near_dedup, order_minhash, packing, quality, tokens
-from vitalgrid.llm.common import bucket_of, range_points, shared_folder, ship_package
+from vitalgrid.llm.common import in_ranges, range_points, shared_folder, ship_package
 from vitalgrid.llm.components import components
 from vitalgrid.llm.mixing import source_targets
 from vitalgrid.llm.token_rollup import Rollup
@@ -86,9 +86,10 @@ def test_shard_random_access():
 # ---- ranges, components, targets, rollups ------------------------------------------------------
 
 def test_ranges(spark):
+    ship_package(spark)
     rows = spark.createDataFrame([(i * 37 % 1000,) for i in range(1000)] + [(None,)], "k long")
     points = range_points(rows, "k", 7)
-    found = {r["k"]: r["b"] for r in rows.select("k", bucket_of(rows["k"], points).alias("b")).collect()}
+    found = {r["k"]: r["bucket"] for r in in_ranges(rows, "k", points).collect()}
     assert found[None] == 0
     assert all(b == sum(p < k for p in points) for k, b in found.items() if k is not None)
     assert range_points(rows.where("false"), "k", 7) == []

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import bucket_of, range_points, shuffle_tasks, stored
+from vitalgrid.llm.common import in_ranges, range_points, shuffle_tasks, stored
 from vitalgrid.llm.tokens import default_vocabulary, text_groups, word_tokenizer
 
 MAGIC = b"VGTOK1"
@@ -174,10 +174,8 @@ def write_tokens(
     """
     vocabulary = vocabulary or default_vocabulary()
     points = range_points(docs, id_col, 2 * shuffle_tasks(docs.sparkSession))
-    ordered = docs.select(
-        bucket_of(F.col(id_col), points).alias("bucket"), F.col(id_col).cast("long").alias("doc_id"),
-        F.col(text_col).cast("string").alias("text"),
-    ).repartitionById(len(points) + 1, "bucket").sortWithinPartitions("bucket", "doc_id", "text")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    ordered = in_ranges(rows, "doc_id", points).select("bucket", "doc_id", "text").repartitionById(len(points) + 1, "bucket").sortWithinPartitions("bucket", "doc_id", "text")
     manifest = stored(ordered.mapInArrow(
         lambda batches: _write_shards(batches, folder, vocabulary, shard_ids), MANIFEST), "token-manifest")
     # ids before each bucket: one number for each bucket, and these are some to a task slot

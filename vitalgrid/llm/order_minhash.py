@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import bucket_of, range_points, shuffle_tasks
+from vitalgrid.llm.common import in_ranges, range_points, shuffle_tasks
 from vitalgrid.llm.near_dedup import mix64
 
 K = 8
@@ -173,17 +173,16 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     points = range_points(rows, "doc_id", 2 * shuffle_tasks(docs.sparkSession))
-    rows = rows.withColumns({
-        "bucket": bucket_of(F.col("doc_id"), points), "tie": F.xxhash64("text")})
+    rows = rows.withColumn("tie", F.xxhash64("text"))
     # the first row of each range: one for each range
-    heads = {r["bucket"]: r["head"] for r in rows.groupBy("bucket").agg(
+    heads = {r["bucket"]: r["head"] for r in in_ranges(rows.select("doc_id", "tie"), "doc_id", points).groupBy("bucket").agg(
         F.max(F.struct("doc_id", "tie")).alias("head")).collect()}
     filled = sorted(heads)
     to = {b: filled[(i + 1) % len(filled)] for i, b in enumerate(filled)}
     listed = docs.sparkSession.createDataFrame(
         [(b, heads[b]["doc_id"], heads[b]["tie"], to[b]) for b in filled],
         f"head_bucket int, head_id {dict(rows.dtypes)['doc_id']}, head_tie long, guest_of int")
-    marked = rows.join(F.broadcast(listed), F.col("bucket") == F.col("head_bucket"), "left")
+    marked = in_ranges(rows, "doc_id", points).join(F.broadcast(listed), F.col("bucket") == F.col("head_bucket"), "left")
     is_head = F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("tie") == F.col("head_tie"))
     own = F.struct(F.col("bucket").alias("to"), F.lit(False).alias("guest"))
     guest = F.struct(F.col("guest_of").alias("to"), F.lit(True).alias("guest"))
