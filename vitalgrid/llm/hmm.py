@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalgrid.llm.common import crc_remainder, stored
-from vitalgrid.llm.tokens import Numbers
+from vitalgrid.llm.tokens import Numbers, text_slices
 
 STATES = 4
 ROUNDS = 4
@@ -36,7 +36,7 @@ LISTED_SHARE = 2_000_000
 PIECE, SCALED = 32, 8
 #: tokens computed side by side
 GROUP_TOKENS = 300_000
-REMEMBERED_WORDS = 800_000
+REMEMBERED_WORDS = 500_000
 #: pseudo-counts: of the unigram distribution in each state, of each transition
 PRIOR_EMISSIONS, PRIOR_TRANSITIONS = 500.0, 1.0
 SUMS = "symbol int, " + ", ".join(f"c{s} double" for s in range(STATES))
@@ -83,7 +83,7 @@ class Vocabulary:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     vocabulary = Vocabulary()
-    for batch in batches:
+    for batch in text_slices(batches, "text"):
         held = np.array(batch.column(1).to_pylist(), bool)
         at, lengths = vocabulary.tokens(batch.column(0).to_pylist())
         size = len(vocabulary.ids)
@@ -178,7 +178,7 @@ def _encode(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[pa.Reco
                 np.where(decided & ~is_symbol, np.log10((count + 0.5) / totals[kind]), 0.0),
                 ~decided)
 
-    for batch in batches:
+    for batch in text_slices(batches, "text"):
         at, lengths = vocabulary.tokens(batch.column(2).to_pylist())
         symbol, known, base, inside, rare = learn(vocabulary.ids)
         text = np.repeat(np.arange(len(lengths)), lengths)

@@ -7,6 +7,7 @@ from functools import lru_cache
 from itertools import islice
 
 import numpy as np
+import pyarrow.compute as pc
 
 #: id appended to each document
 END_ID = 1
@@ -167,3 +168,16 @@ def text_groups(texts: list, most_chars: int = 4_000_000):
         held += n
     if first < len(texts):
         yield slice(first, len(texts))
+
+
+def text_slices(batches, column: str, most_bytes: int = 4_000_000):
+    """The rows of Arrow batches in slices that hold about so many bytes of text, or one longer text."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes)
+        first = 0
+        while first < batch.num_rows:
+            done = ends[first - 1] if first else 0
+            upto = max(first + 1, int(np.searchsorted(ends, done + most_bytes, side="right")))
+            yield batch.slice(first, upto - first)
+            first = upto
