@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -20,10 +19,12 @@ from oracle import oracle_sql as _oracle_sql  # noqa: E402
 from vitalgrid import bindings as b  # noqa: E402
 from vitalgrid.functions import clean, codes, display  # noqa: E402
 from vitalgrid.functions.json import inline_json  # noqa: E402
+from vitalgrid.functions.names import short_names, unique_name_column  # noqa: E402
 from vitalgrid.operators import daily, dedup, load, timeline  # noqa: E402
 from vitalgrid.plans import ingest, profile, queries as q  # noqa: E402
 from vitalgrid.plans.metrics import build_daily_metrics, daily_frame  # noqa: E402
 from vitalgrid.sources import export, tables as stored  # noqa: E402
+from vitalgrid.sources.blobs import attach_blobs  # noqa: E402
 
 try:  # the corpus operators are an add-on: without them everything else still works
     import corpus_pipeline
@@ -98,21 +99,95 @@ def summary_components(spark, sf):
     return b.rounded(q.summary(_metrics(spark, sf)).select("user_id", "as_of", "readiness", "components.*"))
 
 
-def workouts(spark, sf):
+def summary_cards(spark, sf):
+    """The KPIs of the summary in their order, over all days."""
+    cards = q.summary(_metrics(spark, sf), "all").select("user_id", F.posexplode("kpis").alias("pos", "k"))
+    return b.rounded(cards.select("user_id", "pos", "k.key", "k.label", "k.unit", "k.better", "k.value", "k.delta"))
+
+
+def summary_spark(spark, sf):
+    """The points of each KPI's sparkline, oldest first."""
+    return q.summary_kpis(_metrics(spark, sf)).select("user_id", "key", F.posexplode("spark").alias("pos", "v"))
+
+
+def _workouts(spark, sf, *range_name):
     listed = q.workouts(b.table(spark, sf, "exercise"),
-                        daily.daily_resting_hr(b.table(spark, sf, "heart_rate")), "7d")
+                        daily.daily_resting_hr(b.table(spark, sf, "heart_rate")), *range_name)
     whole = {c: F.col(c).cast("long") for c in ("mean_hr", "max_hr")}
-    return listed.drop("start_time").withColumns(whole)
+    return listed.withColumns(whole).withColumn(
+        "start_time", F.date_format("start_time", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+def workouts(spark, sf):
+    return _workouts(spark, sf)
+
+
+def workouts_week(spark, sf):
+    return _workouts(spark, sf, "7d")
+
+
+def workout_spans(spark, sf):
+    """Persons without any duration: minutes from start to end. The heart rate is under its other name."""
+    rows = b.table(spark, sf, "exercise").selectExpr(
+        "user_id", "start_time", "start_time + make_dt_interval(0, 0, 0, duration / 1000) as end_time",
+        "if(user_id % 2 = 0, duration, null) as duration", "mean_hr as mean_heart_rate")
+    medians = load.resting_median(daily.daily_resting_hr(b.table(spark, sf, "heart_rate")))
+    return b.rounded(load.daily_load(rows, medians))
+
+
+def load_outside_days(spark, sf):
+    """Workouts on days before and after all other records add no day."""
+    tables = {n: b.table(spark, sf, n) for n in ("heart_rate", "exercise")}
+    inner = tables["heart_rate"].where("day(start_time) between 5 and 20")
+    dense = daily_frame({"heart_rate": inner, "exercise": tables["exercise"]})
+    return b.rounded(dense.select("user_id", "day", F.coalesce("load", F.lit(0.0)).alias("load")))
+
+
+def sleep_without_scores(spark, sf):
+    """Sleep score from minutes for persons that have no score at all."""
+    tables = b.tables(spark, sf)
+    tables["sleep"] = tables["sleep"].withColumn("score", F.when(F.col("user_id") % 2 == 0, F.col("score")))
+    return b.rounded(build_daily_metrics(tables).select("user_id", "day", "sleep_minutes", "sleep_score", "sleep_score_c"))
+
+
+def time_choice(spark, sf):
+    """Persons with two time columns use the preferred one for all rows."""
+    return b.rounded(daily.daily_stress(b.events(spark, sf).where("event_type = 'click'").selectExpr(
+        "user_id", "if(user_id % 2 = 0 and event_id % 3 = 0, ts, null) as start_time",
+        "ts + interval 1 day as create_time", "double(event_id % 101) as score")))
+
+
+def column_names(spark, sf):
+    """Headers of any number of files: short names, repeats told apart."""
+    header = F.split(F.expr("""case event_id % 3
+        when 0 then concat('a.b.start_time,a.time,c.d.Value,x.value,p', event_id % 50, '.id, ,')
+        when 1 then 'stage,Stage, a.stage ,user_id,export_ts,STAGE' else 'time,,value,z' end"""), ",")
+    names = unique_name_column(short_names(header))
+    return b.events(spark, sf).select("event_id", F.posexplode(names).alias("pos", "name"))
+
+
+def missing_table(spark, sf):
+    """A table that is not stored reads as an empty one of the given schema."""
+    absent = stored.read_table(spark, f"{sf}/nothing", "exercise", "user_id long, start_time timestamp_ntz")
+    seen = b.events(spark, sf).groupBy("user_id").agg(F.count("*").alias("n_events"))
+    return seen.join(absent.groupBy("user_id").agg(F.count("*").alias("n")), "user_id", "left").select(
+        "user_id", "n_events", F.coalesce("n", F.lit(0)).alias("n_workouts"))
 
 
 def correlations(spark, sf):
     return b.rounded(q.correlation_matrix(_metrics(spark, sf), "90d", digits=None))
 
 
+def correlations_shown(spark, sf):
+    return q.correlation_matrix(_metrics(spark, sf), "all")
+
+
 def goals(spark, sf):
-    # display rounding is left out of the comparison: engines differ in the last digit of a mean
-    return b.rounded(q.goal_values(_metrics(spark, sf)).select(
-        "user_id", "key", "current", "target", "progress"))
+    return b.rounded(q.goal_values(_metrics(spark, sf)))
+
+
+def goals_shown(spark, sf):
+    return q.goals(_metrics(spark, sf))
 
 
 def dashboard_bands(spark, sf):
@@ -211,59 +286,77 @@ def json_decode(spark, sf):
 
 
 def table_listing(spark, sf):
-    return stored.table_listing(b.tables(spark, sf)).drop("columns")
+    return stored.table_listing(b.tables(spark, sf)).withColumn("columns", F.array_join("columns", ","))
 
 
 def profile_counts(spark, sf):
-    return profile.profile(b.tables(spark, sf)).drop("samples")
+    listed = profile.profile(b.tables(spark, sf))
+    return listed.withColumns({c: F.array_join(c, "|") for c in ("samples", "times")})
+
 
+def blob_lookup(spark, sf):
+    """Cells that name files: candidates in their order, bad JSON, missing files, inline JSON."""
+    rows = b.events(spark, sf).selectExpr(
+        "user_id", "event_id", "concat('/e/', user_id) as export_dir", "'f.csv' as file_name", "event_id as row_no",
+        "'t' as datatype_id",
+        """case event_id % 6 when 0 then concat('b', user_id) when 1 then concat('b', user_id, '.json')
+            when 2 then concat('r', user_id) when 3 then concat('bad', user_id) when 4 then 'absent'
+            else props end as cell""")
+    texts = (("concat('t/b', user_id, '.json')", """concat('{"k": 1, "u": ', user_id, '}')"""),
+             ("concat('t/b', user_id)", """'{"k": 2}'"""), ("concat('r', user_id)", """'{"k": 3}'"""),
+             ("concat('t/bad', user_id, '.json')", "'[{'"), ("concat('bad', user_id)", """'{"never": 1}'"""))
+    files = F.array(*[F.struct(F.expr(n).alias("name"), F.expr(t).alias("text")) for n, t in texts])
+    blobs = b.events(spark, sf).select("user_id").distinct().select("user_id", F.explode(files).alias("f")).select(
+        F.concat(F.lit("/e/"), "user_id", F.lit("/jsons/"), "f.name").alias("path"),
+        F.col("f.text").cast("binary").alias("content"))
+    return attach_blobs(rows, "cell", blobs).select("event_id", "cell_json")
 
-def _ingested(spark: SparkSession, sf: str):
-    """Write the events as export folders, stage them, and hand back what ingest works on."""
-    if spark.conf.get("spark.checkpoint.dir", None):
-        folder = ingest.scratch_folder(spark, "")
-    elif spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="vitalgrid-")
-    else:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    b.write_export(spark, sf, f"{folder}/export")
-    cells = export.read_export_cells(spark, f"{folder}/export", files="*.txt")
-    staged = ingest.stage_rows(cells, f"{folder}/staged")
-    return staged, ingest.layouts_by_table(staged)
+
+def _described(spark: SparkSession, sf: str) -> DataFrame:
+    """What ingest works on, from the events as records of export files; nothing is written."""
+    return ingest.with_part(export.describe_rows(b.export_cells(spark, sf)))
 
 
 def _ingested_table(spark, sf, name):
-    staged, layouts = _ingested(spark, sf)
-    spec = ingest.spec_of_table([x.datatype_id for x in layouts[name]])
-    table = ingest.build_table(staged, layouts[name], spec, None)
+    described = _described(spark, sf)
+    columns = ingest.columns_by_table(described)[name]
+    table = ingest.build_table(described, columns, ingest.spec_of_table(list(columns)), None)
     return table.withColumn("user_id", F.col("user_id").cast("long"))
 
 
 def ingest_heart_rate(spark, sf):
-    """Export files to the typed table: quoted line breaks, corrections, inline JSON."""
+    """Records to the typed table: quoted line breaks, corrections, inline JSON."""
     return _ingested_table(spark, sf, "heart_rate").select(
         "user_id", F.date_format("start_time", "yyyy-MM-dd HH:mm:ss.SSS").alias("start_time"),
-        "bpm", "binning_data_json")
+        "bpm", "comment", "binning_data_json")
 
 
 def ingest_sleep_nights(spark, sf):
     """An unregistered table, all text with epoch times, aggregated per night."""
     nights = daily.nightly_sleep(_ingested_table(spark, sf, "sleep_combined"))
-    return b.rounded(nights.drop("sleep_midpoint"))
+    # whole milliseconds of an hour lie on the edge of rounding: both sides are moved off it
+    return b.rounded(nights.withColumn("sleep_midpoint", F.col("sleep_midpoint") + F.lit(1e-8)))
 
 
 def ingest_report(spark, sf):
-    staged, layouts = _ingested(spark, sf)
+    described = _described(spark, sf)
+    cut = ingest.wide_rows(described)
     report = None
-    for name, found in layouts.items():
-        spec = ingest.spec_of_table([x.datatype_id for x in found])
-        row = ingest.build_table(staged, found, spec, None).agg(
-            F.lit(name).alias("table_name"), F.count("*").alias("row_count"),
-            F.lit(0).cast("long").alias("wide_rows"))
-        cut = ingest.wide_rows(staged, found).select(F.lit(name), F.lit(0).cast("long"), "wide_rows")
-        report = row.unionAll(cut) if report is None else report.unionAll(row).unionAll(cut)
-    return report.groupBy("table_name").agg(
-        F.sum("row_count").alias("row_count"), F.sum("wide_rows").alias("wide_rows"))
+    for name, columns in ingest.columns_by_table(described).items():
+        ids = list(columns)
+        rows = ingest.build_table(described, columns, ingest.spec_of_table(ids), None).agg(
+            F.count("*").alias("row_count"))
+        wide = cut.where(F.col("datatype_id").isin(ids)).agg(
+            F.coalesce(F.sum("wide_rows"), F.lit(0)).alias("wide_rows"))
+        part = rows.join(wide).select(F.lit(name).alias("table_name"), "row_count", "wide_rows")
+        report = part if report is None else report.unionAll(part)
+    return report
+
+
+def ingest_persons(spark, sf):
+    """Persons and export times from the folder names, one row for each person and record type."""
+    described = _described(spark, sf).where("part = 'data'")
+    return described.groupBy("user_id", "export_ts", "datatype_id", "version").agg(F.count("*").alias("n_rows"))
 
 
 def queries() -> dict[str, Query]:
@@ -296,16 +389,28 @@ def queries() -> dict[str, Query]:
         "readiness_scores": lambda spark, sf: b.rounded(_metrics(spark, sf).select(
             "user_id", "day", "rhr_score", "sleep_score_c", "stress_score", "acwr_score", "readiness")),
         "summary_kpis": lambda spark, sf: b.rounded(q.summary_kpis(_metrics(spark, sf)).select(
-            "user_id", "as_of", "key", "value", "delta")),
+            "user_id", "as_of", "key", "label", "unit", "better", "value", "delta")),
         "summary_components": summary_components,
+        "summary_cards": summary_cards,
+        "summary_spark": summary_spark,
         "kpi_points": lambda spark, sf: b.rounded(
             q.kpi_points(_metrics(spark, sf)).select("user_id", "key", "pos", "day", "v")),
         "timeseries": over(q.timeseries, "30d"),
-        "metrics_tail": lambda spark, sf: q.last_days(_metrics(spark, sf), 7).drop("load", "acwr"),
+        "timeseries_all": over(q.timeseries, "all"),
+        "metrics_tail": lambda spark, sf: q.last_days(_metrics(spark, sf), 7),
         "workouts": workouts,
+        "workouts_week": workouts_week,
+        "workout_spans": workout_spans,
+        "load_outside_days": load_outside_days,
+        "sleep_without_scores": sleep_without_scores,
+        "time_choice": time_choice,
+        "column_names": column_names,
+        "missing_table": missing_table,
         "correlations": correlations,
         "sleep_next_day": lambda spark, sf: q.sleep_next_day(_metrics(spark, sf), "90d"),
+        "correlations_shown": correlations_shown,
         "goals": goals,
+        "goals_shown": goals_shown,
         "steps_streak": lambda spark, sf: q.steps_streak(_metrics(spark, sf)),
         "dashboard_bands": dashboard_bands,
         "kpi_direction": kpi_direction,
@@ -321,9 +426,11 @@ def queries() -> dict[str, Query]:
         "json_decode": json_decode,
         "table_listing": table_listing,
         "profile": profile_counts,
+        "blob_lookup": blob_lookup,
         "ingest_heart_rate": ingest_heart_rate,
         "ingest_sleep_nights": ingest_sleep_nights,
         "ingest_report": ingest_report,
+        "ingest_persons": ingest_persons,
     }
 
 

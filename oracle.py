@@ -5,6 +5,8 @@ Doubles are rounded to 6 digits on both sides, because engines add in different
 
 from __future__ import annotations
 
+from vitalgrid.params import GOALS, KPIS as KPI_ROWS
+
 DAY = "ts::date"
 WAKE_DAY = "(ts + interval 6 hour)::date"
 
@@ -153,9 +155,28 @@ def _long(table: str, columns, where: str = "true") -> str:
         f"select user_id, day, '{c}' as key, {c} as v from {table} where {where}" for c in columns)
 
 
+def _map(column: str, values: dict) -> str:
+    cases = " ".join(f"when '{k}' then '{v}'" for k, v in values.items())
+    return f"case {column} {cases} end"
+
+
+SPAN = "(day(ts) between 5 and 20)"
+CARDS = """select l.user_id, l.as_of, l.key, {texts}, round(l.value, 6) as value,
+            round(l.value - case when p.n >= 8 then p.at8 else p.oldest end, 6) as delta
+            from last_values l left join (
+              select user_id, key, max(pos) as n, max(v) filter (pos = 8) as at8,
+                arg_max(v, pos) as oldest from pts group by 1, 2) p
+              on l.user_id = p.user_id and l.key = p.key"""
+KPI_TEXTS = ", ".join(
+    f"{_map('l.key', {k[0]: k[i] for k in KPI_ROWS})} as {n}" for i, n in ((1, "label"), (2, "unit"), (3, "better")))
+
 JUNK_TIME = """case event_id % 8 when 3 then null when 4 then null when 5 then null
     when 6 then date_trunc('day', ts)::timestamp when 7 then null
     else date_trunc('millisecond', ts)::timestamp end"""
+# times as Spark casts them to text: without zeros at the end of the fraction
+TIME_CAST = "regexp_replace(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '[.]?0+$', '')"
+# durations of ten million and more are shown with an exponent by neither engine alike; ours are below
+DURATION_TEXT = "((1200 + event_id % 3000) * 1000)::double::varchar"
 TIME_TEXT = "'%Y-%m-%d %H:%M:%S.%g'"
 
 
@@ -170,6 +191,44 @@ def oracle_sql() -> dict[str, str]:
         "pts": f"""select *, row_number() over (partition by user_id, key order by day desc) as pos
             from ({_long('win', KPIS)}) where v is not null""",
     }
+    last_values = {"last_values": " union all ".join(
+        f"""select user_id, day as as_of, '{c}' as key, {c} as value
+            from (select *, max(day) over (partition by user_id) as newest from metrics)
+            where day = newest""" for c in KPIS)}
+    series = f"""select user_id, strftime(day, '%Y-%m-%d') as day,
+            {_r("readiness", "resting_hr", "rhr_baseline", "hr_avg", "sleep_minutes", "sleep_debt",
+                "sleep_score", "sleep_regularity")},
+            round(deep_pct / 100e0 * sleep_minutes / 60e0, 6) as deep_h,
+            round(rem_pct / 100e0 * sleep_minutes / 60e0, 6) as rem_h,
+            round(light_pct / 100e0 * sleep_minutes / 60e0, 6) as light_h,
+            round(awake_pct / 100e0 * sleep_minutes / 60e0, 6) as awake_h,
+            {_r("stress_avg", "spo2_min", "steps", "load", "load_acute", "load_chronic", "acwr",
+                "weight_ffill", "body_fat")} from """
+    workouts = """select user_id, strftime(ts, '%Y-%m-%d') as date, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as start_time,
+            case event_id % 8 when 0 then 'Chôdza' when 1 then 'Beh' when 2 then 'Bicykel'
+              when 3 then 'Túra' when 4 then 'Plávanie' when 5 then 'Posilňovňa'
+              else 'Tréning' end as type,
+            round_even(minutes * 10e0, 0) / 10e0 as duration_min,
+            round_even((1000 + event_id % 9000)::double / 1000e0 * 100e0, 0) / 100e0 as distance_km,
+            round_even(minutes / ((1000 + event_id % 9000)::double / 1000e0) * 100e0, 0) / 100e0
+              as pace_min_km,
+            (event_id % 700)::double as calorie,
+            (90 + event_id % 80)::bigint as mean_hr, (110 + event_id % 80)::bigint as max_hr,
+            round_even(trimp * 10e0, 0) / 10e0 as trimp
+            from (select *, max(ts) over (partition by user_id) as newest from ex)
+            where ts >= newest - interval """
+    goal_rows = """select user_id, key, cur,
+            case key when 'steps' then 10000e0 when 'sleep_minutes' then 480e0
+              when 'readiness' then 80e0 else 1e0 end as target,
+            case when cur is null then null when key = 'acwr'
+              then greatest(0e0, 1e0 - abs(cur - 1e0))
+              else least(1.5e0, cur / case key when 'steps' then 10000e0
+                when 'sleep_minutes' then 480e0 else 80e0 end) end as progress
+            from (""" + " union all ".join(
+                f"select user_id, '{c}' as key, avg({c}) as cur from win group by 1"
+                for c in ("steps", "sleep_minutes", "readiness", "acwr")) + ")"
+    goal_texts = ", ".join(
+        f"{_map('key', {g[0]: g[i] for g in GOALS})} as {n}" for i, n in ((1, "label"), (3, "unit")))
     return {
         "readiness_daily": _with("metrics", f"select user_id, day, {_r(*METRICS_COLUMNS)} from metrics"),
         "daily_resting_hr": _with("hr", f"select user_id, day, {_r('resting_hr', 'hr_avg')} from hr"),
@@ -204,60 +263,64 @@ def oracle_sql() -> dict[str, str]:
                 / (180e0 + user_id % 20 - rest_hr))) as f
                 from (select *, case when user_id % 2 = 0 then (50 + user_id % 10)::double
                       else hr_rest end as rest_hr from ex_rows)"""}),
-        "summary_kpis": _with("metrics", """select l.user_id, l.as_of, l.key, round(l.value, 6) as value,
-            round(l.value - case when p.n >= 8 then p.at8 else p.oldest end, 6) as delta
-            from last_values l left join (
-              select user_id, key, max(pos) as n, max(v) filter (pos = 8) as at8,
-                arg_max(v, pos) as oldest from pts group by 1, 2) p
-              on l.user_id = p.user_id and l.key = p.key""",
-            {**kpi_rank, "last_values": " union all ".join(
-                f"""select user_id, day as as_of, '{c}' as key, {c} as value
-                    from (select *, max(day) over (partition by user_id) as newest from metrics)
-                    where day = newest""" for c in KPIS)}),
+        "summary_kpis": _with("metrics", CARDS.format(texts=KPI_TEXTS), {**kpi_rank, **last_values}),
+        "summary_cards": _with("metrics", "select * exclude (as_of), "
+            + " ".join(["case key", *[f"when '{k}' then {i}" for i, k in enumerate(KPIS)], "end"]) + " as pos from ("
+            + CARDS.format(texts=KPI_TEXTS) + ")", {
+                "pts": kpi_rank["pts"].replace("from win", "from metrics"), **last_values}),
+        "summary_spark": _with("metrics", """select user_id, key, round_even(v * 100e0, 0) / 100e0 as v,
+            (row_number() over (partition by user_id, key order by day) - 1)::int as pos
+            from pts where pos <= 14""", kpi_rank),
         "kpi_points": _with("metrics", """select user_id, key, pos, day, round(v, 6) as v
             from pts where pos <= 14""", kpi_rank),
-        "timeseries": _with("metrics", f"""select user_id, strftime(day, '%Y-%m-%d') as day,
-            {_r("readiness", "resting_hr", "rhr_baseline", "hr_avg", "sleep_minutes", "sleep_debt",
-                "sleep_score", "sleep_regularity")},
-            round(deep_pct / 100e0 * sleep_minutes / 60e0, 6) as deep_h,
-            round(rem_pct / 100e0 * sleep_minutes / 60e0, 6) as rem_h,
-            round(light_pct / 100e0 * sleep_minutes / 60e0, 6) as light_h,
-            round(awake_pct / 100e0 * sleep_minutes / 60e0, 6) as awake_h,
-            {_r("stress_avg", "spo2_min", "steps", "load", "load_acute", "load_chronic", "acwr",
-                "weight_ffill", "body_fat")} from win""", _range(30)),
+        "timeseries": _with("metrics", series + "win", _range(30)),
+        "timeseries_all": _with("metrics", series + "metrics"),
         "metrics_tail": _with("metrics", f"""select user_id, day,
             {", ".join(f"round_even({c} * 10e0, 0) / 10e0 as {c}" for c in
-                       ("resting_hr", "sleep_minutes", "sleep_debt", "stress_avg", "readiness"))}
+                       ("resting_hr", "sleep_minutes", "sleep_debt", "stress_avg", "load", "acwr",
+                        "readiness"))}
             from win""", _range(7)),
-        "workouts": _with("ex", """select user_id, strftime(ts, '%Y-%m-%d') as date,
-            case event_id % 8 when 0 then 'Chôdza' when 1 then 'Beh' when 2 then 'Bicykel'
-              when 3 then 'Túra' when 4 then 'Plávanie' when 5 then 'Posilňovňa'
-              else 'Tréning' end as type,
-            round_even(minutes * 10e0, 0) / 10e0 as duration_min,
-            round_even((1000 + event_id % 9000)::double / 1000e0 * 100e0, 0) / 100e0 as distance_km,
-            round_even(minutes / ((1000 + event_id % 9000)::double / 1000e0) * 100e0, 0) / 100e0
-              as pace_min_km,
-            (event_id % 700)::double as calorie,
-            (90 + event_id % 80)::bigint as mean_hr, (110 + event_id % 80)::bigint as max_hr,
-            round_even(trimp * 10e0, 0) / 10e0 as trimp
-            from (select *, max(ts) over (partition by user_id) as newest from ex)
-            where ts >= newest - interval 6 day"""),
+        "workouts": _with("ex", workouts + "89 day"),
+        "workouts_week": _with("ex", workouts + "6 day"),
+        "workout_spans": _with("ld", f"select user_id, day, {_r('load')} from ld"),
+        "load_outside_days": "with " + ", ".join(f"{n} as ({q})" for n, q in {
+            "hr": CTES["hr"].replace("event_type = 'view'", f"event_type = 'view' and {SPAN}"),
+            **{n: CTES[n] for n in ("rest", "ex_rows", "ex_frac", "ex", "ld")},
+            "grid": """select user_id, unnest(generate_series(lo, hi, interval 1 day))::date as day
+                from (select user_id, min(day) as lo, max(day) as hi from hr group by 1)""",
+        }.items()) + """ select user_id, day, round(coalesce(load, 0e0), 6) as load
+            from grid left join ld using (user_id, day)""",
+        "sleep_without_scores": _with("base", f"""select user_id, day, {_r('sleep_minutes')},
+            case when user_id % 2 = 0 then sleep_score end as sleep_score,
+            round(case when user_id % 2 = 0 then case when sleep_score is not null then least(100e0, sleep_score) end
+              when sleep_minutes is not null then least(100e0, sleep_minutes / 480e0 * 100e0) end, 6)
+              as sleep_score_c from base"""),
+        "time_choice": """with c as (select *, user_id % 2 = 0 and event_id % 3 = 0 as starts
+              from events where event_type = 'click'),
+            p as (select *, bool_or(starts) over (partition by user_id) as has from c)
+            select user_id, case when has then ts::date else (ts + interval 1 day)::date end as day,
+              round(avg((event_id % 101)::double), 6) as stress_avg
+            from p where starts or not has group by 1, 2""",
+        "column_names": """select event_id, (generate_subscripts(names, 1) - 1)::int as pos, unnest(names) as name
+            from (select event_id, case event_id % 3
+              when 0 then ['start_time', 'a_time', 'Value', 'x_value', 'p' || (event_id % 50) || '_id']
+              when 1 then ['stage', 'Stage_2', 'stage_3', 'user_id_2', 'export_ts_2', 'STAGE_4']
+              else ['time', '', 'value', 'z'] end as names from events)""",
+        "missing_table": "select user_id, count(*) as n_events, 0::bigint as n_workouts from events group by 1",
         "correlations": _with("metrics", f"""select user_id, x, y,
             round(case when isnan(v) then null else v end, 6) as v from ({pairs})""", _range(90)),
         "sleep_next_day": _with("metrics", """select user_id, day,
             round_even(sleep_minutes / 60e0 * 100e0, 0) / 100e0 as sleep_h, nxt as next_readiness
             from (select *, lead(readiness) over (partition by user_id order by day) as nxt from win)
             where sleep_minutes is not null and nxt is not null""", _range(90)),
-        "goals": _with("metrics", """select user_id, key, round(cur, 6) as current,
-            case key when 'steps' then 10000e0 when 'sleep_minutes' then 480e0
-              when 'readiness' then 80e0 else 1e0 end as target,
-            round(case when cur is null then null when key = 'acwr'
-              then greatest(0e0, 1e0 - abs(cur - 1e0))
-              else least(1.5e0, cur / case key when 'steps' then 10000e0
-                when 'sleep_minutes' then 480e0 else 80e0 end) end, 6) as progress
-            from (""" + " union all ".join(
-                f"select user_id, '{c}' as key, avg({c}) as cur from win group by 1"
-                for c in ("steps", "sleep_minutes", "readiness", "acwr")) + ")", _range(7)),
+        "correlations_shown": _with("metrics", f"""select user_id, x, y,
+            round_even(case when isnan(v) then null else v end * 100e0, 0) / 100e0 + 0e0 as v
+            from ({pairs})""", {"win": "select * from metrics"}),
+        "goals": _with("metrics", f"""select user_id, key, {goal_texts}, round(cur, 6) as current, target,
+            round(progress, 6) as progress from ({goal_rows})""", _range(7)),
+        "goals_shown": _with("metrics", f"""select user_id, key, {goal_texts},
+            round_even(cur * 10e0, 0) / 10e0 as current, target,
+            round_even(progress * 100e0, 0) / 100e0 as progress from ({goal_rows})""", _range(7)),
         "steps_streak": _with("metrics", """select m.user_id,
             count(*) filter (missed is null or day > missed) as steps_streak
             from metrics m join (select user_id,
@@ -324,30 +387,53 @@ def oracle_sql() -> dict[str, str]:
         "json_decode": """select event_id, case when event_id % 5 = 1 then null when event_id % 5 = 2 then null
             else '{"k":' || json_extract_string(props, '$.k') || '}' end as json from events""",
         "table_listing": " union all ".join(
-            f"select '{t}' as table_name, count(*) as n_rows from events where {w}" for t, w in (
-                ("heart_rate", "event_type = 'view'"), ("stress", "event_type = 'click'"),
-                ("spo2", "event_type = 'signup'"), ("exercise", "event_type = 'purchase'"),
-                ("body_composition", "event_type = 'signup' and event_id % 3 = 0"),
-                ("sleep", "event_type = 'error'"), ("sleep_stage", "true"),
-                ("steps_daily", "event_type in ('view', 'click')"))),
+            f"select '{t}' as table_name, count(*) as n_rows, '{c}' as columns from events where {w}" for t, w, c in (
+                ("heart_rate", "event_type = 'view'", "user_id,start_time,bpm"),
+                ("stress", "event_type = 'click'", "user_id,start_time,score"),
+                ("spo2", "event_type = 'signup'", "user_id,start_time,spo2"),
+                ("exercise", "event_type = 'purchase'",
+                 "user_id,start_time,duration,mean_hr,max_hr,distance,calorie,exercise_type"),
+                ("body_composition", "event_type = 'signup' and event_id % 3 = 0",
+                 "user_id,start_time,weight,body_fat"),
+                ("sleep", "event_type = 'error'", "user_id,start_time,end_time,score,efficiency"),
+                ("sleep_stage", "true", "user_id,start_time,end_time,stage"),
+                ("steps_daily", "event_type in ('view', 'click')", "user_id,day_time,steps,active_time"))),
         "profile": " union all ".join(
             f"""select '{t}' as table_name, '{c}' as column_name, count(*) as n_rows,
-                count(*) as n_filled, {'count(*)' if c == 'start_time' else 'null::bigint'} as n_times
+                count(*) as n_filled, {'count(*)' if c == 'start_time' else 'null::bigint'} as n_times,
+                (select string_agg(v, '|' order by event_id) from (
+                   select event_id, {x} as v from events where {w} order by event_id limit 3)) as samples,
+                {f"(select string_agg(v, '|' order by event_id) from (select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as v from events where {w} order by event_id limit 2))" if c == 'start_time' else "''"} as times
                 from events where {w}""" for t, w, cs in (
-                ("sleep_stage", "true", ("start_time", "stage")),
-                ("heart_rate", "event_type = 'view'", ("start_time", "bpm")),
-                ("exercise", "event_type = 'purchase'",
-                 ("start_time", "duration", "mean_hr", "calorie")),
-                ("stress", "event_type = 'click'", ("start_time", "score"))) for c in cs),
+                ("sleep_stage", "true", {"start_time": TIME_CAST, "stage": "(1 + event_id % 5)::double::varchar"}),
+                ("heart_rate", "event_type = 'view'", {
+                    "start_time": TIME_CAST, "bpm": "(48 + event_id % 90)::double::varchar"}),
+                ("exercise", "event_type = 'purchase'", {
+                    "start_time": TIME_CAST, "duration": DURATION_TEXT,
+                    "mean_hr": "(90 + event_id % 80)::double::varchar", "calorie": "(event_id % 700)::double::varchar"}),
+                ("stress", "event_type = 'click'", {
+                    "start_time": TIME_CAST, "score": "(event_id % 101)::double::varchar"})) for c, x in cs.items()),
+        "blob_lookup": """select event_id, case event_id % 6
+            when 0 then '{"k":1,"u":' || user_id || '}' when 1 then '{"k":1,"u":' || user_id || '}'
+            when 2 then '{"k":3}' when 5 then '{"k":' || json_extract_string(props, '$.k') || '}' end as cell_json
+            from events""",
+        "ingest_persons": f"""select user_id::varchar as user_id, '20240131120000' as export_ts,
+            'com.samsung.shealth.tracker.heart_rate' as datatype_id, '7' as version,
+            (count(*) + count(*) filter (event_id % 10 = 0))::bigint as n_rows
+            from events where event_type = 'view' group by 1
+            union all select user_id::varchar, '20240131120000', 'com.samsung.shealth.sleep_combined', '1', count(*)
+            from events where event_type = 'error' group by 1""",
         "ingest_heart_rate": f"""select user_id, strftime(date_trunc('millisecond', ts), {TIME_TEXT}) as start_time,
             arg_max((48 + event_id % 90)::double, event_id) as bpm,
+            'a, ' || chr(10) || ' b' as comment,
             arg_max('{{"k":' || json_extract_string(props, '$.k') || '}}', event_id) as binning_data_json
             from events where event_type = 'view' group by 1, 2""",
         "ingest_sleep_nights": f"""select user_id, {WAKE_DAY.replace('ts', "date_trunc('millisecond', ts)")} as day,
             sum((360 + event_id % 141)::double) as sleep_minutes,
             round(avg(case when event_id % 7 > 0 then (70 + event_id % 27)::double end), 6)
               as sleep_efficiency,
-            max((55 + event_id % 38)::double) as sleep_score
+            max((55 + event_id % 38)::double) as sleep_score,
+            round(avg((((epoch_us(ts) // 1000 % 86400000) / 3600000e0 - 18e0) % 24e0 + 24e0) % 24e0) + 1e-8, 6) as sleep_midpoint
             from events where event_type = 'error' group by 1, 2""",
         "ingest_report": """select 'heart_rate' as table_name, count(distinct
               (user_id, date_trunc('millisecond', ts))) as row_count,

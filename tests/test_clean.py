@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vitalgrid.functions import clean, codes, display
-from vitalgrid.functions.names import header_names, short_name, table_name, unique_names
+from vitalgrid.functions.names import short_names, table_name, unique_name_column
 
 
 def apply(spark, values, make, kind="string"):
@@ -102,13 +102,12 @@ def test_bands(spark):
         assert got == expected
 
 
-def test_names():
-    assert short_name("com.samsung.health.heart_rate.start_time") == "start_time"
-    assert short_name("com.samsung.health.x.time") == "x_time"
-    assert short_name("time") == "time"
-    assert unique_names(["a", "b", "a", "A", "a"]) == ["a", "b", "a_2", "A_3", "a_4"]
-    assert unique_names(["user_id"], ["user_id"]) == ["user_id_2"]
-    assert header_names([" a ", None, "b", "", None]) == ["a", "", "b"]
+def test_names(spark):
+    headers = [["com.samsung.health.heart_rate.start_time", "com.samsung.health.x.time", "time"],
+               [" a ", None, "b", "", None], ["a", "b", "a", "A", "a", "user_id"], [], None]
+    found = apply(spark, headers, lambda h: unique_name_column(short_names(h)), "array<string>")
+    assert found == [["start_time", "x_time", "time"], ["a", "", "b"],
+                     ["a", "b", "a_2", "A_3", "a_4", "user_id_2"], [], None]
     assert table_name("com.samsung.shealth.sleep_combined") == "sleep_combined"
     assert table_name("com.samsung.health.Weight-1") == "weight_1"
-    assert table_name("com.samsung.health.") == "unknown"
+    assert table_name("com.samsung.health.") == table_name(None) == "unknown"

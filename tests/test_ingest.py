@@ -13,15 +13,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from vitalgrid import build_daily_metrics, ingest
-from vitalgrid.functions.names import ID_PREFIXES
 from vitalgrid.operators.dedup import keep_last
+from vitalgrid.params import MetricParams
 from vitalgrid.plans import ingest as plan
 from vitalgrid.plans.metrics import load_metrics
 from vitalgrid.plans.profile import profile
 from vitalgrid.sources import export
 from vitalgrid.sources.tables import read_table, read_tables, table_listing
 
-TRACKED, PLAIN = ID_PREFIXES
+TRACKED, PLAIN = "com.samsung.shealth.", "com.samsung.health."
 HEART_RATE = f"{TRACKED}tracker.heart_rate"
 STRESS = f"{TRACKED}stress"
 
@@ -127,11 +127,19 @@ def test_header_only_file_gives_an_empty_table(spark, tmp_path, root):
     assert found["stress"].count() == 0 and "score" in found["stress"].columns
 
 
-def test_header_as_wide_as_the_scan_fails(spark, tmp_path, root):
-    csv(root, STRESS, ["start_time", "score", "a", "b"], ["2024-01-01,1,2,3"])
-    with pytest.raises(Exception, match="header wider than the scan"):
-        ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), max_columns=4)
-    assert ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), max_columns=5).count() == 1
+def test_any_width(spark, tmp_path, root, rows):
+    """300 columns in one file, and a filled cell far beyond the header of another."""
+    names = ["start_time", "score", *[f"c{i}" for i in range(298)]]
+    csv(root, STRESS, names, ["2024-01-01,7," + ",".join(map(str, range(298))) + ","], name="wide")
+    csv(root, f"{TRACKED}sleep_combined", ["start_time"], ["2024-01-01" + "," * 400 + "x", "2024-01-02" + "," * 400])
+    report = rows(ingest(spark, str(tmp_path / "in"), str(tmp_path / "out")), "table_name")
+    assert [(r["table_name"], r["row_count"], r["wide_rows"]) for r in report] == [("sleep_combined", 2, 1), ("stress", 1, 0)]
+    found = rows(read_table(spark, str(tmp_path / "out"), "stress"))[0]
+    assert found["score"] == 7.0 and found["c297"] == "297"
+    zip_of(root, tmp_path / "zips" / "e.zip")
+    again = rows(ingest(spark, str(tmp_path / "zips"), str(tmp_path / "z"), archives=True), "table_name")
+    assert again == report
+    assert rows(read_table(spark, str(tmp_path / "z"), "stress"))[0] == found
 
 
 def test_missing_source(spark, tmp_path):
@@ -250,8 +258,9 @@ def test_listing_and_profile(spark, tmp_path, rows):
         {"table_name": "stress", "n_rows": 4, "columns": ["user_id", "start_time", "score"]}]
     time, score = sorted(rows(profile({"stress": stress})), key=lambda r: r["column_name"], reverse=True)
     assert time == {"table_name": "stress", "column_name": "start_time", "n_rows": 4, "n_filled": 3, "n_times": 2,
-                    "samples": ["2024-01-01", "2024-01-02", "junk"]}
-    assert score["n_times"] is None and score["samples"] == ["5", "7", "x" * 80 + "…"]
+                    "samples": ["2024-01-01", "junk", "2024-01-02"],
+                    "times": ["2024-01-01 00:00:00", "2024-01-02 00:00:00"]}
+    assert score["n_times"] is None and score["times"] == [] and score["samples"] == ["5", "7", "x" * 80 + "…"]
 
 
 def test_keep_last_of_a_dominant_key(spark):
@@ -262,10 +271,87 @@ def test_keep_last_of_a_dominant_key(spark):
     assert kept.columns == ["k", "v", "t"]
 
 
-def test_layout_limit(spark, tmp_path, root, monkeypatch):
-    for i in range(3):
-        csv(root, STRESS, [f"c{i}"], ["1"], name=f"f{i}")
-    monkeypatch.setattr(plan, "MAX_LAYOUTS", 2)
-    staged = plan.stage_rows(export.read_export_cells(spark, str(tmp_path / "in")), str(tmp_path / "staged"))
-    with pytest.raises(ValueError, match="distinct headers"):
-        plan.layouts_of(staged)
+def test_any_number_of_layouts(spark):
+    """20,001 headers of one type, each with its columns in another order."""
+    cells = spark.range(20001).select(
+        F.concat(F.lit("/in/"), "id").alias("export_dir"), F.col("id").cast("string").alias("below"),
+        F.lit("f.csv").alias("file_name"), F.posexplode(F.array(
+            F.array(F.lit(STRESS), F.lit("1")),
+            F.when(F.col("id") % 2 == 0, F.array(F.lit("x.start_time"), F.lit("x.score"), F.concat(F.lit("x.c"), "id")))
+            .otherwise(F.array(F.concat(F.lit("x.c"), F.col("id") % 7), F.lit("x.score"), F.lit("x.start_time"))),
+            F.when(F.col("id") % 2 == 0, F.array(F.lit("2024-01-01"), F.lit("5"), F.lit("z")))
+            .otherwise(F.array(F.lit("z"), F.lit("5"), F.lit("2024-01-01"))))).alias("position", "cells"))
+    described = plan.with_part(export.describe_rows(cells.withColumn("position", F.col("position").cast("long"))))
+    found = plan.columns_by_table(described)["stress"][STRESS]
+    assert len(found) == 2 + 10001 + 3 and set(found[:3]) == {"c1", "c3", "c5"}
+    table = plan.build_table(described, {STRESS: ["start_time", "score", "c3"]}, plan.spec_of(STRESS), None)
+    assert table.where("score = 5 and start_time = timestamp_ntz'2024-01-01'").count() == 20001
+    assert table.where("c3 = 'z'").count() == sum(i % 7 == 3 for i in range(1, 20001, 2))
+
+
+def test_blank_id_is_unknown(spark, tmp_path, root, rows):
+    csv(root, STRESS, ["start_time", "score"], ["2024-01-01,1"])
+    csv(root, "", ["a"], ["1"], name="blank")
+    found = tables(spark, tmp_path)
+    assert sorted(found) == ["stress", "unknown"] and found["unknown"].first()["a"] == "1"
+
+
+def test_persons_are_not_merged(spark, tmp_path, rows):
+    """A dated folder above the root, a root below a blob folder, nested exports, an archive."""
+    columns = ["start_time", "score"]
+    top = tmp_path / "backup_all_20240101" / "jsons" / "exports"
+    for i, person in enumerate(("anna", "bob", "team/cleo", "team/dan", "x_eve_20240101000000/data/part")):
+        csv(top / person, STRESS, columns, [f"2024-01-01,{i}"])
+    csv(top / "anna" / "jsons" / STRESS, STRESS, columns, ["2024-01-01,99"], name="no_table")
+    assert [(r["user_id"], r["export_ts"], r["score"]) for r in rows(ingested(spark, top, tmp_path / "a"), "user_id")] == [
+        ("anna", None, 0.0), ("bob", None, 1.0), ("eve", "20240101000000", 4.0), ("team/cleo", None, 2.0), ("team/dan", None, 3.0)]
+    one = tmp_path / "device_fay_20240101000000"
+    csv(one, STRESS, columns, ["2024-01-01,6"])
+    assert [r["user_id"] for r in rows(ingested(spark, one, tmp_path / "b"))] == ["fay"]
+    zip_of(one, tmp_path / "zips" / "old_all_20200101" / "gus.zip")
+    assert [r["user_id"] for r in rows(ingested(spark, tmp_path / "zips", tmp_path / "c", archives=True))] == ["fay"]
+    with zipfile.ZipFile(tmp_path / "zips" / "hal.zip", "w") as archive:
+        archive.write(one / f"{STRESS}.csv", f"{STRESS}.csv")
+    assert [r["user_id"] for r in rows(ingested(spark, tmp_path / "zips", tmp_path / "d", archives=True), "user_id")] == [
+        "fay", "hal"]
+
+
+def ingested(spark, root, out, **options):
+    ingest(spark, str(root), str(out), **options).collect()
+    return read_table(spark, str(out), "stress")
+
+
+def test_failed_ingest_leaves_no_stage(spark, tmp_path, root, monkeypatch):
+    csv(root, STRESS, ["start_time", "score"], ["2024-01-01,1"])
+    before = set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/vitalgrid-*"))
+
+    def fail(*args):
+        raise RuntimeError("no table today")
+
+    monkeypatch.setattr(plan, "build_table", fail)
+    with pytest.raises(RuntimeError):
+        ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/vitalgrid-*")) == before
+
+
+def test_metrics_keep_their_profiles(spark, tmp_path, root):
+    out = str(tmp_path / "out")
+    csv(root, f"{TRACKED}sleep", ["start_time", "end_time", "sleep_duration"], ["2024-01-01 23:00,2024-01-02 06:00,420"])
+    tables(spark, tmp_path)
+    profiles = spark.createDataFrame([("anna", None, None, None, 600)],
+                                     "user_id string, sex string, hr_max double, hr_rest double, target_sleep_min int")
+    assert load_metrics(spark, out).first()["sleep_debt"] == 60.0
+    assert load_metrics(spark, out, profiles=profiles).first()["sleep_debt"] == 180.0
+    tables(spark, tmp_path)  # read again: the profiles stay
+    assert load_metrics(spark, out).first()["sleep_debt"] == 180.0
+    assert load_metrics(spark, out, MetricParams(sleep_debt_window=1, target_sleep_min=500)).first()["sleep_debt"] == 180.0
+    other = profiles.withColumn("target_sleep_min", F.lit(430))
+    assert load_metrics(spark, out, profiles=other).first()["sleep_debt"] == 10.0
+    assert "_metrics" not in read_tables(spark, out)
+
+
+def test_cells_of_records(spark, rows):
+    records = ['a,b', '"x, ""y""\nz",2,,', ',,', '"",1', 'open "quote",2', '" kept ",', 'one']
+    frame = spark.createDataFrame([(i, r) for i, r in enumerate(records)], "i int, r string")
+    found = [r["c"] for r in rows(frame.select("i", export.record_cells(F.col("r")).alias("c")), "i")]
+    assert found == [["a", "b"], ['x, "y"\nz', "2"], [], [None, "1"], ['open "quote"', "2"], [" kept "], ["one"]]

@@ -260,7 +260,7 @@ def test_goals_and_streak(spark, metrics, rows):
 
 
 def test_workouts(spark, metrics):
-    listed = q.workouts(person(spark, 1)["exercise"], metrics, "7d").collect()
+    listed = sorted(q.workouts(person(spark, 1)["exercise"], metrics, "7d").collect(), key=lambda r: r["start_time"], reverse=True)
     assert [r["date"] for r in listed] == [str(day(i)) for i in (39, 37, 35, 33)]
     first = listed[0]
     assert (first["type"], first["duration_min"], first["distance_km"], first["pace_min_km"]) == ("Beh", 40.0, 5.0, 8.0)

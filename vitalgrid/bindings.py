@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitalgrid.sources.export import record_cells
+
 #: table name -> (filter on events, select expressions besides user_id)
 PROJECTIONS: dict[str, tuple[str, tuple[str, ...]]] = {
     "heart_rate": (
@@ -105,8 +107,9 @@ EXPORT_RECORDS = {
 }
 
 
-def write_export(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Write the events as export folders below ``root``: one per person, one file per record."""
+def export_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as records of export files, one folder for each person and one file for each record
+    type, split into cells as the file reader does."""
     lines = None
     for record, (meta, header, condition, texts) in EXPORT_RECORDS.items():
         body = events(spark, sf_dir).where(condition).select(
@@ -116,10 +119,9 @@ def write_export(spark: SparkSession, sf_dir: str, root: str) -> None:
             "user_id", F.posexplode(F.array(F.lit(meta), F.lit(header))).alias("n", "value"),
             F.lit(0).cast("long").alias("line"))
         part = top.unionByName(body).select(
-            F.concat(F.lit("wear_"), F.col("user_id"), F.lit("_20240131120000")).alias("export"),
-            F.lit(record).alias("record"), (F.col("line") + F.col("n")).alias("line"), "value")
+            F.concat(F.lit("wear_"), F.col("user_id"), F.lit("_20240131120000")).alias("below"),
+            F.lit(f"{record}.csv").alias("file_name"), (F.col("line") + F.col("n")).alias("position"), "value")
         lines = part if lines is None else lines.unionByName(part)
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # writing files takes longer than its bytes suggest
-    (lines.repartition(tasks, "export", "record").sortWithinPartitions("export", "record", "line")
-     .select("export", "record", "value")
-     .write.mode("overwrite").partitionBy("export", "record").text(root))
+    return lines.select(
+        F.concat(F.lit("/exports/"), "below").alias("export_dir"), "below", "file_name", "position",
+        record_cells(F.col("value")).alias("cells"))

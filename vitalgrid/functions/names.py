@@ -1,43 +1,51 @@
-"""Names of columns and tables, derived on the driver from the few distinct headers."""
+"""Names of columns and tables.
+
+Column names are derived from headers in the plan, since there may be any number of headers; table
+names on the driver from the few type ids.
+"""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 # Last name parts that say too little on their own, and prefixes cut from ids.
 AMBIGUOUS_LAST_PARTS = ("time", "value", "type", "id")
 ID_PREFIXES = ("com.samsung.shealth.", "com.samsung.health.")
+#: columns every table has
+OWN_COLUMNS = ("user_id", "export_ts")
+
 
+def short_names(header: Column) -> Column:
+    """``a.b.heart_rate.start_time`` to ``start_time``, ``a.b.time`` to ``b_time``; blank names at the end
+    are left out."""
+    def short(name: Column) -> Column:
+        parts = F.split(name, r"\.")
+        keep = F.when(F.element_at(parts, -1).isin(*AMBIGUOUS_LAST_PARTS), F.least(F.size(parts), F.lit(2))).otherwise(1)
+        return F.array_join(F.slice(parts, -keep, keep), "_")
 
-def short_name(qualified: str) -> str:
-    """``a.b.heart_rate.start_time`` to ``start_time``; ``a.b.time`` to ``b_time``."""
-    parts = qualified.strip().split(".")
-    keep = 2 if parts[-1] in AMBIGUOUS_LAST_PARTS else 1
-    return "_".join(parts[-keep:])
+    trimmed = F.transform(header, lambda c: F.trim(F.coalesce(c, F.lit(""))))
+    filled = F.transform(trimmed, lambda c, i: F.when(c != "", i + 1))
+    return F.transform(F.slice(trimmed, F.lit(1), F.coalesce(F.array_max(filled), F.lit(0))), short)
 
 
-def unique_names(names: Iterable[str], taken: Iterable[str] = ()) -> list[str]:
+def unique_name_column(names: Column, taken: tuple[str, ...] = OWN_COLUMNS) -> Column:
     """Suffix repeats with ``_2``, ``_3`` …; Spark compares names without case, so do we."""
-    counts = {name.lower(): 1 for name in taken}
-    result = []
-    for name in names:
-        key = name.lower()
-        counts[key] = counts.get(key, 0) + 1
-        result.append(name if counts[key] == 1 else f"{name}_{counts[key]}")
-    return result
+    used = F.array(*[F.lit(t) for t in taken])
+    lower = F.transform(names, F.lower)
 
+    def unique(name: Column, i: Column) -> Column:
+        before = F.concat(used, F.slice(lower, F.lit(1), i))
+        count = F.size(F.filter(before, lambda x: x == F.lower(name)))
+        return F.when(count == 0, name).otherwise(F.concat(name, F.lit("_"), count + 1))
 
-def header_names(header: Iterable[str | None]) -> list[str]:
-    """Trimmed header cells without the blank ones at the end."""
-    names = [(cell or "").strip() for cell in header]
-    while names and not names[-1]:
-        names.pop()
-    return names
+    return F.transform(names, unique)
 
 
-def table_name(datatype_id: str) -> str:
-    name = datatype_id
+def table_name(datatype_id: str | None) -> str:
+    name = datatype_id or ""
     for prefix in ID_PREFIXES:
         name = name.replace(prefix, "")
     return re.sub("[^0-9a-zA-Z]+", "_", name).strip("_").lower() or "unknown"

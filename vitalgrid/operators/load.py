@@ -49,14 +49,15 @@ def workout_rows(exercise: DataFrame, heart_rates=WORKOUT_HEART_RATES) -> DataFr
     return rows.withColumns({"_span": span, "_day": calendar_day(F.col("_start"))})
 
 
-def workout_choices(rows: DataFrame) -> DataFrame:
-    """One row per person: which candidates that person's workouts use, and the newest start."""
+def workout_choices(rows: DataFrame, *more: Column) -> DataFrame:
+    """One row per person: which candidates that person's workouts use, the newest start, and ``more``
+    aggregates."""
     newest = F.max(F.struct(-F.col("_time_position"), F.col("_start")))
     return rows.groupBy("user_id").agg(
         F.min("_time_position").alias("_best_time"),
         F.min("_hr_position").alias("_best_hr"),
         F.max("_has_duration").alias("_any_duration"),
-        newest.alias("_newest"),
+        newest.alias("_newest"), *more,
     ).withColumn("_newest", F.col("_newest._start"))
 
 

@@ -3,47 +3,39 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.functions.clean import (
     EPOCH_MS_BELOW_AT_INGEST, null_tokens_to_null, parse_number, parse_time,
 )
-from vitalgrid.functions.names import header_names, short_name, unique_names
+from vitalgrid.functions.names import OWN_COLUMNS
 from vitalgrid.operators.dedup import keep_last
-from vitalgrid.params import DEFAULT_PARAMS, MetricParams
+from vitalgrid.params import MetricParams
 from vitalgrid.plans.metrics import METRICS_TABLE, write_metrics
 from vitalgrid.sources import export
 from vitalgrid.sources.blobs import ROW_KEY, attach_blobs
 from vitalgrid.sources.registry import TableSpec, spec_of, spec_of_table
 from vitalgrid.sources.tables import delete_folder, read_table, write_table
 
-OWN_COLUMNS = ("user_id", "export_ts")
 #: later rows win: newer export, then file name, then position in the file
 LAST_ORDER = ("export_ts", "export_dir", "file_name", "row_no")
-#: distinct (record type, header) pairs a driver may hold; real data has some hundreds
-MAX_LAYOUTS = 20000
+#: type id -> its column names in order
+Columns = dict[str, list[str]]
 
 
-@dataclass(frozen=True)
-class Layout:
-    """One distinct header of one record type."""
+def with_part(described: DataFrame) -> DataFrame:
+    return described.withColumn("part", F.when(F.col("row_no") == 1, "header").otherwise("data"))
 
-    datatype_id: str
-    layout: int
-    columns: tuple[str, ...]
 
-
-def stage_rows(cells: DataFrame, staging: str, max_columns: int | None = export.MAX_COLUMNS) -> DataFrame:
+def stage_rows(cells: DataFrame, staging: str) -> DataFrame:
     """Write described rows once, split into headers and data and by record type, so that each
     reader opens only what it needs.
 
     The rebalance evens out the files and lets adaptive execution split a dominant type.
     """
-    described = export.describe_rows(cells, max_columns).withColumn(
-        "part", F.when(F.col("row_no") == 1, "header").otherwise("data"))
+    described = with_part(export.describe_rows(cells))
     (described.hint("rebalance", "part", "datatype_id")
      .write.mode("overwrite").partitionBy("part", "datatype_id").parquet(staging))
     stored = described.drop("part", "datatype_id").schema
@@ -51,132 +43,114 @@ def stage_rows(cells: DataFrame, staging: str, max_columns: int | None = export.
         stored.add("part", "string").add("datatype_id", "string")).parquet(staging)
 
 
-def _data(staged: DataFrame, layouts: list[Layout]) -> DataFrame:
-    ids = sorted({layout.datatype_id for layout in layouts})
-    return staged.where((F.col("part") == "data") & F.col("datatype_id").isin(ids))
+def _data(staged: DataFrame, datatype_ids: list[str]) -> DataFrame:
+    return staged.where((F.col("part") == "data") & F.col("datatype_id").isin(sorted(datatype_ids)))
 
 
-def layouts_of(staged: DataFrame) -> list[Layout]:
-    """The distinct headers: the only thing that comes to the driver, and its number is checked."""
-    found = (
-        staged.where("part = 'header'").select("datatype_id", "layout", "cells").distinct()
-        .limit(MAX_LAYOUTS + 1).collect()
-    )
-    if len(found) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} distinct headers; this is not one export format")
-    return [
-        Layout(row["datatype_id"], row["layout"], tuple(
-            unique_names(map(short_name, header_names(row["cells"])), OWN_COLUMNS)))
-        for row in sorted(found, key=lambda r: (r["datatype_id"], r["layout"]))
-    ]
+def columns_by_table(staged: DataFrame) -> dict[str, Columns]:
+    """The column names of each table's record types, from any number of different headers.
 
+    One row for each type and column comes to the driver. Columns are in the order of the rightmost
+    position that a header gives them.
+    """
+    header = staged.where("part = 'header'").select(
+        "datatype_id", F.posexplode_outer("names").alias("position", "name"))
+    found = header.groupBy("datatype_id", "name").agg(F.max("position").alias("position")).collect()
+    by_table: dict[str, Columns] = {}
+    for row in sorted(found, key=lambda r: (r["datatype_id"], r["position"] or 0, r["name"] or "")):
+        columns = by_table.setdefault(spec_of(row["datatype_id"]).table, {}).setdefault(row["datatype_id"], [])
+        if row["name"]:
+            columns.append(row["name"])
+    return dict(sorted(by_table.items()))
 
-def _cell_of(layouts: list[Layout], spec: TableSpec, name: str) -> Column:
-    """The text cell of a column, wherever each layout puts it."""
-    where: dict[tuple[int, ...], list[int]] = {}
-    for layout in layouts:
-        at = tuple(
-            i for i, column in enumerate(layout.columns) if spec.rename.get(column, column) == name)
-        where.setdefault(at, []).append(layout.layout)
 
-    def read(at: tuple[int, ...]) -> Column:
-        # a renamed column may meet one of its new name: the first filled one counts
-        cells = [null_tokens_to_null(F.get("cells", F.lit(i))) for i in at]
-        return F.coalesce(*cells) if cells else F.lit(None).cast("string")
+def _sources(columns: Columns, spec: TableSpec) -> dict[str, list[str]]:
+    """Target column -> the header names it is read from, the new name before the renamed one.
 
-    if len(where) == 1:
-        return read(next(iter(where)))
-    case = F
-    for at, hashes in where.items():
-        case = case.when(F.col("layout").isin(hashes), read(at))
-    return case
+    Names that differ only in case are one column.
+    """
+    sources: dict[str, list[str]] = {}
+    targets: dict[str, str] = {}
+    for names in columns.values():
+        for name in names:
+            target = spec.rename.get(name, name)
+            target = targets.setdefault(target.lower(), target)
+            if name not in sources.setdefault(target, []):
+                sources[target].append(name)
+    return {t: sorted(names, key=lambda n: n != t) for t, names in sources.items()}
 
 
-def table_columns(layouts: list[Layout], spec: TableSpec) -> list[str]:
-    columns = [spec.rename.get(c, c) for layout in layouts for c in layout.columns]
-    return list(dict.fromkeys(columns))
+def _cell(names: list[str]) -> Column:
+    """The text cell under the first of the names that is filled, wherever the file's header puts it."""
+    cells = [null_tokens_to_null(F.get("cells", F.array_position("names", n).cast("int") - 1)) for n in names]
+    return F.coalesce(*cells)
 
 
 def build_table(
-    staged: DataFrame, layouts: list[Layout], spec: TableSpec, blobs: DataFrame | None
+    staged: DataFrame, columns: Columns, spec: TableSpec, blobs: DataFrame | None
 ) -> DataFrame:
-    """Typed and de-duplicated rows of one table; ``layouts`` are all those of the table."""
-    columns = table_columns(layouts, spec)
+    """Typed and de-duplicated rows of one table; ``columns`` are those of all its record types."""
+    sources = _sources(columns, spec)
 
     def typed(name: str) -> Column:
-        cell = _cell_of(layouts, spec, name)
+        cell = _cell(sources[name])
         if name in spec.times:
             return parse_time(cell, EPOCH_MS_BELOW_AT_INGEST)
         return parse_number(cell) if name in spec.numbers else cell
 
-    rows = _data(staged, layouts).select(
-        *OWN_COLUMNS, *ROW_KEY, "datatype_id", *[typed(c).alias(c) for c in columns])
-    keys = [c for c in spec.times if c in columns]
+    rows = _data(staged, list(columns)).select(
+        *OWN_COLUMNS, *ROW_KEY, "datatype_id", *[typed(c).alias(c) for c in sources])
+    keys = [c for c in spec.times if c in sources]
     if keys:
         rows = keep_last(rows, ["user_id", *keys], LAST_ORDER)
+    found = list(sources)
     for name in spec.blobs:
-        if name in columns:
+        if name in sources:
             rows = attach_blobs(rows, name, blobs)
-            columns = [*columns, f"{name}_json"]
-    return rows.select(*OWN_COLUMNS, *columns)
-
-
-def wide_rows(staged: DataFrame, layouts: list[Layout]) -> DataFrame:
-    """One row: how many data rows have filled cells beyond their header (those cells are cut)."""
-    by_width: dict[int, list[int]] = {}
-    for layout in layouts:
-        by_width.setdefault(len(layout.columns), []).append(layout.layout)
-    beyond = F.lit(False)
-    for width, hashes in by_width.items():
-        beyond = beyond | (F.col("layout").isin(hashes) & (F.size("cells") > width))
-    return _data(staged, layouts).agg(F.count_if(beyond).alias("wide_rows"))
-
-
-def layouts_by_table(staged: DataFrame) -> dict[str, list[Layout]]:
-    """Every table found and the headers of the record types that belong to it."""
-    by_table: dict[str, list[Layout]] = {}
-    for layout in layouts_of(staged):
-        by_table.setdefault(spec_of(layout.datatype_id).table, []).append(layout)
-    return dict(sorted(by_table.items()))
+            found.append(f"{name}_json")
+    return rows.select(*OWN_COLUMNS, *found)
+
+
+def wide_rows(staged: DataFrame) -> DataFrame:
+    """``datatype_id, wide_rows``: data rows with filled cells beyond their header (those cells are cut)."""
+    return staged.where("part = 'data'").groupBy("datatype_id").agg(
+        F.count_if(F.size("cells") > F.size("names")).alias("wide_rows"))
 
 
-def scratch_folder(spark: SparkSession, fallback: str) -> str:
-    """Below the shared folder the cluster names, else ``fallback``, which must be shared too."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared}/vitalgrid-{uuid.uuid4().hex}" if shared else fallback
+def scratch_folder(spark: SparkSession, near: str) -> str:
+    """A fresh folder below the shared one the cluster names, else below ``near``, which must be shared."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{near}/_staging"
+    return f"{shared}/vitalgrid-{uuid.uuid4().hex}"
 
 
 def ingest(
     spark: SparkSession, root: str, out: str, archives: bool = False,
-    max_columns: int = export.MAX_COLUMNS, params: MetricParams = DEFAULT_PARAMS,
+    params: MetricParams | None = None, profiles: DataFrame | None = None,
 ) -> DataFrame:
     """Read every export below ``root``, write one table per record type below ``out``.
 
     With ``archives`` the exports are ZIP files instead of folders. Every table is replaced, and a
-    ``metrics_daily`` that is there is built again from the new tables with ``params``. Result:
-    ``table_name, row_count, wide_rows``.
+    ``metrics_daily`` that is there is built again from the new tables, with ``params`` and ``profiles``
+    or else those it was built with. Result: ``table_name, row_count, wide_rows``.
     """
-    cells = export.read_archive_cells(spark, root) if archives \
-        else export.read_export_cells(spark, root, max_columns)
+    cells = export.read_archive_cells(spark, root) if archives else export.read_export_cells(spark, root)
     blobs = export.read_archive_blobs(spark, root) if archives \
         else export.read_export_blobs(spark, root)
-    staging = scratch_folder(spark, f"{out}/_staging")
-    staged = stage_rows(cells, staging, None if archives else max_columns)
-    report = None
-    for name, layouts in layouts_by_table(staged).items():
-        ids = [layout.datatype_id for layout in layouts]
-        write_table(build_table(staged, layouts, spec_of_table(ids), blobs), out, name)
-        kept = spark.read.parquet(f"{out}/{name}").agg(
-            F.lit(name).alias("table_name"), F.count("*").alias("row_count"),
-            F.lit(0).cast("long").alias("wide_rows"))
-        cut = wide_rows(staged, layouts).select(
-            F.lit(name), F.lit(0).cast("long"), F.col("wide_rows"))
-        part = kept.unionAll(cut)
-        report = part if report is None else report.unionAll(part)
-    counted = [] if report is None else report.groupBy("table_name").agg(
-        F.sum("row_count").alias("row_count"), F.sum("wide_rows").alias("wide_rows"),
-    ).orderBy("table_name").collect()  # one row per table
-    delete_folder(spark, staging)
+    staging = scratch_folder(spark, out)
+    try:
+        staged = stage_rows(cells, f"{staging}/rows")
+        if archives:  # unpack their blobs once, not for each table that refers to some
+            blobs.write.parquet(f"{staging}/blobs")
+            blobs = spark.read.schema(blobs.schema).parquet(f"{staging}/blobs")
+        cut = {r["datatype_id"]: r["wide_rows"] for r in wide_rows(staged).collect()}
+        report = []
+        for name, columns in columns_by_table(staged).items():
+            counted = Observation(name)
+            table = build_table(staged, columns, spec_of_table(list(columns)), blobs)
+            write_table(table.observe(counted, F.count(F.lit(1)).alias("rows")), out, name)
+            report.append((name, counted.get["rows"], sum(cut.get(i, 0) for i in columns)))
+    finally:
+        delete_folder(spark, staging)
     if read_table(spark, out, METRICS_TABLE) is not None:
-        write_metrics(spark, out, params)
-    return spark.createDataFrame(counted, "table_name string, row_count long, wide_rows long")
+        write_metrics(spark, out, params, profiles)
+    return spark.createDataFrame(report, "table_name string, row_count long, wide_rows long")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import asdict
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +16,11 @@ from vitalgrid.params import DEFAULT_PARAMS, MetricParams
 from vitalgrid.sources.tables import read_table, read_tables, write_table
 
 METRICS_TABLE = "metrics_daily"
+#: what the stored metrics were built with; not listed among the tables
+BUILD_PARAMS, BUILD_PROFILES = "_metrics/params", "_metrics/profiles"
 DAILY_TABLES = (
     "heart_rate", "sleep_stage", "stress", "spo2", *d.STEP_TABLES, *d.SLEEP_TABLES, *d.BODY_TABLES)
+# Names of the output columns.
 RAW_COLUMNS = (
     "resting_hr", "hr_avg", "steps", "active_minutes", "calories",
     "sleep_minutes", "sleep_efficiency", "sleep_score", "sleep_midpoint",
@@ -133,20 +138,50 @@ def _no_metrics(table: DataFrame) -> DataFrame:
         *[F.lit(None).cast("double").alias(c) for c in METRIC_COLUMNS])
 
 
+def _built_with(spark: SparkSession, root: str) -> tuple[MetricParams, DataFrame | None, str | None]:
+    """Parameters, profiles and the profiles' digest that the stored metrics were built with."""
+    built = read_table(spark, root, BUILD_PARAMS)
+    if built is None:
+        return DEFAULT_PARAMS, None, None
+    row = built.first()
+    return MetricParams(**json.loads(row["params"])), read_table(spark, root, BUILD_PROFILES), row["profiles"]
+
+
+def _digest(profiles: DataFrame | None) -> str | None:
+    if profiles is None:
+        return None
+    columns = sorted(profiles.columns)
+    return profiles.agg(F.sum(F.xxhash64(*[F.col(c).cast("string") for c in columns]).cast("decimal(38,0)"))
+                        .cast("string").alias("d")).first()["d"]
+
+
 def write_metrics(
-    spark: SparkSession, root: str, params: MetricParams = DEFAULT_PARAMS,
-    profiles: DataFrame | None = None,
+    spark: SparkSession, root: str, params: MetricParams | None = None, profiles: DataFrame | None = None,
 ) -> None:
-    """Build ``metrics_daily`` from the stored tables and replace it."""
+    """Build ``metrics_daily`` from the stored tables and replace it.
+
+    Parameters and profiles that are not given stay those of the last build (at first the defaults and
+    none); they are stored with the metrics.
+    """
+    last_params, last_profiles, _ = _built_with(spark, root)
+    params = params or last_params
     tables = {k: v for k, v in read_tables(spark, root).items() if k != METRICS_TABLE}
-    write_table(build_daily_metrics(tables, params, profiles), root, METRICS_TABLE)
+    own = last_profiles if profiles is None else profiles
+    write_table(build_daily_metrics(tables, params, own), root, METRICS_TABLE)
+    if profiles is not None:
+        write_table(profiles, root, BUILD_PROFILES)
+    spark.createDataFrame([(json.dumps(asdict(params)), _digest(own))], "params string, profiles string") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{root}/{BUILD_PARAMS}")
 
 
 def load_metrics(
-    spark: SparkSession, root: str, params: MetricParams = DEFAULT_PARAMS,
-    profiles: DataFrame | None = None,
+    spark: SparkSession, root: str, params: MetricParams | None = None, profiles: DataFrame | None = None,
 ) -> DataFrame:
-    """The stored ``metrics_daily``; built and stored first if it does not exist."""
-    if read_table(spark, root, METRICS_TABLE) is None:
+    """The stored ``metrics_daily``; built and stored first if it does not exist or was built with other
+    parameters or profiles than those given."""
+    stored = read_table(spark, root, METRICS_TABLE)
+    built_params, _, built_profiles = _built_with(spark, root)
+    if stored is None or params not in (None, built_params) or (
+            profiles is not None and _digest(profiles) != built_profiles):
         write_metrics(spark, root, params, profiles)
     return read_table(spark, root, METRICS_TABLE)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalgrid.functions.clean import as_time
@@ -21,16 +21,16 @@ EXPECTED = {
     "vitality_score": ("day_time", "total_score", "sleep_score", "max_hr"),
 }
 PROFILED_TIMES = ("start_time", "create_time", "update_time", "day_time", "end_time")
-SAMPLES = 3
+SAMPLES, TIME_SAMPLES = 3, 2
 SAMPLE_WIDTH = 80
 
 
 def profile_table(df: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
-    """``table_name, column_name, n_rows, n_filled, n_times, samples`` per column found.
+    """``table_name, column_name, n_rows, n_filled, n_times, samples, times`` per column found.
 
-    ``n_times`` is set for the first time column only: values that read as a trusted time. Samples
-    are the smallest texts. The table is read once; ranking keeps three rows per task before
-    anything is shuffled.
+    ``n_times`` and ``times`` are set for the first time column only: how many values read as a trusted
+    time, and the first of them. Samples are the first filled values in the order in which the table is
+    read. Ranking keeps some rows per task before anything is shuffled.
     """
     found = [c for c in columns if c in df.columns]
     time = next((c for c in PROFILED_TIMES if c in df.columns), None)
@@ -42,26 +42,33 @@ def profile_table(df: DataFrame, name: str, columns: Sequence[str]) -> DataFrame
         F.struct(
             F.lit(c).alias("column_name"),
             F.col(c).cast("string").alias("text"),
-            (as_time(df, c).isNotNull() if c == time else F.lit(None).cast("boolean")).alias("timed"),
+            (as_time(df, c) if c == time else F.lit(None).cast("timestamp_ntz")).alias("time"),
         ) for c in counted]))
-    long = df.select(cells.alias("c")).select("c.*")
+    long = df.withColumn("_at", F.monotonically_increasing_id()).select("_at", cells.alias("c")).select("_at", "c.*")
     counts = long.groupBy("column_name").agg(
         F.count("*").alias("n_rows"), F.count("text").alias("n_filled"),
-        F.when(F.count("timed") > 0, F.count_if("timed")).alias("n_times"))
-    smallest = Window.partitionBy("column_name").orderBy("text")
-    texts = long.where("text is not null").select("column_name", "text").distinct()
+        F.when(F.col("column_name") == (time or ""), F.count("time")).alias("n_times"))
     short = F.when(F.length("text") > SAMPLE_WIDTH,
                    F.concat(F.left("text", F.lit(SAMPLE_WIDTH)), F.lit("…"))).otherwise(F.col("text"))
-    samples = texts.withColumn("rank", F.row_number().over(smallest)).where(F.col("rank") <= SAMPLES) \
-        .groupBy("column_name").agg(F.sort_array(F.collect_list(short)).alias("samples"))
-    return counts.join(samples, "column_name", "left").select(
+
+    def first(filled: str, shown: Column, n: int, alias: str) -> DataFrame:
+        in_order = Window.partitionBy("column_name").orderBy("_at")
+        ranked = long.where(F.col(filled).isNotNull()).select("column_name", "_at", shown.alias("shown")) \
+            .withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= n)
+        listed = ranked.groupBy("column_name").agg(F.sort_array(F.collect_list(F.struct("_at", "shown"))).alias("s"))
+        return listed.select("column_name", F.col("s.shown").alias(alias))
+
+    none = F.array().cast("array<string>")
+    times = first("time", F.date_format("time", "yyyy-MM-dd HH:mm:ss"), TIME_SAMPLES, "times")
+    return counts.join(first("text", short, SAMPLES, "samples"), "column_name", "left").join(
+        times, "column_name", "left").select(
         F.lit(name).alias("table_name"), "column_name", "n_rows", "n_filled", "n_times",
-        F.coalesce("samples", F.array().cast("array<string>")).alias("samples"))
+        F.coalesce("samples", none).alias("samples"), F.coalesce("times", none).alias("times"))
 
 
 PROFILE_SCHEMA = (
     "table_name string, column_name string, n_rows long, n_filled long, n_times long, "
-    "samples array<string>")
+    "samples array<string>, times array<string>")
 
 
 def profile(tables: dict[str, DataFrame]) -> DataFrame:

@@ -10,12 +10,13 @@ from vitalgrid.functions.codes import STAGES, exercise_name
 from vitalgrid.operators import load as l
 from vitalgrid.operators.candidates import position_of, value_of
 from vitalgrid.operators.person_join import join_person_values
-from vitalgrid.operators.timeline import all_days, days
+from vitalgrid.operators.timeline import days
 from vitalgrid.params import (
     CORRELATED, DEFAULT_PARAMS, GOAL_DAYS, GOALS, KPI_PREVIOUS_POSITION, KPI_SPARK_POINTS, KPIS,
     RANGES, READINESS_WEIGHTS, STREAK_STEPS, MetricParams,
 )
 
+# Names of the output columns.
 SERIES_COLUMNS = (
     "readiness", "resting_hr", "rhr_baseline", "hr_avg",
     "sleep_minutes", "sleep_debt", "sleep_score", "sleep_regularity",
@@ -66,59 +67,49 @@ def kpi_points(metrics: DataFrame, range_name: str = "30d") -> DataFrame:
     )
 
 
-def summary_kpis(metrics: DataFrame, range_name: str = "30d") -> DataFrame:
-    """``user_id, as_of, key, label, unit, better, value, delta, spark`` (oldest point first).
-
-    ``value`` is that of the person's last day, even if null. The last day is in every range, so
-    one pass over the days in range gives everything.
-    """
-    names = [k[0] for k in KPIS]
-    window = _long(in_range(metrics, range_name), ["user_id", "day"], names)
-    filled = F.col("v").isNotNull()
-    newest_first = Window.partitionBy("user_id", "key").orderBy(~filled, F.col("day").desc())
-    ranked = window.withColumn("pos", F.row_number().over(newest_first))
-    point = F.struct("day", round_half_even(F.col("v"), 2).alias("v"))
-    kpis = ranked.groupBy("user_id", "key").agg(
-        F.max("day").alias("as_of"),
-        F.max_by("v", "day").alias("value"),
-        F.max(F.when(F.col("pos") == KPI_PREVIOUS_POSITION, F.col("v"))).alias("_at_position"),
-        F.max_by("v", F.when(filled, F.col("pos"))).alias("_oldest"),
-        F.sort_array(F.collect_list(
-            F.when(filled & (F.col("pos") <= KPI_SPARK_POINTS), point))).alias("_spark"),
-        F.count("v").alias("_points"),
-    )
-    previous = F.when(F.col("_points") >= KPI_PREVIOUS_POSITION, F.col("_at_position")) \
-        .otherwise(F.col("_oldest"))
-    texts = {
-        name: F.element_at(F.create_map(*[F.lit(x) for k in KPIS for x in (k[0], k[i])]), F.col("key"))
-        for i, name in ((1, "label"), (2, "unit"), (3, "better"))
-    }
-    return kpis.select(
-        "user_id", "as_of", "key", *[c.alias(n) for n, c in texts.items()], "value",
-        (F.col("value") - previous).alias("delta"),
-        F.transform("_spark", lambda p: p["v"]).alias("spark"),
-    )
+def _kpi(name: str, label: str, unit: str, better: str) -> Column:
+    """One KPI from ``_days``, the days in range in order: its last value, the change since the value
+    some readings before, and the last points."""
+    value = F.element_at("_days", -1)[name]
+    points = F.filter(F.transform("_days", lambda d: d[name]), lambda v: v.isNotNull())
+    previous = F.when(F.size(points) >= KPI_PREVIOUS_POSITION, F.get(points, F.size(points) - KPI_PREVIOUS_POSITION)) \
+        .otherwise(F.get(points, F.lit(0)))
+    newest = F.slice(points, F.greatest(F.size(points) - KPI_SPARK_POINTS + 1, F.lit(1)), KPI_SPARK_POINTS)
+    return F.struct(
+        F.lit(name).alias("key"), F.lit(label).alias("label"), F.lit(unit).alias("unit"),
+        F.lit(better).alias("better"), value.alias("value"), (value - previous).alias("delta"),
+        F.transform(newest, lambda v: round_half_even(v, 2)).alias("spark"))
 
 
 def summary(metrics: DataFrame, range_name: str = "30d") -> DataFrame:
-    """One row per person: ``as_of, readiness``, the component scores and the KPIs as an array."""
+    """One row per person: ``as_of, readiness``, the component scores and the KPIs as an array.
+
+    The last day lies in every range, so one aggregate per person over the days in range (at most some
+    84,000) gives everything; it keeps the partitioning by person.
+    """
     components = list(READINESS_WEIGHTS)
-    last = metrics.groupBy("user_id").agg(
-        F.max("day").alias("as_of"),
-        *[F.max_by(c, "day").alias(c) for c in ("readiness", *components)])
-    order = F.element_at(
-        F.create_map(*[F.lit(x) for i, k in enumerate(KPIS) for x in (k[0], i)]), F.col("key"))
-    fields = ("key", "label", "unit", "better", "value", "delta", "spark")
-    kpis = summary_kpis(metrics, range_name).groupBy("user_id").agg(
-        F.sort_array(F.collect_list(F.struct(order.alias("_order"), *fields))).alias("kpis"))
-    return last.join(kpis, "user_id").select(
-        "user_id", "as_of", "readiness", F.struct(*components).alias("components"),
-        F.transform("kpis", lambda k: k.dropFields("_order")).alias("kpis"))
+    last = F.struct("day", "readiness", F.struct(*components).alias("components"))
+    persons = in_range(metrics, range_name).groupBy("user_id").agg(
+        F.max_by(last, "day").alias("_last"),
+        F.sort_array(F.collect_list(F.struct("day", *[k[0] for k in KPIS]))).alias("_days"))
+    return persons.select(
+        "user_id", F.col("_last.day").alias("as_of"), "_last.readiness", "_last.components",
+        F.array(*[_kpi(*k) for k in KPIS]).alias("kpis"))
+
+
+def summary_kpis(metrics: DataFrame, range_name: str = "30d") -> DataFrame:
+    """``user_id, as_of, key, label, unit, better, value, delta, spark`` (oldest point first).
+
+    ``value`` is that of the person's last day, even if null.
+    """
+    return summary(metrics, range_name).select("user_id", "as_of", F.explode("kpis").alias("k")).select(
+        "user_id", "as_of", "k.*")
 
 
 # ---- time series -----------------------------------------------------------------------------
 
 def timeseries(metrics: DataFrame, range_name: str = "30d") -> DataFrame:
+    """The daily series of each person, in no order: show them by ``day``."""
     hours = {
         f"{s}_h": F.col(f"{s}_pct") / F.lit(100.0) * F.col("sleep_minutes") / F.lit(60.0)
         for s in STAGES}
@@ -138,23 +129,26 @@ def last_days(metrics: DataFrame, n: int = 7) -> DataFrame:
 
 # ---- workouts --------------------------------------------------------------------------------
 
+WORKOUT_SCHEMA = "user_id long, start_time timestamp_ntz"
+
+
 def workouts(
-    exercise: DataFrame,
+    exercise: DataFrame | None,
     metrics: DataFrame | None,
     range_name: str = "90d",
     params: MetricParams = DEFAULT_PARAMS,
     profiles: DataFrame | None = None,
 ) -> DataFrame:
-    """Workouts newest first, with pace and TRIMP.
+    """Workouts with pace and TRIMP, in no order: show them by ``start_time`` descending.
 
-    Persons are not windowed: their newest start and resting heart rate come from aggregates, and
-    the sort is a range partitioning on person and time, so a large person is split.
+    Without a workout table (``None``) there are none. Persons are not windowed: their newest start and
+    resting heart rate come from aggregates, so a large person is split.
     """
     length = days_of(range_name)
+    if exercise is None:
+        exercise = metrics.sparkSession.createDataFrame([], WORKOUT_SCHEMA)
     rows = l.workout_rows(exercise, LISTED_MEAN_HR)
     resting = None if metrics is None or params.hr_rest is not None else l.resting_median(metrics)
-    persons = l.person_values(l.workout_choices(rows), resting, params, profiles)
-
     extras = {"_max_hr": LISTED_MAX_HR, "_calorie": LISTED_CALORIES}
     tagged = rows
     best = []
@@ -166,7 +160,7 @@ def workouts(
     for name in ("distance", "exercise_type"):
         value = as_number(exercise, name) if name in exercise.columns else F.lit(None).cast("double")
         tagged = tagged.withColumn(f"_{name}", value)
-    persons = persons.join(tagged.groupBy("user_id").agg(*best), "user_id")
+    persons = l.person_values(l.workout_choices(tagged, *best), resting, params, profiles)
 
     listed = join_person_values(
         tagged.where("_start is not null"), persons, ["_start", "_minutes"]
@@ -185,7 +179,7 @@ def workouts(
                    F.col("_hr_rest"), F.col("_hr_max"), F.col("_sex"))
     calorie = chosen("_calorie", "_calorie_position", "_best_calorie")
     max_hr = chosen("_max_hr", "_max_hr_position", "_best_max_hr")
-    return listed.orderBy("user_id", F.col("_start").desc()).select(
+    return listed.select(
         "user_id",
         F.col("_start").alias("start_time"),
         F.date_format("_day", "yyyy-MM-dd").alias("date"),
@@ -224,7 +218,7 @@ def correlation_matrix(metrics: DataFrame, range_name: str = "90d", digits: int
         F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"))))
     return r.select(
         "user_id", F.explode(cells).alias("c"),
-        (v if digits is None else round_half_even(v, digits)).alias("v"),
+        (v if digits is None else round_half_even(v, digits) + F.lit(0.0)).alias("v"),  # no negative zero
     ).select("user_id", "c.x", "c.y", "v")
 
 
@@ -272,6 +266,7 @@ def goals(metrics: DataFrame) -> DataFrame:
 def steps_streak(metrics: DataFrame) -> DataFrame:
     """Days in a row, back from the last, with the step goal reached."""
     reached = F.coalesce(F.col("steps") >= STREAK_STEPS, F.lit(False))
-    last_missed = F.max(F.when(~reached, F.col("day"))).over(all_days())
-    return metrics.withColumn("_missed", last_missed).groupBy("user_id").agg(
-        F.count_if(F.col("_missed").isNull() | (F.col("day") > F.col("_missed"))).alias("steps_streak"))
+    # days are dense: the streak is as long as the last missed day is away
+    return metrics.groupBy("user_id").agg(
+        F.coalesce(F.date_diff(F.max("day"), F.max(F.when(~reached, F.col("day")))), F.count("*"))
+        .cast("long").alias("steps_streak"))

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalgrid.functions.json import LOOKS_LIKE_JSON, inline_json, normalized_json
-from vitalgrid.operators.person_join import salt
 from vitalgrid.sources.export import BLOB_FOLDER
 
 ROW_KEY = ("export_dir", "file_name", "row_no")
@@ -48,9 +47,10 @@ def _candidates(cell: Column) -> Column:
 def attach_blobs(rows: DataFrame, column: str, blobs: DataFrame | None) -> DataFrame:
     """Add ``<column>_json``: the cell's inline JSON or that of the first existing candidate file.
 
-    ``rows`` has ``ROW_KEY`` and ``datatype_id``. Only names travel to the lookup, each path in as
-    many salted copies as its rows need, so a blob that many rows share is not one big group.
-    Unreferenced blobs are dropped before they are decoded. Rows without a reference take no part.
+    ``rows`` has ``ROW_KEY`` and ``datatype_id``. Which file a cell means is settled by names alone; only
+    the content of those files is then read, each once, and decoded before it meets the rows. Rows
+    without a reference take no part. All joins are equi-joins that adaptive execution splits when many
+    rows share one blob.
     """
     cell = F.col(column)
     inline = inline_json(cell)
@@ -58,14 +58,12 @@ def attach_blobs(rows: DataFrame, column: str, blobs: DataFrame | None) -> DataF
         return rows.withColumn(f"{column}_json", inline)
     is_reference = cell.isNotNull() & (F.trim(cell) != "") & ~cell.rlike(LOOKS_LIKE_JSON)
     references = rows.where(is_reference).select(
-        *ROW_KEY, salt(ROW_KEY).alias("salt"),
-        F.posexplode(_candidates(cell)).alias("priority", "path"),
-    ).where("path is not null")
-    needed = references.select("path", "salt").distinct()
-    found = needed.join(blobs, "path").select(
-        "path", "salt", normalized_json(blob_text("content")).alias("json"))
-    best = references.join(found, ["path", "salt"]).groupBy(*ROW_KEY).agg(
-        F.min_by("json", "priority").alias("_blob_json"))
-    return rows.join(best, list(ROW_KEY), "left").withColumn(
+        *ROW_KEY, F.posexplode(_candidates(cell)).alias("priority", "path")).where("path is not null")
+    best = references.join(blobs.select("path"), "path").groupBy(*ROW_KEY).agg(
+        F.min_by("path", "priority").alias("path"))
+    texts = blobs.join(best.select("path").distinct(), "path", "left_semi").select(
+        "path", normalized_json(blob_text("content")).alias("_blob_json"))
+    found = best.join(texts, "path").drop("path")
+    return rows.join(found, list(ROW_KEY), "left").withColumn(
         f"{column}_json", F.when(cell.rlike(LOOKS_LIKE_JSON), inline).otherwise(F.col("_blob_json")),
     ).drop("_blob_json")

@@ -6,18 +6,22 @@ that may be longer or shorter than the header and whose quoted cells may hold li
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: widest file the folder scan can read; a file with a wider header fails the job. Spark sets up a
-#: reader of this width per file, so it should not be much wider than the data.
-MAX_COLUMNS = 128
-CELL_SCHEMA = "export_dir string, file_name string, position long, cells array<string>"
+from vitalgrid.functions.names import short_names, unique_name_column
+
+CELL_SCHEMA = "export_dir string, below string, file_name string, position long, cells array<string>"
 ARCHIVE_BATCH_ROWS = 5000
 BLOB_FOLDER = "jsons"
+#: larger files do not fit one cell of a table
+BINARY_FILE_LIMIT = 2 ** 31 - 1
+#: stands for a blank type id
+NO_ID = "unknown"
 
 
 def file_path() -> Column:
@@ -26,48 +30,86 @@ def file_path() -> Column:
     return F.url_decode(encoded)
 
 
+def below_root(path: Column, root: str) -> Column:
+    """The part of ``path`` below ``root``: what lies above says nothing about an export."""
+    inner = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).strip("/")
+    pattern = "^.*?/" + "".join(c if c.isalnum() or c in "/_" else f"\\{c}" for c in inner) + "/"
+    return F.regexp_replace(path, pattern, "") if inner else path
+
+
 def _folder_of(path: Column) -> Column:
-    return F.regexp_replace(path, r"/[^/]*$", "")
+    return F.regexp_replace(path, r"/?[^/]*$", "")
+
+
+def _in_blob_folder(below: Column) -> Column:
+    return F.concat(F.lit("/"), below).contains(f"/{BLOB_FOLDER}/")
+
 
+def record_cells(record: Column) -> Column:
+    """The cells of one CSV record, however many: quoted ones without their quotes, blank ones null,
+    blank ones at the end left out."""
+    # with a comma before it every cell is a match of its own, an empty first one too
+    split = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(r'(?s),("(?:[^"]|"")*"[^,]*|[^,]*)'), 1)
+    cells = F.transform(split, lambda c: F.when(
+        c.startswith('"'), F.replace(F.regexp_replace(c, r'(?s)^"(.*)"\s*$', "$1"), F.lit('""'), F.lit('"'))
+    ).otherwise(c))
+    cells = F.transform(cells, lambda c: F.when(c != "", c))
+    return without_blank_end(cells)
 
-def read_export_cells(
-    spark: SparkSession, root: str, max_columns: int = MAX_COLUMNS, files: str = "*.csv"
-) -> DataFrame:
+
+def without_blank_end(cells: Column) -> Column:
+    filled = F.transform(cells, lambda c, i: F.when(c.isNotNull(), i + 1))
+    return F.slice(cells, F.lit(1), F.coalesce(F.array_max(filled), F.lit(0)))
+
+
+def read_export_cells(spark: SparkSession, root: str, files: str = "*.csv") -> DataFrame:
     """Every row of every CSV file below ``root``, blob folders aside: see ``CELL_SCHEMA``.
 
-    ``position`` grows along a file, which is one read task, because quoted cells may span lines.
+    Rows may be of any width: Spark's reader finds where records end, with schema of one column, and
+    hands over the text of records that have more, to be split here. ``position`` grows by one along
+    a file, which is one read task, because quoted cells may span lines.
     """
-    names = [f"c{i}" for i in range(max_columns)]
     scan = (
-        spark.read.schema(", ".join(f"{n} string" for n in names))
+        spark.read.schema("first string, record string")
+        .option("columnNameOfCorruptRecord", "record")
         .option("multiLine", True).option("escape", '"').option("encoding", "UTF-8")
-        .option("recursiveFileLookup", True).option("pathGlobFilter", files)
+        .option("maxCharsPerColumn", -1).option("recursiveFileLookup", True).option("pathGlobFilter", files)
         .csv(root)
     )
-    width = F.greatest(*[F.when(F.col(n).isNotNull(), i + 1) for i, n in enumerate(names)])
     rows = scan.select(
-        file_path().alias("path"),
-        F.monotonically_increasing_id().alias("position"),
-        F.slice(F.array(*names), F.lit(1), F.coalesce(width, F.lit(0))).alias("cells"),
-    ).where(~F.col("path").contains(f"/{BLOB_FOLDER}/"))
+        file_path().alias("path"), F.monotonically_increasing_id().alias("position"),
+        F.when(F.col("record").isNotNull(), record_cells(F.col("record"))).otherwise(
+            without_blank_end(F.array("first"))).alias("cells"),
+    ).withColumn("inside", below_root(F.col("path"), root)).where(~_in_blob_folder(F.col("inside")))
     return rows.select(
-        _folder_of(F.col("path")).alias("export_dir"),
-        F.regexp_extract("path", r"([^/]*)$", 1).alias("file_name"),
-        "position", "cells")
+        _folder_of(F.col("path")).alias("export_dir"), _folder_of(F.col("inside")).alias("below"),
+        F.regexp_extract("path", r"([^/]*)$", 1).alias("file_name"), "position", "cells")
 
 
-def _members(content: bytes) -> Iterator[tuple[str, bytes]]:
-    """Members of a ZIP archive; a member that points outside of it fails the job."""
-    import io
+def _members(content) -> Iterator[tuple[str, object]]:
+    """Members of a ZIP archive as open streams; a member that points outside of it fails the job."""
     import zipfile
 
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+    with zipfile.ZipFile(content) as archive:
         for info in archive.infolist():
             parts = info.filename.replace("\\", "/").split("/")
             if ".." in parts or info.filename.startswith("/"):
                 raise ValueError(f"unsafe path in archive: {info.filename!r}")
             if not info.is_dir():
-                yield info.filename, archive.read(info)
+                with archive.open(info) as member:
+                    yield info.filename, member
+
+
+def _opened(path: str, content: bytes | None):
+    """A seekable stream of an archive; one too large for a cell is read in place."""
+    import io
+
+    if content is not None:
+        return io.BytesIO(content)
+    from pyarrow import fs
+
+    files, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    return files.open_input_file(inner)
 
 
 def _archive_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -75,39 +117,48 @@ def _archive_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import io
 
     csv.field_size_limit(2 ** 31 - 1)
+    names = ["export_dir", "below", "file_name", "position", "cells"]
     for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            for member, data in _members(content):
-                folder, _, name = f"{path}/{member}".rpartition("/")
-                if not name.endswith(".csv") or f"/{BLOB_FOLDER}/" in f"/{member}":
+        for path, below, content in zip(batch["path"], batch["below"], batch["content"]):
+            for member, data in _members(_opened(path, content)):
+                if not member.endswith(".csv") or f"/{BLOB_FOLDER}/" in f"/{member}":
                     continue
-                text = io.StringIO(data.decode("utf-8-sig", errors="replace"), newline="")
-                numbered = enumerate(row for row in csv.reader(text) if row)
+                folder, _, name = f"{path}/{member}".rpartition("/")
+                inside = f"{below}/{member}".rpartition("/")[0]
+                lines = io.TextIOWrapper(data, "utf-8-sig", errors="replace", newline="")
                 chunk = []
-                for position, cells in numbered:
+                for position, cells in enumerate(row for row in csv.reader(lines) if row):
                     while cells and not cells[-1]:
                         cells.pop()
-                    chunk.append((folder, name, position, [c or None for c in cells]))
+                    chunk.append((folder, inside, name, position, [c or None for c in cells]))
                     if len(chunk) == ARCHIVE_BATCH_ROWS:
-                        yield pd.DataFrame(chunk, columns=["export_dir", "file_name", "position", "cells"])
+                        yield pd.DataFrame(chunk, columns=names)
                         chunk = []
                 if chunk:
-                    yield pd.DataFrame(chunk, columns=["export_dir", "file_name", "position", "cells"])
+                    yield pd.DataFrame(chunk, columns=names)
 
 
 def _archive_blobs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
-            for member, data in _members(content):
+            for member, data in _members(_opened(path, content)):
                 if f"/{BLOB_FOLDER}/" in f"/{member}":
-                    yield pd.DataFrame({"path": [f"{path}/{member}"], "content": [data]})
+                    yield pd.DataFrame({"path": [f"{path}/{member}"], "content": [data.read()]})
 
 
 def _archives(spark: SparkSession, root: str) -> DataFrame:
-    return (
+    """``path, below, content``; the content of archives beyond the limit is null, and tasks read them
+    by their path, which then must be of a store that Arrow knows."""
+    files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.zip").load(root).select(file_path().alias("path"), "content")
+        .option("pathGlobFilter", "*.zip").load(root)
     )
+    path = file_path().alias("path")
+    small = files.where(F.col("length") < BINARY_FILE_LIMIT).select(path, "content")
+    large = files.where(F.col("length") >= BINARY_FILE_LIMIT).select(
+        path, F.lit(None).cast("binary").alias("content"))
+    return small.unionByName(large).select(
+        "path", below_root(F.col("path"), root).alias("below"), "content")
 
 
 def read_archive_cells(spark: SparkSession, root: str) -> DataFrame:
@@ -123,17 +174,34 @@ def read_export_blobs(spark: SparkSession, root: str) -> DataFrame:
     """``path, content`` of the files in blob folders below ``root``."""
     return (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-        .where(F.col("_metadata.file_path").contains(f"/{BLOB_FOLDER}/"))
-        .select(file_path().alias("path"), "content")
+        .withColumn("decoded", file_path())
+        .where(_in_blob_folder(below_root(F.col("decoded"), root)))
+        .select(F.col("decoded").alias("path"), "content")
     )
 
 
-def describe_rows(cells: DataFrame, max_columns: int | None = MAX_COLUMNS) -> DataFrame:
+def _person(export_dir: Column, below: Column) -> tuple[Column, Column]:
+    """Person and time of an export, from the folders below the root.
+
+    The deepest folder or archive named ``word_<person>_<digits>`` tells; without one the folders as a
+    whole name the person, so that two persons never become one. Files that lie in the root itself
+    belong to the root's folder.
+    """
+    folders = F.when(below == "", F.regexp_extract(export_dir, r"([^/]*)$", 1)).otherwise(below)
+    plain = F.regexp_replace(folders, r"(?i)\.zip(?=/|$)", "")
+    named = F.regexp_extract_all(plain, F.lit(r"(?:^|/)([A-Za-z]+_[^/]+_\d{8,})(?=/|$)"), 1)
+    last = F.when(F.size(named) > 0, F.element_at(named, -1))
+    user = F.regexp_extract(last, r"^[A-Za-z]+_(.+)_\d{8,}$", 1)
+    return F.coalesce(user, plain), F.regexp_extract(last, r"_(\d{8,})$", 1)
+
+
+def describe_rows(cells: DataFrame) -> DataFrame:
     """Add to every row what the first two lines of its file and its folder say.
 
-    Adds ``datatype_id, version, layout`` (a hash of type and header), ``user_id, export_ts`` and
-    the row's number ``row_no``. The metadata line itself is dropped; header rows stay, as
-    ``row_no`` 1. The one shuffle and sort is by file, and no file exceeds what one task has read.
+    Gives ``user_id, export_ts, export_dir, file_name, row_no, datatype_id, version, names, cells``;
+    ``names`` are the short, unique column names of the file's header. The metadata line itself is
+    dropped; header rows stay, as ``row_no`` 1. A blank type id reads as ``unknown``. The one shuffle
+    and sort is by file, and no file exceeds what one task has read.
     """
     in_file = Window.partitionBy("export_dir", "file_name").orderBy("position")
     so_far = in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -143,25 +211,11 @@ def describe_rows(cells: DataFrame, max_columns: int | None = MAX_COLUMNS) -> Da
         "_header": F.nth_value("cells", 2).over(so_far),
     })
     meta = F.transform("_meta", lambda c: F.trim(F.regexp_replace(c, r"^\uFEFF", "")))
-    trimmed = F.transform("_header", lambda c: F.trim(F.coalesce(c, F.lit(""))))
-    layout = F.xxhash64(F.get("_meta", 0), F.array_join(trimmed, "\u001f"))
-    if max_columns is not None:
-        layout = F.when(
-            F.size("_header") >= max_columns,
-            F.raise_error(F.concat(
-                F.lit("header wider than the scan, raise max_columns: "), F.col("file_name")))
-            .cast("long"),
-        ).otherwise(layout)
-    folder = F.regexp_extract("export_dir", r"([^/]*)$", 1)
-    folder = F.regexp_replace(folder, r"(?i)\.zip$", "")
-    named = r"(?:^|[/=])[A-Za-z]+_([^/]+)_(\d{8,})(?:\.zip)?(?:/|$)"
-    user = F.regexp_extract("export_dir", named, 1)
-    stamp = F.regexp_extract("export_dir", named, 2)
+    user, stamp = _person(F.col("export_dir"), F.col("below"))
+    datatype_id = F.get(meta, F.lit(0))
     return described.where("row_no > 0").select(
-        F.when(user != "", user).otherwise(folder).alias("user_id"),
-        F.when(stamp != "", stamp).alias("export_ts"),
-        "export_dir", "file_name", "row_no",
-        F.get(meta, F.lit(0)).alias("datatype_id"),
+        user.alias("user_id"), stamp.alias("export_ts"), "export_dir", "file_name", "row_no",
+        F.when(datatype_id != "", datatype_id).otherwise(NO_ID).alias("datatype_id"),
         F.when(F.get(meta, F.lit(1)) != "", F.get(meta, F.lit(1))).alias("version"),
-        layout.alias("layout"), "cells",
+        unique_name_column(short_names(F.col("_header"))).alias("names"), "cells",
     )
