@@ -387,7 +387,7 @@ def oracle_sql() -> dict[str, str]:
         "json_decode": """select event_id, case when event_id % 5 = 1 then null when event_id % 5 = 2 then null
             else '{"k":' || json_extract_string(props, '$.k') || '}' end as json from events""",
         "table_listing": " union all ".join(
-            f"select '{t}' as table_name, count(*) as n_rows, '{c}' as columns from events where {w}" for t, w, c in (
+            f"select '{t}' as table_name, count(*) as n_rows, 0::bigint as n_unowned, '{c}' as columns from events where {w}" for t, w, c in (
                 ("heart_rate", "event_type = 'view'", "user_id,start_time,bpm"),
                 ("stress", "event_type = 'click'", "user_id,start_time,score"),
                 ("spo2", "event_type = 'signup'", "user_id,start_time,spo2"),

@@ -111,3 +111,8 @@ def test_names(spark):
     assert table_name("com.samsung.shealth.sleep_combined") == "sleep_combined"
     assert table_name("com.samsung.health.Weight-1") == "weight_1"
     assert table_name("com.samsung.health.") == table_name(None) == "unknown"
+
+
+def test_times_with_a_zone_are_null(spark):
+    texts = ["2024-01-01 23:00:00+02:00", "2024-01-01T23:00:00Z", "2024-01-01 23:00:00.5 UTC", "2024-01-01 23:00:00.5"]
+    assert [t is None for t in apply(spark, texts, clean.parse_time)] == [True, True, True, False]

@@ -253,9 +253,10 @@ def test_listing_and_profile(spark, tmp_path, rows):
     stress = spark.createDataFrame(
         [(1, "2024-01-01", "5"), (1, "junk", None), (1, None, "7"), (1, "2024-01-02", "x" * 90)],
         "user_id int, start_time string, score string")
-    assert rows(table_listing({"stress": stress, "a": stress.select("user_id")})) == [
-        {"table_name": "a", "n_rows": 4, "columns": ["user_id"]},
-        {"table_name": "stress", "n_rows": 4, "columns": ["user_id", "start_time", "score"]}]
+    unowned = stress.select(F.when(F.col("score") == "5", F.col("user_id")).alias("user_id"))
+    assert rows(table_listing({"stress": stress, "a": unowned}), "table_name") == [
+        {"table_name": "a", "n_rows": 4, "n_unowned": 3, "columns": ["user_id"]},
+        {"table_name": "stress", "n_rows": 4, "n_unowned": 0, "columns": ["user_id", "start_time", "score"]}]
     time, score = sorted(rows(profile({"stress": stress})), key=lambda r: r["column_name"], reverse=True)
     assert time == {"table_name": "stress", "column_name": "start_time", "n_rows": 4, "n_filled": 3, "n_times": 2,
                     "samples": ["2024-01-01", "junk", "2024-01-02"],

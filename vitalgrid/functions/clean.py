@@ -44,6 +44,10 @@ def parse_number(text: Column) -> Column:
     return finite(F.when(trimmed.rlike(NUMBER_PATTERN), trimmed.try_cast("double")))
 
 
+#: a time of day followed by an offset or the name of a zone
+ZONED_TIME = r":\d{2}(\.\d+)?\s*([+-]\d|[A-Za-z])"
+
+
 def in_trusted_range(ts: Column) -> Column:
     return F.when(ts.between(_ntz(EARLIEST), _ntz(LATEST)), ts)
 
@@ -59,14 +63,18 @@ def _dashed(text: Column) -> Column:
 
 
 def parse_time(text: Column, epoch_below: float = EPOCH_MS_BELOW_ON_READ) -> Column:
-    """Epoch milliseconds or ISO-like text to ``timestamp_ntz``; untrusted times are null."""
+    """Epoch milliseconds or ISO-like text to ``timestamp_ntz``; untrusted times are null.
+
+    All times are local and without a zone; a text that names a zone or an offset is null, not read as
+    if it had none.
+    """
     trimmed = F.trim(text)
     number = parse_number(trimmed)
     from_epoch = _ntz(EARLIEST) + F.make_dt_interval(
         secs=(number / F.lit(1000.0)).cast("decimal(18,6)"))
     parsed = (
         F.when((number > EPOCH_MS_ABOVE) & (number < epoch_below), from_epoch)
-        .when(number > EPOCH_MS_ABOVE, None)
+        .when((number > EPOCH_MS_ABOVE) | trimmed.rlike(ZONED_TIME), None)
         .otherwise(_dashed(trimmed).try_cast("timestamp_ntz"))
     )
     return in_trusted_range(parsed)

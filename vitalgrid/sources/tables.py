@@ -45,11 +45,15 @@ def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def table_listing(tables: dict[str, DataFrame]) -> DataFrame:
-    """``table_name, n_rows, columns`` (in order) of each table, by name."""
+    """``table_name, n_rows, n_unowned, columns`` (in order) of each table, in no order.
+
+    Unowned rows have no ``user_id`` and take part in no metric.
+    """
     listing = None
     for name, df in sorted(tables.items()):
         columns = F.array(*[F.lit(c) for c in df.columns]).cast("array<string>")
-        row = df.agg(F.count("*").alias("n_rows")).select(
-            F.lit(name).alias("table_name"), "n_rows", columns.alias("columns"))
+        unowned = F.count_if(F.col("user_id").isNull()) if "user_id" in df.columns else F.count("*")
+        row = df.agg(F.count("*").alias("n_rows"), unowned.alias("n_unowned")).select(
+            F.lit(name).alias("table_name"), "n_rows", "n_unowned", columns.alias("columns"))
         listing = row if listing is None else listing.unionAll(row)
-    return listing.orderBy("table_name")
+    return listing
