@@ -96,7 +96,7 @@ def test_pack(odd):
 
 
 def test_binary(odd, tmp_path):
-    rows = binary_output.read_tokens(binary_output.write_tokens(odd, f"file://{tmp_path}/t", shard_ids=100)).collect()
+    rows = binary_output.read_tokens(binary_output.write_tokens(odd, f"{tmp_path}/t x", shard_ids=100)).collect()
     ordered = sorted(rows, key=lambda r: r["start"])
     assert [r["doc_id"] for r in ordered] == [None, 1, 2, 3, 4, 5, 6, 7, 7, 8, 9]
     ends = np.cumsum([r["n_tokens"] for r in ordered])
@@ -149,7 +149,7 @@ def test_empty_table(spark, odd, labels, tmp_path):
     assert near_dedup.near_groups(none).count() == 0 and near_dedup.keep_one(none).count() == 0
     assert mixing.systematic_copies(none).count() == 0 and mixing.mix(none).count() == 0
     assert packing.pack(none).count() == 0
-    assert binary_output.read_tokens(binary_output.write_tokens(none, f"file://{tmp_path}/t")).count() == 0
+    assert binary_output.read_tokens(binary_output.write_tokens(none, f"file:{tmp_path}/t")).count() == 0
     assert order_minhash.compare_with_next(none).count() == 0
     assert quality.score(none, quality.fit(none, labels)).count() == 0
     assert language.identify(none, language.fit(none)).count() == 0

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitalgrid.llm.common import in_ranges, range_points, shuffle_tasks, stored
@@ -106,11 +106,17 @@ class Shard:
         return self.read(int(self.starts[number]), int(self.lengths[number]))
 
 
+def full_address(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme of the store that Spark keeps it in, learned from a table written there."""
+    spark.range(1).write.parquet(f"{folder}/address")
+    return spark.read.parquet(f"{folder}/address").inputFiles()[0].rpartition("/address/")[0]
+
+
 def _open(path: str, mode: str):
-    """A file in the shared store, by any address that Arrow's file systems know."""
+    """A file in the shared store; Arrow's file systems must know its scheme."""
     from pyarrow import fs
 
-    place, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1) if ":" in path else f"file://{path}")
+    place, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     if mode == "w":
         place.create_dir(inner.rpartition("/")[0], recursive=True)
         return place.open_output_stream(inner)
@@ -173,6 +179,7 @@ def write_tokens(
     in order; a task holds one shard of ids.
     """
     vocabulary = vocabulary or default_vocabulary()
+    folder = full_address(docs.sparkSession, folder)
     points = range_points(docs, id_col, 2 * shuffle_tasks(docs.sparkSession))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ordered = in_ranges(rows, "doc_id", points).select("bucket", "doc_id", "text").repartitionById(len(points) + 1, "bucket").sortWithinPartitions("bucket", "doc_id", "text")
