@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitalgrid.llm.common import in_ranges, range_points, shuffle_tasks, stored
-from vitalgrid.llm.tokens import default_vocabulary, text_groups, word_tokenizer
+from vitalgrid.llm.tokens import default_vocabulary, text_slices, word_tokenizer
 
 MAGIC = b"VGTOK1"
 HEADER = struct.Struct("<6sHIQIQ")
@@ -146,22 +146,21 @@ def _write_shards(
              pa.array([len(lengths)]), pa.array([held])],
             names=["bucket", "shard", "path", "docs", "ids"])
 
-    for batch in batches:
+    for batch in text_slices(batches, "text"):
         buckets, owners, texts = (c.to_pylist() for c in batch.columns)
-        for part in text_groups(texts):
-            ids, counts = tokenizer.encode(texts[part])
-            at = 0
-            for own, doc_id, n in zip(buckets[part], owners[part], counts.tolist()):
-                if lengths and (own != bucket or held >= shard_ids):
-                    yield close()
-                    shard = shard + 1 if own == bucket else 0
-                    runs, doc_ids, lengths, held = [], [], [], 0
-                bucket = own
-                runs.append(ids[at:at + n])
-                doc_ids.append(doc_id)
-                lengths.append(n)
-                at += n
-                held += n
+        ids, counts = tokenizer.encode(texts)
+        at = 0
+        for own, doc_id, n in zip(buckets, owners, counts.tolist()):
+            if lengths and (own != bucket or held >= shard_ids):
+                yield close()
+                shard = shard + 1 if own == bucket else 0
+                runs, doc_ids, lengths, held = [], [], [], 0
+            bucket = own
+            runs.append(ids[at:at + n])
+            doc_ids.append(doc_id)
+            lengths.append(n)
+            at += n
+            held += n
     if lengths:
         yield close()
 

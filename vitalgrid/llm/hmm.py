@@ -36,7 +36,7 @@ LISTED_SHARE = 2_000_000
 PIECE, SCALED = 32, 8
 #: tokens computed side by side
 GROUP_TOKENS = 300_000
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 300_000
 #: pseudo-counts: of the unigram distribution in each state, of each transition
 PRIOR_EMISSIONS, PRIOR_TRANSITIONS = 500.0, 1.0
 SUMS = "symbol int, " + ", ".join(f"c{s} double" for s in range(STATES))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalgrid.llm.common import crc_remainder
+from vitalgrid.llm.tokens import text_slices
 
 WINDOW = 96
 HIDDEN = 8
@@ -280,7 +281,7 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, seed: int = 11
 
 
 def _predict(batches: Iterator[pa.RecordBatch], network: Network) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in text_slices(batches, "text"):
         found, scores = classify(batch.column(1).to_pylist(), network)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(found, pa.string()), pa.array(scores, pa.float64())],

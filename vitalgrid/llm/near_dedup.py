@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from vitalgrid.llm.common import stored, unused_names
 from vitalgrid.llm.components import components
+from vitalgrid.llm.tokens import text_slices
 
 WORDS = 5
 #: similarity that links, in hundredths
@@ -36,7 +37,7 @@ SIGNATURE = -(-MINIMA * BITS // 64)
 #: standard deviations below the threshold at which an estimate discards a pair
 MARGIN = 4.5
 SKETCH = f"doc_id {{id}}, n_shingles long, key1 long, key2 long, {', '.join(f's{i} long' for i in range(SIGNATURE))}, bands array<long>"
-REMEMBERED_WORDS = 1_000_000
+REMEMBERED_WORDS = 150_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -122,7 +123,7 @@ def set_keys(shingles: np.ndarray) -> tuple[np.uint64, np.uint64]:
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_shingles", "key1", "key2", *[f"s{i}" for i in range(SIGNATURE)], "bands"]
-    for batch in batches:
+    for batch in text_slices(batches, "text"):
         n = batch.num_rows
         sizes = np.zeros(n, np.int64)
         keys = np.zeros((n, 2), np.uint64)

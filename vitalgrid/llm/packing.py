@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.tokens import default_vocabulary, text_groups, word_tokenizer
+from vitalgrid.llm.tokens import default_vocabulary, text_slices, word_tokenizer
 
 MAX_LENGTH = 2048
 PIECES = "doc_id {id}, start long, length long, doc_tokens long, ids binary"
@@ -41,25 +41,22 @@ def binary_pieces(lengths: np.ndarray, most: int = MAX_LENGTH) -> tuple[np.ndarr
 
 def _pieces_of(batches: Iterator[pa.RecordBatch], vocabulary: str, most: int) -> Iterator[pa.RecordBatch]:
     tokenizer = word_tokenizer(vocabulary)
-    for batch in batches:
-        texts = batch.column(1).to_pylist()
-        for part in text_groups(texts):
-            ids, lengths = tokenizer.encode(texts[part])
-            doc, start, size = binary_pieces(lengths, most)
-            # the pieces cover the ids without a gap, so their ends are the offsets of one binary column
-            data = pa.py_buffer(ids.astype("<u4").tobytes())
-            ends = np.concatenate([[0], np.cumsum(size * 4)])
-            owners = batch.column(0).slice(part.start, part.stop - part.start)
-            for at in range(0, len(doc), ROWS):
-                rows = slice(at, at + ROWS)
-                offsets = ends[at:at + ROWS + 1]
-                column = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [
-                    None, pa.py_buffer((offsets - offsets[0]).astype("<i4").tobytes()),
-                    data.slice(int(offsets[0]), int(offsets[-1] - offsets[0]))])
-                yield pa.RecordBatch.from_arrays([
-                    owners.take(pa.array(doc[rows])), pa.array(start[rows]), pa.array(size[rows]),
-                    pa.array(lengths[doc[rows]]), column,
-                ], names=["doc_id", "start", "length", "doc_tokens", "ids"])
+    for batch in text_slices(batches, "text"):
+        ids, lengths = tokenizer.encode(batch.column(1).to_pylist())
+        doc, start, size = binary_pieces(lengths, most)
+        # the pieces cover the ids without a gap, so their ends are the offsets of one binary column
+        data = pa.py_buffer(ids.astype("<u4").tobytes())
+        ends = np.concatenate([[0], np.cumsum(size * 4)])
+        for at in range(0, len(doc), ROWS):
+            rows = slice(at, at + ROWS)
+            offsets = ends[at:at + ROWS + 1]
+            column = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [
+                None, pa.py_buffer((offsets - offsets[0]).astype("<i4").tobytes()),
+                data.slice(int(offsets[0]), int(offsets[-1] - offsets[0]))])
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0).take(pa.array(doc[rows])), pa.array(start[rows]), pa.array(size[rows]),
+                pa.array(lengths[doc[rows]]), column,
+            ], names=["doc_id", "start", "length", "doc_tokens", "ids"])
 
 
 def pack(docs: DataFrame, vocabulary: str | None = None, most: int = MAX_LENGTH,

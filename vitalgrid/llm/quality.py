@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from vitalgrid.llm.common import crc_remainder
 from vitalgrid.llm.near_dedup import mix64
-from vitalgrid.llm.tokens import Numbers, text_groups
+from vitalgrid.llm.tokens import Numbers, text_slices
 
 ROWS = 1 << 18
 DIMENSIONS = 16
@@ -32,7 +32,7 @@ RATE = 0.5
 THRESHOLD = 0.3
 #: features without meaning that every document has besides its own, so that few words decide little
 BLANKS = 50
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 300_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -225,11 +225,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL, s
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     scorer = model.scorer()
-    for batch in batches:
-        texts = batch.column(0).to_pylist()
-        found = [scorer.scores(texts[part]) for part in text_groups(texts)]
-        columns = [*batch.columns, pa.array(np.concatenate(found) if found else np.zeros(0))]
-        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "score"])
+    for batch in text_slices(batches, "_text"):
+        found = scorer.scores(batch.column(0).to_pylist())
+        yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found)], names=[*batch.schema.names[1:], "score"])
 
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -239,19 +237,16 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
     columns are of no effect; an empty table gives no rows.
     """
     chosen = docs.select(F.col("text").cast("string").alias("_text"), *keep)
-    schema = ", ".join(f"`{c}` {t}" for c, t in chosen.dtypes) + ", score double"
-    return chosen.mapInArrow(lambda batches: _score(batches, model), schema).drop("_text")
+    schema = ", ".join(f"`{c}` {t}" for c, t in chosen.dtypes[1:]) + ", score double"
+    return chosen.mapInArrow(lambda batches: _score(batches, model), schema)
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose score reaches the threshold, with all their columns, in one scan."""
     def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = model.scorer()
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            found = [scorer.scores(texts[part]) for part in text_groups(texts)]
-            if found:
-                yield batch.filter(pa.array(np.concatenate(found) >= threshold))
+        for batch in text_slices(batches, "text"):
+            yield batch.filter(pa.array(scorer.scores(batch.column("text").to_pylist()) >= threshold))
 
     return docs.mapInArrow(good, docs.schema)
 

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 #: id appended to each document
 END_ID = 1
 #: distinct words whose ids a worker remembers; beyond that it starts anew
-REMEMBERED_WORDS = 800_000
+REMEMBERED_WORDS = 400_000
 
 
 class Numbers(dict):
@@ -157,20 +157,7 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def text_groups(texts: list, most_chars: int = 4_000_000):
-    """Slices of a batch that hold about ``most_chars`` characters, or one longer text."""
-    first, held = 0, 0
-    for i, text in enumerate(texts):
-        n = len(text) if text else 0
-        if held and held + n > most_chars:
-            yield slice(first, i)
-            first, held = i, 0
-        held += n
-    if first < len(texts):
-        yield slice(first, len(texts))
-
-
-def text_slices(batches, column: str, most_bytes: int = 4_000_000):
+def text_slices(batches, column: str, most_bytes: int = 2_000_000):
     """The rows of Arrow batches in slices that hold about so many bytes of text, or one longer text."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
