@@ -258,7 +258,7 @@ def first_filled_table(spark, sf):
     events = b.events(spark, sf).select("user_id", "event_id", "value", "event_type")
     preferred = events.where("event_type = 'click' and user_id % 3 = 0").drop("event_type")
     fallback = events.where("event_type = 'view'").drop("event_type")
-    return dedup.first_filled_table([preferred, fallback], ["event_id"])
+    return dedup.first_filled_table([preferred, fallback])
 
 
 def candidate_choice(spark, sf):

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.operators.person_join import join_person_values
-
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """Of the rows with equal keys keep the one that comes last in ``order``.
@@ -33,10 +31,10 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return result
 
 
-def first_filled_table(tables: Sequence[DataFrame], spread_by: Sequence[str]) -> DataFrame:
+def first_filled_table(tables: Sequence[DataFrame]) -> DataFrame:
     """For each person the rows of the first table that has any of theirs."""
     positioned = union_by_name([
         table.withColumn("_position", F.lit(i)) for i, table in enumerate(tables)])
     best = positioned.groupBy("user_id").agg(F.min("_position").alias("_best"))
-    joined = join_person_values(positioned, best, spread_by)
+    joined = positioned.join(best, "user_id")
     return joined.where("_position = _best").drop("_position", "_best")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from vitalgrid.functions.clean import as_number, as_time, calendar_day, clip, minutes_between
 from vitalgrid.operators.candidates import position_of, time_of, value_of
-from vitalgrid.operators.person_join import join_person_values
 from vitalgrid.params import DEFAULT_PARAMS, FALLBACK_HR_REST, MetricParams
 
 # Candidate columns and the coefficients of the impulse formula.
@@ -98,16 +97,14 @@ def daily_load(
     """TRIMP summed per person and calendar day.
 
     TRIMP is proportional to the minutes, so workouts are first summed per person, day and heart
-    rate. Those few rows then meet the per-person values, spread over several tasks per person.
+    rate. A person has few of those rows, however many workouts, and they meet the per-person values.
     """
     rows = workout_rows(exercise)
     positive = {name: F.sum(F.when(F.col(name) > 0, F.col(name))) for name in ("_minutes", "_span")}
     summed = rows.groupBy("user_id", "_day", "_time_position", "_mean_hr", "_hr_position").agg(
         *[total.alias(name) for name, total in positive.items()])
     persons = person_values(workout_choices(rows), resting, params, profiles)
-    joined = join_person_values(
-        summed.where("_day is not null"),
-        persons, ["_day", "_mean_hr"])
+    joined = summed.where("_day is not null").join(persons, "user_id")
     minutes = F.when(F.col("_any_duration"), F.col("_minutes")).otherwise(F.col("_span"))
     mean_hr = F.when(F.col("_hr_position") == F.col("_best_hr"), F.col("_mean_hr"))
     load = trimp(mean_hr, minutes, F.col("_hr_rest"), F.col("_hr_max"), F.col("_sex"))

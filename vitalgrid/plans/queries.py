@@ -9,7 +9,6 @@ from vitalgrid.functions.clean import as_number, finite, round_half_even
 from vitalgrid.functions.codes import STAGES, exercise_name
 from vitalgrid.operators import load as l
 from vitalgrid.operators.candidates import position_of, value_of
-from vitalgrid.operators.person_join import join_person_values
 from vitalgrid.operators.timeline import days
 from vitalgrid.params import (
     CORRELATED, DEFAULT_PARAMS, GOAL_DAYS, GOALS, KPI_PREVIOUS_POSITION, KPI_SPARK_POINTS, KPIS,
@@ -142,7 +141,8 @@ def workouts(
     """Workouts with pace and TRIMP, in no order: show them by ``start_time`` descending.
 
     Without a workout table (``None``) there are none. Persons are not windowed: their newest start and
-    resting heart rate come from aggregates, so a large person is split.
+    resting heart rate come from one aggregate and meet the rows by an equi-join, which adaptive
+    execution splits for a large person.
     """
     length = days_of(range_name)
     if exercise is None:
@@ -162,9 +162,7 @@ def workouts(
         tagged = tagged.withColumn(f"_{name}", value)
     persons = l.person_values(l.workout_choices(tagged, *best), resting, params, profiles)
 
-    listed = join_person_values(
-        tagged.where("_start is not null"), persons, ["_start", "_minutes"]
-    ).where("_time_position = _best_time")
+    listed = tagged.where("_start is not null").join(persons, "user_id").where("_time_position = _best_time")
     if length is not None:
         oldest = F.col("_newest") - F.make_dt_interval(days=F.lit(length - 1))
         listed = listed.where(F.col("_start") >= oldest)
