@@ -26,6 +26,31 @@ select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_siz
 from documents window same as (partition by coalesce(text, ''))
 """
 
+NEAR_DEDUP = r"""
+with recursive
+worded as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as words from documents),
+placed as (select doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) as i
+           from worded where len(words) > 0),
+shingled as (select distinct doc_id, array_to_string(words[i:i + 4], ' ') as shingle from placed),
+sized as (select doc_id, count(*) as n from shingled group by doc_id),
+shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n
+  from shingled a join shingled b on a.shingle = b.shingle and a.doc_id < b.doc_id group by 1, 2),
+links as (
+  select a, b from shared s join sized x on x.doc_id = a join sized y on y.doc_id = b
+  where 100 * s.n >= 85 * (x.n + y.n - s.n)),
+both_ways as (select a, b from links union all select b, a from links),
+reached as (
+  select doc_id, doc_id as other from documents
+  union select r.doc_id, e.b from reached r join both_ways e on e.a = r.other),
+named as (select doc_id, min(other) as component_id from reached group by doc_id)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = component_id as kept
+from named left join sized using (doc_id)
+"""
+
 MIXING = rf"""
 with sized as (
   select doc_id, source, {WORDS} as size, md5(cast(doc_id as varchar)) as hash from documents),
@@ -58,4 +83,4 @@ from numbered
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_token_rollup": TOKEN_ROLLUP, "op8_exact_dedup": EXACT_DEDUP, "op9_mixing": MIXING}
+    return {"op1_token_rollup": TOKEN_ROLLUP, "op4_near_dedup": NEAR_DEDUP, "op8_exact_dedup": EXACT_DEDUP, "op9_mixing": MIXING}
