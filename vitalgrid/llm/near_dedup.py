@@ -8,7 +8,7 @@ remain are confirmed on full shingle sets, so a link is exact; what can be lost
 nominates (below 1e-6 at the threshold) or whose estimate errs by ``MARGIN`` standard deviations.
 
 Groups are never expanded into all pairs. Equal sets are one node. In every bucket all members are first
-tested against one leader; only buckets in which this leaves several components are looked at again,
+tested against its most central member; only buckets in which this leaves several components are looked at again,
 and there only pairs across components.
 """
 
@@ -238,14 +238,21 @@ def near_groups(
     nodes = sketched.join(named.select("node"), sketched["uid"] == F.col("node"), "left_semi").select(
         F.col("uid").alias("node"), "doc_id", "key1", "key2", F.col("n_shingles").alias("n"), *signature, "bands")
     banded = nodes.select("node", F.explode("bands").alias("band"))
-    leaders = banded.groupBy("band").agg(
-        F.min("node").alias("leader"), F.count("*").alias("members")).where("members > 1")
-    # members of buckets that hold more than one node, with the bucket's leader
-    members = stored(banded.join(leaders.select("band", "leader"), "band"), "buckets")
+    sizes = banded.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
+    # members of buckets that hold more than one node
+    shared = stored(banded.join(sizes, "band"), "bucket-members")
+    # a bucket is led by its most central member: the one that shares buckets with the most others, as the
+    # original of a family of copies does
+    central = shared.groupBy("node").agg(F.sum("members").alias("mates"))
+    leaders = shared.select("node", "band").join(central, "node").groupBy("band").agg(
+        F.max(F.struct("mates", (-F.col("node")).alias("first"))).alias("best")).select(
+        "band", (-F.col("best.first")).alias("leader"))
+    members = stored(shared.select("node", "band").join(leaders, "band"), "buckets")
     sides = stored(nodes.join(members.select("node").distinct(), "node", "left_semi"), "crowded")
     sets = stored(_shingle_sets(rows, sides), "shingle-sets")
 
-    first = members.where("node != leader").select(F.col("node").alias("b"), F.col("leader").alias("a")).distinct()
+    first = members.where("node != leader").select(
+        F.greatest("node", "leader").alias("b"), F.least("node", "leader").alias("a")).distinct()
     slim = sides.select("node", "n", *signature)
     tested = first.join(slim.alias("l"), F.col("a") == F.col("l.node")).join(
         slim.alias("r"), F.col("b") == F.col("r.node")).where(_plausible("l", "r", percent)).select("a", "b")
@@ -262,7 +269,8 @@ def near_groups(
     first_shared = F.array_position(F.zip_with("l.bands", "r.bands", lambda x, y: x == y), True)
     this_band = F.array_position("l.bands", F.col("l.band"))
     across = l.join(r, (F.col("l.band") == F.col("r.band")) & (F.col("l.node") < F.col("r.node"))
-                    & (F.col("l.component") != F.col("r.component")) & (F.col("l.node") != F.col("r.leader"))
+                    & (F.col("l.component") != F.col("r.component"))
+                    & (F.col("l.node") != F.col("l.leader")) & (F.col("r.node") != F.col("r.leader"))
                     & _plausible("l", "r", percent) & (first_shared == this_band))
     more = stored(_confirmed(
         across.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")), sets, percent), "links")
