@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from vitalgrid.llm import exact_dedup, mixing, near_dedup, packing, quality
 from vitalgrid.llm.common import documents, ship_package, stored
 
+#: similarity of word shingles, in hundredths, from which the near-dedup stage links
+NEAR_PERCENT = 80
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -31,7 +33,7 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that with the smallest id."""
     ship_package(spark)
-    return near_dedup.keep_one(docs.select(*COLUMNS))
+    return near_dedup.keep_one(docs.select(*COLUMNS), NEAR_PERCENT)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -195,6 +195,36 @@ def test_packed_bits_in_spark(spark):
     assert {r["id"]: r["n"] for r in found} == dict(enumerate(((left & 3) != (right & 3)).sum(1).tolist()))
 
 
+@pytest.mark.parametrize("percent", [50, 70, 80, 85, 95, 100])
+def test_bands_cover_the_threshold(percent):
+    plan = near_dedup.banding(percent)
+    assert (1 - (percent / 100) ** plan.rows) ** plan.bands <= 1e-6
+    assert plan.rows * plan.bands <= plan.minima <= near_dedup.MOST_MINIMA
+
+
+def test_thresholds_that_bands_cannot_cover_are_refused(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
+    for percent in (0, 2, 101):
+        with pytest.raises(ValueError):
+            near_dedup.near_groups(docs, percent)
+
+
+def test_pipeline_links_from_80_percent(spark):
+    """Pairs of texts that share 45 of 55 shingles are one group in the pipeline, two in op4."""
+    import corpus_pipeline
+
+    ship_package(spark)
+    rows = []
+    for i in range(40):
+        words = [f"w{i}x{j}" for j in range(49)]  # 45 shingles, 5 more on either side
+        rows += [(2 * i, " ".join(words + [f"p{i}x{j}" for j in range(5)])),
+                 (2 * i + 1, " ".join(words + [f"q{i}x{j}" for j in range(5)]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "doc_id", "text", "'en' lang", "'a' source", "length(text) n_chars")
+    assert corpus_pipeline.one_of_near_copies(spark, docs, "").count() == 40
+    assert near_dedup.near_groups(docs).where("kept").count() == 80
+
+
 def test_shingles():
     assert len(near_dedup.shingle_hashes("a b c d e f")) == 2
     assert len(near_dedup.shingle_hashes("A b\tc")) == 1 and len(near_dedup.shingle_hashes(" \n")) == 0

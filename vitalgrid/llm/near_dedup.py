@@ -5,7 +5,8 @@ minima make the bands, whose equal values nominate candidates. Of each minimum o
 bits are kept, packed into words; the bits in which two signatures differ, corrected for chance
 collisions, estimate the similarity of a candidate pair and discard the hopeless ones. Pairs that
 remain are confirmed on full shingle sets, so a link is exact; what can be lost is a pair that no band
-nominates (below 1e-6 at the threshold) or whose estimate errs by ``MARGIN`` standard deviations.
+nominates (at most ``MISSED`` at the threshold, whatever the threshold: number and length of the bands
+follow from it) or whose estimate errs by ``MARGIN`` standard deviations.
 
 Groups are never expanded into all pairs. Equal sets are one node. In every bucket all members are first
 tested against its most central member; only buckets in which this leaves several components are looked at again,
@@ -14,7 +15,9 @@ and there only pairs across components.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -29,18 +32,51 @@ from vitalgrid.llm.tokens import text_slices
 WORDS = 5
 #: similarity that links, in hundredths
 PERCENT = 85
-BAND_ROWS, BANDS = 7, 36
-MINIMA = BAND_ROWS * BANDS
+#: a pair at the threshold shares no band with at most this probability
+MISSED = 1e-6
+#: minima that bands may take
+MOST_MINIMA = 288
 BITS = 2
-#: signature words of 64 bits
-SIGNATURE = -(-MINIMA * BITS // 64)
 #: standard deviations below the threshold at which an estimate discards a pair
 MARGIN = 4.5
-SKETCH = f"doc_id {{id}}, n_shingles long, key1 long, key2 long, {', '.join(f's{i} long' for i in range(SIGNATURE))}, bands array<long>"
 REMEMBERED_WORDS = 150_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+@dataclass(frozen=True)
+class Banding:
+    """Bands of whole minima, and the signature that all minima make."""
+
+    rows: int  # minima of a band
+    bands: int
+    minima: int
+
+    @property
+    def signature(self) -> list[str]:
+        """Columns of the signature words of 64 bits."""
+        return [f"s{i}" for i in range(-(-self.minima * BITS // 64))]
+
+
+@lru_cache
+def banding(percent: int, least_minima: int = 252) -> Banding:
+    """The longest bands by which pairs at the threshold are missed with at most ``MISSED``.
+
+    Raises ``ValueError`` for a threshold that ``MOST_MINIMA`` minima cannot cover.
+    """
+    if not 0 < percent <= 100:
+        raise ValueError(f"a similarity of {percent} % is not above 0 and at most 100")
+    for rows in range(16, 0, -1):
+        alike = (percent / 100) ** rows
+        bands = math.ceil(math.log(MISSED) / math.log1p(-alike)) if alike < 1 else 1
+        if rows * bands <= MOST_MINIMA:
+            return Banding(rows, bands, max(least_minima, rows * bands))
+    raise ValueError(f"{MOST_MINIMA} minima do not find pairs that are {percent} % alike")
+
+
+BAND_ROWS, BANDS, MINIMA = banding(PERCENT).rows, banding(PERCENT).bands, banding(PERCENT).minima
+SIGNATURE = len(banding(PERCENT).signature)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit numbers (shift and multiply rounds)."""
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
@@ -84,34 +120,37 @@ def shingle_hashes(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique(mix64(mixed))
 
 
-@lru_cache(maxsize=1)
-def _multipliers() -> np.ndarray:
-    return np.random.default_rng(20240501).integers(0, 2 ** 31, MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+@lru_cache
+def _multipliers(number: int) -> np.ndarray:
+    return np.random.default_rng(20240501).integers(0, 2 ** 31, number, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
+def minima(shingles: np.ndarray, number: int = MINIMA) -> np.ndarray:
     """Smallest value of each of the hash functions over a set; sets of any size in slices."""
     values = (shingles >> np.uint64(32)).astype(np.uint32) ^ shingles.astype(np.uint32)
-    least = np.full(MINIMA, 2 ** 32 - 1, np.uint32)
+    least = np.full(number, 2 ** 32 - 1, np.uint32)
     for i in range(0, len(values), 512):
-        np.minimum(least, np.multiply.outer(_multipliers(), values[i:i + 512]).min(1), out=least)
+        np.minimum(least, np.multiply.outer(_multipliers(number), values[i:i + 512]).min(1), out=least)
     return least
 
 
 def packed_bits(least: np.ndarray) -> np.ndarray:
     """The low bits of each minimum, side by side in words of 64 bits (rows of minima to rows of words)."""
-    lanes = np.zeros((*least.shape[:-1], SIGNATURE * 64 // BITS), np.uint64)
-    lanes[..., :MINIMA] = least & np.uint32((1 << BITS) - 1)
-    lanes = lanes.reshape(*least.shape[:-1], SIGNATURE, 64 // BITS)
+    number = least.shape[-1]
+    words = -(-number * BITS // 64)
+    lanes = np.zeros((*least.shape[:-1], words * 64 // BITS), np.uint64)
+    lanes[..., :number] = least & np.uint32((1 << BITS) - 1)
+    lanes = lanes.reshape(*least.shape[:-1], words, 64 // BITS)
     shifts = np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS)
     return np.bitwise_or.reduce(lanes << shifts, axis=-1)
 
 
-def band_keys(least: np.ndarray) -> np.ndarray:
+def band_keys(least: np.ndarray, plan: Banding = banding(PERCENT)) -> np.ndarray:
     """One 64-bit key for each band from the whole minima of its rows."""
-    rows = least.reshape(*least.shape[:-1], BANDS, BAND_ROWS).astype(np.uint64)
-    key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), rows.shape[:-1]) * _ODD
-    for i in range(BAND_ROWS):
+    rows = least[..., :plan.rows * plan.bands].reshape(
+        *least.shape[:-1], plan.bands, plan.rows).astype(np.uint64)
+    key = np.broadcast_to(np.arange(1, plan.bands + 1, dtype=np.uint64), rows.shape[:-1]) * _ODD
+    for i in range(plan.rows):
         key = mix64(key + rows[..., i])
     return key
 
@@ -121,33 +160,37 @@ def set_keys(shingles: np.ndarray) -> tuple[np.uint64, np.uint64]:
     return mix64(shingles).sum(), mix64(shingles ^ _ODD).sum()
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "n_shingles", "key1", "key2", *[f"s{i}" for i in range(SIGNATURE)], "bands"]
+def _sketches(batches: Iterator[pa.RecordBatch], plan: Banding) -> Iterator[pa.RecordBatch]:
+    names = ["doc_id", "n_shingles", "key1", "key2", *plan.signature, "bands"]
     for batch in text_slices(batches, "text"):
         n = batch.num_rows
         sizes = np.zeros(n, np.int64)
         keys = np.zeros((n, 2), np.uint64)
-        least = np.zeros((n, MINIMA), np.uint32)
+        least = np.zeros((n, plan.minima), np.uint32)
         for i, text in enumerate(batch.column(1)):
             found = shingle_hashes(text.as_py())
             if len(found):
                 sizes[i] = len(found)
                 keys[i] = set_keys(found)
-                least[i] = minima(found)
+                least[i] = minima(found, plan.minima)
         bits = packed_bits(least).view(np.int64)
         bands = pa.ListArray.from_arrays(
-            pa.array(np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32)),
-            pa.array(band_keys(least).view(np.int64).ravel()))
+            pa.array(np.arange(0, n * plan.bands + 1, plan.bands, dtype=np.int32)),
+            pa.array(band_keys(least, plan).view(np.int64).ravel()))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(sizes), *[pa.array(keys[:, i].view(np.int64)) for i in (0, 1)],
-             *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(SIGNATURE)], bands], names=names)
+             *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(bits.shape[1])], bands], names=names)
 
 
-def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sketches(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Set size, set key, packed signature and band keys of every row; ``uid`` names the row."""
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return chosen.mapInArrow(_sketches, SKETCH.format(id=dict(chosen.dtypes)["doc_id"])).withColumn(
-        "uid", F.monotonically_increasing_id())
+    plan = banding(percent)
+    words = ", ".join(f"{name} long" for name in plan.signature)
+    return chosen.mapInArrow(
+        lambda batches: _sketches(batches, plan),
+        f"doc_id {dict(chosen.dtypes)['doc_id']}, n_shingles long, key1 long, key2 long, {words}, bands array<long>",
+    ).withColumn("uid", F.monotonically_increasing_id())
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,13 +216,13 @@ def _shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 # ---- estimates from packed bits ----------------------------------------------------------------
 
-def unequal_lanes(left: str, right: str) -> Column:
+def unequal_lanes(left: str, right: str, percent: int = PERCENT) -> Column:
     """How many minima differ in their kept bits, by bit counts over the packed words."""
     total = None
     ones = sum(1 << (i * BITS) for i in range(64 // BITS))
     mask = F.lit(ones if ones < 2 ** 63 else ones - 2 ** 64).cast("long")
-    for i in range(SIGNATURE):
-        differing = F.col(f"{left}.s{i}").bitwiseXOR(F.col(f"{right}.s{i}"))
+    for name in banding(percent).signature:
+        differing = F.col(f"{left}.{name}").bitwiseXOR(F.col(f"{right}.{name}"))
         folded = differing
         for b in range(1, BITS):
             folded = folded.bitwiseOR(F.shiftrightunsigned(differing, b))
@@ -188,24 +231,24 @@ def unequal_lanes(left: str, right: str) -> Column:
     return total
 
 
-def estimated_similarity(left: str, right: str) -> Column:
+def estimated_similarity(left: str, right: str, percent: int = PERCENT) -> Column:
     """Share of equal lanes, corrected for lanes that are equal by chance."""
-    chance = 0.5 ** BITS
-    return (F.lit(1.0) - unequal_lanes(left, right) / F.lit(float(MINIMA)) - F.lit(chance)) / F.lit(1 - chance)
+    chance, number = 0.5 ** BITS, float(banding(percent).minima)
+    return (F.lit(1.0) - unequal_lanes(left, right, percent) / F.lit(number) - F.lit(chance)) / F.lit(1 - chance)
 
 
 def least_estimate(percent: int = PERCENT) -> float:
     """An estimate below this discards a pair: ``MARGIN`` standard deviations under the threshold."""
     chance, similar = 0.5 ** BITS, percent / 100
     equal = similar + (1 - similar) * chance
-    return similar - MARGIN * (equal * (1 - equal) / MINIMA) ** 0.5 / (1 - chance)
+    return similar - MARGIN * (equal * (1 - equal) / banding(percent).minima) ** 0.5 / (1 - chance)
 
 
 def _plausible(left: str, right: str, percent: int) -> Column:
     """Sizes allow the similarity, and the estimate does not rule it out."""
     small, large = F.least(f"{left}.n", f"{right}.n"), F.greatest(f"{left}.n", f"{right}.n")
     return (small * 100 >= large * percent) & (
-        estimated_similarity(left, right) >= F.lit(least_estimate(percent)))
+        estimated_similarity(left, right, percent) >= F.lit(least_estimate(percent)))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -227,11 +270,12 @@ def near_groups(
     have no shingles and are linked with nothing. Rows with equal sets, repeated rows among them, share
     a component. Null ids count as larger than all others; a component of nothing else has a null name
     and its rows are kept. Of rows that repeat an id and a text all are kept or none. An empty table
-    gives no rows; other columns are ignored.
+    gives no rows; other columns are ignored. A link at the threshold is missed with a probability of at
+    most ``MISSED`` by the bands; a ``percent`` that they cannot cover so raises ``ValueError``.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sketched = stored(sketches(rows), "sketches")
-    signature = [f"s{i}" for i in range(SIGNATURE)]
+    sketched = stored(sketches(rows, percent), "sketches")
+    signature = banding(percent).signature
     # nodes: one for each distinct set, named by its first row; they know the set's smallest id
     named = stored(sketched.where("n_shingles > 0").groupBy("key1", "key2", "n_shingles").agg(
         F.min("uid").alias("node"), F.min("doc_id").alias("low")), "nodes")
