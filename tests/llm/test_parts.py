@@ -365,6 +365,26 @@ def test_rounds_raise_the_likelihood(spark):
     assert history == sorted(history)
 
 
+def test_emissions_of_joined_symbols(spark, monkeypatch):
+    """Held and joined symbols make one model: emissions of each state sum to 1, and each round learns."""
+    ship_package(spark)
+    monkeypatch.setattr(hmm, "SYMBOL_SHARE", 6)
+    texts = ["a b a b a b c " * 9, "x y x y z " * 9, "once twice"] * 8
+    rows = spark.createDataFrame([(i, t, i == 5) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean")
+    counts = hmm.word_counts(rows)
+    words = hmm.describe_words(counts)
+    assert 0 < len(words.symbols) < 7 and words.other_words == 7 - len(words.symbols)
+    encoded = rows.select("doc_id", "held_out", "text").mapInArrow(
+        lambda b: hmm._encode(b, words), hmm.ENCODED.format(id="bigint")).selectExpr(
+        "*", "monotonically_increasing_id() part").localCheckpoint()
+    others = hmm.other_symbols(encoded, counts, words)
+    assert others.count() == words.other_words
+    model, weights, history = hmm.train(encoded, words, others)
+    assert history == sorted(history) and history[-1] > history[0] and len(history) == hmm.ROUNDS
+    rest = np.array([[r[f"w{k}"] for k in range(hmm.STATES)] for r in weights.collect()])
+    assert np.allclose(model.emits[:-1].sum(0) + (rest / model.total).sum(0), 1)
+
+
 def test_quality_learns_subwords():
     good = [f"the calm reader number{i} walks along quiet rivers" for i in range(40)]
     bad = [f"BUYNOW{i}!! cheapcheap{i} clickclick{i}" for i in range(40)]

@@ -162,3 +162,16 @@ def test_language_model(run, docs, monkeypatch, shares):
     base = [sum(math.log10((counts[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in t) for t in tokens]
     assert np.allclose(found.base_score, base, rtol=1e-9)
     assert found[found.held_out].score.sum() > found[found.held_out].base_score.sum()
+
+
+def test_symbols_do_not_depend_on_shares(run, monkeypatch):
+    """Words that tasks do not hold are learned as well: scores stay near those with all symbols held."""
+    from vitalgrid.llm import hmm
+
+    whole = run("op7_hmm_scores")
+    monkeypatch.setattr(hmm, "SYMBOL_SHARE", 200)
+    monkeypatch.setattr(hmm, "LISTED_SHARE", 500)
+    joined = run("op7_hmm_scores")
+    assert np.allclose(joined.base_score, whole.base_score, rtol=1e-9)
+    # states begin at other random weights, so that scores differ a little
+    assert abs(joined.score.sum() / whole.score.sum() - 1) < 0.005

@@ -1,9 +1,11 @@
 """Hidden Markov language model over words, trained by Baum-Welch over partitions.
 
-Latent states emit symbols. Frequent words are symbols of their own; every other word is a symbol of its
-class (by its ending), and the class emits the word in proportion to its smoothed count. Counts of words
-cover all training documents. Each round of Baum-Welch computes expected counts of states, transitions
-and emissions in every partition, sums them up by symbol, and re-estimates the model on the driver.
+Latent states emit symbols. A word that occurs ``SYMBOL_COUNT`` times in training is a symbol of its own,
+whatever the size of the input; every other word is a symbol of its class (by its ending), and the class
+emits the word in proportion to its smoothed count. Counts of words cover all training documents. Each
+round of Baum-Welch computes expected counts of states, transitions and emissions in every partition and
+sums them up by symbol. The driver and all tasks hold the emissions of frequent words and classes only;
+those of all other symbols are a written table, which meets the blocks of texts by joins in every round.
 
 Sequences are cut into pieces that all run side by side: a piece yields the product of its steps for
 every state it may begin in, and these products are chained along each document. So the scaled forward
@@ -17,7 +19,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalgrid.llm.common import crc_remainder, stored
@@ -26,10 +28,10 @@ from vitalgrid.llm.tokens import Numbers, text_slices
 STATES = 4
 ROUNDS = 4
 CLASSES = 256
-#: a word is a symbol if it makes up one in so many training tokens: at most as many symbols
-SYMBOL_SHARE = 200_000
-#: and occurs so often in training; rarer words teach their classes how likely rare words are
+#: a word is a symbol if it occurs so often in training; rarer words teach their classes how likely rare words are
 SYMBOL_COUNT = 10
+#: all tasks hold a symbol if it makes up one in so many training tokens: at most as many; others come by joins
+SYMBOL_SHARE = 2_000_000
 #: a word's count is handed to all tasks if it makes up one in so many tokens: at most as many words
 LISTED_SHARE = 2_000_000
 #: steps of a piece, and steps between two scalings
@@ -39,7 +41,8 @@ GROUP_TOKENS = 300_000
 REMEMBERED_WORDS = 300_000
 #: pseudo-counts: of the unigram distribution in each state, of each transition
 PRIOR_EMISSIONS, PRIOR_TRANSITIONS = 500.0, 1.0
-SUMS = "symbol int, " + ", ".join(f"c{s} double" for s in range(STATES))
+#: a row has the number of a symbol that tasks hold, or the word that another symbol is
+SUMS = "symbol int, word long, " + ", ".join(f"c{s} double" for s in range(STATES))
 
 
 def word_id(word: bytes) -> int:
@@ -107,12 +110,14 @@ class Words:
 
     tokens: int  # training tokens
     distinct: int  # distinct training tokens
-    symbols: np.ndarray  # ids of the words that are symbols, ascending
+    symbols: np.ndarray  # ids of the words that are symbols held by all tasks, ascending
     symbol_counts: np.ndarray
     listed: np.ndarray  # ids of the words whose counts are known here, ascending
     listed_counts: np.ndarray
     class_tokens: np.ndarray  # training tokens and words of each class, symbols aside
     class_words: np.ndarray
+    other_tokens: float = 0.0  # training tokens and words of the symbols that tasks do not hold
+    other_words: float = 0.0
 
     @property
     def base_total(self) -> float:
@@ -123,9 +128,27 @@ class Words:
         return self.class_tokens + 0.5 * (self.class_words + 1)
 
     def unigram(self) -> np.ndarray:
-        """Smoothed shares of the symbols, classes last."""
-        counts = np.concatenate([self.symbol_counts, self.class_tokens]) + 0.5
-        return counts / counts.sum()
+        """Smoothed shares of the symbols that tasks hold, classes last."""
+        return (np.concatenate([self.symbol_counts, self.class_tokens]) + 0.5) / self.smoothed
+
+    @property
+    def smoothed(self) -> float:
+        """Smoothed counts of all symbols."""
+        return float(self.symbol_counts.sum() + self.class_tokens.sum() + self.other_tokens
+                     + 0.5 * (len(self.symbol_counts) + CLASSES + self.other_words))
+
+    @property
+    def other_share(self) -> float:
+        return (self.other_tokens + 0.5 * self.other_words) / self.smoothed
+
+
+def _is_symbol() -> Column:
+    return F.col("n_train") >= SYMBOL_COUNT
+
+
+def _is_held(tokens: int) -> Column:
+    """Symbols that all tasks hold."""
+    return _is_symbol() & (F.col("n_train") * SYMBOL_SHARE >= F.lit(tokens))
 
 
 def describe_words(counts: DataFrame) -> Words:
@@ -133,17 +156,19 @@ def describe_words(counts: DataFrame) -> Words:
     total = counts.agg(F.sum("n_train").alias("t"), F.sum("n_all").alias("a"),
                        F.count_if(F.col("n_train") > 0).alias("v")).first()
     tokens, everywhere = total["t"] or 0, total["a"] or 0
-    is_symbol = (F.col("n_train") >= SYMBOL_COUNT) & (F.col("n_train") * SYMBOL_SHARE >= F.lit(tokens))
-    symbols = counts.where(is_symbol).select("word", "n_train").toArrow().sort_by("word")
+    is_held = _is_held(tokens)
+    symbols = counts.where(is_held).select("word", "n_train").toArrow().sort_by("word")
     listed = counts.where(F.col("n_all") * LISTED_SHARE >= F.lit(everywhere)).select(
         "word", "n_train").toArrow().sort_by("word")
-    per_class = counts.where(~is_symbol).groupBy(F.col("word").bitwiseAND(F.lit(255)).alias("class")).agg(
+    others = counts.where(_is_symbol() & ~is_held).agg(F.sum("n_train").alias("n"), F.count("*").alias("v")).first()
+    per_class = counts.where(~_is_symbol()).groupBy(F.col("word").bitwiseAND(F.lit(255)).alias("class")).agg(
         F.sum("n_train").alias("n"), F.count_if(F.col("n_train") > 0).alias("v")).collect()
     class_tokens, class_words = np.zeros(CLASSES), np.zeros(CLASSES)
     for row in per_class:
         class_tokens[row["class"]], class_words[row["class"]] = row["n"], row["v"]
     return Words(tokens, total["v"], symbols["word"].to_numpy(), symbols["n_train"].to_numpy().astype(float),
-                 listed["word"].to_numpy(), listed["n_train"].to_numpy().astype(float), class_tokens, class_words)
+                 listed["word"].to_numpy(), listed["n_train"].to_numpy().astype(float), class_tokens, class_words,
+                 float(others["n"] or 0), float(others["v"]))
 
 
 def _position(sorted_ids: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,15 +179,17 @@ def _position(sorted_ids: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.n
     return at, sorted_ids[at] == ids
 
 
-ENCODED = ("doc_id {id}, held_out boolean, n_tokens long, n_known long, base double, inside double, "
-           "symbols binary, rare array<long>")
+#: one row for each block of texts: what its documents are, and their symbols one after another. Numbers
+#: from the held symbols on point into ``others``, the words that may be symbols which tasks do not hold.
+ENCODED = ("docs array<struct<doc_id:{id},held_out:boolean,n_tokens:bigint,n_known:bigint,base:double,inside:double,"
+           "rare:array<bigint>>>, lengths array<long>, held_out array<boolean>, symbols binary, others array<long>")
 
 
 def _encode(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[pa.RecordBatch]:
-    """Symbols of each text, and the parts of its scores that listed words decide."""
+    """Symbols of each block of texts, and the parts of its scores that listed words decide."""
     vocabulary = Vocabulary()
-    symbol = known = base = inside = rare = None
     totals = words.class_totals
+    held = len(words.symbols) + CLASSES
 
     def learn(ids: np.ndarray) -> tuple:
         at, is_symbol = _position(words.symbols, ids)
@@ -172,29 +199,37 @@ def _encode(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[pa.Reco
         symbol_count_at = words.symbol_counts[at] if len(words.symbols) else np.zeros(len(ids))
         count = np.where(is_symbol, symbol_count_at, count)
         decided = is_symbol | is_listed
+        of_class = decided & (count < SYMBOL_COUNT)
         return (np.where(is_symbol, at, len(words.symbols) + kind).astype(np.int32),
                 decided & (count > 0),
                 np.where(decided, np.log10((count + 0.5) / words.base_total), 0.0),
-                np.where(decided & ~is_symbol, np.log10((count + 0.5) / totals[kind]), 0.0),
-                ~decided)
+                np.where(of_class, np.log10((count + 0.5) / totals[kind]), 0.0),
+                ~decided, ~is_symbol & ~of_class)
 
     for batch in text_slices(batches, "text"):
         at, lengths = vocabulary.tokens(batch.column(2).to_pylist())
-        symbol, known, base, inside, rare = learn(vocabulary.ids)
+        symbol, known, base, inside, rare, other = learn(vocabulary.ids)
         text = np.repeat(np.arange(len(lengths)), lengths)
         n = len(lengths)
-        ends = np.cumsum(lengths)
-        codes = symbol[at].astype("<i4")
+        others = np.flatnonzero(np.bincount(at[other[at]], minlength=len(other)))
+        symbol[others] = held + np.arange(len(others))
         is_rare = rare[at]
-        rare_ends = np.concatenate([[0], np.cumsum(is_rare)])[np.concatenate([[0], ends])].astype(np.int32)
-        offsets = pa.py_buffer((np.concatenate([[0], ends]) * 4).astype("<i4").tobytes())
-        yield pa.RecordBatch.from_arrays([
+        rare_ends = np.concatenate([[0], np.cumsum(is_rare)])[
+            np.concatenate([[0], np.cumsum(lengths)])].astype(np.int32)
+        docs = pa.StructArray.from_arrays([
             batch.column(0), batch.column(1), pa.array(lengths),
             pa.array(np.bincount(text, known[at], n).astype(np.int64)),
             pa.array(np.bincount(text, base[at], n)), pa.array(np.bincount(text, inside[at], n)),
-            pa.Array.from_buffers(pa.binary(), n, [None, offsets, pa.py_buffer(codes.tobytes())]),
             pa.ListArray.from_arrays(pa.array(rare_ends), pa.array(vocabulary.ids[at][is_rare])),
-        ], names=["doc_id", "held_out", "n_tokens", "n_known", "base", "inside", "symbols", "rare"])
+        ], names=["doc_id", "held_out", "n_tokens", "n_known", "base", "inside", "rare"])
+
+        def whole(values: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+        yield pa.RecordBatch.from_arrays(
+            [whole(docs), whole(pa.array(lengths)), whole(batch.column(1)),
+             pa.array([symbol[at].astype("<i4").tobytes()], pa.binary()), whole(pa.array(vocabulary.ids[others]))],
+            names=["docs", "lengths", "held_out", "symbols", "others"])
 
 
 # ---- the model ---------------------------------------------------------------------------------
@@ -203,7 +238,9 @@ def _encode(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[pa.Reco
 class Model:
     start: np.ndarray  # (S,): state before the first token
     moves: np.ndarray  # (S, S): rows sum to 1
-    emits: np.ndarray  # (symbols + 1, S): columns sum to 1; the last row is padding and emits with 1
+    emits: np.ndarray  # (symbols + 1, S): columns sum to 1 with those of the symbols that tasks do not hold;
+    # the last row is padding and emits with 1
+    total: np.ndarray | None = None  # (S,): what the weights of all symbols were divided by
 
     def products(self, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each piece and each state before it: scaled state weights after it and their logs."""
@@ -350,37 +387,99 @@ def token_groups(lengths: np.ndarray) -> Iterator[slice]:
         first = upto
 
 
-def _sequences(column: pa.Array) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
-    found = [np.frombuffer(x.as_buffer(), "<i4") for x in column]
-    lengths = np.array([len(x) for x in found], np.int64)
-    for part in token_groups(lengths):
-        yield part, np.concatenate(found[part]), lengths[part]
+@dataclass
+class Block:
+    """Texts of a block, with symbols numbered anew and a model of these only."""
+
+    symbols: np.ndarray
+    lengths: np.ndarray
+    model: Model
+    held: np.ndarray  # numbers that all tasks know of the first symbols
+    words: np.ndarray  # words that the symbols after them are
+
+
+def _block(row: dict, model: Model, learned: bool) -> Block:
+    """The block of a row; ``learned`` leaves out texts that are not learned from."""
+    lengths, others = (row[c].flatten().to_numpy(zero_copy_only=False) for c in ("lengths", "others"))
+    symbols = np.frombuffer(row["symbols"][0].as_buffer(), "<i4")
+    if learned:
+        stay = ~row["held_out"].flatten().to_numpy(zero_copy_only=False)
+        symbols, lengths = symbols[np.repeat(stay, lengths)], lengths[stay]
+    emissions = row["emissions"].flatten()
+    at = emissions.field("at").to_numpy(zero_copy_only=False)
+    own = np.column_stack([emissions.field(f"e{k}").to_numpy(zero_copy_only=False) for k in range(len(model.start))])
+    n = len(model.emits) - 1
+    # a word that turned out to be no symbol is one of its class
+    place = np.concatenate([np.arange(n), n - CLASSES + (others & 255)])
+    place[n + at] = n + np.arange(len(at))
+    symbols = place[symbols]
+    seen = np.flatnonzero(np.bincount(symbols, minlength=n + len(at)))
+    number = np.zeros(n + len(at), np.int64)
+    number[seen] = np.arange(len(seen))
+    held = seen[seen < n]
+    emits = np.concatenate([model.emits[held], own[seen[len(held):] - n]])
+    return Block(number[symbols], lengths, Model(model.start, model.moves, _padded(emits)), held,
+                 others[at][seen[len(held):] - n])
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    for i in range(batch.num_rows):
+        yield {name: batch.column(name).slice(i, 1) for name in batch.schema.names}
+
+
+def _parts(block: Block) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    ends = np.concatenate([[0], np.cumsum(block.lengths)])
+    for part in token_groups(block.lengths):
+        yield part, block.symbols[ends[part.start]:ends[part.stop]], block.lengths[part]
 
 
 def _expect(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    expected = Expected(len(model.start), len(model.emits) - 1)
+    states, total = len(model.start), Expected(len(model.start), len(model.emits) - 1)
+    names = ["symbol", "word", *[f"c{k}" for k in range(states)]]
     for batch in batches:
-        for _, symbols, lengths in _sequences(batch.column(0)):
-            expected.add(model, symbols, lengths)
-    yield expected.rows()
-
-
-def first_model(words: Words, states: int = STATES, seed: int = 3) -> Model:
-    """States that rarely change, each with the words' shares scattered at random."""
+        for row in _rows(batch):
+            block = _block(row, model, True)
+            n = len(block.held)
+            expected = Expected(states, n + len(block.words))
+            for _, symbols, lengths in _parts(block):
+                expected.add(block.model, symbols, lengths)
+            total.start += expected.start
+            total.moves += expected.moves
+            total.likelihood += expected.likelihood
+            total.emits[:, block.held] += expected.emits[:, :n]
+            if len(block.words):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(len(block.words), pa.int32()), pa.array(block.words),
+                     *[pa.array(np.ascontiguousarray(c[n:-1])) for c in expected.emits]], names=names)
+    rows = total.rows()
+    yield pa.RecordBatch.from_arrays(
+        [rows.column(0), pa.nulls(rows.num_rows, pa.int64()), *rows.columns[1:]], names=names)
+
+
+def first_model(words: Words, states: int = STATES, seed: int = 3, others: np.ndarray | float = 0.0) -> Model:
+    """States that rarely change, each with the words' shares scattered at random.
+
+    ``others`` are the summed weights of the symbols that tasks do not hold.
+    """
     rng = np.random.default_rng(seed)
     unigram = words.unigram()
     emits = unigram[:, None] * np.exp(rng.normal(0, 0.7, (len(unigram), states)))
     moves = np.full((states, states), 0.03 / max(1, states - 1))
     np.fill_diagonal(moves, 0.97)
-    return Model(np.full(states, 1 / states), moves / moves.sum(1, keepdims=True), _padded(emits / emits.sum(0)))
+    total = emits.sum(0) + others
+    return Model(np.full(states, 1 / states), moves / moves.sum(1, keepdims=True), _padded(emits / total), total)
 
 
 def _padded(emits: np.ndarray) -> np.ndarray:
     return np.concatenate([emits, np.ones((1, emits.shape[1]))])
 
 
-def reestimated(sums: pa.Table, words: Words, states: int = STATES) -> tuple[Model, float]:
-    """The next model from summed expected counts, and the log likelihood under the last one."""
+def reestimated(sums: pa.Table, words: Words, states: int = STATES,
+                others: np.ndarray | float = 0.0) -> tuple[Model, float]:
+    """The next model from summed expected counts, and the log likelihood under the last one.
+
+    ``others`` are the summed weights of the symbols that tasks do not hold.
+    """
     unigram = words.unigram()
     counts = np.zeros((len(unigram), states))
     names = sums["symbol"].to_numpy()
@@ -392,32 +491,80 @@ def reestimated(sums: pa.Table, words: Words, states: int = STATES) -> tuple[Mod
     emits = counts + PRIOR_EMISSIONS * unigram[:, None]
     moves = rest[:states] + PRIOR_TRANSITIONS
     start = rest[states] + PRIOR_TRANSITIONS
-    return Model(start / start.sum(), moves / moves.sum(1, keepdims=True), _padded(emits / emits.sum(0))), rest[-1, 0]
+    total = emits.sum(0) + others
+    return Model(start / start.sum(), moves / moves.sum(1, keepdims=True), _padded(emits / total), total), rest[-1, 0]
+
+
+def other_symbols(encoded: DataFrame, counts: DataFrame, words: Words) -> DataFrame:
+    """``word, share, places`` of the symbols that tasks do not hold: smoothed share, blocks and places there.
+
+    No such word makes up more than one in ``SYMBOL_SHARE`` tokens, which bounds its list.
+    """
+    found = counts.where(_is_symbol() & ~_is_held(words.tokens)).select("word", "n_train")
+    places = encoded.select("part", F.posexplode("others").alias("at", "word"))
+    return places.join(found, "word").groupBy("word").agg(
+        ((F.first("n_train") + F.lit(0.5)) / F.lit(words.smoothed)).alias("share"),
+        F.collect_list(F.struct("part", "at")).alias("places"))
 
 
-def train(encoded: DataFrame, words: Words, rounds: int = ROUNDS) -> tuple[Model, list[float]]:
-    """Baum-Welch over all documents that are not held out; gives the likelihood before each round too."""
-    model, history = first_model(words), []
-    learned = encoded.where("not held_out").select("symbols")
+def _scattered(state: int, seed: int = 3) -> Column:
+    """A log-normal factor for the word in a state, from hashes of the word."""
+    def uniform(k: int) -> Column:
+        bits = F.shiftrightunsigned(F.xxhash64("word", F.lit(seed), F.lit(2 * state + k)), 11)
+        return (bits + F.lit(1)) / F.lit(2.0 ** 53)
+    return F.exp(F.lit(0.7) * F.sqrt(F.lit(-2.0) * F.log(uniform(0))) * F.cos(F.lit(2 * np.pi) * uniform(1)))
+
+
+def _with_emissions(encoded: DataFrame, weights: DataFrame, model: Model) -> DataFrame:
+    """The blocks with the emissions of their symbols that tasks do not hold."""
+    own = [(F.col(f"w{k}") / F.lit(float(model.total[k]))).alias(f"e{k}") for k in range(STATES)]
+    found = weights.select(F.explode("places").alias("place"), *own).groupBy("place.part").agg(
+        F.collect_list(F.struct("place.at", *[f"e{k}" for k in range(STATES)])).alias("emissions"))
+    return encoded.select("part", "lengths", "held_out", "symbols", "others").join(found, "part", "left")
+
+
+def train(encoded: DataFrame, words: Words, others: DataFrame,
+          rounds: int = ROUNDS) -> tuple[Model, DataFrame, list[float]]:
+    """Baum-Welch over all documents that are not held out.
+
+    Gives the model, the weights of the symbols that tasks do not hold, and the likelihood before each round.
+    """
+    columns = [f"c{k}" for k in range(STATES)]
+    weights = others.select(
+        "word", "places", *[(F.col("share") * _scattered(k)).alias(f"w{k}") for k in range(STATES)])
+    first = weights.agg(*[F.sum(f"w{k}") for k in range(STATES)]).first()
+    model, history = first_model(words, others=np.array([x or 0.0 for x in first])), []
     for _ in range(rounds):
         def expect(batches, model=model):
             return _expect(batches, model)
-        # what comes to the driver is a row for each symbol
-        sums = learned.mapInArrow(expect, SUMS).groupBy("symbol").agg(
-            *[F.sum(f"c{k}").alias(f"c{k}") for k in range(STATES)]).toArrow()
-        if not sums.num_rows:
+        sums = stored(_with_emissions(encoded, weights, model).mapInArrow(expect, SUMS).groupBy(
+            "symbol", "word").agg(*[F.sum(c).alias(c) for c in columns]), "emission-sums")
+        # what comes to the driver is a row for each symbol that tasks hold, and one for all others
+        held = sums.where("symbol is not null").drop("word").toArrow()
+        if not held.num_rows:
             break
-        model, likelihood = reestimated(sums, words)
+        own = sums.where("symbol is null").select(F.col("word").alias("_word"), *columns)
+        rest = own.agg(*[F.sum(c) for c in columns]).first()
+        model, likelihood = reestimated(
+            held, words, others=np.array([x or 0.0 for x in rest]) + PRIOR_EMISSIONS * words.other_share)
+        weights = others.join(own, F.col("word") == F.col("_word"), "left").select("word", "places", *[
+            (F.coalesce(f"c{k}", F.lit(0.0)) + F.lit(PRIOR_EMISSIONS) * F.col("share")).alias(f"w{k}")
+            for k in range(STATES)])
         history.append(likelihood)
-    return model, history
+    return model, weights, history
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = np.zeros(batch.num_rows)
-        for part, symbols, lengths in _sequences(batch.column(1)):
-            found[part] = log_likelihoods(model, symbols, lengths) / np.log(10)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["uid", "sequence"])
+        for row in _rows(batch):
+            block = _block(row, model, False)
+            n = len(block.lengths)
+            found = np.zeros(n)
+            for part, symbols, lengths in _parts(block):
+                found[part] = log_likelihoods(block.model, symbols, lengths) / np.log(10)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, row["part"][0].as_py())), pa.array(np.arange(n, dtype=np.int32)), pa.array(found)],
+                names=["part", "at", "sequence"])
 
 
 def score_texts(docs: DataFrame, held_out_divisor: int = 5, held_out_rest: int = 1) -> DataFrame:
@@ -438,28 +585,30 @@ def score_texts(docs: DataFrame, held_out_divisor: int = 5, held_out_rest: int =
     words = describe_words(counts)
     kind = dict(rows.dtypes)["doc_id"]
     encoded = stored(rows.mapInArrow(lambda batches: _encode(batches, words), ENCODED.format(id=kind)).withColumn(
-        "uid", F.monotonically_increasing_id()), "encoded-texts")
-    model, _ = train(encoded, words)
-    sequences = encoded.select("uid", "symbols").mapInArrow(
-        lambda batches: _score(batches, model), "uid long, sequence double")
+        "part", F.monotonically_increasing_id()), "encoded-texts")
+    others = stored(other_symbols(encoded, counts, words), "other-symbols")
+    model, weights, _ = train(encoded, words, others)
+    sequences = _with_emissions(encoded, weights, model).mapInArrow(
+        lambda batches: _score(batches, model), "part long, at int, sequence double")
+    texts = encoded.select("part", F.posexplode("docs").alias("at", "doc")).select("part", "at", "doc.*")
 
     listed_share = F.col("n_all") * LISTED_SHARE >= F.lit(int(counts.agg(F.sum("n_all")).first()[0] or 0))
     class_totals = F.array(*[F.lit(float(x)) for x in words.class_totals])
-    rare = encoded.select("uid", F.explode("rare").alias("word")).groupBy("uid", "word").agg(
+    rare = texts.select("part", "at", F.explode("rare").alias("word")).groupBy("part", "at", "word").agg(
         F.count("*").alias("times"))
     found = rare.join(counts.where(~listed_share).select("word", "n_train"), "word", "left").withColumn(
         "n_train", F.coalesce("n_train", F.lit(0)))
     smoothed = F.col("n_train") + F.lit(0.5)
     kind_total = F.get(class_totals, F.col("word").bitwiseAND(F.lit(255)).cast("int"))
-    decided = found.groupBy("uid").agg(
+    decided = found.groupBy("part", "at").agg(
         F.sum(F.when(F.col("n_train") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
         F.sum(F.col("times") * F.log10(smoothed / F.lit(float(words.base_total)))).alias("rare_base"),
-        F.sum(F.col("times") * F.log10(smoothed / kind_total)).alias("rare_inside"))
+        F.sum(F.when(~_is_symbol(), F.col("times") * F.log10(smoothed / kind_total)).otherwise(0)).alias("rare_inside"))
 
     def added(column: str, more: str):
         return F.col(column) + F.coalesce(F.col(more), F.lit(0))
 
-    return encoded.drop("symbols", "rare").join(sequences, "uid").join(decided, "uid", "left").select(
+    return texts.drop("rare").join(sequences, ["part", "at"]).join(decided, ["part", "at"], "left").select(
         "doc_id", "held_out", "n_tokens", added("n_known", "rare_known").alias("n_known"),
         F.lit(words.tokens).cast("long").alias("train_tokens"),
         added("base", "rare_base").alias("base_score"),
