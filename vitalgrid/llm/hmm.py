@@ -14,12 +14,13 @@ recursion is exact over whole texts of any length, without a step-by-step loop o
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.llm.common import crc_remainder, stored
@@ -405,9 +406,8 @@ def _block(row: dict, model: Model, learned: bool) -> Block:
     if learned:
         stay = ~row["held_out"].flatten().to_numpy(zero_copy_only=False)
         symbols, lengths = symbols[np.repeat(stay, lengths)], lengths[stay]
-    emissions = row["emissions"].flatten()
-    at = emissions.field("at").to_numpy(zero_copy_only=False)
-    own = np.column_stack([emissions.field(f"e{k}").to_numpy(zero_copy_only=False) for k in range(len(model.start))])
+    at = row["at"].flatten().to_numpy(zero_copy_only=False)
+    own = np.column_stack([row[f"e{k}"].flatten().to_numpy(zero_copy_only=False) for k in range(len(model.start))])
     n = len(model.emits) - 1
     # a word that turned out to be no symbol is one of its class
     place = np.concatenate([np.arange(n), n - CLASSES + (others & 255)])
@@ -518,11 +518,19 @@ def _scattered(state: int, seed: int = 3) -> Column:
 def _with_emissions(encoded: DataFrame, weights: DataFrame, model: Model) -> DataFrame:
     """The blocks with the emissions of their symbols that tasks do not hold."""
     own = [(F.col(f"w{k}") / F.lit(float(model.total[k]))).alias(f"e{k}") for k in range(STATES)]
-    found = weights.select(F.explode("places").alias("place"), *own).groupBy("place.part").agg(
-        F.collect_list(F.struct("place.at", *[f"e{k}" for k in range(STATES)])).alias("emissions"))
+    lists = ["at", *[f"e{k}" for k in range(STATES)]]
+    # lists of numbers take less than half the room of a list of structs; no value is null, so they keep step
+    found = weights.select(F.inline("places"), *own).groupBy("part").agg(
+        *[F.collect_list(c).alias(c) for c in lists])
     return encoded.select("part", "lengths", "held_out", "symbols", "others").join(found, "part", "left")
 
 
+def _release(spark: SparkSession) -> None:
+    """Have the shuffle files of finished rounds removed, which Spark does when their driver objects are collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def train(encoded: DataFrame, words: Words, others: DataFrame,
           rounds: int = ROUNDS) -> tuple[Model, DataFrame, list[float]]:
     """Baum-Welch over all documents that are not held out.
@@ -551,6 +559,7 @@ def train(encoded: DataFrame, words: Words, others: DataFrame,
             (F.coalesce(f"c{k}", F.lit(0.0)) + F.lit(PRIOR_EMISSIONS) * F.col("share")).alias(f"w{k}")
             for k in range(STATES)])
         history.append(likelihood)
+        _release(encoded.sparkSession)
     return model, weights, history
 
 
