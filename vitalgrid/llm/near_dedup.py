@@ -134,12 +134,18 @@ def minima(shingles: np.ndarray, number: int = MINIMA) -> np.ndarray:
     return least
 
 
+def scrambled(least: np.ndarray) -> np.ndarray:
+    """Minima mixed with the number of their lane, so that unequal ones agree in their low bits by chance in
+    each lane anew: low bits of the minima themselves follow from the low bits of the values in all lanes alike."""
+    return mix64(least.astype(np.uint64) + np.arange(1, least.shape[-1] + 1, dtype=np.uint64) * _ODD)
+
+
 def packed_bits(least: np.ndarray) -> np.ndarray:
     """The low bits of each minimum, side by side in words of 64 bits (rows of minima to rows of words)."""
     number = least.shape[-1]
     words = -(-number * BITS // 64)
     lanes = np.zeros((*least.shape[:-1], words * 64 // BITS), np.uint64)
-    lanes[..., :number] = least & np.uint32((1 << BITS) - 1)
+    lanes[..., :number] = least & least.dtype.type((1 << BITS) - 1)
     lanes = lanes.reshape(*least.shape[:-1], words, 64 // BITS)
     shifts = np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS)
     return np.bitwise_or.reduce(lanes << shifts, axis=-1)
@@ -173,7 +179,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], plan: Banding) -> Iterator[pa.R
                 sizes[i] = len(found)
                 keys[i] = set_keys(found)
                 least[i] = minima(found, plan.minima)
-        bits = packed_bits(least).view(np.int64)
+        bits = packed_bits(scrambled(least)).view(np.int64)
         bands = pa.ListArray.from_arrays(
             pa.array(np.arange(0, n * plan.bands + 1, plan.bands, dtype=np.int32)),
             pa.array(band_keys(least, plan).view(np.int64).ravel()))
