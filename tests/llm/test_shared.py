@@ -83,6 +83,23 @@ def test_mix(odd):
     assert mixed.columns == odd.columns and {r["copies"] for r in mixed.collect()} == {"x-copies"}
 
 
+def test_rows_that_share_an_id_are_taken_by_themselves(spark):
+    """Of two rows of an id only that which is no copy of another document stays; null ids have their own copies."""
+    common.ship_package(spark)
+    other = "pack my box with five dozen liquor jugs and then some more of them"
+    rows = [(1, PROSE * 3), (2, PROSE * 3), (2, other), (None, PROSE * 3), (None, "nobody else has this text " * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = near_dedup.keep_one(docs).collect()
+    assert sorted(str(tuple(r)) for r in kept) == sorted(map(str, [rows[0], rows[2], rows[4]]))
+    docs = spark.createDataFrame(
+        [(None, "one two three four", "a") for _ in range(1000)] + [(i, "one two three four", "b") for i in range(1000)],
+        "doc_id long, text string, source string")
+    sized = mixing.systematic_copies(docs).groupBy("source").agg(F.sum("copies").alias("n"), F.max("target").alias("t"))
+    want = {r["source"]: r["n"] for r in sized.collect()}
+    assert want["a"] * 4 == pytest.approx(sized.where("source = 'a'").first()["t"], abs=4)
+    assert {r["source"]: r["count"] for r in mixing.mix(docs).groupBy("source").count().collect()} == want
+
+
 def test_pack(odd):
     rows = packing.pack(odd).collect()
     assert len({r["sequence_id"] for r in rows}) == len(rows)

@@ -72,14 +72,15 @@ def _offset(source: Column, seed: int) -> Column:
 
 def systematic_copies(
     docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: int = 0,
-    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None,
 ) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies`` for every row of ``docs``.
 
     Size is the number of words; null or empty text has size 0, and a source of nothing but such
     texts has target 0 and no copies. Null is a source of its own. Repeated rows are documents of
     their own. The result depends on the rows alone, not on partitions, except that rows alike in id
-    and size may swap their copies. Empty input gives no rows; other columns are ignored.
+    and size may swap their copies. Empty input gives no rows; other columns are ignored. ``row_col`` is a
+    column of distinct numbers of the rows, which the result then has too, as ``uid``.
 
     A source of any size is numbered in parallel: rows are numbered within (source, size class, hash
     prefix), and what the classes and prefixes before them hold is added from a table of counts.
@@ -89,6 +90,7 @@ def systematic_copies(
     sized = stored(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"),
         F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("hash"),
+        *([F.col(row_col).alias("uid")] if row_col else []),
     ).withColumns({
         "class": F.floor(F.log2(F.col("size") + F.lit(1.0)) * CLASSES).cast("int"),
         "split": F.substring("hash", 1, SPLIT_DIGITS)}), "mix-sizes")
@@ -113,21 +115,20 @@ def systematic_copies(
     shift = _offset(F.col("source"), seed)
     end = F.col("before") + F.col("number")
     copies = F.floor(end * expected + shift) - F.floor((end - 1) * expected + shift)
-    return placed.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
+                         *(["uid"] if row_col else []))
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS,
         seed: int = 0) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with all their columns.
 
-    Rows that share an id and a size get the larger of their numbers of copies.
+    Each row gets its own number of copies, whatever ids rows share. ``docs`` is stored once with numbers
+    of its rows.
     """
-    names = unused_names(docs, "taken_id", "taken_source", "taken_size", "copies", "own_size", "copy")
-    taken_id, taken_source, taken_size, copies, own_size, copy = names
-    taken = systematic_copies(docs, weights, max_repeats, seed).groupBy("doc_id", "source", "size").agg(
-        F.max("copies").alias("copies")).where("copies > 0").toDF(taken_id, taken_source, taken_size, copies)
-    joined = docs.withColumn(own_size, word_count(F.col("text"))).join(
-        taken, F.col("doc_id").eqNullSafe(F.col(taken_id))
-        & F.col("source").eqNullSafe(F.col(taken_source)) & (F.col(own_size) == F.col(taken_size)))
-    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))) \
-        .select(*docs.columns)
+    row, copies, copy = unused_names(docs, "row_number", "copies", "copy")
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-rows")
+    taken = systematic_copies(numbered, weights, max_repeats, seed, row_col=row).where("copies > 0").select(
+        F.col("uid").alias(row), F.col("copies").alias(copies))
+    return numbered.join(taken, row).withColumn(
+        copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*docs.columns)

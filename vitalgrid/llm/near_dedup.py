@@ -167,7 +167,7 @@ def set_keys(shingles: np.ndarray) -> tuple[np.uint64, np.uint64]:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], plan: Banding) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "n_shingles", "key1", "key2", *plan.signature, "bands"]
+    names = ["doc_id", "uid", "n_shingles", "key1", "key2", *plan.signature, "bands"]
     for batch in text_slices(batches, "text"):
         n = batch.num_rows
         sizes = np.zeros(n, np.int64)
@@ -184,19 +184,21 @@ def _sketches(batches: Iterator[pa.RecordBatch], plan: Banding) -> Iterator[pa.R
             pa.array(np.arange(0, n * plan.bands + 1, plan.bands, dtype=np.int32)),
             pa.array(band_keys(least, plan).view(np.int64).ravel()))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes), *[pa.array(keys[:, i].view(np.int64)) for i in (0, 1)],
+            [batch.column(0), batch.column(2), pa.array(sizes), *[pa.array(keys[:, i].view(np.int64)) for i in (0, 1)],
              *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(bits.shape[1])], bands], names=names)
 
 
-def sketches(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sketches(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text",
+             row_col: str | None = None) -> DataFrame:
     """Set size, set key, packed signature and band keys of every row; ``uid`` names the row."""
-    chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    uid = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
+    chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), uid.alias("uid"))
     plan = banding(percent)
     words = ", ".join(f"{name} long" for name in plan.signature)
     return chosen.mapInArrow(
         lambda batches: _sketches(batches, plan),
-        f"doc_id {dict(chosen.dtypes)['doc_id']}, n_shingles long, key1 long, key2 long, {words}, bands array<long>",
-    ).withColumn("uid", F.monotonically_increasing_id())
+        f"doc_id {dict(chosen.dtypes)['doc_id']}, uid long, n_shingles long, key1 long, key2 long, {words}, "
+        "bands array<long>")
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +269,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_groups(
-    docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text",
+    row_col: str | None = None,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
 
@@ -277,10 +280,11 @@ def near_groups(
     a component. Null ids count as larger than all others; a component of nothing else has a null name
     and its rows are kept. Of rows that repeat an id and a text all are kept or none. An empty table
     gives no rows; other columns are ignored. A link at the threshold is missed with a probability of at
-    most ``MISSED`` by the bands; a ``percent`` that they cannot cover so raises ``ValueError``.
+    most ``MISSED`` by the bands; a ``percent`` that they cannot cover so raises ``ValueError``. ``row_col``
+    is a column of distinct numbers of the rows, which the result then has too, as ``uid``.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sketched = stored(sketches(rows, percent), "sketches")
+    sketched = stored(sketches(docs, percent, id_col, text_col, row_col), "sketches")
     signature = banding(percent).signature
     # nodes: one for each distinct set, named by its first row; they know the set's smallest id
     named = stored(sketched.where("n_shingles > 0").groupBy("key1", "key2", "n_shingles").agg(
@@ -337,14 +341,16 @@ def near_groups(
                            & (F.col("n_shingles") == F.col("_n")), "left")
     component = F.coalesce("component_id", "doc_id")
     return joined.select("doc_id", "n_shingles", component.alias("component_id"),
-                         F.col("doc_id").eqNullSafe(component).alias("kept"))
+                         F.col("doc_id").eqNullSafe(component).alias("kept"), *(["uid"] if row_col else []))
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay, one for each component, with all their columns.
 
-    ``docs`` should hold each id once; rows that repeat a kept id all stay.
+    Rows are taken by themselves, whatever ids they share: of rows that repeat an id each stays if it is
+    in the component of that name. ``docs`` is stored once with numbers of its rows.
     """
-    kept_id, = unused_names(docs, "kept_id")
-    kept = near_groups(docs, percent).where("kept").select(F.col("doc_id").alias(kept_id)).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col(kept_id)), "left_semi")
+    row, = unused_names(docs, "row_number")
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-rows")
+    kept = near_groups(numbered, percent, row_col=row).where("kept").select(F.col("uid").alias(row))
+    return numbered.join(kept, row, "left_semi").select(*docs.columns)
