@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 import random
 
 import numpy as np
@@ -36,6 +37,18 @@ def test_ids_are_the_tokenizers_own(texts):
     assert ids.tolist() == [x for w in want for x in w]
 
 
+@pytest.mark.parametrize("change", [
+    {"normalizer": None}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}}])
+def test_other_tokenizer_files_give_their_own_ids(tmp_path, change):
+    path = str(tmp_path / "other.json")
+    with open(path, "w") as file:
+        json.dump(json.loads(PLAIN.to_str()) | change, file)
+    plain, texts = Tokenizer.from_file(path), ["The Quick brown FOX's  12 dogs\n über", "", None, "plain words"]
+    ids, lengths = tokens.WordTokenizer(path).encode(texts)
+    want = [[*plain.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+    assert ids.tolist() == [x for w in want for x in w] and lengths.tolist() == [len(w) for w in want]
+
+
 def test_words_are_forgotten_beyond_the_bound(monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBERED_WORDS", 3)
     own = tokens.WordTokenizer(tokens.default_vocabulary())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from functools import lru_cache
 from itertools import islice
@@ -72,6 +73,7 @@ class WordTokenizer:
     line ends and each distinct word be encoded once. A word of plain Latin letters is in normal
     form already but for its case; its pieces go straight to the tokenizer's model, which is several
     times as fast as the whole chain. All other words go through the whole chain. Null is an empty text.
+    With a file that normalizes or splits in another way, whole texts go through the whole chain.
     """
 
     #: how this vocabulary splits words before it merges letters (a fixed pattern)
@@ -85,6 +87,7 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.cuts_at_spaces = self._cuts_at_spaces()
         self.split = regex.compile(self.PIECES + r"|\n").findall
         self.not_plain = re.compile(self.NOT_PLAIN).search
         self.letters = _byte_letters()
@@ -94,6 +97,18 @@ class WordTokenizer:
     def vocabulary(self) -> int:
         return self.tokenizer.get_vocab_size()
 
+    def _cuts_at_spaces(self) -> bool:
+        """Whether the file normalizes and splits in the way that is built in here."""
+        chain = json.loads(self.tokenizer.to_str())
+        return (chain["normalizer"] == {"type": "Sequence", "normalizers": [
+            {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+            and chain["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [
+                {"type": "Split", "pattern": {"Regex": self.PIECES}, "behavior": "Removed", "invert": True},
+                {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+            and not chain["truncation"] and not chain["padding"]
+            and all(t["content"].startswith("<|") and not (t["lstrip"] or t["rstrip"] or t["single_word"])
+                    for t in chain["added_tokens"]))
+
     def _forget(self) -> None:
         self.words, self.pieces = _Runs(), _Runs()
         self.pieces.learn(["\n"], [0], [])  # what ends a word has no ids
@@ -126,6 +141,10 @@ class WordTokenizer:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, each text with its end id, and each text's number of ids."""
+        if not self.cuts_at_spaces:
+            own = [[*self.tokenizer.encode(t or "", add_special_tokens=False).ids, END_ID] for t in texts]
+            return (np.array([x for ids in own for x in ids], np.uint32),
+                    np.array([len(ids) for ids in own], np.int64))
         words: list[str] = []
         counts = []
         for text in texts:
