@@ -5,7 +5,7 @@ import decimal
 import duckdb
 import pytest
 
-TABLES = ("documents", "labels")
+TABLES = ("documents", "labels", "embeddings")
 SF = "/root/testdata/sf0.001"
 
 

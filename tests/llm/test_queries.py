@@ -37,7 +37,8 @@ def token_ids(docs):
     return [np.array([*e.ids, 1], "<u4") for e in found]
 
 
-@pytest.mark.parametrize("name", ["op1_token_rollup", "op4_near_dedup", "op8_exact_dedup", "op9_mixing"])
+@pytest.mark.parametrize("name", ["op1_token_rollup", "op4_near_dedup", "op8_exact_dedup", "op9_mixing",
+                                  "op13_bisector_clusters"])
 def test_sql(against_sql, name):
     assert against_sql(name)
 

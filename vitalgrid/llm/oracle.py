@@ -81,6 +81,47 @@ select doc_id, size, source_size, target,
 from numbered
 """
 
+#: sets as in NEAR_DEDUP; a token is shared by at least two sets, or it links nothing
+NGRAM_JOIN = NEAR_DEDUP.replace("85 *", "80 *").replace(", doc_id = component_id as kept", "")
+
+
+def _clustering(rounds: int = 3) -> str:
+    """Centroids move in ``rounds`` rounds; each vector goes to the nearest, the smaller number of equals."""
+    def nearest(number: int) -> str:
+        return f"""
+near{number} as materialized (
+  select id, vec_id, v, arg_min(c, (dist, c)) as c, min(dist) as dist from (
+    select k.id, k.vec_id, k.v, m.c,
+      list_sum(list_transform(list_zip(k.v, m.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as dist
+    from kept k, mean{number} m) group by id, vec_id, v)"""
+
+    def moved(number: int) -> str:
+        return f"""
+mean{number + 1} as materialized (
+  select m.c, coalesce(n.v, m.v) as v from mean{number} m left join (
+    select c, list(((s - ((s % n + n) % n)) // n)::bigint order by i) as v from (
+      select c, i, sum(x)::bigint as s, count(*) as n from (
+        select c, unnest(v) as x, unnest(range(len(v))) as i from near{number}) group by c, i) group by c) n
+    on n.c = m.c)"""
+
+    steps = ",".join(nearest(r) + "," + moved(r) for r in range(rounds)) + "," + nearest(rounds)
+    return f"""
+with kept as materialized (
+  select row_number() over () as id, vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v
+  from embeddings where len(embedding) = 64
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
+mean0 as materialized (
+  select row_number() over (order by h, v) - 1 as c, v from (
+    select sha256('1:' || coalesce(vec_id::varchar, '')) as h, v from kept order by h, v limit 16)),{steps},
+summed as (select c, sum(dist)::bigint as d from near{rounds} group by c)
+select vec_id, n.c::int as cluster, dist as distance, s.d as cluster_inertia,
+  (select sum(d)::bigint from summed) as inertia,
+  sha256(array_to_string(list_transform(m.v, lambda x: x::varchar), ',')) as centroid_sha256
+from near{rounds} n join summed s on s.c = n.c join mean{rounds} m on m.c = n.c
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_token_rollup": TOKEN_ROLLUP, "op4_near_dedup": NEAR_DEDUP, "op8_exact_dedup": EXACT_DEDUP, "op9_mixing": MIXING}
+    return {"op1_token_rollup": TOKEN_ROLLUP, "op4_near_dedup": NEAR_DEDUP,
+            "op8_exact_dedup": EXACT_DEDUP, "op9_mixing": MIXING,
+            "op13_bisector_clusters": _clustering()}
