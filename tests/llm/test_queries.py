@@ -38,7 +38,7 @@ def token_ids(docs):
 
 
 @pytest.mark.parametrize("name", ["op1_token_rollup", "op4_near_dedup", "op8_exact_dedup", "op9_mixing",
-                                  "op13_bisector_clusters"])
+                                  "op11_ngram_join", "op13_bisector_clusters"])
 def test_sql(against_sql, name):
     assert against_sql(name)
 

@@ -81,7 +81,6 @@ select doc_id, size, source_size, target,
 from numbered
 """
 
-#: sets as in NEAR_DEDUP; a token is shared by at least two sets, or it links nothing
 NGRAM_JOIN = NEAR_DEDUP.replace("85 *", "80 *").replace(", doc_id = component_id as kept", "")
 
 
@@ -124,4 +123,4 @@ from near{rounds} n join summed s on s.c = n.c join mean{rounds} m on m.c = n.c
 def oracle_sql() -> dict[str, str]:
     return {"op1_token_rollup": TOKEN_ROLLUP, "op4_near_dedup": NEAR_DEDUP,
             "op8_exact_dedup": EXACT_DEDUP, "op9_mixing": MIXING,
-            "op13_bisector_clusters": _clustering()}
+            "op11_ngram_join": NGRAM_JOIN, "op13_bisector_clusters": _clustering()}

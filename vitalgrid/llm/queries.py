@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.llm import (
-    binary_output, bisector, exact_dedup, hmm, language, mixing, near_dedup, order_minhash, packing, periodic, quality)
+    binary_output, bisector, exact_dedup, hmm, language, mixing, near_dedup, ngram_join, order_minhash, packing,
+    periodic, quality)
 from vitalgrid.llm.common import WORD_PATTERN, crc_remainder, documents, shared_folder, ship_package
 from vitalgrid.llm.token_rollup import Rollup
 
@@ -93,6 +94,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_groups(documents(spark, sf_dir))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.run_digests(documents(spark, sf_dir))
 
@@ -105,4 +110,4 @@ def op13_bisector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_token_rollup, op2_order_minhash, op3_quality, op4_near_dedup, op5_token_output, op6_language,
-        op7_hmm_scores, op8_exact_dedup, op9_mixing, op10_packing, op12_periodic_runs, op13_bisector_clusters)}
+        op7_hmm_scores, op8_exact_dedup, op9_mixing, op10_packing, op11_ngram_join, op12_periodic_runs, op13_bisector_clusters)}
