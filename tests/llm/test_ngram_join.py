@@ -6,9 +6,11 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from vitalgrid.llm import ngram_join
+from vitalgrid.llm.ngrams import ngram_sets, set_names, word_hashes
 from vitalgrid.llm.prefix_tree import Groups, PrefixTree
 
 
@@ -163,3 +165,24 @@ def test_tree_shares_paths_and_leaves_hopeless_subtrees():
     other = np.arange(1000, 1100, dtype=np.uint64)
     assert len(tree.search([other])[0]) == 0
     assert len(tree.search([sets[3]])[0]) == 50
+
+
+def test_hashes_of_many_texts_at_once():
+    """Words and n-grams are those of each text by itself, wherever it lies in the column."""
+    rng = random.Random(1)
+    seen = {}
+    for _ in range(200):
+        texts = [None if rng.random() < 0.1 else "".join(rng.choice("abAB  \t\n\x0b \u0085é中") for _ in range(rng.randint(0, 60)))
+                 for _ in range(rng.randint(0, 8))]
+        column = pa.array(["before", *texts], pa.string() if rng.random() < 0.5 else pa.large_string()).slice(1)
+        hashes, number = word_hashes(column)
+        words = [(t or "").encode().lower().split() for t in texts]
+        assert number.tolist() == list(map(len, words))
+        for word, found in zip((w for t in words for w in t), hashes.tolist()):
+            assert seen.setdefault(word, found) == found
+        tokens, number = ngram_sets(column, 5)
+        assert number.tolist() == [len(shingles(t)) for t in texts]
+        alone = [ngram_sets(pa.array([t], pa.string()), 5)[0].tolist() for t in texts]
+        assert [t for a in alone for t in a] == tokens.tolist()
+        assert set_names(tokens, number).tolist() == [set_names(np.array(a, np.uint64), np.array([len(a)]))[0] for a in alone]
+    assert len(set(seen.values())) == len(seen)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from vitalgrid.llm.common import shuffle_tasks, stored
 from vitalgrid.llm.components import components
-from vitalgrid.llm.near_dedup import set_keys, shingle_hashes
+from vitalgrid.llm.ngrams import ngram_sets, set_names
 from vitalgrid.llm.prefix_tree import Groups, PrefixTree
 from vitalgrid.llm.tokens import text_slices
 
@@ -43,15 +43,15 @@ SMALL, PART = 320, 3
 #: from this similarity on the part is large enough
 PART_PERCENT = 80
 #: tokens of a map-side run, and of a bucket in which tokens meet
-RUN_TOKENS, BUCKET_TOKENS = 3_000_000, 4_000_000
+RUN_TOKENS, BUCKET_TOKENS = 2_000_000, 2_000_000
 #: a token of one set in so many is frequent: at most as many as so many times the tokens of a mean set
 FREQUENT_SHARE = 1000
 FREQUENT_LEAST = 2000
 FREQUENT_CLASS = 63
 #: tokens in a block, each set counting SET_WEIGHT tokens more
-BLOCK_WEIGHT, SET_WEIGHT = 500_000, 100
+BLOCK_WEIGHT, SET_WEIGHT = 400_000, 100
 #: cells of the count table of a search
-CELLS = 4_000_000
+CELLS = 2_000_000
 
 
 def in_part(tokens: np.ndarray) -> np.ndarray:
@@ -98,9 +98,8 @@ class _Run:
 
 
 def _named_sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarray]]:
-    for text in batch.column("text"):
-        found = shingle_hashes(text.as_py(), words)
-        yield int(set_keys(found)[0].view(np.int64)) if len(found) else 0, found
+    tokens, number = ngram_sets(batch.column("text"), words)
+    yield from zip(set_names(tokens, number).tolist(), np.split(tokens, np.cumsum(number)[:-1]))
 
 
 DESCRIBED = "doc_id {id}, text_hash long, key long, n int, tokens array<long>, sets array<int>"

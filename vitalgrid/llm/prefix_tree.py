@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 
+#: pairs of a probe's token and a node counted at once
+COUNTED = 1_000_000
+
 
 class Groups:
     """Disjoint groups of numbers, merged pair by pair."""
@@ -100,6 +103,23 @@ class PrefixTree:
             values[parent[v]] = pick(values[parent[v]], values[v])
         return np.array(values, np.int64)
 
+    def _shared(self, ranks: np.ndarray, owner: np.ndarray, probes: int) -> np.ndarray:
+        """How many tokens of each probe each node holds, probe by probe; probes are counted some at a time."""
+        n, shared = len(self.parent), np.zeros(probes * len(self.parent), np.int32)
+        count = self.holders[ranks + 1] - self.holders[ranks]
+        ends = np.concatenate([[0], np.cumsum(count)])
+        first_token = np.searchsorted(owner, np.arange(probes + 1))
+        p = 0
+        while p < probes:
+            upto = int(np.searchsorted(ends[first_token], ends[first_token[p]] + COUNTED, "right")) - 1
+            upto = min(max(upto, p + 1), probes)
+            i, j = first_token[p], first_token[upto]
+            held = np.repeat(self.holders[ranks[i:j]] - ends[i:j], count[i:j]) + np.arange(ends[i], ends[j])
+            place = np.repeat((owner[i:j] - p) * n, count[i:j]) + self.holder[held]
+            shared[p * n:upto * n] = np.bincount(place, minlength=(upto - p) * n)
+            p = upto
+        return shared
+
     def search(self, probes: list[np.ndarray], own: np.ndarray | None = None, group: np.ndarray | None = None,
                sets_group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of a probe and a set that are at least ``percent`` alike.
@@ -114,12 +134,7 @@ class PrefixTree:
         known = self.vocabulary[at] == flat
         ranks, owner = self.rank[at[known]], owner[known]
         width, n = len(self.vocabulary) + 1, len(self.parent)
-        # how many tokens of each probe each node holds
-        count = self.holders[ranks + 1] - self.holders[ranks]
-        ends = np.cumsum(count)
-        total = int(ends[-1]) if len(ends) else 0
-        nodes = self.holder[np.arange(total) + np.repeat(self.holders[ranks] - (ends - count), count)]
-        shared = np.bincount(np.repeat(owner, count) * n + nodes, minlength=len(probes) * n)
+        shared = self._shared(ranks, owner, len(probes))
         places = np.sort(owner * width + ranks)
         upto = np.searchsorted(places, (np.arange(len(probes)) + 1) * width)
         if group is not None:
