@@ -279,9 +279,10 @@ def _leading_tokens(texts: DataFrame, described: DataFrame, words: int, percent:
 
 
 def _blocks(leading: DataFrame) -> DataFrame:
-    """``key, n, home, block, split`` of the sets that share a leading token with another.
+    """``key, n, home, block, split, leads`` of the sets that share a leading token with another.
 
-    ``home`` is the leader a set lives with, ``split`` whether its family is spread over several blocks.
+    ``home`` is the leader a set lives with, ``split`` whether its family is spread over several blocks,
+    ``leads`` whether the set leads such a family.
     """
     held = leading.select("key", "n", F.explode("leading").alias("token"))
     elected = held.groupBy("token").agg(F.min("key").alias("leader"), F.count("*").alias("members")).where("members > 1")
@@ -295,8 +296,13 @@ def _blocks(leading: DataFrame) -> DataFrame:
     sized = homes.join(of_class, ["home", "class"]).join(of_home, "home")
     large = F.col("home_weight") > BLOCK_WEIGHT
     part = F.pmod(F.xxhash64("key"), F.ceil(F.col("class_weight") / BLOCK_WEIGHT))
-    return sized.select("key", "n", "home", F.when(large, F.xxhash64("home", "class", part)).otherwise(
+    placed = sized.select("key", "n", "home", F.when(large, F.xxhash64("home", "class", part)).otherwise(
         F.pmod(F.xxhash64("home"), F.lit(max(1, packs)))).alias("block"), large.alias("split"))
+    leaders = placed.where("split").select(F.col("home").alias("key"), F.lit(True).alias("leads")).distinct()
+    return placed.join(leaders, "key", "left").withColumn("leads", F.coalesce("leads", F.lit(False)))
+
+
+SET_COLUMNS = ("key", "home", "block", "split", "leads")
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -307,8 +313,8 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
         cuts = np.cumsum([0, *[len(found[i][1]) for i in right]])
         flat = np.concatenate([np.zeros(0, np.uint64), *[found[i][1] for i in right]])
         yield pa.RecordBatch.from_arrays(
-            [*[batch.column(c).take(pa.array(right, pa.int64())) for c in ("key", "home", "block", "split")], _blobs(flat, cuts)],
-            names=["key", "home", "block", "split", "tokens"])
+            [*[batch.column(c).take(pa.array(right, pa.int64())) for c in SET_COLUMNS], _blobs(flat, cuts)],
+            names=[*SET_COLUMNS, "tokens"])
 
 
 def _examples(described: DataFrame) -> DataFrame:
@@ -319,11 +325,12 @@ def _examples(described: DataFrame) -> DataFrame:
 
 
 def _sets_of(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``key, home, block, split, tokens``: each set made once more, from the text of its example."""
+    """``key, home, block, split, leads, tokens``: each set made once more, from the text of its example."""
     def made(of: DataFrame) -> DataFrame:
-        found = texts.join(of, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")))
-        return found.select("text", "key", "home", "block", "split").mapInArrow(
-            lambda b: _sets(b, words), "key long, home long, block long, split boolean, tokens binary")
+        # never by broadcast: the number of sets has no bound
+        found = texts.join(of.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")))
+        return found.select("text", *SET_COLUMNS).mapInArrow(
+            lambda b: _sets(b, words), "key long, home long, block long, split boolean, leads boolean, tokens binary")
 
     repeated = wanted.where("copies > 1")
     if repeated.isEmpty():
@@ -405,7 +412,7 @@ def _links(texts: DataFrame, described: DataFrame, words: int, percent: int) ->
     own = sets.withColumn("guest", F.lit(False)).select(columns)
     # the leader of a split family is a guest in each of its blocks
     parts = wanted.where("split").select("home", "block").distinct()
-    leaders = sets.select("key", "tokens").join(parts, F.col("key") == F.col("home")).select(
+    leaders = sets.where("leads").select("key", "tokens").join(parts, F.col("key") == F.col("home")).select(
         "key", "home", "block", F.lit(True).alias("split"), "tokens", F.lit(True).alias("guest"))
     labels = stored(own.unionAll(leaders.select(columns)).groupBy("block").applyInArrow(
         lambda t: _within(t, percent), "key long, block long, label long"), "labels")
@@ -428,13 +435,15 @@ def _links(texts: DataFrame, described: DataFrame, words: int, percent: int) ->
         & (F.col("n") * 100 >= F.col("n0") * percent) & (F.col("n1") * 100 >= F.col("n") * percent))
     probes = stored(probes.select("key", "label", "block").distinct(), "probes")
     # a block searched by many is searched in several tasks
-    slots = probes.join(sets.select("key", (F.octet_length("tokens") / 8 + SET_WEIGHT).alias("w")), "key").groupBy("block").agg(
-        F.ceil(F.sum("w") / BLOCK_WEIGHT).alias("slots"))
-    trees = sets.join(labels.select("key", "label"), "key").join(slots, "block").select(
-        "key", "label", "block", "tokens", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("slot"), F.lit(False).alias("guest"))
-    guests = probes.join(sets.select("key", "tokens"), "key").join(slots, "block").select(
-        "key", "label", "block", "tokens", F.pmod(F.xxhash64("key", "block"), "slots").alias("slot"), F.lit(True).alias("guest"))
-    found = stored(trees.unionAll(guests).groupBy("block", "slot").applyInArrow(
+    weights = leading.select("key", (F.col("n") + F.lit(SET_WEIGHT)).alias("w"))
+    slots = probes.join(weights, "key").groupBy("block").agg(F.ceil(F.sum("w") / BLOCK_WEIGHT).alias("slots"))
+    trees = labels.join(slots, "block").select(
+        "key", "label", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("slot"),
+        F.lit(False).alias("guest"))
+    guests = probes.join(slots, "block").select(
+        "key", "label", "block", F.pmod(F.xxhash64("key", "block"), "slots").alias("slot"), F.lit(True).alias("guest"))
+    needed = trees.unionAll(guests).join(sets.select("key", "tokens"), "key")
+    found = stored(needed.groupBy("block", "slot").applyInArrow(
         lambda t: _across(t, percent), "a long, b long"), "links")
     return tied.unionAll(found)
 
