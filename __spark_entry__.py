@@ -19,7 +19,7 @@ from oracle import oracle_sql as _oracle_sql  # noqa: E402
 from vitalgrid import bindings as b  # noqa: E402
 from vitalgrid.functions import clean, codes, display  # noqa: E402
 from vitalgrid.functions.json import inline_json  # noqa: E402
-from vitalgrid.functions.names import short_names, unique_name_column  # noqa: E402
+from vitalgrid.functions.names import header_names  # noqa: E402
 from vitalgrid.operators import daily, dedup, load, timeline  # noqa: E402
 from vitalgrid.plans import ingest, profile, queries as q  # noqa: E402
 from vitalgrid.plans.metrics import build_daily_metrics, daily_frame  # noqa: E402
@@ -162,7 +162,7 @@ def column_names(spark, sf):
     header = F.split(F.expr("""case event_id % 3
         when 0 then concat('a.b.start_time,a.time,c.d.Value,x.value,p', event_id % 50, '.id, ,')
         when 1 then 'stage,Stage, a.stage ,user_id,export_ts,STAGE' else 'time,,value,z' end"""), ",")
-    names = unique_name_column(short_names(header))
+    names = header_names(header)
     return b.events(spark, sf).select("event_id", F.posexplode(names).alias("pos", "name"))
 
 
@@ -314,13 +314,14 @@ def blob_lookup(spark, sf):
 
 def _described(spark: SparkSession, sf: str) -> DataFrame:
     """What ingest works on, from the events as records of export files; nothing is written."""
-    return ingest.with_part(export.describe_rows(b.export_cells(spark, sf)))
+    return export.describe_rows(b.export_cells(spark, sf))
 
 
 def _ingested_table(spark, sf, name):
     described = _described(spark, sf)
-    columns = ingest.columns_by_table(described)[name]
-    table = ingest.build_table(described, columns, ingest.spec_of_table(list(columns)), None)
+    headers = ingest.header_table(described)
+    columns = ingest.columns_by_table(headers)[name]
+    table = ingest.build_table(described, headers, columns, ingest.spec_of_table(list(columns)), None)
     return table.withColumn("user_id", F.col("user_id").cast("long"))
 
 
@@ -340,11 +341,12 @@ def ingest_sleep_nights(spark, sf):
 
 def ingest_report(spark, sf):
     described = _described(spark, sf)
-    cut = ingest.wide_rows(described)
+    headers = ingest.header_table(described)
+    cut = ingest.wide_rows(described, headers)
     report = None
-    for name, columns in ingest.columns_by_table(described).items():
+    for name, columns in ingest.columns_by_table(headers).items():
         ids = list(columns)
-        rows = ingest.build_table(described, columns, ingest.spec_of_table(ids), None).agg(
+        rows = ingest.build_table(described, headers, columns, ingest.spec_of_table(ids), None).agg(
             F.count("*").alias("row_count"))
         wide = cut.where(F.col("datatype_id").isin(ids)).agg(
             F.coalesce(F.sum("wide_rows"), F.lit(0)).alias("wide_rows"))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vitalgrid.functions import clean, codes, display
-from vitalgrid.functions.names import short_names, table_name, unique_name_column
+from vitalgrid.functions.names import header_names, table_name
 
 
 def apply(spark, values, make, kind="string"):
@@ -105,7 +105,7 @@ def test_bands(spark):
 def test_names(spark):
     headers = [["com.samsung.health.heart_rate.start_time", "com.samsung.health.x.time", "time"],
                [" a ", None, "b", "", None], ["a", "b", "a", "A", "a", "user_id"], [], None]
-    found = apply(spark, headers, lambda h: unique_name_column(short_names(h)), "array<string>")
+    found = apply(spark, headers, header_names, "array<string>")
     assert found == [["start_time", "x_time", "time"], ["a", "", "b"],
                      ["a", "b", "a_2", "A_3", "a_4", "user_id_2"], [], None]
     assert table_name("com.samsung.shealth.sleep_combined") == "sleep_combined"

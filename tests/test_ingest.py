@@ -282,10 +282,11 @@ def test_any_number_of_layouts(spark):
             .otherwise(F.array(F.concat(F.lit("x.c"), F.col("id") % 7), F.lit("x.score"), F.lit("x.start_time"))),
             F.when(F.col("id") % 2 == 0, F.array(F.lit("2024-01-01"), F.lit("5"), F.lit("z")))
             .otherwise(F.array(F.lit("z"), F.lit("5"), F.lit("2024-01-01"))))).alias("position", "cells"))
-    described = plan.with_part(export.describe_rows(cells.withColumn("position", F.col("position").cast("long"))))
-    found = plan.columns_by_table(described)["stress"][STRESS]
+    described = export.describe_rows(cells.withColumn("position", F.col("position").cast("long")))
+    headers = plan.header_table(described)
+    found = plan.columns_by_table(headers)["stress"][STRESS]
     assert len(found) == 2 + 10001 + 3 and set(found[:3]) == {"c1", "c3", "c5"}
-    table = plan.build_table(described, {STRESS: ["start_time", "score", "c3"]}, plan.spec_of(STRESS), None)
+    table = plan.build_table(described, headers, {STRESS: ["start_time", "score", "c3"]}, plan.spec_of(STRESS), None)
     assert table.where("score = 5 and start_time = timestamp_ntz'2024-01-01'").count() == 20001
     assert table.where("c3 = 'z'").count() == sum(i % 7 == 3 for i in range(1, 20001, 2))
 

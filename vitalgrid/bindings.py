@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitalgrid.shipping import ship_package
 from vitalgrid.sources.export import record_cells
 
 #: table name -> (filter on events, select expressions besides user_id)
@@ -55,6 +56,7 @@ PROJECTIONS: dict[str, tuple[str, tuple[str, ...]]] = {
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 

@@ -1,15 +1,17 @@
 """Names of columns and tables.
 
-Column names are derived from headers in the plan, since there may be any number of headers; table
-names on the driver from the few type ids.
+Column names are derived in tasks, once for each distinct header, since there may be any number of them;
+table names on the driver from the few type ids.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 
-from pyspark.sql import Column
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Last name parts that say too little on their own, and prefixes cut from ids.
 AMBIGUOUS_LAST_PARTS = ("time", "value", "type", "id")
@@ -18,30 +20,30 @@ ID_PREFIXES = ("com.samsung.shealth.", "com.samsung.health.")
 OWN_COLUMNS = ("user_id", "export_ts")
 
 
-def short_names(header: Column) -> Column:
-    """``a.b.heart_rate.start_time`` to ``start_time``, ``a.b.time`` to ``b_time``; blank names at the end
-    are left out."""
-    def short(name: Column) -> Column:
-        parts = F.split(name, r"\.")
-        keep = F.when(F.element_at(parts, -1).isin(*AMBIGUOUS_LAST_PARTS), F.least(F.size(parts), F.lit(2))).otherwise(1)
-        return F.array_join(F.slice(parts, -keep, keep), "_")
+def _short(name: str) -> str:
+    parts = name.split(".")
+    return "_".join(parts[-2:]) if parts[-1] in AMBIGUOUS_LAST_PARTS else parts[-1]
 
-    trimmed = F.transform(header, lambda c: F.trim(F.coalesce(c, F.lit(""))))
-    filled = F.transform(trimmed, lambda c, i: F.when(c != "", i + 1))
-    return F.transform(F.slice(trimmed, F.lit(1), F.coalesce(F.array_max(filled), F.lit(0))), short)
 
+def names_of(header: list[str | None], taken: tuple[str, ...] = OWN_COLUMNS) -> list[str]:
+    """Column names of a header: ``a.b.heart_rate.start_time`` to ``start_time``, ``a.b.time`` to ``b_time``; blank names
+    at the end are left out, and repeats get the suffix ``_2``, ``_3`` … Spark compares names without case, so do we."""
+    names = [(c or "").strip(" ") for c in header]
+    while names and not names[-1]:
+        names.pop()
+    seen = Counter(taken)
+    found = []
+    for name in map(_short, names):
+        seen[name.lower()] += 1
+        times = seen[name.lower()]
+        found.append(name if times == 1 else f"{name}_{times}")
+    return found
 
-def unique_name_column(names: Column, taken: tuple[str, ...] = OWN_COLUMNS) -> Column:
-    """Suffix repeats with ``_2``, ``_3`` …; Spark compares names without case, so do we."""
-    used = F.array(*[F.lit(t) for t in taken])
-    lower = F.transform(names, F.lower)
 
-    def unique(name: Column, i: Column) -> Column:
-        before = F.concat(used, F.slice(lower, F.lit(1), i))
-        count = F.size(F.filter(before, lambda x: x == F.lower(name)))
-        return F.when(count == 0, name).otherwise(F.concat(name, F.lit("_"), count + 1))
-
-    return F.transform(names, unique)
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def header_names(header: pd.Series) -> pd.Series:
+    """``names_of`` each header; to be asked once for each distinct header, not for each row."""
+    return header.map(lambda cells: None if cells is None else names_of(list(cells)))
 
 
 def table_name(datatype_id: str | None) -> str:

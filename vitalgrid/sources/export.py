@@ -6,22 +6,23 @@ that may be longer or shorter than the header and whose quoted cells may hold li
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vitalgrid.functions.names import short_names, unique_name_column
+from vitalgrid.sources.csv_chunks import (
+    BLOB_FOLDER, FILE_COLUMNS, header_id, person_of, read_records, root_pattern, type_of)
 
 CELL_SCHEMA = "export_dir string, below string, file_name string, position long, cells array<string>"
 ARCHIVE_BATCH_ROWS = 5000
-BLOB_FOLDER = "jsons"
 #: larger files do not fit one cell of a table
 BINARY_FILE_LIMIT = 2 ** 31 - 1
-#: stands for a blank type id
-NO_ID = "unknown"
+#: header and data rows of files; ``row_no`` grows along a file, equal headers have one ``header_id``
+ROW_SCHEMA = ("user_id string, export_ts string, export_dir string, file_name string, row_no long, part string, "
+              "datatype_id string, version string, header_id long, cells array<string>")
 
 
 def file_path() -> Column:
@@ -32,9 +33,7 @@ def file_path() -> Column:
 
 def below_root(path: Column, root: str) -> Column:
     """The part of ``path`` below ``root``: what lies above says nothing about an export."""
-    inner = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).strip("/")
-    pattern = "^.*?/" + "".join(c if c.isalnum() or c in "/_" else f"\\{c}" for c in inner) + "/"
-    return F.regexp_replace(path, pattern, "") if inner else path
+    return F.regexp_replace(path, root_pattern(root), "")
 
 
 def _folder_of(path: Column) -> Column:
@@ -47,11 +46,12 @@ def _in_blob_folder(below: Column) -> Column:
 
 def record_cells(record: Column) -> Column:
     """The cells of one CSV record, however many: quoted ones without their quotes, blank ones null,
-    blank ones at the end left out."""
-    # with a comma before it every cell is a match of its own, an empty first one too
-    split = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(r'(?s),("(?:[^"]|"")*"[^,]*|[^,]*)'), 1)
+    blank ones at the end left out. What follows closed quotes belongs to the cell; open ones take the rest."""
+    # with a comma before it every cell is a match of its own, an empty first one too; possessive groups are
+    # loops, where others would recurse once for each character of a cell
+    split = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(r'(?s),("(?:[^"]++|"")*+(?:"[^,]*+|\z)|[^,]*+)'), 1)
     cells = F.transform(split, lambda c: F.when(
-        c.startswith('"'), F.replace(F.regexp_replace(c, r'(?s)^"(.*)"\s*$', "$1"), F.lit('""'), F.lit('"'))
+        c.startswith('"'), F.replace(F.regexp_replace(c, r'(?s)^"((?:[^"]++|"")*+)"?', "$1"), F.lit('""'), F.lit('"'))
     ).otherwise(c))
     cells = F.transform(cells, lambda c: F.when(c != "", c))
     return without_blank_end(cells)
@@ -62,28 +62,14 @@ def without_blank_end(cells: Column) -> Column:
     return F.slice(cells, F.lit(1), F.coalesce(F.array_max(filled), F.lit(0)))
 
 
-def read_export_cells(spark: SparkSession, root: str, files: str = "*.csv") -> DataFrame:
-    """Every row of every CSV file below ``root``, blob folders aside: see ``CELL_SCHEMA``.
+def read_export_rows(spark: SparkSession, root: str, files: str = "*.csv") -> DataFrame:
+    """Every row of every CSV file below ``root``, blob folders aside: see ``ROW_SCHEMA``.
 
-    Rows may be of any width: Spark's reader finds where records end, with schema of one column, and
-    hands over the text of records that have more, to be split here. ``position`` grows by one along
-    a file, which is one read task, because quoted cells may span lines.
+    Rows may be of any width and cells of any length. A large file is many read tasks, although quoted cells
+    may hold line breaks (see :mod:`vitalgrid.sources.csv_chunks`). A cell whose quotes are not closed
+    takes the rest of its file.
     """
-    scan = (
-        spark.read.schema("first string, record string")
-        .option("columnNameOfCorruptRecord", "record")
-        .option("multiLine", True).option("escape", '"').option("encoding", "UTF-8")
-        .option("maxCharsPerColumn", -1).option("recursiveFileLookup", True).option("pathGlobFilter", files)
-        .csv(root)
-    )
-    rows = scan.select(
-        file_path().alias("path"), F.monotonically_increasing_id().alias("position"),
-        F.when(F.col("record").isNotNull(), record_cells(F.col("record"))).otherwise(
-            without_blank_end(F.array("first"))).alias("cells"),
-    ).withColumn("inside", below_root(F.col("path"), root)).where(~_in_blob_folder(F.col("inside")))
-    return rows.select(
-        _folder_of(F.col("path")).alias("export_dir"), _folder_of(F.col("inside")).alias("below"),
-        F.regexp_extract("path", r"([^/]*)$", 1).alias("file_name"), "position", "cells")
+    return read_records(spark, root, files).select(*FILE_COLUMNS, record_cells(F.col("record")).alias("cells"))
 
 
 def _members(content) -> Iterator[tuple[str, object]]:
@@ -112,25 +98,31 @@ def _opened(path: str, content: bytes | None):
     return files.open_input_file(inner)
 
 
-def _archive_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _archive_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import csv
     import io
 
     csv.field_size_limit(2 ** 31 - 1)
-    names = ["export_dir", "below", "file_name", "position", "cells"]
+    names = [*FILE_COLUMNS, "cells"]
     for batch in batches:
         for path, below, content in zip(batch["path"], batch["below"], batch["content"]):
             for member, data in _members(_opened(path, content)):
                 if not member.endswith(".csv") or f"/{BLOB_FOLDER}/" in f"/{member}":
                     continue
                 folder, _, name = f"{path}/{member}".rpartition("/")
-                inside = f"{below}/{member}".rpartition("/")[0]
+                person = person_of(folder, f"{below}/{member}".rpartition("/")[0])
                 lines = io.TextIOWrapper(data, "utf-8-sig", errors="replace", newline="")
-                chunk = []
+                chunk, about = [], ()
                 for position, cells in enumerate(row for row in csv.reader(lines) if row):
+                    if position == 0:
+                        about = type_of(cells)
+                        continue
+                    if position == 1:
+                        about = (*about, header_id(repr(cells)))
                     while cells and not cells[-1]:
                         cells.pop()
-                    chunk.append((folder, inside, name, position, [c or None for c in cells]))
+                    part = "header" if position == 1 else "data"
+                    chunk.append((*person, folder, name, position, part, *about, [c or None for c in cells]))
                     if len(chunk) == ARCHIVE_BATCH_ROWS:
                         yield pd.DataFrame(chunk, columns=names)
                         chunk = []
@@ -161,9 +153,9 @@ def _archives(spark: SparkSession, root: str) -> DataFrame:
         "path", below_root(F.col("path"), root).alias("below"), "content")
 
 
-def read_archive_cells(spark: SparkSession, root: str) -> DataFrame:
-    """As ``read_export_cells``, from ZIP archives below ``root``; nothing is unpacked to disk."""
-    return _archives(spark, root).mapInPandas(_archive_cells, CELL_SCHEMA)
+def read_archive_rows(spark: SparkSession, root: str) -> DataFrame:
+    """As ``read_export_rows``, from ZIP archives below ``root``; nothing is unpacked to disk."""
+    return _archives(spark, root).mapInPandas(_archive_rows, ROW_SCHEMA)
 
 
 def read_archive_blobs(spark: SparkSession, root: str) -> DataFrame:
@@ -180,42 +172,35 @@ def read_export_blobs(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _person(export_dir: Column, below: Column) -> tuple[Column, Column]:
-    """Person and time of an export, from the folders below the root.
-
-    The deepest folder or archive named ``word_<person>_<digits>`` tells; without one the folders as a
-    whole name the person, so that two persons never become one. Files that lie in the root itself
-    belong to the root's folder.
-    """
-    folders = F.when(below == "", F.regexp_extract(export_dir, r"([^/]*)$", 1)).otherwise(below)
-    plain = F.regexp_replace(folders, r"(?i)\.zip(?=/|$)", "")
-    named = F.regexp_extract_all(plain, F.lit(r"(?:^|/)([A-Za-z]+_[^/]+_\d{8,})(?=/|$)"), 1)
-    last = F.when(F.size(named) > 0, F.element_at(named, -1))
-    user = F.regexp_extract(last, r"^[A-Za-z]+_(.+)_\d{8,}$", 1)
-    return F.coalesce(user, plain), F.regexp_extract(last, r"_(\d{8,})$", 1)
+def _about_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for r in batch.to_pylist():
+            rows.append({"dir": r["export_dir"], "name": r["file_name"], "first": r["header_position"],
+                         **dict(zip(("user_id", "export_ts"), person_of(r["export_dir"], r["below"]))),
+                         **dict(zip(("datatype_id", "version"), type_of(r["meta"] or []))),
+                         "header_id": header_id(repr(r["header"]))})
+        text, number = pa.string(), pa.int64()
+        yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([
+            ("dir", text), ("name", text), ("first", number), ("user_id", text), ("export_ts", text), ("datatype_id", text),
+            ("version", text), ("header_id", number)]))
 
 
 def describe_rows(cells: DataFrame) -> DataFrame:
-    """Add to every row what the first two lines of its file and its folder say.
+    """Rows of cells (``CELL_SCHEMA``) with what the first two rows of their file and its folder say: ``ROW_SCHEMA``.
 
-    Gives ``user_id, export_ts, export_dir, file_name, row_no, datatype_id, version, names, cells``;
-    ``names`` are the short, unique column names of the file's header. The metadata line itself is
-    dropped; header rows stay, as ``row_no`` 1. A blank type id reads as ``unknown``. The one shuffle
-    and sort is by file, and no file exceeds what one task has read.
+    Two rows of each file and task are shuffled to find the files' first ones; what they say meets the other
+    rows by the name of the file. The first row itself is dropped.
     """
     in_file = Window.partitionBy("export_dir", "file_name").orderBy("position")
-    so_far = in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    described = cells.withColumns({
-        "row_no": (F.row_number().over(in_file) - 1).cast("long"),
-        "_meta": F.first("cells").over(so_far),
-        "_header": F.nth_value("cells", 2).over(so_far),
-    })
-    meta = F.transform("_meta", lambda c: F.trim(F.regexp_replace(c, r"^\uFEFF", "")))
-    user, stamp = _person(F.col("export_dir"), F.col("below"))
-    datatype_id = F.get(meta, F.lit(0))
-    return described.where("row_no > 0").select(
-        user.alias("user_id"), stamp.alias("export_ts"), "export_dir", "file_name", "row_no",
-        F.when(datatype_id != "", datatype_id).otherwise(NO_ID).alias("datatype_id"),
-        F.when(F.get(meta, F.lit(1)) != "", F.get(meta, F.lit(1))).alias("version"),
-        unique_name_column(short_names(F.col("_header"))).alias("names"), "cells",
-    )
+    top = cells.withColumn("_n", F.row_number().over(in_file)).where("_n <= 2")
+    files = top.groupBy("export_dir", "file_name").agg(
+        F.first("below").alias("below"), F.min_by("cells", "position").alias("meta"), F.max_by("cells", "position").alias("header"),
+        F.max("position").alias("header_position"), F.count("*").alias("rows")).where("rows = 2")
+    about = files.mapInArrow(_about_files, "dir string, name string, first long, user_id string, export_ts string, "
+                             "datatype_id string, version string, header_id long")
+    known = cells.join(about, (F.col("export_dir") == F.col("dir")) & (F.col("file_name") == F.col("name")))
+    part = F.when(F.col("position") == F.col("first"), "header").otherwise("data")
+    return known.where("position >= first").select(
+        "user_id", "export_ts", "export_dir", "file_name", F.col("position").alias("row_no"), part.alias("part"),
+        "datatype_id", "version", "header_id", "cells")
