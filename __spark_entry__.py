@@ -22,7 +22,8 @@ from vitalgrid.functions.json import inline_json  # noqa: E402
 from vitalgrid.functions.names import header_names  # noqa: E402
 from vitalgrid.operators import daily, dedup, load, timeline  # noqa: E402
 from vitalgrid.plans import ingest, profile, queries as q  # noqa: E402
-from vitalgrid.plans.metrics import build_daily_metrics, daily_frame  # noqa: E402
+from vitalgrid.plans.metrics import build_daily_metrics, daily_frame, load_range  # noqa: E402
+from vitalgrid.shipping import scratch_folder  # noqa: E402
 from vitalgrid.sources import export, tables as stored  # noqa: E402
 from vitalgrid.sources.blobs import attach_blobs  # noqa: E402
 
@@ -286,7 +287,9 @@ def json_decode(spark, sf):
 
 
 def table_listing(spark, sf):
-    return stored.table_listing(b.tables(spark, sf)).withColumn("columns", F.array_join("columns", ","))
+    """Every seventh person's rows are owned by nobody."""
+    tables = {n: t.withColumn("user_id", F.when(F.col("user_id") % 7 > 0, F.col("user_id"))) for n, t in b.tables(spark, sf).items()}
+    return stored.table_listing(tables).withColumn("columns", F.array_join("columns", ","))
 
 
 def profile_counts(spark, sf):
@@ -319,7 +322,7 @@ def _described(spark: SparkSession, sf: str) -> DataFrame:
 
 def _ingested_table(spark, sf, name):
     described = _described(spark, sf)
-    headers = ingest.header_table(described)
+    headers = ingest.header_table(described).persist()
     columns = ingest.columns_by_table(headers)[name]
     table = ingest.build_table(described, headers, columns, ingest.spec_of_table(list(columns)), None)
     return table.withColumn("user_id", F.col("user_id").cast("long"))
@@ -335,13 +338,13 @@ def ingest_heart_rate(spark, sf):
 def ingest_sleep_nights(spark, sf):
     """An unregistered table, all text with epoch times, aggregated per night."""
     nights = daily.nightly_sleep(_ingested_table(spark, sf, "sleep_combined"))
-    # whole milliseconds of an hour lie on the edge of rounding: both sides are moved off it
-    return b.rounded(nights.withColumn("sleep_midpoint", F.col("sleep_midpoint") + F.lit(1e-8)))
+    # means of whole milliseconds of an hour lie on the edge of rounding to six digits
+    return b.rounded(nights, 9)
 
 
 def ingest_report(spark, sf):
     described = _described(spark, sf)
-    headers = ingest.header_table(described)
+    headers = ingest.header_table(described).persist()
     cut = ingest.wide_rows(described, headers)
     report = None
     for name, columns in ingest.columns_by_table(headers).items():
@@ -355,6 +358,44 @@ def ingest_report(spark, sf):
     return report
 
 
+def _files(spark, sf):
+    return export.read_export_rows(spark, b.export_files(spark, sf), "*.txt")
+
+
+def ingest_files(spark, sf):
+    """Rows and cells that the reader finds in files, by file and kind of row."""
+    return _files(spark, sf).groupBy("user_id", "export_ts", "datatype_id", "version", "part").agg(
+        F.count("*").alias("n_rows"), F.sum(F.size("cells")).alias("n_cells"),
+        F.sum(F.expr("length(array_join(cells, '|', '-'))")).alias("n_letters"))
+
+
+def ingest_long_cells(spark, sf):
+    """Cells as long as all properties of a person together, quoted, with doubled quotes and line breaks."""
+    rows = b.events(spark, sf).groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("event_id", "props"))).alias("all"))
+    text = F.array_join(F.transform("all", lambda e: e["props"]), ",\n")
+    record = F.concat(F.col("user_id").cast("string"), F.lit(',"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('",end,'))
+    return rows.select("user_id", F.explode(export.record_cells(record)).alias("cell"))
+
+
+def ingest_run(spark, sf):
+    """The whole ingest, from files to committed tables: its report, and what the tables then hold."""
+    out = scratch_folder(spark, "tables")
+    report = ingest.ingest(spark, b.export_files(spark, sf), out, files="*.txt")
+    stored_rows = stored.table_listing(stored.read_tables(spark, out)).select(
+        "table_name", F.col("n_rows").alias("stored_rows"), F.array_join("columns", ",").alias("columns"))
+    return report.join(stored_rows, "table_name")
+
+
+def range_of_stored_metrics(spark, sf):
+    """Metrics stored by month, of which a range reads what it needs."""
+    out = scratch_folder(spark, "metrics")
+    with stored.Commit(spark, out) as commit:
+        for name, table in b.tables(spark, sf).items():
+            commit.write(table, name)
+    return load_range(spark, out, "7d").selectExpr(
+        "user_id", "day", "round(resting_hr, 6) as resting_hr", "steps")
+
+
 def ingest_persons(spark, sf):
     """Persons and export times from the folder names, one row for each person and record type."""
     described = _described(spark, sf).where("part = 'data'")
@@ -433,6 +474,10 @@ def queries() -> dict[str, Query]:
         "ingest_sleep_nights": ingest_sleep_nights,
         "ingest_report": ingest_report,
         "ingest_persons": ingest_persons,
+        "ingest_files": ingest_files,
+        "ingest_long_cells": ingest_long_cells,
+        "ingest_run": ingest_run,
+        "range_of_stored_metrics": range_of_stored_metrics,
     }
 
 

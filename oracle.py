@@ -387,7 +387,7 @@ def oracle_sql() -> dict[str, str]:
         "json_decode": """select event_id, case when event_id % 5 = 1 then null when event_id % 5 = 2 then null
             else '{"k":' || json_extract_string(props, '$.k') || '}' end as json from events""",
         "table_listing": " union all ".join(
-            f"select '{t}' as table_name, count(*) as n_rows, 0::bigint as n_unowned, '{c}' as columns from events where {w}" for t, w, c in (
+            f"select '{t}' as table_name, count(*) as n_rows, count(*) filter (user_id % 7 = 0) as n_unowned, '{c}' as columns from events where {w}" for t, w, c in (
                 ("heart_rate", "event_type = 'view'", "user_id,start_time,bpm"),
                 ("stress", "event_type = 'click'", "user_id,start_time,score"),
                 ("spo2", "event_type = 'signup'", "user_id,start_time,spo2"),
@@ -430,13 +430,47 @@ def oracle_sql() -> dict[str, str]:
             from events where event_type = 'view' group by 1, 2""",
         "ingest_sleep_nights": f"""select user_id, {WAKE_DAY.replace('ts', "date_trunc('millisecond', ts)")} as day,
             sum((360 + event_id % 141)::double) as sleep_minutes,
-            round(avg(case when event_id % 7 > 0 then (70 + event_id % 27)::double end), 6)
+            round(avg(case when event_id % 7 > 0 then (70 + event_id % 27)::double end), 9)
               as sleep_efficiency,
             max((55 + event_id % 38)::double) as sleep_score,
-            round(avg((((epoch_us(ts) // 1000 % 86400000) / 3600000e0 - 18e0) % 24e0 + 24e0) % 24e0) + 1e-8, 6) as sleep_midpoint
+            round(avg((((epoch_us(ts) // 1000 % 86400000) / 3600000e0 - 18e0) % 24e0 + 24e0) % 24e0), 9) as sleep_midpoint
             from events where event_type = 'error' group by 1, 2""",
         "ingest_report": """select 'heart_rate' as table_name, count(distinct
               (user_id, date_trunc('millisecond', ts))) as row_count,
-              count(*) * 0 as wide_rows from events where event_type = 'view'
+              count(*) filter (event_id % 40 = 0) as wide_rows from events where event_type = 'view'
             union all select 'sleep_combined', count(*), 0 from events where event_type = 'error'""",
+        "ingest_run": """select 'heart_rate' as table_name, count(distinct
+              (user_id, date_trunc('millisecond', ts))) as row_count,
+              count(*) filter (event_id % 40 = 0) as wide_rows,
+              count(distinct (user_id, date_trunc('millisecond', ts))) as stored_rows,
+              'user_id,export_ts,start_time,bpm,comment,binning_data,binning_data_json' as columns
+            from events where event_type = 'view'
+            union all select 'sleep_combined', count(*), 0, count(*),
+              'user_id,export_ts,start_time,sleep_score,efficiency,sleep_duration' from events where event_type = 'error'""",
+        "ingest_files": f"""
+            with cells as (
+              select user_id, 'heart_rate' as kind, unnest([
+                case when event_id % 10 = 0 then [strftime(ts, '%Y-%m-%d %H:%M:%S.%g'), '1', 'first', '[]'] end,
+                [strftime(ts, '%Y-%m-%d %H:%M:%S.%g'), (48 + event_id % 90)::varchar, 'a, ' || chr(10) || ' b', props]
+                  || case when event_id % 40 = 0 then ['a cell too many'] else [] end]) as c
+              from events where event_type = 'view'
+              union all select user_id, 'sleep', [(epoch_us(ts) // 1000)::varchar, (55 + event_id % 38)::varchar,
+                case when event_id % 7 = 0 then 'NaN' else (70 + event_id % 27)::varchar end, (360 + event_id % 141)::varchar]
+              from events where event_type = 'error')
+            select user_id::varchar as user_id, '20240131120000' as export_ts,
+              case kind when 'sleep' then 'com.samsung.shealth.sleep_combined'
+                else 'com.samsung.shealth.tracker.heart_rate' end as datatype_id,
+              case kind when 'sleep' then '1' else '7' end as version, part, sum(n)::bigint as n_rows,
+              sum(cells)::bigint as n_cells, sum(letters)::bigint as n_letters from (
+                select user_id, kind, 'data' as part, count(*) as n, sum(len(c)) as cells, sum(length(array_to_string(c, '|'))) as letters
+                from cells where c is not null group by 1, 2
+                union all select distinct user_id, kind, 'header', 1, 4, case kind when 'sleep' then
+                  length('com.samsung.health.sleep_combined.') * 4 + length('start_time|sleep_score|efficiency|sleep_duration')
+                  else length('com.samsung.health.heart_rate.') * 4 + length('start_time|heart_rate|comment|binning_data') end from cells)
+            group by all""",
+        "ingest_long_cells": """
+            with texts as (select user_id, string_agg(props, ',' || chr(10) order by event_id, props) as text from events group by 1)
+            select user_id, unnest([user_id::varchar, text, 'end']) as cell from texts""",
+        "range_of_stored_metrics": _with("fill", """select user_id, day, round(resting_hr, 6) as resting_hr, steps
+            from (select *, max(day) over (partition by user_id) as newest from fill) where day >= newest - 6"""),
     }

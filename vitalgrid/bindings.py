@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.shipping import ship_package
+from vitalgrid.shipping import scratch_folder, ship_package
 from vitalgrid.sources.export import record_cells
 
 #: table name -> (filter on events, select expressions besides user_id)
@@ -95,7 +95,7 @@ EXPORT_RECORDS = {
         # with a comma too many, and comments hold commas and line breaks
         (f"""if(event_id % 10 = 0, concat({TIME_TEXT}, ',1,first,[],'), null)""",
          f"""concat({TIME_TEXT}, ',', 48 + event_id % 90, ',"a, \\n b","',
-             replace(props, '"', '""'), '",')"""),
+             replace(props, '"', '""'), '",', if(event_id % 40 = 0, 'a cell too many', ''))"""),
     ),
     "sleep_combined": (
         f"{SLEEP_COMBINED_ID},1",
@@ -109,9 +109,9 @@ EXPORT_RECORDS = {
 }
 
 
-def export_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as records of export files, one folder for each person and one file for each record
-    type, split into cells as the file reader does."""
+def export_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as lines of export files, one folder for each person and one file for each record type:
+    ``below, file_name, position, value``."""
     lines = None
     for record, (meta, header, condition, texts) in EXPORT_RECORDS.items():
         body = events(spark, sf_dir).where(condition).select(
@@ -124,6 +124,19 @@ def export_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("wear_"), F.col("user_id"), F.lit("_20240131120000")).alias("below"),
             F.lit(f"{record}.csv").alias("file_name"), (F.col("line") + F.col("n")).alias("position"), "value")
         lines = part if lines is None else lines.unionByName(part)
-    return lines.select(
+    return lines
+
+
+def export_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """These lines split into cells as the file reader does."""
+    return export_lines(spark, sf_dir).select(
         F.concat(F.lit("/exports/"), "below").alias("export_dir"), "below", "file_name", "position",
         record_cells(F.col("value")).alias("cells"))
+
+
+def export_files(spark: SparkSession, sf_dir: str) -> str:
+    """These lines written as files into the shared folder, which is given."""
+    root = scratch_folder(spark, "exports")
+    export_lines(spark, sf_dir).repartition("below", "file_name").sortWithinPartitions("below", "file_name", "position").select(
+        F.col("below").alias("export"), F.col("file_name").alias("record"), "value").write.partitionBy("export", "record").text(root)
+    return root

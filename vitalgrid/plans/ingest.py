@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,11 +13,11 @@ from vitalgrid.functions.names import OWN_COLUMNS, header_names
 from vitalgrid.operators.dedup import keep_last
 from vitalgrid.params import MetricParams
 from vitalgrid.plans.metrics import METRICS_TABLE, write_metrics
-from vitalgrid.shipping import ship_package
+from vitalgrid.shipping import scratch_folder, ship_package
 from vitalgrid.sources import export
 from vitalgrid.sources.blobs import ROW_KEY, attach_blobs
 from vitalgrid.sources.registry import TableSpec, spec_of, spec_of_table
-from vitalgrid.sources.tables import delete_folder, read_table, write_table
+from vitalgrid.sources.tables import Commit, delete_folder, read_table
 
 #: later rows win: newer export, then file name, then position in the file
 LAST_ORDER = ("export_ts", "export_dir", "file_name", "row_no")
@@ -147,27 +145,21 @@ def wide_rows(staged: DataFrame, headers: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("n") > F.col("width"), F.col("rows")).otherwise(0)).alias("wide_rows"))
 
 
-def scratch_folder(spark: SparkSession, near: str) -> str:
-    """A fresh folder below the shared one the cluster names, else below ``near``, which must be shared."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{near}/_staging"
-    return f"{shared}/vitalgrid-{uuid.uuid4().hex}"
-
-
 def ingest(
     spark: SparkSession, root: str, out: str, archives: bool = False,
-    params: MetricParams | None = None, profiles: DataFrame | None = None,
+    params: MetricParams | None = None, profiles: DataFrame | None = None, files: str = "*.csv",
 ) -> DataFrame:
     """Read every export below ``root``, write one table per record type below ``out``.
 
-    With ``archives`` the exports are ZIP files instead of folders. Every table is replaced, and a
+    With ``archives`` the exports are ZIP files instead of folders. All tables are replaced by one commit, and a
     ``metrics_daily`` that is there is built again from the new tables, with ``params`` and ``profiles``
     or else those it was built with. Result: ``table_name, row_count, wide_rows``.
     """
     ship_package(spark)
-    rows = export.read_archive_rows(spark, root) if archives else export.read_export_rows(spark, root)
+    rows = export.read_archive_rows(spark, root) if archives else export.read_export_rows(spark, root, files)
     blobs = export.read_archive_blobs(spark, root) if archives \
         else export.read_export_blobs(spark, root)
-    staging = scratch_folder(spark, out)
+    staging = scratch_folder(spark, "ingest", out)
     try:
         staged = stage_rows(rows, f"{staging}/rows")
         header_table(staged).write.parquet(f"{staging}/headers")
@@ -177,13 +169,14 @@ def ingest(
             blobs = spark.read.schema(blobs.schema).parquet(f"{staging}/blobs")
         cut = {r["datatype_id"]: r["wide_rows"] for r in wide_rows(staged, headers).collect()}
         report = []
-        for name, columns in columns_by_table(headers).items():
-            counted = Observation(name)
-            table = build_table(staged, headers, columns, spec_of_table(list(columns)), blobs)
-            write_table(table.observe(counted, F.count(F.lit(1)).alias("rows")), out, name)
-            report.append((name, counted.get["rows"], sum(cut.get(i, 0) for i in columns)))
+        with Commit(spark, out) as commit:
+            for name, columns in columns_by_table(headers).items():
+                counted = Observation(name)
+                table = build_table(staged, headers, columns, spec_of_table(list(columns)), blobs)
+                commit.write(table.observe(counted, F.count(F.lit(1)).alias("rows")), name)
+                report.append((name, counted.get["rows"], sum(cut.get(i, 0) for i in columns)))
     finally:
-        delete_folder(spark, staging)
+        delete_folder(staging)
     if read_table(spark, out, METRICS_TABLE) is not None:
         write_metrics(spark, out, params, profiles)
     return spark.createDataFrame(report, "table_name string, row_count long, wide_rows long")

@@ -6,18 +6,21 @@ import json
 from dataclasses import asdict
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.operators import daily as d
 from vitalgrid.operators import load as l
 from vitalgrid.operators import timeline as t
 from vitalgrid.params import DEFAULT_PARAMS, MetricParams
-from vitalgrid.sources.tables import read_table, read_tables, write_table
+from vitalgrid.plans.queries import days_of, in_range
+from vitalgrid.sources.tables import Commit, committed, read_table, read_tables
 
 METRICS_TABLE = "metrics_daily"
-#: what the stored metrics were built with; not listed among the tables
-BUILD_PARAMS, BUILD_PROFILES = "_metrics/params", "_metrics/profiles"
+#: profiles the stored metrics were built with, and each person's newest day; not listed among the tables
+PROFILES_TABLE, NEWEST_TABLE = "_metrics_profiles", "_metrics_newest"
+#: column the stored metrics are partitioned by
+MONTH = "month"
 DAILY_TABLES = (
     "heart_rate", "sleep_stage", "stress", "spo2", *d.STEP_TABLES, *d.SLEEP_TABLES, *d.BODY_TABLES)
 # Names of the output columns.
@@ -138,15 +141,6 @@ def _no_metrics(table: DataFrame) -> DataFrame:
         *[F.lit(None).cast("double").alias(c) for c in METRIC_COLUMNS])
 
 
-def _built_with(spark: SparkSession, root: str) -> tuple[MetricParams, DataFrame | None, str | None]:
-    """Parameters, profiles and the profiles' digest that the stored metrics were built with."""
-    built = read_table(spark, root, BUILD_PARAMS)
-    if built is None:
-        return DEFAULT_PARAMS, None, None
-    row = built.first()
-    return MetricParams(**json.loads(row["params"])), read_table(spark, root, BUILD_PROFILES), row["profiles"]
-
-
 def _digest(profiles: DataFrame | None) -> str | None:
     if profiles is None:
         return None
@@ -155,23 +149,46 @@ def _digest(profiles: DataFrame | None) -> str | None:
                         .cast("string").alias("d")).first()["d"]
 
 
+def _built_with(spark: SparkSession, root: str) -> tuple[MetricParams, str | None]:
+    """Parameters, and the profiles' digest, that the stored metrics were built with."""
+    row = committed(spark, root).get(METRICS_TABLE)
+    if row is None or row["about"] is None:
+        return DEFAULT_PARAMS, None
+    about = json.loads(row["about"])
+    return MetricParams(**about["params"]), about["profiles"]
+
+
 def write_metrics(
     spark: SparkSession, root: str, params: MetricParams | None = None, profiles: DataFrame | None = None,
 ) -> None:
-    """Build ``metrics_daily`` from the stored tables and replace it.
+    """Build ``metrics_daily`` from the stored tables and replace it, by month of the day.
 
     Parameters and profiles that are not given stay those of the last build (at first the defaults and
-    none); they are stored with the metrics.
+    none). They, the metrics and each person's newest day are one commit.
     """
-    last_params, last_profiles, _ = _built_with(spark, root)
+    last_params, _ = _built_with(spark, root)
     params = params or last_params
     tables = {k: v for k, v in read_tables(spark, root).items() if k != METRICS_TABLE}
-    own = last_profiles if profiles is None else profiles
-    write_table(build_daily_metrics(tables, params, own), root, METRICS_TABLE)
-    if profiles is not None:
-        write_table(profiles, root, BUILD_PROFILES)
-    spark.createDataFrame([(json.dumps(asdict(params)), _digest(own))], "params string, profiles string") \
-        .coalesce(1).write.mode("overwrite").parquet(f"{root}/{BUILD_PARAMS}")
+    own = read_table(spark, root, PROFILES_TABLE) if profiles is None else profiles
+    metrics = build_daily_metrics(tables, params, own).withColumn(MONTH, _month(F.col("day")))
+    with Commit(spark, root) as commit:
+        about = json.dumps({"params": asdict(params), "profiles": _digest(own)})
+        commit.write(metrics.hint("rebalance", MONTH), METRICS_TABLE, [MONTH], about)
+        written = commit.reread(METRICS_TABLE, metrics.schema)
+        commit.write(written.groupBy("user_id").agg(F.max("day").alias("newest")), NEWEST_TABLE)
+        if profiles is not None:
+            commit.write(profiles, PROFILES_TABLE)
+
+
+def _month(day: Column) -> Column:
+    return F.date_format(day, "yyyy-MM")
+
+
+def _ensure_metrics(spark, root, params, profiles) -> None:
+    built_params, built_profiles = _built_with(spark, root)
+    if read_table(spark, root, METRICS_TABLE) is None or params not in (None, built_params) or (
+            profiles is not None and _digest(profiles) != built_profiles):
+        write_metrics(spark, root, params, profiles)
 
 
 def load_metrics(
@@ -179,9 +196,30 @@ def load_metrics(
 ) -> DataFrame:
     """The stored ``metrics_daily``; built and stored first if it does not exist or was built with other
     parameters or profiles than those given."""
-    stored = read_table(spark, root, METRICS_TABLE)
-    built_params, _, built_profiles = _built_with(spark, root)
-    if stored is None or params not in (None, built_params) or (
-            profiles is not None and _digest(profiles) != built_profiles):
-        write_metrics(spark, root, params, profiles)
-    return read_table(spark, root, METRICS_TABLE)
+    _ensure_metrics(spark, root, params, profiles)
+    return read_table(spark, root, METRICS_TABLE).drop(MONTH)
+
+
+def load_range(
+    spark: SparkSession, root: str, range_name: str, params: MetricParams | None = None, profiles: DataFrame | None = None,
+) -> DataFrame:
+    """As ``load_metrics``, the days of a range only, counted from each person's newest day.
+
+    Only the months in which someone's range lies are read; their names come from the table of newest days,
+    one row a person. The days are then cut by an equi-join with that table, without a window over the
+    history. Give the result to the queries with the range ``all``.
+    """
+    length = days_of(range_name)
+    metrics = load_metrics(spark, root, params, profiles)
+    if length is None:
+        return metrics
+    newest = read_table(spark, root, NEWEST_TABLE)
+    if newest is None:  # stored by others: no months, no newest days
+        return in_range(metrics, range_name)
+    first = F.date_sub("newest", length - 1)
+    months = newest.where("newest is not null").select(F.explode(F.sequence(
+        F.trunc(first, "MM"), F.trunc("newest", "MM"), F.expr("interval 1 month"))).alias("m")).select(_month(F.col("m"))).distinct()
+    # as many as there are months in the data
+    stored = read_table(spark, root, METRICS_TABLE).where(F.col(MONTH).isin([r[0] for r in months.collect()]))
+    since = newest.select(F.col("user_id").alias("_person"), first.alias("_first"))
+    return stored.join(since, F.col("user_id").eqNullSafe(F.col("_person"))).where("day >= _first").select(metrics.columns)

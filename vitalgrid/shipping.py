@@ -1,8 +1,9 @@
-"""Sending this package to the Python workers of a session."""
+"""What tasks need from the session: this package, and a folder that all executors share."""
 
 from __future__ import annotations
 
 import os
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -26,3 +27,14 @@ def ship_package(spark: SparkSession) -> None:
             archive.write(file, str(file.relative_to(top.parent)))
     context.addPyFile(path)
     _SHIPPED.add(context.applicationId)
+
+
+def scratch_folder(spark: SparkSession, name: str, near: str | None = None) -> str:
+    """A fresh folder below the shared one the cluster names in ``spark.checkpoint.dir``, else below ``near``, which
+    must be shared. Without either it lies below the warehouse of a local session; a cluster is refused."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or (near and f"{near.rstrip('/')}/_staging")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+    return f"{shared.rstrip('/')}/vitalgrid-{name}-{uuid.uuid4().hex}"

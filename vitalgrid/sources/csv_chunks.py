@@ -76,9 +76,10 @@ def person_of(export_dir: str, below: str) -> tuple[str, str | None]:
 
     The deepest folder or archive named ``word_<person>_<digits>`` tells; without one the folders as a
     whole name the person, so that two persons never become one. Files that lie in the root itself
-    belong to the root's folder.
+    belong to the root's folder. Folders named ``name=value``, as partitioned writers do, count by their value.
     """
     folders = re.sub(r"(?i)\.zip(?=/|$)", "", below or export_dir.rpartition("/")[2])
+    folders = re.sub(r"(^|/)\w+=", r"\1", folders)
     named = re.findall(r"(?:^|/)[A-Za-z]+_([^/]+)_(\d{8,})(?=/|$)", folders)
     return named[-1] if named else (folders, None)
 

@@ -1,47 +1,121 @@
-"""Stored tables: parquet folders below one root, one per table."""
+"""Stored tables: a folder of versioned Parquet tables that change as a whole or not at all.
+
+A commit writes each of its tables to a folder of its own, ``<root>/<table>/<version>``, and at last one row for each of
+them into ``<root>/_commits``. That last file is the commit: until it is there readers see the tables of before,
+afterwards all new ones. Folders that no row names are leftovers of writes that failed. One writer at a time.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitalgrid.sources.csv_chunks import root_pattern
 
-def write_table(df: DataFrame, root: str, name: str) -> None:
-    """Replace the table."""
-    df.write.mode("overwrite").parquet(f"{root}/{name}")
+COMMITS = "seq long, table_name string, folder string, about string"
 
 
-def read_table(
-    spark: SparkSession, root: str, name: str, schema: T.StructType | str | None = None
-) -> DataFrame | None:
-    """The table; if it does not exist, an empty one of ``schema`` (``None`` without a schema)."""
+def _read_parquet(spark: SparkSession, path: str, **options) -> DataFrame | None:
+    """The files below a path, None where there is nothing."""
     try:
-        return spark.read.parquet(f"{root}/{name}")
+        return spark.read.options(**options).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    return None if schema is None else spark.createDataFrame([], schema)
+    return None
+
 
+def committed(spark: SparkSession, root: str) -> dict:
+    """The current row of each table: ``seq, table_name, folder, about``; empty for a folder without commits."""
+    rows = _read_parquet(spark, f"{root}/_commits", recursiveFileLookup=True)
+    found = sorted(rows.collect(), key=lambda r: (r["seq"], r["folder"])) if rows is not None else []
+    return {r["table_name"]: r for r in found}
 
-def _file_system(spark: SparkSession, folder: str):
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
+class Commit:
+    """Tables that become visible together. Used as a context: an error leaves everything as it was."""
 
-def delete_folder(spark: SparkSession, folder: str) -> None:
-    path, files = _file_system(spark, folder)
-    files.delete(path, True)
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root, self.rows = spark, root, []
+
+    def __enter__(self) -> Commit:
+        return self
+
+    def write(self, df: DataFrame, name: str, partitions: Sequence[str] = (), about: str | None = None) -> None:
+        folder = f"{name}/{uuid.uuid4().hex}"
+        df.write.partitionBy(*partitions).parquet(f"{self.root}/{folder}")
+        self.rows.append((name, folder, about))
+
+    def reread(self, name: str, schema: T.StructType) -> DataFrame:
+        """A table of this commit as it is written."""
+        folder = next(folder for table, folder, _ in self.rows if table == name)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{folder}")
+
+    def __exit__(self, kind, error, trace) -> None:
+        if kind is not None or not self.rows:
+            return
+        last = max((r["seq"] for r in committed(self.spark, self.root).values()), default=0)
+        rows = [(last + 1, *row) for row in self.rows]
+        self.spark.createDataFrame(rows, COMMITS).coalesce(1).write.parquet(f"{self.root}/_commits/{uuid.uuid4().hex}")
+
+
+def write_table(df: DataFrame, root: str, name: str) -> None:
+    """Replace the table."""
+    with Commit(df.sparkSession, root) as commit:
+        commit.write(df, name)
+
+
+def read_table(
+    spark: SparkSession, root: str, name: str, schema: T.StructType | str | None = None
+) -> DataFrame | None:
+    """The table; if it does not exist, an empty one of ``schema`` (``None`` without a schema).
+
+    In a folder without commits a table is the plain folder of its name.
+    """
+    current = committed(spark, root)
+    found = None
+    if name in current:
+        found = _read_parquet(spark, f"{root}/{current[name]['folder']}")
+    elif not current:
+        found = _read_parquet(spark, f"{root}/{name}")
+    return found if found is not None or schema is None else spark.createDataFrame([], schema)
 
 
 def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """All tables below ``root``."""
-    path, files = _file_system(spark, root)
-    names = sorted(
-        status.getPath().getName() for status in files.listStatus(path) if status.isDirectory())
-    return {
-        name: spark.read.parquet(f"{root}/{name}") for name in names if not name.startswith(("_", "."))}
+    """All tables below ``root``, without those whose names begin with an underscore."""
+    folders = {name: row["folder"] for name, row in committed(spark, root).items()}
+    if not folders:  # plain folders, known by the files below them
+        path = F.regexp_replace(F.col("_metadata.file_path"), root_pattern(root), "")
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(root)
+        folders = {r[0]: r[0] for r in files.select(F.split(path, "/")[0]).distinct().collect()}
+    return {name: spark.read.parquet(f"{root}/{folder}") for name, folder in sorted(folders.items())
+            if not name.startswith(("_", "."))}
+
+
+def delete_folder(folder: str) -> bool:
+    """Remove a folder with all it holds; False where the store is none that Arrow knows: it is then left."""
+    import pyarrow as pa
+    from pyarrow import fs
+
+    try:
+        files, path = fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
+        files.delete_dir(path)
+    except (OSError, pa.ArrowInvalid):
+        return False
+    return True
+
+
+def remove_old_versions(spark: SparkSession, root: str) -> list[str]:
+    """Remove what past commits of the tables wrote, and give those folders; no reader may still use them."""
+    current = {r["folder"] for r in committed(spark, root).values()}
+    rows = _read_parquet(spark, f"{root}/_commits", recursiveFileLookup=True)
+    old = sorted({r["folder"] for r in rows.collect()} - current) if rows is not None else []
+    return [folder for folder in old if delete_folder(f"{root}/{folder}")]
 
 
 def table_listing(tables: dict[str, DataFrame]) -> DataFrame:
