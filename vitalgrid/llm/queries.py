@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vitalgrid.llm import (
     binary_output, bisector, exact_dedup, hmm, language, mixing, near_dedup, ngram_join, order_minhash, packing,
     periodic, quality)
-from vitalgrid.llm.common import WORD_PATTERN, crc_remainder, documents, shared_folder, ship_package
+from vitalgrid.llm.common import WORD_PATTERN, crc_remainder, documents, shared_folder, ship_package, stored
 from vitalgrid.llm.token_rollup import Rollup
 
 
@@ -20,28 +20,33 @@ MARKS_PATTERN = r"[A-Za-z0-9]+|[^A-Za-z0-9\x20\x09-\x0D]"
 
 def op1_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after four batches: all documents come in; copies of later documents go; a second tokenizer
-    version comes in; documents that repeat lines are counted again without the repetitions."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+    version comes in; documents that repeat lines are counted again without the repetitions.
 
-    def changes(rows: DataFrame, op: str, tokenizer: str, n_tokens) -> DataFrame:
-        return rows.select("doc_id", F.lit(op).alias("op"), "source", "lang", F.lit(tokenizer).alias("tokenizer"),
-                           n_tokens.cast("long").alias("n_tokens"))
+    The counts of all three kinds are made in one pass over the texts and stored; only numbers are joined.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
 
     def words(part, pattern: str = WORD_PATTERN):
-        return F.regexp_count(part, F.lit(pattern))
+        return F.regexp_count(part, F.lit(pattern)).cast("long")
 
-    docs = documents(spark, sf_dir)
-    rollup = Rollup.create(spark, shared_folder(spark, "token-rollup"))
-    rollup.commit("load", changes(docs, "insert", "words/1", words(text)))
-    copies = exact_dedup.exact_groups(docs).where("not kept").select("doc_id").withColumns(
-        {"source": F.lit(None).cast("string"), "lang": F.lit(None).cast("string")})
-    rollup.commit("copies", changes(copies, "delete", "words/1", F.lit(0)))
-    counted = rollup.documents().where("tokenizer = 'words/1'").select(
-        F.col("doc_id").alias("_id"), F.col("n_tokens").alias("_n_tokens"))
-    left = docs.join(counted, docs["doc_id"].eqNullSafe(F.col("_id")))
-    rollup.commit("words/2", changes(left, "insert", "words/2", words(text, MARKS_PATTERN)))
     once = F.array_join(F.array_distinct(F.split(text, "\n", -1)), "\n")
-    rollup.commit("lines", changes(left, "revise", "words/1", words(once)))
+    counted = stored(documents(spark, sf_dir).select(
+        "doc_id", "source", "lang", F.sha2(text, 256).alias("digest"), words(text).alias("words"),
+        words(text, MARKS_PATTERN).alias("marks"), words(once).alias("words_once")), "token-counts")
+
+    def changes(rows: DataFrame, op: str, tokenizer: str, n_tokens) -> DataFrame:
+        return rows.select("doc_id", F.lit(op).alias("op"), "source", "lang", F.lit(tokenizer).alias("tokenizer"), n_tokens)
+
+    rollup = Rollup.create(spark, shared_folder(spark, "token-rollup"))
+    rollup.commit("load", changes(counted, "insert", "words/1", F.col("words").alias("n_tokens")))
+    # of equal texts the document with the largest id stays
+    copies = counted.groupBy("digest").agg(F.max("doc_id").alias("last")).withColumnRenamed("digest", "_digest")
+    marked = stored(counted.join(copies, F.col("digest") == F.col("_digest")).select(
+        *counted.columns, F.col("doc_id").eqNullSafe(F.col("last")).alias("stays")), "token-counts")
+    rollup.commit("copies", changes(marked.where("not stays"), "delete", "words/1", F.lit(0).alias("n_tokens")))
+    left = marked.where("stays")
+    rollup.commit("words/2", changes(left, "insert", "words/2", F.col("marks").alias("n_tokens")))
+    rollup.commit("lines", changes(left, "revise", "words/1", F.col("words_once").alias("n_tokens")))
     return rollup.totals()
 
 
