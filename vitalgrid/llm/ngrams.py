@@ -17,17 +17,23 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def text_bytes(texts: pa.Array) -> tuple[bytes, np.ndarray]:
+    """All texts as UTF-8, one after another, and where each begins, with the end of the last. Null is empty."""
+    texts = pc.fill_null(texts, "")
+    wide = pa.types.is_large_string(texts.type)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64 if wide else np.int32)[
+        texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    data = texts.buffers()[2]
+    return bytes(data[int(offsets[0]):int(offsets[-1])]) if data is not None else b"", offsets - offsets[0]
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, and how many words each text has.
 
     Words are runs of anything but ASCII white space, with A-Z lower-cased. Null has none.
     """
-    texts = pc.fill_null(texts, "")
-    offsets = np.frombuffer(texts.buffers()[1], np.int64 if pa.types.is_large_string(texts.type) else np.int32)[
-        texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
-    data = texts.buffers()[2]
-    lower = bytes(data[int(offsets[0]):int(offsets[-1])]).lower() if data is not None and len(texts) else b""
-    offsets = offsets - offsets[0]
+    data, offsets = text_bytes(texts)
+    lower = data.lower()
     letters = np.frombuffer(lower, np.uint8)
     solid = ~_SPACE[letters]
     cut = np.zeros(len(letters) + 1, bool)  # a text begins or ends here

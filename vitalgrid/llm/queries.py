@@ -10,12 +10,8 @@ from pyspark.sql import functions as F
 from vitalgrid.llm import (
     binary_output, bisector, exact_dedup, hmm, language, mixing, near_dedup, ngram_join, order_minhash, packing,
     periodic, quality)
-from vitalgrid.llm.common import WORD_PATTERN, crc_remainder, documents, shared_folder, ship_package, stored
-from vitalgrid.llm.token_rollup import Rollup
-
-
-#: second version of the word tokenizer: runs of letters and digits, every other mark on its own
-MARKS_PATTERN = r"[A-Za-z0-9]+|[^A-Za-z0-9\x20\x09-\x0D]"
+from vitalgrid.llm.common import crc_remainder, documents, shared_folder, ship_package, stored
+from vitalgrid.llm.token_rollup import Rollup, count_tokens
 
 
 def op1_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,15 +20,9 @@ def op1_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The counts of all three kinds are made in one pass over the texts and stored; only numbers are joined.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-
-    def words(part, pattern: str = WORD_PATTERN):
-        return F.regexp_count(part, F.lit(pattern)).cast("long")
-
-    once = F.array_join(F.array_distinct(F.split(text, "\n", -1)), "\n")
-    counted = stored(documents(spark, sf_dir).select(
-        "doc_id", "source", "lang", F.sha2(text, 256).alias("digest"), words(text).alias("words"),
-        words(text, MARKS_PATTERN).alias("marks"), words(once).alias("words_once")), "token-counts")
+    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    counted = stored(count_tokens(documents(spark, sf_dir).withColumn("digest", digest), "doc_id", "source", "lang", "digest"),
+                     "token-counts")
 
     def changes(rows: DataFrame, op: str, tokenizer: str, n_tokens) -> DataFrame:
         return rows.select("doc_id", F.lit(op).alias("op"), "source", "lang", F.lit(tokenizer).alias("tokenizer"), n_tokens)
