@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from vitalgrid.llm import ngram_join
+from vitalgrid.llm import families, near_dedup, ngram_join
 from vitalgrid.llm.ngrams import ngram_sets, set_names, word_hashes
 from vitalgrid.llm.prefix_tree import Groups, PrefixTree
 
@@ -85,7 +85,7 @@ def test_components_are_those_of_all_pairs(spark, percent):
 
 def test_split_families_and_frequent_tokens(spark, monkeypatch):
     """Blocks of a few sets each, and every token of ten sets counts as frequent."""
-    monkeypatch.setattr(ngram_join, "BLOCK_WEIGHT", 900)
+    monkeypatch.setattr(families, "BLOCK_WEIGHT", 900)
     monkeypatch.setattr(ngram_join, "FREQUENT_LEAST", 10)
     monkeypatch.setattr(ngram_join, "FREQUENT_SHARE", 10 ** 9)
     rows = corpus(4)
@@ -94,6 +94,18 @@ def test_split_families_and_frequent_tokens(spark, monkeypatch):
     assert groups(spark, rows) == plain_groups(rows)
 
 
+@pytest.mark.parametrize(("percent", "weight"), [(80, 400_000), (85, 900)])
+def test_signatures_find_the_same(spark, monkeypatch, percent, weight):
+    """Near-dedup by signatures against all pairs, in large and in small blocks."""
+    monkeypatch.setattr(families, "BLOCK_WEIGHT", weight)
+    rows = corpus(percent + 1)
+    rng = random.Random(6)
+    rows += list(enumerate(family(rng, 120, 60, 6), 10_000)) + list(enumerate(family(rng, 60, 60, 9), 20_000))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((tuple(r)[:3] for r in near_dedup.near_groups(frame, percent).collect()), key=str)
+    assert found == plain_groups(rows, percent)
+
+
 def test_chains_reach_the_smallest_id(spark):
     """Each text is linked with its neighbours only."""
     words = [f"c{i}" for i in range(200)]

@@ -8,9 +8,9 @@ remain are confirmed on full shingle sets, so a link is exact; what can be lost
 nominates (at most ``MISSED`` at the threshold, whatever the threshold: number and length of the bands
 follow from it) or whose estimate errs by ``MARGIN`` standard deviations.
 
-Groups are never expanded into all pairs. Equal sets are one node. In every bucket all members are first
-tested against its most central member; only buckets in which this leaves several components are looked at again,
-and there only pairs across components.
+Groups are never expanded into all pairs. Equal sets are one node. Sets that share bands are brought together in
+blocks of bounded size (see :mod:`vitalgrid.llm.families`), whose signatures are compared by numpy; sets already
+known to be connected are not compared, and no pair leaves its block unless it connects two components.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalgrid.llm.common import stored, unused_names
-from vitalgrid.llm.components import components
+from vitalgrid.llm.families import blobs, linking_pairs, named_components
+from vitalgrid.llm.ngrams import mix64, ngram_sets, set_names
 from vitalgrid.llm.tokens import text_slices
 
 WORDS = 5
@@ -39,7 +40,6 @@ MOST_MINIMA = 288
 BITS = 2
 #: standard deviations below the threshold at which an estimate discards a pair
 MARGIN = 4.5
-REMEMBERED_WORDS = 150_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -77,47 +77,13 @@ BAND_ROWS, BANDS, MINIMA = banding(PERCENT).rows, banding(PERCENT).bands, bandin
 SIGNATURE = len(banding(PERCENT).signature)
 
 
-def mix64(x: np.ndarray) -> np.ndarray:
-    """A bijective scrambling of 64-bit numbers (shift and multiply rounds)."""
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xA0761D6478BD642F)
-    return x ^ (x >> np.uint64(32))
-
-
-class _WordHashes(dict):
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) > REMEMBERED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-@lru_cache(maxsize=1)
-def word_hashes() -> _WordHashes:
-    return _WordHashes()
-
-
 def shingle_hashes(text: str | None, words: int = WORDS) -> np.ndarray:
     """Distinct hashes of the text's shingles, ascending.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased. A text of fewer words is one
     shingle; a text without words has none.
     """
-    found = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not found:
-        return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(word_hashes().__getitem__, found), np.uint64, len(found))
-    width = min(words, len(found))
-    # the width is part of the hash: a whole short text never equals a full shingle
-    mixed = np.full(len(found) - width + 1, width, np.uint64)
-    for i in range(width):
-        mixed = mixed * _ODD + hashes[i:len(found) - width + 1 + i]
-        mixed ^= mixed >> np.uint64(31)
-    return np.unique(mix64(mixed))
+    return ngram_sets(pa.array([text], pa.string()), words)[0]
 
 
 @lru_cache
@@ -161,65 +127,37 @@ def band_keys(least: np.ndarray, plan: Banding = banding(PERCENT)) -> np.ndarray
     return key
 
 
-def set_keys(shingles: np.ndarray) -> tuple[np.uint64, np.uint64]:
-    """Two independent sums over the set: equal for equal sets."""
-    return mix64(shingles).sum(), mix64(shingles ^ _ODD).sum()
+DESCRIBED = "doc_id {id}, uid long, text_hash long, key long, n int, bits binary, bands array<long>"
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], plan: Banding) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "uid", "n_shingles", "key1", "key2", *plan.signature, "bands"]
     for batch in text_slices(batches, "text"):
+        tokens, number = ngram_sets(batch.column("text"), WORDS)
+        names, ends = set_names(tokens, number), np.cumsum(number)
+        # copies in a slice are sketched once
+        _, first, copy = np.unique(names, return_index=True, return_inverse=True)
+        least = np.zeros((len(first), plan.minima), np.uint32)
+        for i, row in enumerate(first.tolist()):
+            if number[row]:
+                least[i] = minima(tokens[ends[row] - number[row]:ends[row]], plan.minima)
+        bits, bands = packed_bits(scrambled(least))[copy], band_keys(least, plan)[copy]
         n = batch.num_rows
-        sizes = np.zeros(n, np.int64)
-        keys = np.zeros((n, 2), np.uint64)
-        least = np.zeros((n, plan.minima), np.uint32)
-        for i, text in enumerate(batch.column(1)):
-            found = shingle_hashes(text.as_py())
-            if len(found):
-                sizes[i] = len(found)
-                keys[i] = set_keys(found)
-                least[i] = minima(found, plan.minima)
-        bits = packed_bits(scrambled(least)).view(np.int64)
-        bands = pa.ListArray.from_arrays(
-            pa.array(np.arange(0, n * plan.bands + 1, plan.bands, dtype=np.int32)),
-            pa.array(band_keys(least, plan).view(np.int64).ravel()))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(sizes), *[pa.array(keys[:, i].view(np.int64)) for i in (0, 1)],
-             *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(bits.shape[1])], bands], names=names)
+            [batch.column(0), batch.column(2), batch.column(3), pa.array(names), pa.array(number.astype(np.int32)),
+             blobs(bits.ravel(), np.arange(n + 1) * bits.shape[1]),
+             pa.ListArray.from_arrays(pa.array(np.arange(0, n * plan.bands + 1, plan.bands, dtype=np.int32)),
+                                      pa.array(bands.view(np.int64).ravel()))],
+            names=["doc_id", "uid", "text_hash", "key", "n", "bits", "bands"])
 
 
 def sketches(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text",
              row_col: str | None = None) -> DataFrame:
-    """Set size, set key, packed signature and band keys of every row; ``uid`` names the row."""
-    uid = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
+    """Name and size of the shingle set, packed signature and band keys of every row; ``uid`` is its ``row_col``."""
+    uid = F.lit(None).cast("long") if row_col is None else F.col(row_col)
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), uid.alias("uid"))
     plan = banding(percent)
-    words = ", ".join(f"{name} long" for name in plan.signature)
-    return chosen.mapInArrow(
-        lambda batches: _sketches(batches, plan),
-        f"doc_id {dict(chosen.dtypes)['doc_id']}, uid long, n_shingles long, key1 long, key2 long, {words}, "
-        "bands array<long>")
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(0, batch.num_rows, 256):
-            found = [shingle_hashes(t.as_py()) for t in batch.column(0).slice(i, 256)]
-            keys = np.array([set_keys(f) for f in found], np.uint64).view(np.int64)
-            ends = np.concatenate([[0], np.cumsum(list(map(len, found)))]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ascontiguousarray(keys[:, 0])), pa.array(np.ascontiguousarray(keys[:, 1])),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int64)))],
-                names=["key1", "key2", "shingles"])
-
-
-def _shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, shingles`` of the nodes, computed anew from the texts they name by ``doc_id``."""
-    texts = docs.join(nodes.select("doc_id"), docs["doc_id"].eqNullSafe(nodes["doc_id"]), "left_semi")
-    found = texts.select("text").mapInArrow(_sets, "key1 long, key2 long, shingles array<long>")
-    # a row may share the id of a node but not its text: the set keys decide
-    return found.join(nodes.select("node", "key1", "key2"), ["key1", "key2"]).select(
-        "node", "shingles").dropDuplicates(["node"])
+    return chosen.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        lambda batches: _sketches(batches, plan), DESCRIBED.format(id=dict(chosen.dtypes)["doc_id"]))
 
 
 # ---- estimates from packed bits ----------------------------------------------------------------
@@ -252,20 +190,59 @@ def least_estimate(percent: int = PERCENT) -> float:
     return similar - MARGIN * (equal * (1 - equal) / banding(percent).minima) ** 0.5 / (1 - chance)
 
 
-def _plausible(left: str, right: str, percent: int) -> Column:
-    """Sizes allow the similarity, and the estimate does not rule it out."""
-    small, large = F.least(f"{left}.n", f"{right}.n"), F.greatest(f"{left}.n", f"{right}.n")
-    return (small * 100 >= large * percent) & (
-        estimated_similarity(left, right, percent) >= F.lit(least_estimate(percent)))
+class SignatureIndex:
+    """The sets of a block by their packed signatures."""
 
+    def __init__(self, table: pa.Table, percent: int):
+        self.percent, self.lanes, self.floor = percent, banding(percent).minima, least_estimate(percent)
+        self.bits, self.sets = self.probes(table)
+        self.sizes = np.array([len(s) for s in self.sets], np.int64)
+        #: what a probe takes in a search, in numbers
+        self.cells = max(1, self.bits.size)
+        # places of each set's tokens among all tokens of the block
+        self.vocabulary, at = np.unique(np.concatenate(self.sets), return_inverse=True)
+        self.places = np.split(at, np.cumsum(self.sizes)[:-1])
+        self.seen = np.zeros(len(self.vocabulary), bool)
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets reach the similarity."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-    shared = F.size(F.array_intersect("set_a", "set_b")).cast("long")
-    union = F.size("set_a") + F.size("set_b") - shared
-    return pairs.join(left, "a").join(right, "b").where(shared * 100 >= union * percent).select("a", "b")
+    def probes(self, table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64)
+        return bits.reshape(table.num_rows, -1), [np.frombuffer(t.as_py(), np.uint64) for t in table.column("tokens")]
+
+    def _estimates(self, bits: np.ndarray) -> np.ndarray:
+        """Similarity of each probe to each set: equal lanes, corrected for those that are equal by chance."""
+        differing = bits[:, None] ^ self.bits[None]
+        for b in range(1, BITS):
+            differing |= differing >> np.uint64(b)
+        ones = np.uint64(sum(1 << (i * BITS) for i in range(64 // BITS)))
+        unequal = np.bitwise_count(differing & ones).sum(-1, dtype=np.int64)
+        chance = 0.5 ** BITS
+        return (1 - unequal / self.lanes - chance) / (1 - chance)
+
+    def search(self, probes, some: np.ndarray, own: np.ndarray | None, group: np.ndarray, sets_group: np.ndarray):
+        """Places of linked probes and sets that are not in one group; ``some`` of the probes are searched.
+
+        Sizes and estimates discard pairs, full sets confirm the others.
+        """
+        bits, tokens = probes
+        sizes = np.array([len(tokens[i]) for i in some], np.int64)
+        small, large = np.minimum(sizes[:, None], self.sizes), np.maximum(sizes[:, None], self.sizes)
+        fits = (small * 100 >= large * self.percent) & (group[:, None] != sets_group) & (
+            self._estimates(bits[some]) >= self.floor)
+        if own is not None:
+            fits[np.arange(len(some)), own] = False
+        found_probe, found_set = [], []
+        for k in np.flatnonzero(fits.any(1)).tolist():
+            mine = tokens[some[k]]
+            at = np.minimum(np.searchsorted(self.vocabulary, mine), len(self.vocabulary) - 1)
+            at = at[self.vocabulary[at] == mine]
+            self.seen[at] = True
+            for j in np.flatnonzero(fits[k]).tolist():
+                shared = int(np.count_nonzero(self.seen[self.places[j]]))
+                if shared * 100 >= (sizes[k] + self.sizes[j] - shared) * self.percent:
+                    found_probe.append(k)
+                    found_set.append(j)
+            self.seen[at] = False
+        return np.array(found_probe, np.int64), np.array(found_set, np.int64)
 
 
 def near_groups(
@@ -276,71 +253,23 @@ def near_groups(
 
     Texts are linked if ``100 * intersection >= percent * union`` of their shingle sets; a component is
     all that links reach, named by its smallest ``doc_id``, which is the one kept. Null and empty texts
-    have no shingles and are linked with nothing. Rows with equal sets, repeated rows among them, share
-    a component. Null ids count as larger than all others; a component of nothing else has a null name
+    have no shingles and are linked with nothing. Rows with equal sets (told apart by 64-bit sums), repeated rows
+    among them, share a component. Null ids count as larger than all others; a component of nothing else has a null name
     and its rows are kept. Of rows that repeat an id and a text all are kept or none. An empty table
     gives no rows; other columns are ignored. A link at the threshold is missed with a probability of at
     most ``MISSED`` by the bands; a ``percent`` that they cannot cover so raises ``ValueError``. ``row_col``
     is a column of distinct numbers of the rows, which the result then has too, as ``uid``.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sketched = stored(sketches(docs, percent, id_col, text_col, row_col), "sketches")
-    signature = banding(percent).signature
-    # nodes: one for each distinct set, named by its first row; they know the set's smallest id
-    named = stored(sketched.where("n_shingles > 0").groupBy("key1", "key2", "n_shingles").agg(
-        F.min("uid").alias("node"), F.min("doc_id").alias("low")), "nodes")
-    nodes = sketched.join(named.select("node"), sketched["uid"] == F.col("node"), "left_semi").select(
-        F.col("uid").alias("node"), "doc_id", "key1", "key2", F.col("n_shingles").alias("n"), *signature, "bands")
-    banded = nodes.select("node", F.explode("bands").alias("band"))
-    sizes = banded.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
-    # members of buckets that hold more than one node
-    shared = stored(banded.join(sizes, "band"), "bucket-members")
-    # a bucket is led by its most central member: the one that shares buckets with the most others, as the
-    # original of a family of copies does
-    central = shared.groupBy("node").agg(F.sum("members").alias("mates"))
-    leaders = shared.select("node", "band").join(central, "node").groupBy("band").agg(
-        F.max(F.struct("mates", (-F.col("node")).alias("first"))).alias("best")).select(
-        "band", (-F.col("best.first")).alias("leader"))
-    members = stored(shared.select("node", "band").join(leaders, "band"), "buckets")
-    sides = stored(nodes.join(members.select("node").distinct(), "node", "left_semi"), "crowded")
-    sets = stored(_shingle_sets(rows, sides), "shingle-sets")
-
-    first = members.where("node != leader").select(
-        F.greatest("node", "leader").alias("b"), F.least("node", "leader").alias("a")).distinct()
-    slim = sides.select("node", "n", *signature)
-    tested = first.join(slim.alias("l"), F.col("a") == F.col("l.node")).join(
-        slim.alias("r"), F.col("b") == F.col("r.node")).where(_plausible("l", "r", percent)).select("a", "b")
-    links = stored(_confirmed(tested, sets, percent), "links")
-    found = stored(components(links), "components")
-
-    # buckets in which several components are left, and the pairs across them not yet tested
-    placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("band").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("band")
-    open_ = stored(placed.join(mixed, "band", "left_semi").join(
-        sides.select("node", "n", *signature, "bands"), "node"), "open-buckets")
-    l, r = open_.alias("l"), open_.alias("r")
-    first_shared = F.array_position(F.zip_with("l.bands", "r.bands", lambda x, y: x == y), True)
-    this_band = F.array_position("l.bands", F.col("l.band"))
-    across = l.join(r, (F.col("l.band") == F.col("r.band")) & (F.col("l.node") < F.col("r.node"))
-                    & (F.col("l.component") != F.col("r.component"))
-                    & (F.col("l.node") != F.col("l.leader")) & (F.col("r.node") != F.col("r.leader"))
-                    & _plausible("l", "r", percent) & (first_shared == this_band))
-    more = stored(_confirmed(
-        across.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")), sets, percent), "links")
-    if not more.isEmpty():
-        found = stored(components(links.unionByName(more)), "components")
-
-    # a component is named by the smallest id of all its sets
-    placed_sets = stored(named.join(found, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")), "placed-sets")
-    lowest = placed_sets.groupBy("component").agg(F.min("low").alias("component_id"))
-    of_set = placed_sets.join(lowest, "component").select(
-        F.col("key1").alias("_k1"), F.col("key2").alias("_k2"), F.col("n_shingles").alias("_n"), "component_id")
-    joined = sketched.join(of_set, (F.col("key1") == F.col("_k1")) & (F.col("key2") == F.col("_k2"))
-                           & (F.col("n_shingles") == F.col("_n")), "left")
-    component = F.coalesce("component_id", "doc_id")
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"),
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    described = stored(sketches(docs, percent, id_col, text_col, row_col), "sketches")
+    sets = described.where("n > 0").groupBy("key").agg(F.first(F.struct("n", "bits", "bands")).alias("s"))
+    leading = sets.select("key", "s.n", "s.bits", F.col("s.bands").alias("leading"))
+    links = linking_pairs(texts, described, leading, WORDS, percent, lambda table: SignatureIndex(table, percent))
+    named = named_components(described, links)
+    rows = described.select("doc_id", "uid", "n", F.col("key").alias("_key"))
+    joined = rows.join(named, (F.col("_key") == F.col("key")) & (F.col("n") > 0), "left")
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return joined.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"),
                          F.col("doc_id").eqNullSafe(component).alias("kept"), *(["uid"] if row_col else []))
 
 
