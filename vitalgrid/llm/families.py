@@ -26,9 +26,9 @@ from vitalgrid.llm.prefix_tree import Groups, PrefixTree
 from vitalgrid.llm.tokens import text_slices
 
 #: tokens in a block, each set counting SET_WEIGHT tokens more
-BLOCK_WEIGHT, SET_WEIGHT = 400_000, 100
+BLOCK_WEIGHT, SET_WEIGHT = 200_000, 100
 #: numbers held by a search
-CELLS = 2_000_000
+CELLS = 1_000_000
 
 
 def named_sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -153,6 +153,7 @@ def _within(table: pa.Table, index) -> pa.Table:
     np.minimum.at(led, groups.of[leads], keys[leads])
     label = np.where(led < np.iinfo(np.int64).max, led, label)[groups.of]
     n = own.num_rows
+    pa.default_memory_pool().release_unused()  # the worker goes on with other blocks and stages
     return pa.table({"key": keys[:n], "block": own.column("block"), "label": label[:n]})
 
 
@@ -177,6 +178,7 @@ def _across(table: pa.Table, index) -> pa.Table:
         left.append(keys[some[probe]])
         right.append(own_keys[found])
         at += step
+    pa.default_memory_pool().release_unused()
     return pa.table({"a": np.concatenate(left), "b": np.concatenate(right)})
 
 

@@ -40,6 +40,8 @@ MOST_MINIMA = 288
 BITS = 2
 #: standard deviations below the threshold at which an estimate discards a pair
 MARGIN = 4.5
+#: texts sketched at once
+SLICE_BYTES = 1_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -131,7 +133,7 @@ DESCRIBED = "doc_id {id}, uid long, text_hash long, key long, n int, bits binary
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], plan: Banding) -> Iterator[pa.RecordBatch]:
-    for batch in text_slices(batches, "text"):
+    for batch in text_slices(batches, "text", SLICE_BYTES):
         tokens, number = ngram_sets(batch.column("text"), WORDS)
         names, ends = set_names(tokens, number), np.cumsum(number)
         # copies in a slice are sketched once
@@ -148,6 +150,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], plan: Banding) -> Iterator[pa.R
              pa.ListArray.from_arrays(pa.array(np.arange(0, n * plan.bands + 1, plan.bands, dtype=np.int32)),
                                       pa.array(bands.view(np.int64).ravel()))],
             names=["doc_id", "uid", "text_hash", "key", "n", "bits", "bands"])
+    pa.default_memory_pool().release_unused()  # the worker goes on with other stages
 
 
 def sketches(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text",
