@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 from vitalgrid.llm import binary_output as bits
 from vitalgrid.llm import hmm, language, near_dedup, order_minhash, packing, quality, tokens
-from vitalgrid.llm.common import in_ranges, range_points, shared_folder, ship_package
+from vitalgrid.llm.common import crc_remainder, in_ranges, range_points, shared_folder, ship_package, stored
 from vitalgrid.llm.components import components
 from vitalgrid.llm.mixing import source_targets
 from vitalgrid.llm.token_rollup import Rollup
@@ -386,30 +386,57 @@ def test_rounds_raise_the_likelihood(spark):
     rows = spark.createDataFrame([(t, False) for t in texts], "text string, held_out boolean")
     words = hmm.describe_words(hmm.word_counts(rows))
     assert words.tokens == 8 * (63 + 45 + 2) and words.distinct == 7
-    vocabulary = hmm.Vocabulary()
-    at, lengths = vocabulary.tokens(texts)
-    symbols = np.searchsorted(words.symbols, vocabulary.ids)[at]
+    ids, at, lengths = hmm.tokens_of(pa.array(texts))
+    symbols = np.searchsorted(words.symbols, ids)[at]
     model, history = hmm.first_model(words), []
     for _ in range(4):
         expected = hmm.Expected(hmm.STATES, len(model.emits) - 1)
         expected.add(model, symbols, lengths)
-        model, likelihood = hmm.reestimated(pa.Table.from_batches([expected.rows()]), words)
+        model, likelihood = hmm.reestimated(pa.Table.from_batches([expected.packed()]), words)
         history.append(likelihood)
     assert history == sorted(history)
 
 
+def test_scores_are_those_of_a_plain_forward_pass(spark):
+    """The whole query's score from its own model, word by word in plain Python."""
+    ship_package(spark)
+    texts = ["a b a b a b c " * 9, "x y x y z " * 9, "once twice", "a x unseen a", "", "b " * 100] * 6
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r["doc_id"]: r["score"] for r in hmm.score_texts(rows).collect()}
+    marked = rows.select("doc_id", (crc_remainder("doc_id", 5) == 1).alias("held_out"), "text")
+    counts = stored(hmm.word_counts(marked), "counts")
+    words = hmm.describe_words(counts)
+    encoded = stored(marked.mapInArrow(lambda b: hmm._encode(b, words), hmm.ENCODED.format(id="bigint")).selectExpr(
+        "*", "monotonically_increasing_id() part"), "encoded")
+    model, weights, _ = hmm.train(encoded, words, None)
+    assert weights is None
+    times = {r["word"]: r["n_train"] for r in counts.collect()}
+    for i, text in enumerate(texts):
+        now, score = model.start, 0.0
+        for word in [*text.encode().split(), b""]:
+            word_id = hmm.word_id(word)
+            at = np.flatnonzero(words.symbols == word_id)
+            kind = word_id & 255
+            now = (now @ model.moves) * model.emits[at[0] if len(at) else len(words.symbols) + kind]
+            if not len(at):
+                score += np.log10((times.get(word_id, 0) + 0.5) / words.class_totals[kind])
+            score += np.log10(now.sum())
+            now = now / now.sum()
+        assert found[i] == pytest.approx(score, rel=1e-6), text
+
+
 def test_emissions_of_joined_symbols(spark, monkeypatch):
     """Held and joined symbols make one model: emissions of each state sum to 1, and each round learns."""
     ship_package(spark)
-    monkeypatch.setattr(hmm, "SYMBOL_SHARE", 6)
+    monkeypatch.setattr(hmm, "HELD_SYMBOLS", 4)
     texts = ["a b a b a b c " * 9, "x y x y z " * 9, "once twice"] * 8
     rows = spark.createDataFrame([(i, t, i == 5) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean")
     counts = hmm.word_counts(rows)
     words = hmm.describe_words(counts)
     assert 0 < len(words.symbols) < 7 and words.other_words == 7 - len(words.symbols)
-    encoded = rows.select("doc_id", "held_out", "text").mapInArrow(
+    encoded = stored(rows.select("doc_id", "held_out", "text").mapInArrow(
         lambda b: hmm._encode(b, words), hmm.ENCODED.format(id="bigint")).selectExpr(
-        "*", "monotonically_increasing_id() part").localCheckpoint()
+        "*", "monotonically_increasing_id() part"), "encoded")
     others = hmm.other_symbols(encoded, counts, words)
     assert others.count() == words.other_words
     model, weights, history = hmm.train(encoded, words, others)

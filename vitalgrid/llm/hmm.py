@@ -14,89 +14,83 @@ recursion is exact over whole texts of any length, without a step-by-step loop o
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalgrid.llm.common import crc_remainder, stored
-from vitalgrid.llm.tokens import Numbers, text_slices
+from vitalgrid.llm.ngrams import mix64, words_of
+from vitalgrid.llm.tokens import text_slices
 
 STATES = 4
 ROUNDS = 4
 CLASSES = 256
 #: a word is a symbol if it occurs so often in training; rarer words teach their classes how likely rare words are
 SYMBOL_COUNT = 10
-#: all tasks hold a symbol if it makes up one in so many training tokens: at most as many; others come by joins
-SYMBOL_SHARE = 2_000_000
+#: all tasks hold the most frequent symbols, at most so many; all others come by joins
+HELD_SYMBOLS = 800_000
+#: ranges of symbols in which expected counts are summed, and tasks summed at once
+RANGES, FAN_IN = 64, 64
 #: a word's count is handed to all tasks if it makes up one in so many tokens: at most as many words
 LISTED_SHARE = 2_000_000
 #: steps of a piece, and steps between two scalings
 PIECE, SCALED = 32, 8
 #: tokens computed side by side
 GROUP_TOKENS = 300_000
-REMEMBERED_WORDS = 300_000
+#: words a task counts before it hands them on
+COUNTED_WORDS = 1_500_000
 #: pseudo-counts: of the unigram distribution in each state, of each transition
 PRIOR_EMISSIONS, PRIOR_TRANSITIONS = 500.0, 1.0
 #: a row has the number of a symbol that tasks hold, or the word that another symbol is
-SUMS = "symbol int, word long, " + ", ".join(f"c{s} double" for s in range(STATES))
+SUMS = "range int, group int, symbols binary, counts binary, word long, " + ", ".join(f"c{s} double" for s in range(STATES))
 
 
-def word_id(word: bytes) -> int:
-    """56 bits of a hash of the word, then its class; as a signed number. The end of a text is empty."""
-    import xxhash
-
-    value = xxhash.xxh3_64_intdigest(word) & ~255 | xxhash.xxh3_64_intdigest(word[-2:]) & 255
-    return value - 2 ** 64 if value >= 2 ** 63 else value
+#: the end of a text: an id that no word has, of class 0
+END_ID = -256
 
 
-END = b""
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of the distinct tokens of all texts, the number in this list of each token, ends included, and the
+    number of tokens of each text.
 
+    An id is 56 bits of a hash of the word, then its class, which its last two bytes decide.
+    """
+    words = words_of(texts)
+    kind = mix64(words.last_letters() + np.uint64(1)) & np.uint64(255)
+    ids = ((words.hashes & ~np.uint64(255)) | kind).view(np.int64)
+    tokens = np.insert(ids, np.cumsum(words.number), END_ID)
+    distinct, at = np.unique(tokens, return_inverse=True)
+    return distinct, at, words.number + 1
 
-class Vocabulary:
-    """Numbers the words of texts and remembers their ids, up to a bound."""
 
-    def __init__(self):
-        self._forget()
+def word_id(word: bytes) -> int:
+    """The id of one word; the end of a text is empty."""
+    ids, at, _ = tokens_of(pa.array([word.decode("utf-8")]))
+    return int(ids[at[0]])
 
-    def _forget(self) -> None:
-        self.number = Numbers()
-        self.ids = np.zeros(0, np.int64)
 
-    def tokens(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of all tokens, ends included, and the number of tokens of each text."""
-        if len(self.number) > REMEMBERED_WORDS:
-            self._forget()
-        words: list[bytes] = []
-        lengths = []
-        for text in texts:
-            before = len(words)
-            if text:
-                words += text.encode("utf-8", "surrogatepass").lower().split()
-            words.append(END)
-            lengths.append(len(words) - before)
-        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        if new := self.number.after(len(self.ids)):
-            self.ids = np.concatenate([self.ids, np.fromiter(map(word_id, new), np.int64, len(new))])
-        return at, np.array(lengths, np.int64)
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
+    def merged() -> pa.RecordBatch:
+        ids, at = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
+        learned, everywhere = (np.bincount(at, np.concatenate([f[k] for f in found]), len(ids)).astype(np.int64) for k in (1, 2))
+        found.clear()
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(learned), pa.array(everywhere)], names=["word", "n_train", "n_all"])
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    vocabulary = Vocabulary()
     for batch in text_slices(batches, "text"):
         held = np.array(batch.column(1).to_pylist(), bool)
-        at, lengths = vocabulary.tokens(batch.column(0).to_pylist())
-        size = len(vocabulary.ids)
-        everywhere = np.bincount(at, minlength=size)
-        learned = np.bincount(at[~np.repeat(held, lengths)], minlength=size)
-        found = np.flatnonzero(everywhere)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(vocabulary.ids[found]), pa.array(learned[found]), pa.array(everywhere[found])],
-            names=["word", "n_train", "n_all"])
+        ids, at, lengths = tokens_of(batch.column(0))
+        found.append((ids, np.bincount(at[~np.repeat(held, lengths)], minlength=len(ids)), np.bincount(at, minlength=len(ids))))
+        if sum(len(f[0]) for f in found) >= COUNTED_WORDS:
+            yield merged()
+    if found:
+        yield merged()
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -119,6 +113,7 @@ class Words:
     class_words: np.ndarray
     other_tokens: float = 0.0  # training tokens and words of the symbols that tasks do not hold
     other_words: float = 0.0
+    least: int = SYMBOL_COUNT  # occurrences of the symbols that all tasks hold
 
     @property
     def base_total(self) -> float:
@@ -147,9 +142,24 @@ def _is_symbol() -> Column:
     return F.col("n_train") >= SYMBOL_COUNT
 
 
-def _is_held(tokens: int) -> Column:
-    """Symbols that all tasks hold."""
-    return _is_symbol() & (F.col("n_train") * SYMBOL_SHARE >= F.lit(tokens))
+def _is_held(least: int) -> Column:
+    """Symbols that all tasks hold: those of so many occurrences."""
+    return _is_symbol() & (F.col("n_train") >= F.lit(least))
+
+
+def least_held(counts: DataFrame) -> int:
+    """A number of occurrences that at most ``HELD_SYMBOLS`` words reach: a power of two, or ``SYMBOL_COUNT``.
+
+    One row for each binary length of a number of occurrences comes to the driver.
+    """
+    lengths = counts.where(_is_symbol()).groupBy(F.length(F.bin("n_train")).alias("length")).agg(F.count("*").alias("words"))
+    held, least = 0, 2 ** 62
+    for row in sorted(lengths.collect(), key=lambda r: -r["length"]):
+        held += row["words"]
+        if held > HELD_SYMBOLS:
+            break
+        least = max(SYMBOL_COUNT, 2 ** (row["length"] - 1))
+    return least
 
 
 def describe_words(counts: DataFrame) -> Words:
@@ -157,7 +167,8 @@ def describe_words(counts: DataFrame) -> Words:
     total = counts.agg(F.sum("n_train").alias("t"), F.sum("n_all").alias("a"),
                        F.count_if(F.col("n_train") > 0).alias("v")).first()
     tokens, everywhere = total["t"] or 0, total["a"] or 0
-    is_held = _is_held(tokens)
+    least = least_held(counts)
+    is_held = _is_held(least)
     symbols = counts.where(is_held).select("word", "n_train").toArrow().sort_by("word")
     listed = counts.where(F.col("n_all") * LISTED_SHARE >= F.lit(everywhere)).select(
         "word", "n_train").toArrow().sort_by("word")
@@ -169,7 +180,7 @@ def describe_words(counts: DataFrame) -> Words:
         class_tokens[row["class"]], class_words[row["class"]] = row["n"], row["v"]
     return Words(tokens, total["v"], symbols["word"].to_numpy(), symbols["n_train"].to_numpy().astype(float),
                  listed["word"].to_numpy(), listed["n_train"].to_numpy().astype(float), class_tokens, class_words,
-                 float(others["n"] or 0), float(others["v"]))
+                 float(others["n"] or 0), float(others["v"]), least)
 
 
 def _position(sorted_ids: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,7 +199,6 @@ ENCODED = ("docs array<struct<doc_id:{id},held_out:boolean,n_tokens:bigint,n_kno
 
 def _encode(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[pa.RecordBatch]:
     """Symbols of each block of texts, and the parts of its scores that listed words decide."""
-    vocabulary = Vocabulary()
     totals = words.class_totals
     held = len(words.symbols) + CLASSES
 
@@ -208,8 +218,8 @@ def _encode(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[pa.Reco
                 ~decided, ~is_symbol & ~of_class)
 
     for batch in text_slices(batches, "text"):
-        at, lengths = vocabulary.tokens(batch.column(2).to_pylist())
-        symbol, known, base, inside, rare, other = learn(vocabulary.ids)
+        ids, at, lengths = tokens_of(batch.column(2))
+        symbol, known, base, inside, rare, other = learn(ids)
         text = np.repeat(np.arange(len(lengths)), lengths)
         n = len(lengths)
         others = np.flatnonzero(np.bincount(at[other[at]], minlength=len(other)))
@@ -221,7 +231,7 @@ def _encode(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[pa.Reco
             batch.column(0), batch.column(1), pa.array(lengths),
             pa.array(np.bincount(text, known[at], n).astype(np.int64)),
             pa.array(np.bincount(text, base[at], n)), pa.array(np.bincount(text, inside[at], n)),
-            pa.ListArray.from_arrays(pa.array(rare_ends), pa.array(vocabulary.ids[at][is_rare])),
+            pa.ListArray.from_arrays(pa.array(rare_ends), pa.array(ids[at][is_rare])),
         ], names=["doc_id", "held_out", "n_tokens", "n_known", "base", "inside", "rare"])
 
         def whole(values: pa.Array) -> pa.Array:
@@ -229,7 +239,7 @@ def _encode(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[pa.Reco
 
         yield pa.RecordBatch.from_arrays(
             [whole(docs), whole(pa.array(lengths)), whole(batch.column(1)),
-             pa.array([symbol[at].astype("<i4").tobytes()], pa.binary()), whole(pa.array(vocabulary.ids[others]))],
+             pa.array([symbol[at].astype("<i4").tobytes()], pa.binary()), whole(pa.array(ids[others]))],
             names=["docs", "lengths", "held_out", "symbols", "others"])
 
 
@@ -365,16 +375,54 @@ class Expected:
         begin = before[pieces.first] * back[pieces.first]
         self.start += (begin / begin.sum(1, keepdims=True)).sum(0)
 
-    def rows(self) -> pa.RecordBatch:
-        """One row for each symbol seen; negative numbers hold the other counts."""
-        seen = np.flatnonzero(self.emits[:, :self.symbols].sum(0))
+    def packed(self) -> pa.RecordBatch:
+        """A row for each range of symbols seen, with their numbers and counts; range -1 holds all other counts."""
         likelihood = np.zeros(self.states)
         likelihood[0] = self.likelihood
-        values = np.concatenate([self.emits[:, seen].T, self.moves, self.start[None], likelihood[None]])
-        names = np.concatenate([seen, -1 - np.arange(self.states + 2)]).astype(np.int32)
+        seen = np.flatnonzero(self.emits[:, :self.symbols].sum(0))
+        cuts = np.searchsorted(seen, np.arange(RANGES + 1) * _range_width(self.symbols))
+        rows = [(-1, b"", np.concatenate([self.moves, self.start[None], likelihood[None]]).tobytes())]
+        for r, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+            if i < j:
+                rows.append((r, seen[i:j].astype("<i4").tobytes(), self.emits[:, seen[i:j]].T.astype("<f4").tobytes()))
         return pa.RecordBatch.from_arrays(
-            [pa.array(names), *[pa.array(np.ascontiguousarray(values[:, k])) for k in range(self.states)]],
-            names=["symbol", *[f"c{k}" for k in range(self.states)]])
+            [pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2)]],
+            names=["range", "symbols", "counts"])
+
+
+def _range_width(symbols: int) -> int:
+    return -(-max(1, symbols) // RANGES)
+
+
+def _summed(table: pa.Table, states: int) -> pa.Table:
+    """The counts of a range of symbols from several tasks as one row."""
+    part, group = table.column("range")[0].as_py(), table.column("group")[0].as_py()
+    if part < 0:
+        names, total = b"", sum(np.frombuffer(c.as_py(), np.float64) for c in table.column("counts")).tobytes()
+    else:
+        found, at = np.unique(np.concatenate([np.frombuffer(n.as_py(), "<i4") for n in table.column("symbols")]), return_inverse=True)
+        values = np.concatenate([np.frombuffer(c.as_py(), "<f4").reshape(-1, states) for c in table.column("counts")])
+        names = found.tobytes()
+        total = np.column_stack([np.bincount(at, values[:, k], len(found)) for k in range(states)]).astype("<f4").tobytes()
+    return pa.table({"range": pa.array([part], pa.int32()), "group": pa.array([group], pa.int32()),
+                     "symbols": pa.array([names], pa.binary()), "counts": pa.array([total], pa.binary())})
+
+
+PACKED = "range int, group int, symbols binary, counts binary"
+
+
+def _sum_by_tree(packed: DataFrame, tasks: int) -> pa.Table:
+    """The sums over all tasks, ``FAN_IN`` rows at a time, so that no sum takes more however many tasks there are.
+
+    What comes to the driver is one row for each range of the symbols that tasks hold.
+    """
+    packed = packed.select("range", "group", "symbols", "counts")
+    while True:
+        packed = packed.withColumn("group", F.floor(F.col("group") / FAN_IN).cast("int")).groupBy("range", "group").applyInArrow(
+            lambda table: _summed(table, STATES), PACKED)
+        tasks = -(-tasks // FAN_IN)
+        if tasks <= 1:
+            return packed.toArrow()
 
 
 def token_groups(lengths: np.ndarray) -> Iterator[slice]:
@@ -406,7 +454,7 @@ def _block(row: dict, model: Model, learned: bool) -> Block:
     if learned:
         stay = ~row["held_out"].flatten().to_numpy(zero_copy_only=False)
         symbols, lengths = symbols[np.repeat(stay, lengths)], lengths[stay]
-    at = row["at"].flatten().to_numpy(zero_copy_only=False)
+    at = row["at"].flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     own = np.column_stack([row[f"e{k}"].flatten().to_numpy(zero_copy_only=False) for k in range(len(model.start))])
     n = len(model.emits) - 1
     # a word that turned out to be no symbol is one of its class
@@ -434,8 +482,9 @@ def _parts(block: Block) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
 
 
 def _expect(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """Expected counts of a task: packed for the symbols that all hold, a row for each block and other word."""
     states, total = len(model.start), Expected(len(model.start), len(model.emits) - 1)
-    names = ["symbol", "word", *[f"c{k}" for k in range(states)]]
+    columns = [f"c{k}" for k in range(states)]
     for batch in batches:
         for row in _rows(batch):
             block = _block(row, model, True)
@@ -447,13 +496,17 @@ def _expect(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
             total.moves += expected.moves
             total.likelihood += expected.likelihood
             total.emits[:, block.held] += expected.emits[:, :n]
-            if len(block.words):
+            if m := len(block.words):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(block.words), pa.int32()), pa.array(block.words),
-                     *[pa.array(np.ascontiguousarray(c[n:-1])) for c in expected.emits]], names=names)
-    rows = total.rows()
+                    [pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()),
+                     pa.array(block.words), *[pa.array(np.ascontiguousarray(c[n:-1])) for c in expected.emits]],
+                    names=["range", "group", "symbols", "counts", "word", *columns])
+    rows = total.packed()
+    m = rows.num_rows
     yield pa.RecordBatch.from_arrays(
-        [rows.column(0), pa.nulls(rows.num_rows, pa.int64()), *rows.columns[1:]], names=names)
+        [rows.column("range"), pa.array(np.full(m, TaskContext.get().partitionId(), np.int32)), rows.column("symbols"),
+         rows.column("counts"), pa.nulls(m, pa.int64()), *[pa.nulls(m, pa.float64())] * states],
+        names=["range", "group", "symbols", "counts", "word", *columns])
 
 
 def first_model(words: Words, states: int = STATES, seed: int = 3, others: np.ndarray | float = 0.0) -> Model:
@@ -461,9 +514,10 @@ def first_model(words: Words, states: int = STATES, seed: int = 3, others: np.nd
 
     ``others`` are the summed weights of the symbols that tasks do not hold.
     """
-    rng = np.random.default_rng(seed)
     unigram = words.unigram()
-    emits = unigram[:, None] * np.exp(rng.normal(0, 0.7, (len(unigram), states)))
+    # classes are words of their own here
+    names = np.concatenate([words.symbols, np.arange(CLASSES)]).astype(np.int64)
+    emits = unigram[:, None] * scattered(names, states, seed)
     moves = np.full((states, states), 0.03 / max(1, states - 1))
     np.fill_diagonal(moves, 0.97)
     total = emits.sum(0) + others
@@ -476,18 +530,17 @@ def _padded(emits: np.ndarray) -> np.ndarray:
 
 def reestimated(sums: pa.Table, words: Words, states: int = STATES,
                 others: np.ndarray | float = 0.0) -> tuple[Model, float]:
-    """The next model from summed expected counts, and the log likelihood under the last one.
+    """The next model from packed sums of expected counts, and the log likelihood under the last one.
 
     ``others`` are the summed weights of the symbols that tasks do not hold.
     """
     unigram = words.unigram()
-    counts = np.zeros((len(unigram), states))
-    names = sums["symbol"].to_numpy()
-    values = np.column_stack([sums[f"c{k}"].to_numpy() for k in range(states)])
-    real = names >= 0
-    counts[names[real]] = values[real]
-    rest = np.zeros((states + 2, states))
-    rest[-1 - names[~real]] = values[~real]
+    counts, rest = np.zeros((len(unigram), states)), np.zeros((states + 2, states))
+    for part, names, values in zip(*(sums.column(c) for c in ("range", "symbols", "counts"))):
+        if part.as_py() < 0:
+            rest += np.frombuffer(values.as_py(), np.float64).reshape(-1, states)
+        else:
+            counts[np.frombuffer(names.as_py(), "<i4")] += np.frombuffer(values.as_py(), "<f4").reshape(-1, states)
     emits = counts + PRIOR_EMISSIONS * unigram[:, None]
     moves = rest[:states] + PRIOR_TRANSITIONS
     start = rest[states] + PRIOR_TRANSITIONS
@@ -495,71 +548,89 @@ def reestimated(sums: pa.Table, words: Words, states: int = STATES,
     return Model(start / start.sum(), moves / moves.sum(1, keepdims=True), _padded(emits / total), total), rest[-1, 0]
 
 
-def other_symbols(encoded: DataFrame, counts: DataFrame, words: Words) -> DataFrame:
+def other_symbols(encoded: DataFrame, counts: DataFrame, words: Words) -> DataFrame | None:
     """``word, share, places`` of the symbols that tasks do not hold: smoothed share, blocks and places there.
 
-    No such word makes up more than one in ``SYMBOL_SHARE`` tokens, which bounds its list.
+    None without any. Such words are less frequent than ``HELD_SYMBOLS`` others, which bounds their lists to that share of
+    all tokens.
     """
-    found = counts.where(_is_symbol() & ~_is_held(words.tokens)).select("word", "n_train")
+    found = counts.where(_is_symbol() & ~_is_held(words.least)).select("word", "n_train")
+    if not words.other_words:
+        return None
     places = encoded.select("part", F.posexplode("others").alias("at", "word"))
     return places.join(found, "word").groupBy("word").agg(
         ((F.first("n_train") + F.lit(0.5)) / F.lit(words.smoothed)).alias("share"),
         F.collect_list(F.struct("part", "at")).alias("places"))
 
 
-def _scattered(state: int, seed: int = 3) -> Column:
-    """A log-normal factor for the word in a state, from hashes of the word."""
-    def uniform(k: int) -> Column:
-        bits = F.shiftrightunsigned(F.xxhash64("word", F.lit(seed), F.lit(2 * state + k)), 11)
-        return (bits + F.lit(1)) / F.lit(2.0 ** 53)
-    return F.exp(F.lit(0.7) * F.sqrt(F.lit(-2.0) * F.log(uniform(0))) * F.cos(F.lit(2 * np.pi) * uniform(1)))
+def _uniform(names: np.ndarray, number: int) -> np.ndarray:
+    return (mix64(mix64(names.view(np.uint64)) + np.uint64(number)) >> np.uint64(11)).astype(np.float64) / 2.0 ** 53
 
 
-def _with_emissions(encoded: DataFrame, weights: DataFrame, model: Model) -> DataFrame:
-    """The blocks with the emissions of their symbols that tasks do not hold."""
+def scattered(names: np.ndarray, states: int = STATES, seed: int = 3) -> np.ndarray:
+    """A log-normal factor for each word and state, from a hash of the word: alike wherever it is kept."""
+    draws = [np.sqrt(-2 * np.log(_uniform(names, 2 * (seed * states + k)) + 2.0 ** -54))
+             * np.cos(2 * np.pi * _uniform(names, 2 * (seed * states + k) + 1)) for k in range(states)]
+    return np.exp(0.7 * np.column_stack(draws))
+
+
+def _first_weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        factor = scattered(batch.column("word").to_numpy()) * batch.column("share").to_numpy()[:, None]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("word"), batch.column("places"), *[pa.array(np.ascontiguousarray(factor[:, k])) for k in range(STATES)]],
+            names=["word", "places", *[f"w{k}" for k in range(STATES)]])
+
+
+def _with_emissions(encoded: DataFrame, weights: DataFrame | None, model: Model) -> DataFrame:
+    """The blocks with the emissions of their symbols that tasks do not hold; without such symbols nothing is joined."""
+    blocks = encoded.select("part", "lengths", "held_out", "symbols", "others")
+    if weights is None:
+        return blocks.withColumns({"at": F.lit(None).cast("array<int>"), **{
+            f"e{k}": F.lit(None).cast("array<double>") for k in range(STATES)}})
     own = [(F.col(f"w{k}") / F.lit(float(model.total[k]))).alias(f"e{k}") for k in range(STATES)]
     lists = ["at", *[f"e{k}" for k in range(STATES)]]
     # lists of numbers take less than half the room of a list of structs; no value is null, so they keep step
     found = weights.select(F.inline("places"), *own).groupBy("part").agg(
         *[F.collect_list(c).alias(c) for c in lists])
-    return encoded.select("part", "lengths", "held_out", "symbols", "others").join(found, "part", "left")
-
-
-def _release(spark: SparkSession) -> None:
-    """Have the shuffle files of finished rounds removed, which Spark does when their driver objects are collected."""
-    gc.collect()
-    spark._jvm.System.gc()
+    return blocks.join(found, "part", "left")
 
 
-def train(encoded: DataFrame, words: Words, others: DataFrame,
-          rounds: int = ROUNDS) -> tuple[Model, DataFrame, list[float]]:
+def train(encoded: DataFrame, words: Words, others: DataFrame | None,
+          rounds: int = ROUNDS) -> tuple[Model, DataFrame | None, list[float]]:
     """Baum-Welch over all documents that are not held out.
 
     Gives the model, the weights of the symbols that tasks do not hold, and the likelihood before each round.
     """
     columns = [f"c{k}" for k in range(STATES)]
-    weights = others.select(
-        "word", "places", *[(F.col("share") * _scattered(k)).alias(f"w{k}") for k in range(STATES)])
-    first = weights.agg(*[F.sum(f"w{k}") for k in range(STATES)]).first()
-    model, history = first_model(words, others=np.array([x or 0.0 for x in first])), []
+    tasks = (encoded.agg(F.max(F.shiftright("part", 33))).first()[0] or 0) + 1
+    weights, rest = None, [0.0] * STATES
+    if others is not None:
+        weights = others.mapInArrow(_first_weights, "word long, places array<struct<part:long,at:int>>, "
+                                    + ", ".join(f"w{k} double" for k in range(STATES)))
+        rest = weights.agg(*[F.sum(f"w{k}") for k in range(STATES)]).first()
+    model, history = first_model(words, others=np.array([x or 0.0 for x in rest])), []
     for _ in range(rounds):
         def expect(batches, model=model):
             return _expect(batches, model)
-        sums = stored(_with_emissions(encoded, weights, model).mapInArrow(expect, SUMS).groupBy(
-            "symbol", "word").agg(*[F.sum(c).alias(c) for c in columns]), "emission-sums")
-        # what comes to the driver is a row for each symbol that tasks hold, and one for all others
-        held = sums.where("symbol is not null").drop("word").toArrow()
+        sums = _with_emissions(encoded, weights, model).mapInArrow(expect, SUMS)
+        if others is not None:
+            sums = stored(sums, "emission-sums")
+            tasks = max(tasks, (sums.agg(F.max("group")).first()[0] or 0) + 1)
+        # what comes to the driver is the symbols that tasks hold, and one row for all others
+        held = _sum_by_tree(sums.where("range is not null"), tasks)
         if not held.num_rows:
             break
-        own = sums.where("symbol is null").select(F.col("word").alias("_word"), *columns)
-        rest = own.agg(*[F.sum(c) for c in columns]).first()
-        model, likelihood = reestimated(
-            held, words, others=np.array([x or 0.0 for x in rest]) + PRIOR_EMISSIONS * words.other_share)
-        weights = others.join(own, F.col("word") == F.col("_word"), "left").select("word", "places", *[
-            (F.coalesce(f"c{k}", F.lit(0.0)) + F.lit(PRIOR_EMISSIONS) * F.col("share")).alias(f"w{k}")
-            for k in range(STATES)])
+        if others is not None:
+            own = stored(sums.where("word is not null").groupBy(F.col("word").alias("_word")).agg(
+                *[F.sum(c).alias(c) for c in columns]), "emissions")
+            rest = own.agg(*[F.sum(c) for c in columns]).first()
+            weights = others.join(own, F.col("word") == F.col("_word"), "left").select("word", "places", *[
+                (F.coalesce(f"c{k}", F.lit(0.0)) + F.lit(PRIOR_EMISSIONS) * F.col("share")).alias(f"w{k}")
+                for k in range(STATES)])
+        more = PRIOR_EMISSIONS * words.other_share if others is not None else 0.0
+        model, likelihood = reestimated(held, words, others=np.array([x or 0.0 for x in rest]) + more)
         history.append(likelihood)
-        _release(encoded.sparkSession)
     return model, weights, history
 
 
@@ -595,7 +666,8 @@ def score_texts(docs: DataFrame, held_out_divisor: int = 5, held_out_rest: int =
     kind = dict(rows.dtypes)["doc_id"]
     encoded = stored(rows.mapInArrow(lambda batches: _encode(batches, words), ENCODED.format(id=kind)).withColumn(
         "part", F.monotonically_increasing_id()), "encoded-texts")
-    others = stored(other_symbols(encoded, counts, words), "other-symbols")
+    others = other_symbols(encoded, counts, words)
+    others = None if others is None else stored(others, "other-symbols")
     model, weights, _ = train(encoded, words, others)
     sequences = _with_emissions(encoded, weights, model).mapInArrow(
         lambda batches: _score(batches, model), "part long, at int, sequence double")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,11 +29,25 @@ def text_bytes(texts: pa.Array) -> tuple[bytes, np.ndarray]:
     return bytes(data[int(offsets[0]):int(offsets[-1])]) if data is not None else b"", offsets - offsets[0]
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts, and how many words each text has.
+@dataclass(frozen=True)
+class Words:
+    """The words of many texts, in order."""
 
-    Words are runs of anything but ASCII white space, with A-Z lower-cased. Null has none.
-    """
+    hashes: np.ndarray
+    number: np.ndarray  # words of each text
+    letters: np.ndarray  # all texts as lower-cased UTF-8
+    first: np.ndarray  # where each word begins in it, and its length
+    length: np.ndarray
+
+    def last_letters(self) -> np.ndarray:
+        """The last two bytes of each word as a number; one byte if it has no more."""
+        last = self.letters[self.first + self.length - 1].astype(np.uint64)
+        before = np.where(self.length > 1, self.letters[np.maximum(self.first + self.length - 2, 0)].astype(np.uint64) + np.uint64(1), 0)
+        return before * np.uint64(256) + last
+
+
+def words_of(texts: pa.Array) -> Words:
+    """Words are runs of anything but ASCII white space, with A-Z lower-cased. Null has none."""
     data, offsets = text_bytes(texts)
     lower = data.lower()
     letters = np.frombuffer(lower, np.uint8)
@@ -51,7 +67,13 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         hashes[active] = mix64(hashes[active] ^ block) * _ODD
         at += 8
         active = active[length[active] > at]
-    return hashes, np.diff(np.searchsorted(first, offsets))
+    return Words(hashes, np.diff(np.searchsorted(first, offsets)), letters, first, length)
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and how many words each text has."""
+    found = words_of(texts)
+    return found.hashes, found.number
 
 
 def ngram_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
