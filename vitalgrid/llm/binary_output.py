@@ -147,8 +147,8 @@ def _write_shards(
             names=["bucket", "shard", "path", "docs", "ids"])
 
     for batch in text_slices(batches, "text"):
-        buckets, owners, texts = (c.to_pylist() for c in batch.columns)
-        ids, counts = tokenizer.encode(texts)
+        buckets, owners = (c.to_pylist() for c in batch.columns[:2])
+        ids, counts = tokenizer.encode(batch.column(2))
         at = 0
         for own, doc_id, n in zip(buckets, owners, counts.tolist()):
             if lengths and (own != bucket or held >= shard_ids):

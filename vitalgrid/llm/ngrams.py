@@ -35,7 +35,7 @@ class Words:
 
     hashes: np.ndarray
     number: np.ndarray  # words of each text
-    letters: np.ndarray  # all texts as lower-cased UTF-8
+    letters: np.ndarray  # all texts as UTF-8
     first: np.ndarray  # where each word begins in it, and its length
     length: np.ndarray
 
@@ -46,18 +46,18 @@ class Words:
         return before * np.uint64(256) + last
 
 
-def words_of(texts: pa.Array) -> Words:
-    """Words are runs of anything but ASCII white space, with A-Z lower-cased. Null has none."""
+def words_of(texts: pa.Array, separators: np.ndarray = _SPACE, lower: bool = True) -> Words:
+    """Words are runs of anything but ASCII white space, or other separating bytes, with A-Z lower-cased. Null has none."""
     data, offsets = text_bytes(texts)
-    lower = data.lower()
-    letters = np.frombuffer(lower, np.uint8)
-    solid = ~_SPACE[letters]
+    data = data.lower() if lower else data
+    letters = np.frombuffer(data, np.uint8)
+    solid = ~separators[letters]
     cut = np.zeros(len(letters) + 1, bool)  # a text begins or ends here
     cut[offsets] = True
     first = np.flatnonzero(solid & (cut[:-1] | ~np.concatenate([[False], solid[:-1]])))
     last = np.flatnonzero(solid & (cut[1:] | ~np.concatenate([solid[1:], [False]]))) + 1
     # eight letters at a time, at any place; letters beyond the word are cut off
-    eights = np.ndarray((len(letters) + 1,), "<u8", lower + bytes(16), strides=(1,))
+    eights = np.ndarray((len(letters) + 1,), "<u8", data + bytes(16), strides=(1,))
     length = last - first
     hashes = mix64(length.astype(np.uint64) * _ODD)
     active, at = np.arange(len(first)), 0

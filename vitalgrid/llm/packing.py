@@ -42,7 +42,7 @@ def binary_pieces(lengths: np.ndarray, most: int = MAX_LENGTH) -> tuple[np.ndarr
 def _pieces_of(batches: Iterator[pa.RecordBatch], vocabulary: str, most: int) -> Iterator[pa.RecordBatch]:
     tokenizer = word_tokenizer(vocabulary)
     for batch in text_slices(batches, "text"):
-        ids, lengths = tokenizer.encode(batch.column(1).to_pylist())
+        ids, lengths = tokenizer.encode(batch.column(1))
         doc, start, size = binary_pieces(lengths, most)
         # the pieces cover the ids without a gap, so their ends are the offsets of one binary column
         data = pa.py_buffer(ids.astype("<u4").tobytes())

@@ -8,12 +8,17 @@ from functools import lru_cache
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 
+from vitalgrid.llm.ngrams import Words, words_of
+
 #: id appended to each document
 END_ID = 1
-#: distinct words whose ids a worker remembers; beyond that it starts anew
-REMEMBERED_WORDS = 400_000
+#: distinct words, and distinct pieces of words, whose ids a worker remembers; beyond that it starts anew
+REMEMBERED_WORDS, REMEMBERED_PIECES = 1_500_000, 800_000
+#: where texts are cut: spaces and line ends
+_CUTS = np.isin(np.arange(256), [0x20, 0x0A])
 
 
 class Numbers(dict):
@@ -43,8 +48,9 @@ class _Runs:
     def new(self) -> list[str]:
         return self.number.after(len(self.size))
 
-    def learn(self, names: list[str], sizes, ids) -> None:
-        for name in names:
+    def learn(self, names: list[str] | None, sizes, ids) -> None:
+        """Runs of new names, or of numbers that are kept elsewhere."""
+        for name in names or ():
             self.number[name]
         size = np.asarray(sizes, np.int64)
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
@@ -111,6 +117,7 @@ class WordTokenizer:
 
     def _forget(self) -> None:
         self.words, self.pieces = _Runs(), _Runs()
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # of the words known, by hash
         self.pieces.learn(["\n"], [0], [])  # what ends a word has no ids
 
     def _piece_ids(self, piece: str) -> list[int]:
@@ -137,30 +144,41 @@ class WordTokenizer:
             ids = np.insert(ids, np.repeat(cuts[where], added),
                             np.array([x for i in odd.values() for x in i], np.uint32))
             sizes[where] += added
-        self.words.learn(words, sizes, ids)
+        self.words.learn(None, sizes, ids)
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def _numbered(self, found: Words) -> np.ndarray:
+        """The numbers of the words among those known, once new ones are learned."""
+        distinct, example, at = np.unique(found.hashes, return_index=True, return_inverse=True)
+        if len(self.hashes) > REMEMBERED_WORDS or len(self.pieces.size) > REMEMBERED_PIECES:
+            self._forget()
+        place = np.searchsorted(self.hashes, distinct)
+        known = np.zeros(len(distinct), bool)
+        inside = place < len(self.hashes)
+        known[inside] = self.hashes[place[inside]] == distinct[inside]
+        if not known.all():
+            new, raw = example[~known], found.letters.tobytes()
+            begin, end = found.first[new], found.first[new] + found.length[new]
+            before = len(self.words.size)
+            self._learn([raw[i:j].decode() for i, j in zip(begin.tolist(), end.tolist())])
+            self.numbers = np.insert(self.numbers, place[~known], before + np.arange(len(new)))
+            self.hashes = np.insert(self.hashes, place[~known], distinct[~known])
+            place = np.searchsorted(self.hashes, distinct)
+        return self.numbers[place][at]
+
+    def encode(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, each text with its end id, and each text's number of ids."""
         if not self.cuts_at_spaces:
-            own = [[*self.tokenizer.encode(t or "", add_special_tokens=False).ids, END_ID] for t in texts]
+            listed = texts.to_pylist() if isinstance(texts, pa.Array) else texts
+            own = [[*self.tokenizer.encode(t or "", add_special_tokens=False).ids, END_ID] for t in listed]
             return (np.array([x for ids in own for x in ids], np.uint32),
                     np.array([len(ids) for ids in own], np.int64))
-        words: list[str] = []
-        counts = []
-        for text in texts:
-            found = text.replace("\n", " ").split(" ") if text else []
-            words.extend(found)
-            counts.append(len(found))
-        if len(self.words.number) > REMEMBERED_WORDS:
-            self._forget()
-        at = self.words.numbered(words)
-        if new := self.words.new():
-            self._learn(new)
+        found = words_of(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), _CUTS, lower=False)
+        at = self._numbered(found)
         ids, ends = self.words.expand(at)
         # ids of each text: the difference of the running total at its first and last word
         total = np.concatenate([[0], ends])
-        upto = np.cumsum(np.array(counts, np.int64))
-        lengths = total[upto] - total[upto - np.array(counts, np.int64)]
+        upto = np.cumsum(found.number)
+        lengths = total[upto] - total[upto - found.number]
         return np.insert(ids, np.cumsum(lengths), END_ID), lengths + 1
 
 
