@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,10 +28,11 @@ from vitalgrid.shipping import scratch_folder  # noqa: E402
 from vitalgrid.sources import export, tables as stored  # noqa: E402
 from vitalgrid.sources.blobs import attach_blobs  # noqa: E402
 
-try:  # the corpus operators are an add-on: without them everything else still works
+# the corpus operators are an add-on: without their files everything else still works; other errors show
+if find_spec("vitalgrid.llm") and find_spec("vitalgrid.llm.queries") and find_spec("corpus_pipeline"):
     import corpus_pipeline
     from vitalgrid.llm import oracle as corpus_oracle, queries as corpus_queries
-except ImportError:
+else:
     corpus_pipeline = corpus_oracle = corpus_queries = None
 
 Query = Callable[[SparkSession, str], DataFrame]
