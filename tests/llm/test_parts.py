@@ -68,6 +68,17 @@ def test_binary_pieces(lengths):
         assert len(set(small)) == len(small)
 
 
+def test_buckets_hold_pieces_of_one_length(spark, tmp_path):
+    ship_package(spark)
+    docs = spark.createDataFrame([(i, "one two three four " * i) for i in range(30)], "doc_id long, text string")
+    packed = packing.pack(docs)
+    packing.write_buckets(packed, str(tmp_path / "buckets"))
+    back = spark.read.parquet(str(tmp_path / "buckets"))
+    assert sorted(back.select(packed.columns).collect()) == sorted(packed.collect())
+    one = spark.read.parquet(str(tmp_path / "buckets" / "length=4"))
+    assert one.count() and {len(r["ids"]) for r in one.collect()} == {16}
+
+
 @pytest.mark.parametrize("width", [1, 3, 8, 13, 16, 17, 21, 32])
 def test_bits_round_trip(width):
     ids = np.random.default_rng(width).integers(0, 1 << width, 1001, dtype=np.uint64).astype(np.uint32)

@@ -43,6 +43,14 @@ def test_sql(against_sql, name):
     assert against_sql(name)
 
 
+def test_exact_groups_of_many_rows(against_sql, monkeypatch):
+    """Frequent texts by broadcast, all others by a join, as with more rows than tests have."""
+    from vitalgrid.llm import exact_dedup
+
+    monkeypatch.setattr(exact_dedup, "HEAVY_SHARE", 60)
+    assert against_sql("op8_exact_dedup")
+
+
 def test_mix_meets_its_targets(run):
     found = run("op9_mixing", "/root/testdata/sf0.01")
     assert (found.taken <= 3 * found["size"]).all()

@@ -45,10 +45,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder path below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Where that is unset it lies below the warehouse, which executors share too.
+    Where that is unset it lies below the warehouse of a local session; a cluster is refused.
     """
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         top = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
