@@ -51,9 +51,9 @@ def header_table(staged: DataFrame) -> DataFrame:
     return distinct.select("datatype_id", "header_id", header_names("cells").alias("names"))
 
 
-def _with_headers(rows: DataFrame, about: DataFrame) -> DataFrame:
-    """Rows with what ``about`` has of their ``header_id``; few headers go to all tasks, more are joined."""
-    return rows.join(F.broadcast(about) if about.count() <= TOLD_HEADERS else about, "header_id")
+def _with_headers(rows: DataFrame, headers: DataFrame, about: DataFrame) -> DataFrame:
+    """Rows with what ``about`` has of their header; few ``headers`` go to all tasks, more are joined."""
+    return rows.join(F.broadcast(about) if headers.count() <= TOLD_HEADERS else about, "header_id")
 
 
 def _data(staged: DataFrame, datatype_ids: list[str]) -> DataFrame:
@@ -122,7 +122,7 @@ def build_table(
             return parse_time(cell, EPOCH_MS_BELOW_AT_INGEST)
         return parse_number(cell) if name in spec.numbers else cell
 
-    placed = _with_headers(_data(staged, list(columns)), _places(headers, sorted(columns), names))
+    placed = _with_headers(_data(staged, list(columns)), headers, _places(headers, sorted(columns), names))
     rows = placed.select(*OWN_COLUMNS, *ROW_KEY, "datatype_id", *[typed(c).alias(c) for c in sources])
     keys = [c for c in spec.times if c in sources]
     if keys:
