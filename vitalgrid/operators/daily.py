@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,89 +90,99 @@ BODY = Source("body", {name: (name,) for name in BODY_VALUES}, needs_any=BODY_VA
 
 
 @dataclass
-class _Aggregates:
-    """Collects the aggregate columns of one source."""
+class Records:
+    """Raw rows of one table, with the aggregates their days need.
+
+    ``several`` says that other tables hold the same facts: which columns are filled is then kept even
+    of a table with a single candidate.
+    """
 
     source: Source
-    columns: list[Column] = field(default_factory=list)
-    flags: set[str] = field(default_factory=set)
+    rows: DataFrame
+    day: Column
+    times: Sequence[str]
+    several: bool = False
+    values: dict[str, tuple[str, Column]] = field(default_factory=dict)
+    flags: dict[str, Column] = field(default_factory=dict)
 
     def value(self, measure: str, choice: str | None, how: str, x: Column) -> None:
         i = self.source.measures[measure].index(choice)
-        self.columns.append(HOW[how](x).alias(f"{measure}__{i}"))
+        self.values[f"{measure}__{i}"] = (how, x)
 
-    def numbers(self, df: DataFrame, measure: str, how: str) -> None:
-        """Aggregate each candidate column of ``measure`` that ``df`` has."""
-        choices = [c for c in self.source.measures[measure] if c is ALWAYS or c in df.columns]
+    def numbers(self, measure: str, how: str) -> None:
+        """Aggregate each candidate column of ``measure`` that the rows have."""
+        has = self.rows.columns
+        choices = [c for c in self.source.measures[measure] if c is ALWAYS or c in has]
+        open_choice = len(choices) > 1 or self.several and len(self.source.measures[measure]) > 1
         for column in choices:
-            if column in df.columns:
-                self.value(measure, column, how, as_number(df, column))
-                if len(choices) > 1 or column in self.source.needs_any:
-                    self.flag(df, column)
+            if column in has:
+                self.value(measure, column, how, as_number(self.rows, column))
+                if open_choice or column in self.source.needs_any:
+                    self.flag(column)
             elif column is ALWAYS:
                 self.value(measure, column, how, F.lit(0.0))
 
-    def flag(self, df: DataFrame, column: str) -> None:
-        if column in df.columns and column not in self.flags:
-            self.flags.add(column)
-            self.columns.append(
-                F.max(F.col(column).isNotNull()).alias(_flag(self.source, column)))
+    def flag(self, column: str) -> None:
+        if column in self.rows.columns:
+            self.flags[flag_name(self.source, column)] = F.col(column).isNotNull()
 
 
-def _flag(source: Source, column: str | None) -> str:
+def flag_name(source: Source, column: str | None) -> str:
     return f"has__{source.name}__{column}"
 
 
-def _pre_aggregate(
-    df: DataFrame, aggregates: _Aggregates, day: Column, times: Sequence[str], table_position: int | None
-) -> DataFrame:
-    keys = [F.col("user_id"), day.alias("day")]
-    df = df.where("user_id is not null")
-    if len(present(df, times)) > 1:
-        keys.append(position_of(df, times).alias("time_position"))
-    elif not aggregates.flags and table_position is None:
-        df = df.where(day.isNotNull())  # no choice depends on a row without a day
-    rows = df.groupBy(*keys).agg(*aggregates.columns)
+def pre_aggregate(records: Records, table_position: int | None = None) -> DataFrame:
+    keys = [F.col("user_id"), records.day.alias("day")]
+    df = records.rows.where("user_id is not null")
+    if len(present(df, records.times)) > 1:
+        keys.append(position_of(df, records.times).alias("time_position"))
+    elif not records.flags and table_position is None:
+        df = df.where(records.day.isNotNull())  # no choice depends on a row without a day
+    rows = df.groupBy(*keys).agg(
+        *[HOW[how](x).alias(name) for name, (how, x) in records.values.items()],
+        *[F.max(filled).alias(name) for name, filled in records.flags.items()])
     if table_position is not None:
         rows = rows.withColumn("table_position", F.lit(table_position))
     return rows
 
 
-def heart_rate_rows(df: DataFrame) -> DataFrame:
-    found = _Aggregates(HEART_RATE)
-    found.numbers(df, "resting_hr", "min")
-    found.numbers(df, "hr_avg", "avg")
-    return _pre_aggregate(df, found, calendar_day(time_of(df, TIME_COLUMNS)), TIME_COLUMNS, None)
+def _by_day(source: Source, df: DataFrame, several: bool = False) -> Records:
+    return Records(source, df, calendar_day(time_of(df, TIME_COLUMNS)), TIME_COLUMNS, several)
+
 
+def heart_rate_records(df: DataFrame) -> Records:
+    found = _by_day(HEART_RATE, df)
+    found.numbers("resting_hr", "min")
+    found.numbers("hr_avg", "avg")
+    return found
 
-def stress_rows(df: DataFrame) -> DataFrame:
-    found = _Aggregates(STRESS)
-    found.numbers(df, "stress_avg", "avg")
-    return _pre_aggregate(df, found, calendar_day(time_of(df, TIME_COLUMNS)), TIME_COLUMNS, None)
 
+def stress_records(df: DataFrame) -> Records:
+    found = _by_day(STRESS, df)
+    found.numbers("stress_avg", "avg")
+    return found
 
-def spo2_rows(df: DataFrame) -> DataFrame:
-    found = _Aggregates(SPO2)
-    found.numbers(df, "spo2_min", "min")
-    found.numbers(df, "spo2_avg", "avg")
-    return _pre_aggregate(df, found, calendar_day(time_of(df, TIME_COLUMNS)), TIME_COLUMNS, None)
 
+def spo2_records(df: DataFrame) -> Records:
+    found = _by_day(SPO2, df)
+    found.numbers("spo2_min", "min")
+    found.numbers("spo2_avg", "avg")
+    return found
 
-def step_rows(df: DataFrame, table_position: int | None = None) -> DataFrame:
+
+def step_records(df: DataFrame, several: bool = False) -> Records:
     """Several devices report the same day, so the day takes the largest report."""
-    found = _Aggregates(STEPS)
+    found = _by_day(STEPS, df, several)
     for measure in STEPS.measures:
-        found.numbers(df, measure, "max")
-    day = calendar_day(time_of(df, TIME_COLUMNS))
-    return _pre_aggregate(df, found, day, TIME_COLUMNS, table_position)
+        found.numbers(measure, "max")
+    return found
 
 
-def body_rows(df: DataFrame, table_position: int | None = None) -> DataFrame:
-    found = _Aggregates(BODY)
+def body_records(df: DataFrame, several: bool = False) -> Records:
+    found = _by_day(BODY, df, several)
     for measure in BODY.measures:
-        found.numbers(df, measure, "avg")
-    day = calendar_day(time_of(df, TIME_COLUMNS))
-    return _pre_aggregate(df, found, day, TIME_COLUMNS, table_position)
+        found.numbers(measure, "avg")
+    return found
 
 
 def _minutes_asleep(duration: Column) -> Column:
@@ -186,55 +197,53 @@ def _midpoint_hours(midpoint: Column) -> Column:
     return F.pmod(hours - F.lit(MIDPOINT_ZERO_HOUR), F.lit(24.0))
 
 
-def sleep_rows(df: DataFrame, table_position: int | None = None) -> DataFrame:
+def sleep_records(df: DataFrame, several: bool = False) -> Records:
     start = time_of(df, NIGHT_TIME_COLUMNS)
     end = as_time(df, "end_time") if "end_time" in df.columns else F.lit(None).cast("timestamp_ntz")
     timed = df.withColumns({"_start": start, "_end": end})
     span = minutes_between(F.col("_start"), F.col("_end"))
-    found = _Aggregates(SLEEP)
+    found = Records(SLEEP, timed, wake_day(F.col("_start")), NIGHT_TIME_COLUMNS, several)
     for column in SLEEP_DURATIONS:
         if column in df.columns:
             minutes = F.coalesce(_minutes_asleep(as_number(df, column)), span)
             found.value("sleep_minutes", column, "sum", minutes)
-            found.flag(df, column)
+            found.flag(column)
     # without an end time a night has no span; its sum is then 0 through zero_if_null
     found.value("sleep_minutes", ALWAYS, "sum", span)
-    found.numbers(df, "sleep_efficiency", "avg")
-    found.numbers(df, "sleep_score", "max")
+    found.numbers("sleep_efficiency", "avg")
+    found.numbers("sleep_score", "max")
     if "end_time" in df.columns:
         middle = F.col("_start") + (F.col("_end") - F.col("_start")) / F.lit(2)
         found.value("sleep_midpoint", "end_time", "avg", _midpoint_hours(middle))
-        found.flag(df, "end_time")
+        found.flag("end_time")
     found.value("sleep_midpoint", ALWAYS, "avg", _midpoint_hours(F.col("_start")))
-    day = wake_day(F.col("_start"))
-    return _pre_aggregate(timed, found, day, NIGHT_TIME_COLUMNS, table_position)
+    return found
 
 
-def stage_rows(df: DataFrame) -> DataFrame:
+def stage_records(df: DataFrame) -> Records:
     start = time_of(df, NIGHT_TIME_COLUMNS)
     minutes = minutes_between(F.col("_start"), as_time(df, "end_time")) \
         if "end_time" in df.columns else F.lit(0.0)
-    found = _Aggregates(SLEEP_STAGE)
     if "stage" in df.columns:
         stage = stage_name(as_number(df, "stage"))
-        found.flag(df, "stage")
         timed = df.withColumn("_start", start).withColumns({"_minutes": minutes, "_stage": stage})
     else:
         timed = df.withColumn("_start", start).withColumns(
             {"_minutes": F.lit(None).cast("double"), "_stage": F.lit(None).cast("string")})
+    found = Records(SLEEP_STAGE, timed, wake_day(F.col("_start")), NIGHT_TIME_COLUMNS)
+    found.flag("stage")
     for stage, in_minutes, seen in zip(STAGES, STAGE_MINUTES, STAGE_SEEN):
         found.value(in_minutes, ALWAYS, "sum",
                     F.when(F.col("_stage") == stage, F.coalesce("_minutes", F.lit(0.0))))
         found.value(seen, ALWAYS, "max",
                     F.when((F.col("_stage") == stage) & F.col("_start").isNotNull(), 1.0))
-    return _pre_aggregate(timed, found, wake_day(F.col("_start")), NIGHT_TIME_COLUMNS, None)
+    return found
 
 
-def settle(rows: DataFrame, source: Source, together: bool = False) -> DataFrame:
+def settle(rows: DataFrame, source: Source) -> DataFrame:
     """Apply the per-person choices and keep the days that count: ``user_id, day``, measures.
 
     The window runs over pre-aggregated rows, at most one per person, day and candidate.
-    ``together`` asks for the result to be partitioned by person even if no choice is open.
     """
     person = Window.partitionBy("user_id")
     order = table = None
@@ -256,93 +265,96 @@ def settle(rows: DataFrame, source: Source, together: bool = False) -> DataFrame
             # in the person's first table only: the smallest (table, not filled) pair decides
             pair = table * 2 + F.when(F.col(name), 0).otherwise(1)
             chosen[name] = F.min(pair).over(person) % 2 == 0
-    if chosen or together:
-        rows = rows.repartition("user_id")
-    settled = rows.withColumns(chosen) if chosen else rows
+    settled = rows.repartition("user_id").withColumns(chosen) if chosen else rows
 
     keep = F.col("day").isNotNull()
     if order is not None:
         keep = keep & (F.col("_order") == F.col("_best"))
-    if source.needs_any:
-        keep = keep & _any_filled(settled, source)
-    result = settled.where(keep).select(
-        "user_id", "day", *[_settled(settled, source, m).alias(m) for m in source.measures])
+    found = {c: F.col(c) for c in settled.columns}
+    result = settled.where(keep & any_filled(found, source)).select(
+        "user_id", "day", *[settled_value(found, source, m).alias(m) for m in source.measures])
     if source.needs_value:
         result = result.where(F.col(source.needs_value).isNotNull())
     return result
 
 
-def _settled(rows: DataFrame, source: Source, measure: str) -> Column:
+def settled_value(found: dict[str, Column], source: Source, measure: str) -> Column:
+    """The value of a measure; ``found`` holds the aggregates and the settled flags by name."""
     choices = []
     for i, column in enumerate(source.measures[measure]):
         name = f"{measure}__{i}"
-        if name in rows.columns:
-            flag = _flag(source, column)
+        if name in found:
             # no flag: the only choice in its table
-            filled = F.col(flag) if flag in rows.columns else F.col(name).isNotNull()
-            choices.append((F.lit(True) if column is ALWAYS else filled, F.col(name)))
+            filled = found.get(flag_name(source, column), found[name].isNotNull())
+            choices.append((F.lit(True) if column is ALWAYS else filled, found[name]))
     value = first_filled(choices).cast("double")
     return F.coalesce(value, F.lit(0.0)) if measure in source.zero_if_null else value
 
 
-def _any_filled(rows: DataFrame, source: Source) -> Column:
-    any_filled = F.lit(False)
+def any_filled(found: dict[str, Column], source: Source) -> Column:
+    """Whether the person has any of the columns the source needs."""
+    filled = F.lit(not source.needs_any)
     for column in source.needs_any:
-        if _flag(source, column) in rows.columns:
-            any_filled = any_filled | F.coalesce(_flag(source, column), F.lit(False))
-    return any_filled
+        if flag_name(source, column) in found:
+            filled = filled | F.coalesce(found[flag_name(source, column)], F.lit(False))
+    return filled
 
 
-def _settle_tables(make, tables: Sequence[DataFrame], source: Source, together: bool) -> DataFrame:
+def _settle_tables(make, tables: Sequence[DataFrame], source: Source) -> DataFrame:
     if len(tables) == 1:
-        return settle(make(tables[0]), source, together)
-    rows = make(tables[0], 0)
+        return settle(pre_aggregate(make(tables[0])), source)
+    rows = pre_aggregate(make(tables[0], True), 0)
     for i, table in enumerate(tables[1:], start=1):
-        rows = rows.unionByName(make(table, i), allowMissingColumns=True)
-    return settle(rows, source, together)
+        rows = rows.unionByName(pre_aggregate(make(table, True), i), allowMissingColumns=True)
+    return settle(rows, source)
+
+
+def stage_percent(minutes: Column, total: Column, ever_seen: Column) -> Column:
+    """A stage's share of the night; 0 if the person never shows the stage."""
+    share = F.try_divide(minutes, total) * F.lit(100.0)
+    return F.when(ever_seen, round_half_even(share, 1)).otherwise(F.lit(0.0))
+
+
+def night_total(minutes: Sequence[Column]) -> Column:
+    return reduce(lambda x, y: x + y, minutes)
 
 
 def stage_shares(nights: DataFrame) -> DataFrame:
-    """Turn stage minutes into percent of the night; a stage the person never shows is 0."""
-    night_total = F.col(STAGE_MINUTES[0])
-    for name in STAGE_MINUTES[1:]:
-        night_total = night_total + F.col(name)
-    shares = []
-    for stage, minutes, seen in zip(STAGES, STAGE_MINUTES, STAGE_SEEN):
-        share = F.try_divide(F.col(minutes), F.col("_total")) * F.lit(100.0)
-        ever_seen = F.max(seen).over(Window.partitionBy("user_id")).isNotNull()
-        shares.append(F.when(ever_seen, round_half_even(share, 1)).otherwise(F.lit(0.0))
-                      .alias(f"{stage}_pct"))
-    return nights.withColumn("_total", night_total).select("user_id", "day", *shares)
-
-
-def daily_resting_hr(heart_rate: DataFrame, together: bool = False) -> DataFrame:
+    """Turn stage minutes into percent of the night."""
+    person = Window.partitionBy("user_id")
+    total = night_total([F.col(name) for name in STAGE_MINUTES])
+    return nights.withColumn("_total", total).select("user_id", "day", *[
+        stage_percent(F.col(minutes), F.col("_total"), F.max(seen).over(person).isNotNull()).alias(f"{stage}_pct")
+        for stage, minutes, seen in zip(STAGES, STAGE_MINUTES, STAGE_SEEN)])
+
+
+def daily_resting_hr(heart_rate: DataFrame) -> DataFrame:
     """Lowest and mean heart rate of each calendar day."""
-    return settle(heart_rate_rows(heart_rate), HEART_RATE, together)
+    return settle(pre_aggregate(heart_rate_records(heart_rate)), HEART_RATE)
 
 
-def daily_steps(*tables: DataFrame, together: bool = False) -> DataFrame:
+def daily_steps(*tables: DataFrame) -> DataFrame:
     """Largest report per day, from the first of ``tables`` in which the person has rows."""
-    return _settle_tables(step_rows, tables, STEPS, together)
+    return _settle_tables(step_records, tables, STEPS)
 
 
-def nightly_sleep(*tables: DataFrame, together: bool = False) -> DataFrame:
+def nightly_sleep(*tables: DataFrame) -> DataFrame:
     """Minutes, efficiency, score and midpoint per wake day."""
-    return _settle_tables(sleep_rows, tables, SLEEP, together)
+    return _settle_tables(sleep_records, tables, SLEEP)
 
 
-def nightly_stages(sleep_stage: DataFrame, together: bool = False) -> DataFrame:
+def nightly_stages(sleep_stage: DataFrame) -> DataFrame:
     """Share of each sleep stage per wake day, in percent."""
-    return stage_shares(settle(stage_rows(sleep_stage), SLEEP_STAGE, together))
+    return stage_shares(settle(pre_aggregate(stage_records(sleep_stage)), SLEEP_STAGE))
 
 
-def daily_stress(stress: DataFrame, together: bool = False) -> DataFrame:
-    return settle(stress_rows(stress), STRESS, together)
+def daily_stress(stress: DataFrame) -> DataFrame:
+    return settle(pre_aggregate(stress_records(stress)), STRESS)
 
 
-def daily_spo2(spo2: DataFrame, together: bool = False) -> DataFrame:
-    return settle(spo2_rows(spo2), SPO2, together)
+def daily_spo2(spo2: DataFrame) -> DataFrame:
+    return settle(pre_aggregate(spo2_records(spo2)), SPO2)
 
 
-def body_series(*tables: DataFrame, together: bool = False) -> DataFrame:
-    return _settle_tables(body_rows, tables, BODY, together)
+def body_series(*tables: DataFrame) -> DataFrame:
+    return _settle_tables(body_records, tables, BODY)

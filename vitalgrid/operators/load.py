@@ -48,6 +48,10 @@ def workout_rows(exercise: DataFrame, heart_rates=WORKOUT_HEART_RATES) -> DataFr
     return rows.withColumns({"_span": span, "_day": calendar_day(F.col("_start"))})
 
 
+def positive_only(name: str) -> Column:
+    return F.when(F.col(name) > 0, F.col(name))
+
+
 def workout_choices(rows: DataFrame, *more: Column) -> DataFrame:
     """One row per person: which candidates that person's workouts use, the newest start, and ``more``
     aggregates."""
@@ -72,11 +76,17 @@ def person_values(
     profiles: DataFrame | None = None,
 ) -> DataFrame:
     """Complete the per-person row with resting and maximum heart rate and sex."""
-    persons = choices
+    persons = choices if resting is None else choices.join(resting, "user_id", "left")
+    return with_profile(persons, params, profiles)
+
+
+def with_profile(rows: DataFrame, params: MetricParams, profiles: DataFrame | None) -> DataFrame:
+    """Rows with ``_hr_rest``, ``_hr_max`` and ``_sex`` of their person, from the profile, the parameters and
+    the median ``_median_hr`` where the rows have it."""
+    persons = rows
     rest = [F.lit(params.hr_rest).cast("double")]
     hr_max, sex = F.lit(float(params.hr_max)), F.lit(params.sex)
-    if resting is not None:
-        persons = persons.join(resting, "user_id", "left")
+    if "_median_hr" in rows.columns:
         rest.append(F.col("_median_hr"))
     if profiles is not None:
         renamed = profiles.select("user_id", *[F.col(c).alias(f"_own_{c}") for c in ("sex", "hr_max", "hr_rest")])
@@ -100,7 +110,7 @@ def daily_load(
     rate. A person has few of those rows, however many workouts, and they meet the per-person values.
     """
     rows = workout_rows(exercise)
-    positive = {name: F.sum(F.when(F.col(name) > 0, F.col(name))) for name in ("_minutes", "_span")}
+    positive = {name: F.sum(positive_only(name)) for name in ("_minutes", "_span")}
     summed = rows.groupBy("user_id", "_day", "_time_position", "_mean_hr", "_hr_position").agg(
         *[total.alias(name) for name, total in positive.items()])
     persons = person_values(workout_choices(rows), resting, params, profiles)

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.operators import daily as d
-from vitalgrid.operators import load as l
 from vitalgrid.operators import timeline as t
+from vitalgrid.operators.assembly import daily_rows
 from vitalgrid.params import DEFAULT_PARAMS, MetricParams
 from vitalgrid.plans.queries import days_of, in_range
 from vitalgrid.sources.tables import Commit, committed, read_table, read_tables
@@ -37,40 +37,6 @@ METRIC_COLUMNS = (
 )
 
 
-def daily_sources(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The daily frames of the tables at hand, each partitioned by person."""
-    single = {
-        "heart_rate": d.daily_resting_hr, "sleep_stage": d.nightly_stages,
-        "stress": d.daily_stress, "spo2": d.daily_spo2,
-    }
-    frames = {
-        name: make(tables[name], together=True) for name, make in single.items() if name in tables}
-    several = {
-        "steps": (d.STEP_TABLES, d.daily_steps), "sleep": (d.SLEEP_TABLES, d.nightly_sleep),
-        "body": (d.BODY_TABLES, d.body_series),
-    }
-    for frame, (names, make) in several.items():
-        found = [tables[name] for name in names if name in tables]
-        if found:
-            frames[frame] = make(*found, together=True)
-    return frames
-
-
-def merge_days(frames: dict[str, DataFrame]) -> DataFrame:
-    """One row per person and day, with the columns of each frame in a struct named after it.
-
-    Frames have unique days and are partitioned by person, so the union keeps the partitioning
-    and the aggregation moves nothing. Structs keep the rows narrow: generated code for dozens
-    of flat columns outgrows what the JVM compiles.
-    """
-    merged = None
-    for name, frame in frames.items():
-        values = [c for c in frame.columns if c not in ("user_id", "day")]
-        packed = frame.select("user_id", "day", F.struct(*values).alias(name))
-        merged = packed if merged is None else merged.unionByName(packed, allowMissingColumns=True)
-    return merged.groupBy("user_id", "day").agg(*[F.max(name).alias(name) for name in frames])
-
-
 def daily_frame(
     tables: dict[str, DataFrame],
     params: MetricParams = DEFAULT_PARAMS,
@@ -78,21 +44,13 @@ def daily_frame(
 ) -> DataFrame:
     """Dense daily rows with every raw column and the daily load.
 
-    Each table is aggregated per person and day (a shuffle of pre-aggregated rows) and the result
-    is partitioned by person (a shuffle of daily rows). Everything after that (choices, merge,
-    dense days, rolling windows) keeps this partitioning.
+    Two shuffles, of rows aggregated by person and day and of those by person (see
+    :mod:`vitalgrid.operators.assembly`). Dense days and rolling windows keep the partitioning.
     """
-    frames = daily_sources(tables)
-    columns = {c: f"{name}.{c}" for name, frame in frames.items() for c in frame.columns[2:]}
-    spans = reduce(lambda x, y: x | y, [F.col(name).isNotNull() for name in frames])
-    if "exercise" in tables:
-        resting = None
-        if params.hr_rest is None and "heart_rate" in tables:
-            resting = l.resting_median(d.daily_resting_hr(tables["heart_rate"]))
-        load = l.daily_load(tables["exercise"], resting, params, profiles)
-        frames["load"] = load.repartition("user_id")
-        columns["load"] = "load.load"
-    dense = t.dense_days(merge_days(frames), spans)
+    merged, columns = daily_rows(tables, params, profiles)
+    names = [c for c in merged.columns if c not in ("user_id", "day", "load")]
+    spans = reduce(lambda x, y: x | y, [F.col(name).isNotNull() for name in names])
+    dense = t.dense_days(merged, spans)
     return dense.select("user_id", "day", *[
         (F.col(columns[c]) if c in columns else F.lit(None).cast("double")).alias(c)
         for c in (*RAW_COLUMNS, "load")])
