@@ -388,6 +388,18 @@ def ingest_run(spark, sf):
     return report.join(stored_rows, "table_name")
 
 
+def ingest_refresh(spark, sf):
+    """Tables after the last third of the persons has come: how many persons it read, and what the tables then hold."""
+    out = scratch_folder(spark, "tables")
+    root = b.export_files(spark, sf, "user_id % 3 > 0")
+    refresh.refresh(spark, root, out, files="*.txt", buckets=8)
+    report = refresh.refresh(spark, b.export_files(spark, sf, "user_id % 3 = 0", root), out, files="*.txt")
+    found = stored.read_tables(spark, out)
+    listing = stored.table_listing(found).select("table_name", "n_rows", F.array_join("columns", ",").alias("columns"))
+    readings = found["heart_rate"].agg(F.sum("bpm").alias("bpm"), F.count_distinct("user_id").alias("owners"))
+    return report.select("table_name", "persons").join(listing, "table_name").crossJoin(F.broadcast(readings))
+
+
 def range_of_stored_metrics(spark, sf):
     """Metrics stored by month, of which a range reads what it needs."""
     out = scratch_folder(spark, "metrics")

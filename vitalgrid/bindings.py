@@ -134,9 +134,12 @@ def export_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         record_cells(F.col("value")).alias("cells"))
 
 
-def export_files(spark: SparkSession, sf_dir: str) -> str:
-    """These lines written as files into the shared folder, which is given."""
-    root = scratch_folder(spark, "exports")
-    export_lines(spark, sf_dir).repartition("below", "file_name").sortWithinPartitions("below", "file_name", "position").select(
-        F.col("below").alias("export"), F.col("file_name").alias("record"), "value").write.partitionBy("export", "record").text(root)
+def export_files(spark: SparkSession, sf_dir: str, persons: str = "true", root: str | None = None) -> str:
+    """These lines written as files into the shared folder, which is given; or the lines of some ``persons``, beside what
+    is in ``root``."""
+    root = root or scratch_folder(spark, "exports")
+    lines = export_lines(spark, sf_dir).withColumn("user_id", F.split("below", "_")[1].cast("long")).where(persons)
+    lines.repartition("below", "file_name").sortWithinPartitions("below", "file_name", "position").select(
+        F.col("below").alias("export"), F.col("file_name").alias("record"), "value",
+    ).write.mode("append").partitionBy("export", "record").text(root)
     return root

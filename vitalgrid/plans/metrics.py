@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 from dataclasses import asdict
 from functools import reduce
 
@@ -14,7 +15,7 @@ from vitalgrid.operators import timeline as t
 from vitalgrid.operators.assembly import daily_rows
 from vitalgrid.params import DEFAULT_PARAMS, MetricParams
 from vitalgrid.plans.queries import days_of, in_range
-from vitalgrid.sources.tables import Commit, committed, read_table, read_tables
+from vitalgrid.sources.tables import Commit, committed, read_table
 
 METRICS_TABLE = "metrics_daily"
 #: profiles the stored metrics were built with, and each person's newest day; not listed among the tables
@@ -118,17 +119,27 @@ def _built_with(spark: SparkSession, root: str) -> tuple[MetricParams, str | Non
 
 def write_metrics(
     spark: SparkSession, root: str, params: MetricParams | None = None, profiles: DataFrame | None = None,
+    changed: DataFrame | None = None, buckets: Iterable[int] | None = None,
 ) -> None:
     """Build ``metrics_daily`` from the stored tables and replace it, by month of the day.
 
     Parameters and profiles that are not given stay those of the last build (at first the defaults and
-    none). They, the metrics and each person's newest day are one commit.
+    none). They, the metrics and each person's newest day are one commit. If only some persons have
+    ``changed`` (``user_id``, all in ``buckets``), theirs alone are built and the other stored days are kept.
     """
-    last_params, _ = _built_with(spark, root)
+    last_params, last_profiles = _built_with(spark, root)
     params = params or last_params
-    tables = {k: v for k, v in read_tables(spark, root).items() if k != METRICS_TABLE}
     own = read_table(spark, root, PROFILES_TABLE) if profiles is None else profiles
-    metrics = build_daily_metrics(tables, params, own).withColumn(MONTH, _month(F.col("day")))
+    stored = read_table(spark, root, METRICS_TABLE)
+    some = changed is not None and stored is not None and params == last_params and _digest(own) == last_profiles
+    names = [name for name in committed(spark, root) if not name.startswith("_") and name != METRICS_TABLE]
+    tables = {name: read_table(spark, root, name, buckets=buckets if some else None) for name in names}
+    if some:
+        tables = {name: table.join(changed, "user_id", "left_semi") for name, table in tables.items()}
+    metrics = build_daily_metrics(tables, params, own)
+    if some:
+        metrics = metrics.unionByName(stored.drop(MONTH).join(changed, "user_id", "left_anti"))
+    metrics = metrics.withColumn(MONTH, _month(F.col("day")))
     with Commit(spark, root) as commit:
         about = json.dumps({"params": asdict(params), "profiles": _digest(own)})
         commit.write(metrics.hint("rebalance", MONTH), METRICS_TABLE, [MONTH], about)

@@ -318,10 +318,13 @@ def _said(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["path", "datatype_id", "version", "header_id", "header_position"])
 
 
-def read_records(spark: SparkSession, root: str, files: str) -> DataFrame:
-    """``RECORDS`` of all CSV files below ``root``, blob folders aside; ``piece`` is always ``WHOLE``."""
+def read_records(spark: SparkSession, root: str, files: str, within: list[str] | None = None) -> DataFrame:
+    """``RECORDS`` of all CSV files below ``root``, blob folders aside; ``piece`` is always ``WHOLE``.
+
+    ``within`` names folders below the root, none inside another, if only their files are wanted.
+    """
     meta = F.col("_metadata")
-    scan = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", files).option("lineSep", "\n").text(root)
+    scan = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", files).option("lineSep", "\n").text(within or root)
     lines = scan.select(
         "value", meta["file_path"].alias("path"), meta["file_block_start"].alias("block"), meta["file_size"].alias("size"),
         (meta["file_block_start"] + meta["file_block_length"] >= meta["file_size"]).alias("last"))

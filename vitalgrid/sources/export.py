@@ -6,12 +6,14 @@ that may be longer or shorter than the header and whose quoted cells may hold li
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitalgrid.sources.csv_chunks import (
     BLOB_FOLDER, FILE_COLUMNS, header_id, person_of, read_records, root_pattern, type_of)
@@ -62,14 +64,16 @@ def without_blank_end(cells: Column) -> Column:
     return F.slice(cells, F.lit(1), F.coalesce(F.array_max(filled), F.lit(0)))
 
 
-def read_export_rows(spark: SparkSession, root: str, files: str = "*.csv") -> DataFrame:
+def read_export_rows(
+    spark: SparkSession, root: str, files: str = "*.csv", within: list[str] | None = None,
+) -> DataFrame:
     """Every row of every CSV file below ``root``, blob folders aside: see ``ROW_SCHEMA``.
 
     Rows may be of any width and cells of any length. A large file is many read tasks, although quoted cells
     may hold line breaks (see :mod:`vitalgrid.sources.csv_chunks`). A cell whose quotes are not closed
-    takes the rest of its file.
+    takes the rest of its file. ``within`` names folders below the root if only their files are wanted.
     """
-    return read_records(spark, root, files).select(*FILE_COLUMNS, record_cells(F.col("record")).alias("cells"))
+    return read_records(spark, root, files, within).select(*FILE_COLUMNS, record_cells(F.col("record")).alias("cells"))
 
 
 def _members(content) -> Iterator[tuple[str, object]]:
@@ -162,10 +166,33 @@ def read_archive_blobs(spark: SparkSession, root: str) -> DataFrame:
     return _archives(spark, root).mapInPandas(_archive_blobs, "path string, content binary")
 
 
-def read_export_blobs(spark: SparkSession, root: str) -> DataFrame:
-    """``path, content`` of the files in blob folders below ``root``."""
+@F.pandas_udf(T.StringType())
+def _person(export_dir: pd.Series, below: pd.Series) -> pd.Series:
+    return pd.Series([person_of(*folders)[0] for folders in zip(export_dir, below)], dtype=object)
+
+
+def list_export_files(spark: SparkSession, root: str, files: str = "*.csv") -> DataFrame:
+    """``file, user_id, export_dir, stamp`` of every CSV file and blob below ``root``, from listings alone.
+
+    ``file`` is the path below the root; a file that was written again has another ``stamp``.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(
+        file_path().alias("path"), F.xxhash64("length", F.unix_micros("modificationTime")).alias("stamp"))
+    pattern = "^" + re.escape(files).replace(r"\*", ".*").replace(r"\?", ".") + "$"
+    placed = found.withColumn("file", below_root(F.col("path"), root))
+    blob = _in_blob_folder(F.col("file"))
+
+    def folder(path: str) -> Column:  # of a blob: the folder that its blob folder lies in
+        return F.when(blob, F.regexp_replace(path, f"(^|/){BLOB_FOLDER}/.*$", "")).otherwise(_folder_of(F.col(path)))
+
+    return placed.where(blob | F.regexp_extract("file", "[^/]*$", 0).rlike(pattern)).select(
+        "file", _person(folder("path"), folder("file")).alias("user_id"), folder("path").alias("export_dir"), "stamp")
+
+
+def read_export_blobs(spark: SparkSession, root: str, within: list[str] | None = None) -> DataFrame:
+    """``path, content`` of the files in blob folders below ``root``, or of some folders there."""
     return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(within or root)
         .withColumn("decoded", file_path())
         .where(_in_blob_folder(below_root(F.col("decoded"), root)))
         .select(F.col("decoded").alias("path"), "content")
