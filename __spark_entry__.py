@@ -22,7 +22,7 @@ from vitalgrid.functions import clean, codes, display  # noqa: E402
 from vitalgrid.functions.json import inline_json  # noqa: E402
 from vitalgrid.functions.names import header_names  # noqa: E402
 from vitalgrid.operators import daily, dedup, load, timeline  # noqa: E402
-from vitalgrid.plans import ingest, profile, queries as q  # noqa: E402
+from vitalgrid.plans import ingest, profile, queries as q, refresh  # noqa: E402
 from vitalgrid.plans.metrics import build_daily_metrics, daily_frame, load_range  # noqa: E402
 from vitalgrid.shipping import scratch_folder  # noqa: E402
 from vitalgrid.sources import export, tables as stored  # noqa: E402
@@ -396,8 +396,9 @@ def ingest_refresh(spark, sf):
     report = refresh.refresh(spark, b.export_files(spark, sf, "user_id % 3 = 0", root), out, files="*.txt")
     found = stored.read_tables(spark, out)
     listing = stored.table_listing(found).select("table_name", "n_rows", F.array_join("columns", ",").alias("columns"))
-    readings = found["heart_rate"].agg(F.sum("bpm").alias("bpm"), F.count_distinct("user_id").alias("owners"))
-    return report.select("table_name", "persons").join(listing, "table_name").crossJoin(F.broadcast(readings))
+    readings = found["heart_rate"].agg(F.sum("bpm").alias("bpm"), F.count_distinct("user_id").alias("owners")) \
+        .withColumn("table_name", F.lit("heart_rate"))
+    return report.select("table_name", "persons").join(listing, "table_name").join(readings, "table_name", "left")
 
 
 def range_of_stored_metrics(spark, sf):
@@ -491,6 +492,7 @@ def queries() -> dict[str, Query]:
         "ingest_files": ingest_files,
         "ingest_long_cells": ingest_long_cells,
         "ingest_run": ingest_run,
+        "ingest_refresh": ingest_refresh,
         "range_of_stored_metrics": range_of_stored_metrics,
     }
 

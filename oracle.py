@@ -447,6 +447,17 @@ def oracle_sql() -> dict[str, str]:
             from events where event_type = 'view'
             union all select 'sleep_combined', count(*), 0, count(*),
               'user_id,export_ts,start_time,sleep_score,efficiency,sleep_duration' from events where event_type = 'error'""",
+        "ingest_refresh": """
+            with late as (select count(distinct user_id) as persons from events
+              where user_id % 3 = 0 and event_type in ('view', 'error')),
+            readings as (select user_id, date_trunc('millisecond', ts) as t, arg_max((48 + event_id % 90)::double, event_id) as bpm
+              from events where event_type = 'view' group by 1, 2)
+            select 'heart_rate' as table_name, any_value(persons) as persons, count(*) as n_rows,
+              'user_id,export_ts,start_time,bpm,comment,binning_data,binning_data_json' as columns,
+              sum(bpm) as bpm, count(distinct user_id) as owners from readings, late
+            union all select 'sleep_combined', any_value(persons), count(*),
+              'user_id,export_ts,start_time,sleep_score,efficiency,sleep_duration', null, null
+            from events, late where event_type = 'error'""",
         "ingest_files": f"""
             with cells as (
               select user_id, 'heart_rate' as kind, unnest([

@@ -197,19 +197,20 @@ def workouts(
 def correlation_matrix(metrics: DataFrame, range_name: str = "90d", digits: int | None = 2) -> DataFrame:
     """Pearson r of every pair of metrics over the days that have both: ``user_id, x, y, v``.
 
-    ``corr`` fails on a constant column, so r is built from covariance and deviations. Each pair
-    is one row of the aggregation input, which keeps the aggregation small and is combined
-    before the shuffle; the other half of the matrix is mirrored afterwards.
+    ``corr`` fails on a constant column, so r is built from central moments, null where one is constant.
+    Those of all pairs are one row of aggregation state per person, which is merged (stably, by Spark's own central
+    moments) before the shuffle; rows of days are neither multiplied nor collected.
     """
     pairs = [(a, b) for i, a in enumerate(CORRELATED) for b in CORRELATED[i:]]
-    both = F.explode(F.array(*[
-        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(a).alias("a"), F.col(b).alias("b"))
-        for a, b in pairs]))
-    values = in_range(metrics, range_name).select("user_id", both.alias("p")).select("user_id", "p.*")
-    complete = F.col("a").isNotNull() & F.col("b").isNotNull()
-    r = values.withColumns({c: F.when(complete, F.col(c)) for c in ("a", "b")}) \
-        .groupBy("user_id", "x", "y").agg(
-            F.try_divide(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b")).alias("v"))
+    moments = []
+    for n, (a, b) in enumerate(pairs):
+        x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+        deviations = F.stddev_pop(x) * (F.stddev_pop(y) if a != b else F.stddev_pop(x))
+        moments.append(F.try_divide(F.covar_pop(a, b), deviations).alias(f"r{n}"))
+    persons = in_range(metrics, range_name).groupBy("user_id").agg(*moments)
+    r = persons.select("user_id", F.explode(F.array(*[
+        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"r{n}").alias("v"))
+        for n, (a, b) in enumerate(pairs)])).alias("r")).select("user_id", "r.*")
     bounded = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), F.col("v")))
     v = F.when(F.col("v").isNotNull(), bounded)
     cells = F.when(F.col("x") == F.col("y"), F.array(F.struct("x", "y"))).otherwise(
