@@ -6,7 +6,10 @@ from datetime import date, datetime
 
 import pytest
 
+from vitalgrid import build_daily_metrics
 from vitalgrid.operators import daily
+from vitalgrid.operators.assembly import daily_rows
+from vitalgrid.params import DEFAULT_PARAMS
 
 D1, D2, D3 = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
 
@@ -110,3 +113,68 @@ def test_spo2_and_body(spark, rows):
         "user_id int, start_time string, weight double")
     assert [(r["day"], r["weight"], r["bmi"]) for r in rows(daily.body_series(body), "day")] == [
         (D1, 81.0, None), (D2, None, None)]
+
+
+def test_tables_with_other_candidates(spark, rows):
+    combined = spark.createDataFrame(
+        [(1, "2024-01-01 23:00:00", 80.0, 70.0)], "user_id int, start_time string, score double, sleep_score double")
+    plain = spark.createDataFrame([(2, "2024-01-02 23:00:00", 60.0)], "user_id int, start_time string, sleep_score double")
+    both = rows(daily.nightly_sleep(combined, plain), "user_id")
+    assert [(r["user_id"], r["sleep_score"]) for r in both] == [(1, 80.0), (2, 60.0)]
+
+
+def test_all_sources_at_once_are_those_of_each(spark, rows):
+    """The tagged union gives what each source gives by itself, for persons who fill different columns and tables."""
+    def times(i):
+        return f"2024-01-0{1 + i % 5} {i % 24:02d}:30:00"
+
+    n = range(60)
+    tables = {
+        "heart_rate": spark.createDataFrame(
+            [(i % 4, times(i) if i % 4 else None, times(i + 1), 50.0 + i if i % 2 else None, 60.0 + i) for i in n],
+            "user_id int, start_time string, create_time string, bpm double, value double"),
+        "stress": spark.createDataFrame([(i % 3, times(i), float(i) if i % 7 else None) for i in n], "user_id int, time string, value double"),
+        "spo2": spark.createDataFrame([(i % 3, times(i), 90.0 + i % 9) for i in n], "user_id int, start_time string, spo2 double"),
+        "sleep_stage": spark.createDataFrame(
+            [(i % 4, times(i), times(i)[:-5] + "55:00", 40001.0 + i % 3 if i % 4 else None) for i in n],
+            "user_id int, start_time string, end_time string, stage double"),
+        "sleep_combined": spark.createDataFrame([(i % 2, times(i), 300.0 + i, 50.0 + i) for i in n],
+                                                "user_id int, start_time string, sleep_duration double, score double"),
+        "sleep": spark.createDataFrame([(i % 4, times(i), times(i)[:-5] + "50:00", 40.0 + i) for i in n],
+                                       "user_id int, start_time string, end_time string, sleep_score double"),
+        "step_daily_trend": spark.createDataFrame([(i % 2, None if i % 2 else times(i), 100.0 * i) for i in n],
+                                                  "user_id int, create_time string, count double"),
+        "steps_daily": spark.createDataFrame([(i % 4, times(i), 10.0 * i, float(i)) for i in n],
+                                             "user_id int, day_time string, steps double, calorie double"),
+        "weight": spark.createDataFrame([(i % 2, times(i), 70.0 + i) for i in n], "user_id int, start_time string, weight double"),
+        "body_composition": spark.createDataFrame([(i % 4, times(i), 80.0 + i, 20.0) for i in n],
+                                                  "user_id int, start_time string, weight double, body_fat double"),
+    }
+    merged, columns = daily_rows(tables, DEFAULT_PARAMS, None)
+    together = {(r["user_id"], r["day"]): r for r in rows(merged)}
+    single = [
+        daily.daily_resting_hr(tables["heart_rate"]), daily.daily_stress(tables["stress"]), daily.daily_spo2(tables["spo2"]),
+        daily.nightly_stages(tables["sleep_stage"]), daily.nightly_sleep(tables["sleep_combined"], tables["sleep"]),
+        daily.daily_steps(tables["step_daily_trend"], tables["steps_daily"]), daily.body_series(tables["weight"], tables["body_composition"])]
+    seen = set()
+    for frame in single:
+        found = rows(frame)
+        assert found
+        for row in found:
+            key = (row.pop("user_id"), row.pop("day"))
+            seen.add(key)
+            for name, value in row.items():
+                source, column = columns[name].split(".")
+                assert together[key][source][column] == (value if value is None else pytest.approx(value)), (key, name)
+    assert {k for k, r in together.items() if any(r[s] is not None for s in r if s not in ("user_id", "day"))} == seen
+
+
+def test_metrics_shuffle_twice(spark):
+    frames = {
+        "heart_rate": spark.createDataFrame([(1, datetime(2024, 1, 1), 60.0)], "user_id int, start_time timestamp_ntz, bpm double"),
+        "steps_daily": spark.createDataFrame([(1, datetime(2024, 1, 1), 60.0)], "user_id int, day_time timestamp_ntz, steps double"),
+        "exercise": spark.createDataFrame([(1, datetime(2024, 1, 1), 6e5, 120.0)],
+                                          "user_id int, start_time timestamp_ntz, duration double, mean_hr double"),
+    }
+    plan = build_daily_metrics(frames)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
