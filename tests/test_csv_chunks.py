@@ -88,6 +88,40 @@ def test_chunks_give_the_rows_of_one_task(spark, tmp_path, small_chunks, size):
     assert size > 500 or lines.rdd.getNumPartitions() > 1
 
 
+def test_records_of_lines_are_few_arrays():
+    """Records of several lines side by side, and the rows of small files, are handed on together."""
+    lines = pa.array([x for i in range(500) for x in (f'{i},"b', 'c"')])
+    found = csv_chunks._Chunk(0, False).records(lines)
+    assert [(len(t), piece) for t, _, piece in found] == [(500, csv_chunks.WHOLE)]
+    assert found[0][0][499].as_py() == '499,"b\nc"' and found[0][1].tolist() == list(range(0, 1000, 2))
+    small = [pa.RecordBatch.from_pydict({"record": [str(i)] * 30}) for i in range(1000)]
+    together = list(csv_chunks._together(iter(small)))
+    assert len(together) <= 4 and [x for b in together for x in b["record"].to_pylist()] == [str(i) for i in range(1000) for _ in range(30)]
+
+
+def test_many_folders_are_few_tasks(spark, tmp_path):
+    """Neither listing nor reading takes a task for each folder."""
+    for i in range(200):
+        write(tmp_path / f"device_p{i}_20240101000000", f"{STRESS},1\nx.a\n{i}\n")
+    spark.sparkContext.setJobGroup("listing", "folders")
+    found = export.list_export_files(spark, str(tmp_path))
+    rows = export.read_export_rows(spark, str(tmp_path))
+    assert {r["user_id"] for r in found.collect()} == {f"p{i}" for i in range(200)} and rows.count() == 400
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert stages and max(tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s)) <= 8 * 4
+
+
+def test_files_since_a_time(spark, tmp_path):
+    for i in range(3):
+        file = write(tmp_path / f"device_p{i}_20240101000000", f"{STRESS},1\nx.a\n{i}\n")
+        os.utime(file, (1_700_000_000 + i, 1_700_000_000 + i))
+    written = {r["user_id"]: r["written"] for r in export.list_export_files(spark, str(tmp_path)).collect()}
+    found = export.read_export_rows(spark, str(tmp_path), since=written["p1"]).collect()
+    assert {r["user_id"] for r in found} == {"p1", "p2"}
+
+
 def test_many_chunks_are_joined(spark, tmp_path, small_chunks, monkeypatch):
     """More chunks of large files than each task is told of."""
     text = some_text(random.Random(5), 200)

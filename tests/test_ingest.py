@@ -7,12 +7,14 @@ import gzip
 import json
 import zipfile
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
-from vitalgrid import build_daily_metrics, ingest
+from vitalgrid import bindings, build_daily_metrics, ingest
 from vitalgrid.operators.dedup import keep_last
 from vitalgrid.params import MetricParams
 from vitalgrid.plans import ingest as plan
@@ -357,3 +359,31 @@ def test_cells_of_records(spark, rows):
     frame = spark.createDataFrame([(i, r) for i, r in enumerate(records)], "i int, r string")
     found = [r["c"] for r in rows(frame.select("i", export.record_cells(F.col("r")).alias("c")), "i")]
     assert found == [["a", "b"], ['x, "y"\nz', "2"], [], [None, "1"], ['open "quote"', "2"], [" kept "], ["one"]]
+
+
+def test_files_of_events(spark, tmp_path, monkeypatch):
+    """Files written by tasks lie and read as those of Spark's writer, of persons without id too; more persons come beside."""
+    events = [(i, "2024-01-05 08:00:00", u, kind, 1.0, '{"k": "é"}')
+              for i, (u, kind) in enumerate([(1, "view"), (1, "error"), (2, "view"), (None, "view"), (None, "error"), (4, "click"), (2, "view")] * 3)]
+    spark.createDataFrame(events, "event_id long, ts string, user_id long, event_type string, value double, props string").withColumn(
+        "ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+
+    def lines(root):
+        found = {}
+        for file in sorted(Path(root).rglob("part-*.txt")):
+            found.setdefault(str(file.parent.relative_to(root)), []).append(file.read_bytes())
+        return found
+
+    begun = []
+    save = DataFrameWriter.text
+    monkeypatch.setattr(DataFrameWriter, "text", lambda self, *a, **k: begun.append(a) or save(self, *a, **k))
+    own = bindings.export_files(spark, str(tmp_path))
+    assert not begun
+    monkeypatch.setattr(bindings.re, "match", lambda *a: None)
+    theirs = bindings.export_files(spark, str(tmp_path))
+    monkeypatch.undo()
+    assert lines(own) == lines(theirs) and len(lines(own)) == 5
+    assert not [f for f in Path(own).rglob(".*") if not f.name.endswith(".crc")]
+    one = bindings.export_files(spark, str(tmp_path), "user_id = 1")
+    both = bindings.export_files(spark, str(tmp_path), "user_id = 2", one)
+    assert both == one and set(lines(both)) == {k for k in lines(own) if "HIVE" not in k}

@@ -5,6 +5,12 @@ All columns come from integers and times, so any SQL engine derives the same val
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,6 +85,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 HEART_RATE_ID = "com.samsung.shealth.tracker.heart_rate"
 SLEEP_COMBINED_ID = "com.samsung.shealth.sleep_combined"
+#: the folder of a null value
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 TIME_TEXT = "date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSS')"
 # without a detour through the session zone
 EPOCH_MS = """(unix_date(date(ts)) * 86400000L + hour(ts) * 3600000L + minute(ts) * 60000L
@@ -134,12 +142,46 @@ def export_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         record_cells(F.col("value")).alias("cells"))
 
 
+def _write_files(batches: Iterator[pa.RecordBatch], root: str, name: str) -> Iterator[pa.RecordBatch]:
+    """Write lines that lie side by side by file below a mounted folder, as Spark's text writer places them.
+
+    A file appears when it is whole, under the same name if its task runs again."""
+    now, file, done = None, None, 0
+
+    def close() -> None:
+        if file is not None:
+            file.close()
+            os.replace(file.name, f"{os.path.dirname(file.name)}/{name}")
+
+    for batch in batches:
+        for r in batch.to_pylist():
+            if now != (r["below"], r["file_name"]):
+                close()
+                now, done = (r["below"], r["file_name"]), done + 1
+                folder = f"{root}/export={r['below'] or NO_VALUE}/record={r['file_name']}"
+                os.makedirs(folder, exist_ok=True)
+                file = open(f"{folder}/.{uuid.uuid4().hex}", "wb")
+            file.write(r["value"].encode("utf-8") + b"\n")
+    close()
+    yield pa.RecordBatch.from_pydict({"files": pa.array([done], pa.int64())})
+
+
 def export_files(spark: SparkSession, sf_dir: str, persons: str = "true", root: str | None = None) -> str:
     """These lines written as files into the shared folder, which is given; or the lines of some ``persons``, beside what
-    is in ``root``."""
+    is in ``root``.
+
+    Spark's writer takes milliseconds for each file and folder, of which there are as many as persons: where the shared folder
+    is a mounted one, tasks write the files themselves.
+    """
     root = root or scratch_folder(spark, "exports")
     lines = export_lines(spark, sf_dir).withColumn("user_id", F.split("below", "_")[1].cast("long")).where(persons)
-    lines.repartition("below", "file_name").sortWithinPartitions("below", "file_name", "position").select(
-        F.col("below").alias("export"), F.col("file_name").alias("record"), "value",
-    ).write.mode("append").partitionBy("export", "record").text(root)
+    sorted_lines = lines.repartition("below", "file_name").sortWithinPartitions("below", "file_name", "position")
+    mounted = re.match(r"^(?:file:(?://)?)?(/[^/].*)$", root)
+    if mounted:
+        folder, name = mounted[1], f"part-{uuid.uuid4().hex}.txt"
+        sorted_lines.select("below", "file_name", "value").mapInArrow(
+            lambda batches: _write_files(batches, folder, name), "files long").agg(F.sum("files")).collect()
+    else:
+        sorted_lines.select(F.col("below").alias("export"), F.col("file_name").alias("record"), "value").write.mode(
+            "append").partitionBy("export", "record").text(root)
     return root

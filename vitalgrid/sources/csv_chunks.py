@@ -23,6 +23,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vitalgrid.shipping import READING_TASKS, few_listing_tasks, in_few_tasks
+
 #: what is known of each record; ``row_no`` grows along a file
 FILE_COLUMNS = ("user_id", "export_ts", "export_dir", "file_name", "row_no", "part", "datatype_id", "version", "header_id")
 RECORDS = ("user_id string, export_ts string, export_dir string, file_name string, row_no long, part string, "
@@ -35,6 +37,8 @@ CHUNKS = ("path string, block long, after_outside boolean, after_inside boolean,
 TOLD = {"inside": "boolean", "datatype_id": "string", "version": "string", "header_id": "long", "header_position": "long"}
 #: chunks of large files of which each task is told; more of them are joined
 TOLD_CHUNKS = 100_000
+#: rows and bytes of small files that a task hands on at once
+BATCH_ROWS, BATCH_BYTES = 10_000, 4_000_000
 BLOB_FOLDER = "jsons"
 #: stands for a blank type id
 NO_ID = "unknown"
@@ -130,6 +134,37 @@ def _stretches(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
     yield from zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows])
 
 
+def _strings(texts: list[bytes]) -> pa.Array:
+    return pa.array(texts, pa.binary()).view(pa.string())
+
+
+def _by_size(records: list[tuple[bytes, int]]) -> Iterator[list[tuple[bytes, int]]]:
+    """Records side by side, of ``BATCH_BYTES`` or one record."""
+    part, size = [], 0
+    for record in records:
+        if part and size + len(record[0]) > BATCH_BYTES:
+            yield part
+            part, size = [], 0
+        part.append(record)
+        size += len(record[0])
+    if part:
+        yield part
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Small batches as fewer ones; the order of rows stays."""
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        more = batch.column("record").nbytes
+        if held and (rows + batch.num_rows > BATCH_ROWS or size + more > BATCH_BYTES):
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, rows, size = [], 0, 0
+        held.append(batch)
+        rows, size = rows + batch.num_rows, size + more
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 class _Chunk:
     """Puts the lines of a chunk together to records."""
 
@@ -166,7 +201,10 @@ class _Chunk:
             self.held += raw.slice(start).to_pylist()
         keep = np.flatnonzero(whole)
         out = [(lines.take(pa.array(keep)), first + keep, WHOLE)] if len(keep) else []
-        return out + [(pa.array([text]).view(pa.string()), np.array([at]), piece) for text, at, piece in done]
+        for kind in (WHOLE, END):  # many records of few lines are one array
+            ended = [(text, at) for text, at, piece in done if piece == kind]
+            out += [(_strings([text for text, _ in part]), np.array([at for _, at in part]), kind) for part in _by_size(ended)]
+        return out
 
     def _close(self, lines: list[bytes]) -> tuple[bytes, int, int]:
         text, at = b"\n".join([*self.held, *lines]), self.held_at
@@ -181,7 +219,7 @@ class _Chunk:
         piece = self.piece if self.piece == MIDDLE else BEGIN
         if last:
             piece = END if piece == MIDDLE else WHOLE
-        return [(pa.array([b"\n".join(self.held)]).view(pa.string()), np.array([self.held_at]), piece)]
+        return [(_strings([b"\n".join(self.held)]), np.array([self.held_at]), piece)]
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,13 +356,19 @@ def _said(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["path", "datatype_id", "version", "header_id", "header_position"])
 
 
-def read_records(spark: SparkSession, root: str, files: str, within: list[str] | None = None) -> DataFrame:
+def read_records(
+    spark: SparkSession, root: str, files: str, within: list[str] | None = None, since: int | None = None,
+) -> DataFrame:
     """``RECORDS`` of all CSV files below ``root``, blob folders aside; ``piece`` is always ``WHOLE``.
 
-    ``within`` names folders below the root, none inside another, if only their files are wanted.
+    ``within`` names folders below the root, none inside another, if only their files are wanted; ``since`` is a time in
+    microseconds if only files written then or later are, which the listing tells.
     """
     meta = F.col("_metadata")
-    scan = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", files).option("lineSep", "\n").text(within or root)
+    with few_listing_tasks(spark):
+        scan = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", files).option("lineSep", "\n").text(within or root)
+    if since is not None:
+        scan = scan.where(meta["file_modification_time"] >= F.timestamp_micros(F.lit(since)))
     lines = scan.select(
         "value", meta["file_path"].alias("path"), meta["file_block_start"].alias("block"), meta["file_size"].alias("size"),
         (meta["file_block_start"] + meta["file_block_length"] >= meta["file_size"]).alias("last"))
@@ -334,15 +378,16 @@ def read_records(spark: SparkSession, root: str, files: str, within: list[str] |
     pattern = root_pattern(root)
     told = _told(large, pattern)
     number = told.count()
+    lines = in_few_tasks(lines, READING_TASKS)
     if not number:
         lines = lines.withColumns({c: F.lit(None).cast(t) for c, t in TOLD.items()})
-        return lines.mapInArrow(lambda b: _records(b, pattern, False), RECORDS)
+        return lines.mapInArrow(lambda b: _together(_records(b, pattern, False)), RECORDS)
     if number <= TOLD_CHUNKS:
         lines = lines.join(F.broadcast(told), ["path", "block"], "left")
     else:  # dealt out anew, and brought in order again
         lines = lines.withColumn("line", F.monotonically_increasing_id()).join(told, ["path", "block"], "left").repartition(
             "path", "block").sortWithinPartitions("path", "block", "line").drop("line")
-    found = lines.mapInArrow(lambda b: _records(b, pattern, False), RECORDS)
+    found = lines.mapInArrow(lambda b: _together(_records(b, pattern, False)), RECORDS)
     pieces = found.where(F.col("piece") != WHOLE).groupBy("export_dir", "file_name").applyInArrow(_joined, RECORDS)
     return found.where(F.col("piece") == WHOLE).unionByName(pieces.withColumn("piece", F.lit(WHOLE)))
 
@@ -358,7 +403,7 @@ def _told(large: DataFrame, pattern: str) -> DataFrame:
     if not late.isEmpty():  # two records do not fit the first chunk: they are taken from the file's records
         lines = large.join(F.broadcast(late), "path").join(F.broadcast(state), ["path", "block"]).withColumn(
             "line", F.monotonically_increasing_id())
-        found = lines.mapInArrow(lambda b: _records(b, pattern, True), RECORDS)
+        found = lines.mapInArrow(lambda b: _together(_records(b, pattern, True)), RECORDS)
         pieces = found.where(F.col("piece") != WHOLE).groupBy("export_dir").applyInArrow(_joined, RECORDS)
         both = found.where(F.col("piece") == WHOLE).unionByName(pieces).select(
             F.col("export_dir").alias("path"), "row_no", "record")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitalgrid.shipping import LISTING_TASKS, few_listing_tasks, in_few_tasks
 from vitalgrid.sources.csv_chunks import (
     BLOB_FOLDER, FILE_COLUMNS, header_id, person_of, read_records, root_pattern, type_of)
 
@@ -65,15 +66,16 @@ def without_blank_end(cells: Column) -> Column:
 
 
 def read_export_rows(
-    spark: SparkSession, root: str, files: str = "*.csv", within: list[str] | None = None,
+    spark: SparkSession, root: str, files: str = "*.csv", within: list[str] | None = None, since: int | None = None,
 ) -> DataFrame:
     """Every row of every CSV file below ``root``, blob folders aside: see ``ROW_SCHEMA``.
 
     Rows may be of any width and cells of any length. A large file is many read tasks, although quoted cells
     may hold line breaks (see :mod:`vitalgrid.sources.csv_chunks`). A cell whose quotes are not closed
-    takes the rest of its file. ``within`` names folders below the root if only their files are wanted.
+    takes the rest of its file. ``within`` names folders below the root if only their files are wanted,
+    ``since`` the time in microseconds from which on files were written that are.
     """
-    return read_records(spark, root, files, within).select(*FILE_COLUMNS, record_cells(F.col("record")).alias("cells"))
+    return read_records(spark, root, files, within, since).select(*FILE_COLUMNS, record_cells(F.col("record")).alias("cells"))
 
 
 def _members(content) -> Iterator[tuple[str, object]]:
@@ -145,10 +147,11 @@ def _archive_blobs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _archives(spark: SparkSession, root: str) -> DataFrame:
     """``path, below, content``; the content of archives beyond the limit is null, and tasks read them
     by their path, which then must be of a store that Arrow knows."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.zip").load(root)
-    )
+    with few_listing_tasks(spark):
+        files = (
+            spark.read.format("binaryFile").option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.zip").load(root)
+        )
     path = file_path().alias("path")
     small = files.where(F.col("length") < BINARY_FILE_LIMIT).select(path, "content")
     large = files.where(F.col("length") >= BINARY_FILE_LIMIT).select(
@@ -172,12 +175,15 @@ def _person(export_dir: pd.Series, below: pd.Series) -> pd.Series:
 
 
 def list_export_files(spark: SparkSession, root: str, files: str = "*.csv") -> DataFrame:
-    """``file, user_id, export_dir, stamp`` of every CSV file and blob below ``root``, from listings alone.
+    """``file, user_id, export_dir, stamp, written`` of every CSV file and blob below ``root``, from listings alone.
 
-    ``file`` is the path below the root; a file that was written again has another ``stamp``.
+    ``file`` is the path below the root; a file that was written again has another ``stamp``. ``written`` is in microseconds.
     """
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(
-        file_path().alias("path"), F.xxhash64("length", F.unix_micros("modificationTime")).alias("stamp"))
+    with few_listing_tasks(spark):
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    written = F.unix_micros("modificationTime")
+    found = in_few_tasks(listed.select(
+        file_path().alias("path"), F.xxhash64("length", written).alias("stamp"), written.alias("written")), LISTING_TASKS)
     pattern = "^" + re.escape(files).replace(r"\*", ".*").replace(r"\?", ".") + "$"
     placed = found.withColumn("file", below_root(F.col("path"), root))
     blob = _in_blob_folder(F.col("file"))
@@ -186,14 +192,15 @@ def list_export_files(spark: SparkSession, root: str, files: str = "*.csv") -> D
         return F.when(blob, F.regexp_replace(path, f"(^|/){BLOB_FOLDER}/.*$", "")).otherwise(_folder_of(F.col(path)))
 
     return placed.where(blob | F.regexp_extract("file", "[^/]*$", 0).rlike(pattern)).select(
-        "file", _person(folder("path"), folder("file")).alias("user_id"), folder("path").alias("export_dir"), "stamp")
+        "file", _person(folder("path"), folder("file")).alias("user_id"), folder("path").alias("export_dir"), "stamp", "written")
 
 
 def read_export_blobs(spark: SparkSession, root: str, within: list[str] | None = None) -> DataFrame:
     """``path, content`` of the files in blob folders below ``root``, or of some folders there."""
+    with few_listing_tasks(spark):
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(within or root)
     return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(within or root)
-        .withColumn("decoded", file_path())
+        listed.withColumn("decoded", file_path())
         .where(_in_blob_folder(below_root(F.col("decoded"), root)))
         .select(F.col("decoded").alias("path"), "content")
     )
