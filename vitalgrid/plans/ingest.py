@@ -116,13 +116,14 @@ def build_table(
     number = {n: i for i, n in enumerate(names)}
 
     def typed(name: str) -> Column:
-        # the first of the names that is filled
-        cell = F.coalesce(*[null_tokens_to_null(F.get("cells", F.get("places", F.lit(number[n])))) for n in sources[name]])
+        # the first of the names that is filled; as text, since a wide table has thousands of these
+        cell = F.expr(f"coalesce({', '.join(f'get(filled, {number[n]})' for n in sources[name])})")
         if name in spec.times:
             return parse_time(cell, EPOCH_MS_BELOW_AT_INGEST)
         return parse_number(cell) if name in spec.numbers else cell
 
-    placed = _with_headers(_data(staged, list(columns)), headers, _places(headers, sorted(columns), names))
+    placed = _with_headers(_data(staged, list(columns)), headers, _places(headers, sorted(columns), names)).withColumn(
+        "filled", F.transform("places", lambda place: null_tokens_to_null(F.get("cells", place))))
     rows = placed.select(*OWN_COLUMNS, *ROW_KEY, "datatype_id", *[typed(c).alias(c) for c in sources])
     keys = [c for c in spec.times if c in sources]
     if keys:
