@@ -6,11 +6,13 @@ import os
 import shutil
 
 import pytest
+from pyspark.sql import functions as F
 
 from vitalgrid import ingest
 from vitalgrid.plans import refresh as r
 from vitalgrid.plans.metrics import load_metrics
 from vitalgrid.sources import export
+from vitalgrid.sources.csv_chunks import FILE_COLUMNS, read_records
 from vitalgrid.sources.tables import committed, read_table, read_tables, remove_old_versions
 
 HEART_RATE, STRESS, OTHER = (f"com.samsung.shealth.{x}" for x in ("tracker.heart_rate", "stress", "some_thing"))
@@ -107,6 +109,28 @@ def test_other_types_and_whole_ingests_read_all(spark, store, tmp_path):
     refreshed(3)
 
 
+def test_many_changed_folders(spark, store, monkeypatch):
+    """More folders than a read names: files older than all of the changed persons' are left out."""
+    root, out, refreshed = store
+    rows, persons = export.read_export_rows, []
+
+    def watched(spark, root, files, within=None, since=None):
+        if since is None:
+            return rows(spark, root, files, within)
+        found = read_records(spark, root, files, within, since).select(*FILE_COLUMNS, export.record_cells(F.col("record")).alias("cells"))
+        persons.append({x["user_id"] for x in found.select("user_id").distinct().collect()})
+        return found
+
+    monkeypatch.setattr(export, "read_export_rows", watched)
+    monkeypatch.setattr(r, "TOLD_FOLDERS", 0)
+    for file in root.rglob("*.csv"):
+        os.utime(file, (1_600_000_000, 1_600_000_000))
+    refreshed(3)
+    write(root / "wear_dan_20240101000000", HEART_RATE, "start_time,heart_rate", ["2024-01-02 08:00:00.000,70"])
+    refreshed(1)
+    assert persons[-1] == {"dan"}
+
+
 def test_folders_to_read(spark):
     names = "file string, user_id string, export_dir string, stamp long"
     changed = spark.createDataFrame([("a",)], "user_id string")

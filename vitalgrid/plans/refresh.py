@@ -21,11 +21,12 @@ from vitalgrid.sources.registry import spec_of_table
 from vitalgrid.sources.tables import BUCKET, Commit, committed, delete_folder, read_table
 
 LEDGER, OWN_HEADERS = "_export_files", "_export_headers"
-LEDGER_COLUMNS = "file string, user_id string, export_dir string, stamp long"
+LEDGER_COLUMNS = "file string, user_id string, export_dir string, stamp long, written long"
 OWN_HEADERS_COLUMNS = f"user_id string, {HEADERS}"
 #: buckets of persons that a store begins with; their number stays
 BUCKETS = 64
-#: folders that a read names one by one; for more the files of all folders are read and rows of others dropped
+#: folders that a read names one by one; for more the files of all folders are read that are as new as some file of a changed
+#: person, and rows of others dropped
 TOLD_FOLDERS = 10_000
 
 
@@ -144,7 +145,10 @@ class _Refresh:
         if within == []:  # all that changed is gone
             rows, blobs = spark.createDataFrame([], export.ROW_SCHEMA), None
         else:
-            rows = export.read_export_rows(spark, self.root, self.files, within)
+            since = {}
+            if within is None and not everyone:
+                since["since"] = self.now.join(changed, "user_id", "left_semi").agg(F.min("written")).first()[0]
+            rows = export.read_export_rows(spark, self.root, self.files, within, **since)
             blobs = export.read_export_blobs(spark, self.root, within)
         if not everyone:
             rows = rows.join(changed, "user_id", "left_semi").select(rows.columns)
