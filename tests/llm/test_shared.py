@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from vitalgrid.llm.common import handing_back
 from vitalgrid.llm import (
     binary_output, common, exact_dedup, hmm, language, mixing, near_dedup, order_minhash, packing, quality,
 )
@@ -183,3 +184,21 @@ def test_pipeline_on_odd_rows(spark, odd, labels, tmp_path):
     odd.where("false").write.parquet(f"{tmp_path}/none/documents.parquet")
     labels.write.parquet(f"{tmp_path}/none/labels.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_memory_is_handed_back_at_the_end_of_a_task():
+    """Many arrays of some kilobytes, below one that stays, would else be kept by the process."""
+    def resident():
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * 4096 / 1e6
+
+    stays, begun = [], resident()
+
+    def task():
+        held = [np.ones(7000) for _ in range(4000)]
+        stays.append(np.ones(7000))
+        yield resident()
+        del held
+
+    most, = handing_back(task())
+    assert most - begun > 150 and resident() - begun < 75

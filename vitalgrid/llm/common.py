@@ -75,6 +75,17 @@ def unused_names(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
+def handing_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What a task yields; at its end unused memory is handed back, Arrow's and that of numpy and Python.
+
+    Workers are kept for the tasks to come and wait while the JVM has the memory they would hold on to."""
+    try:
+        yield from batches
+    finally:
+        for pool in (pa.default_memory_pool(), pa.system_memory_pool()):  # the latter trims the heap of the process
+            pool.release_unused()
+
+
 def shuffle_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import crc_remainder, stored
+from vitalgrid.llm.common import crc_remainder, handing_back, stored
 from vitalgrid.llm.ngrams import mix64, words_of
 from vitalgrid.llm.tokens import text_slices
 
@@ -43,7 +43,7 @@ PIECE, SCALED = 32, 8
 #: tokens computed side by side
 GROUP_TOKENS = 300_000
 #: words a task counts before it hands them on
-COUNTED_WORDS = 1_500_000
+COUNTED_WORDS = 700_000
 #: pseudo-counts: of the unigram distribution in each state, of each transition
 PRIOR_EMISSIONS, PRIOR_TRANSITIONS = 500.0, 1.0
 #: a row has the number of a symbol that tasks hold, or the word that another symbol is
@@ -95,7 +95,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """``word, n_train, n_all`` over all whole texts of ``docs(text, held_out)``."""
-    return docs.select("text", "held_out").mapInArrow(_count, "word long, n_train long, n_all long").groupBy(
+    return docs.select("text", "held_out").mapInArrow(
+        lambda batches: handing_back(_count(batches)), "word long, n_train long, n_all long").groupBy(
         "word").agg(F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all"))
 
 
@@ -606,13 +607,13 @@ def train(encoded: DataFrame, words: Words, others: DataFrame | None,
     tasks = (encoded.agg(F.max(F.shiftright("part", 33))).first()[0] or 0) + 1
     weights, rest = None, [0.0] * STATES
     if others is not None:
-        weights = others.mapInArrow(_first_weights, "word long, places array<struct<part:long,at:int>>, "
+        weights = others.mapInArrow(lambda batches: handing_back(_first_weights(batches)), "word long, places array<struct<part:long,at:int>>, "
                                     + ", ".join(f"w{k} double" for k in range(STATES)))
         rest = weights.agg(*[F.sum(f"w{k}") for k in range(STATES)]).first()
     model, history = first_model(words, others=np.array([x or 0.0 for x in rest])), []
     for _ in range(rounds):
         def expect(batches, model=model):
-            return _expect(batches, model)
+            return handing_back(_expect(batches, model))
         sums = _with_emissions(encoded, weights, model).mapInArrow(expect, SUMS)
         if others is not None:
             sums = stored(sums, "emission-sums")
@@ -664,13 +665,13 @@ def score_texts(docs: DataFrame, held_out_divisor: int = 5, held_out_rest: int =
     counts = stored(word_counts(rows), "word-counts")
     words = describe_words(counts)
     kind = dict(rows.dtypes)["doc_id"]
-    encoded = stored(rows.mapInArrow(lambda batches: _encode(batches, words), ENCODED.format(id=kind)).withColumn(
+    encoded = stored(rows.mapInArrow(lambda batches: handing_back(_encode(batches, words)), ENCODED.format(id=kind)).withColumn(
         "part", F.monotonically_increasing_id()), "encoded-texts")
     others = other_symbols(encoded, counts, words)
     others = None if others is None else stored(others, "other-symbols")
     model, weights, _ = train(encoded, words, others)
     sequences = _with_emissions(encoded, weights, model).mapInArrow(
-        lambda batches: _score(batches, model), "part long, at int, sequence double")
+        lambda batches: handing_back(_score(batches, model)), "part long, at int, sequence double")
     texts = encoded.select("part", F.posexplode("docs").alias("at", "doc")).select("part", "at", "doc.*")
 
     listed_share = F.col("n_all") * LISTED_SHARE >= F.lit(int(counts.agg(F.sum("n_all")).first()[0] or 0))
