@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import stored, unused_names
+from vitalgrid.llm.common import handing_back, stored, unused_names
 from vitalgrid.llm.families import blobs, linking_pairs, named_components
 from vitalgrid.llm.ngrams import mix64, ngram_sets, set_names
 from vitalgrid.llm.tokens import text_slices
@@ -150,7 +150,6 @@ def _sketches(batches: Iterator[pa.RecordBatch], plan: Banding) -> Iterator[pa.R
              pa.ListArray.from_arrays(pa.array(np.arange(0, n * plan.bands + 1, plan.bands, dtype=np.int32)),
                                       pa.array(bands.view(np.int64).ravel()))],
             names=["doc_id", "uid", "text_hash", "key", "n", "bits", "bands"])
-    pa.default_memory_pool().release_unused()  # the worker goes on with other stages
 
 
 def sketches(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text",
@@ -160,7 +159,7 @@ def sketches(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", te
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), uid.alias("uid"))
     plan = banding(percent)
     return chosen.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-        lambda batches: _sketches(batches, plan), DESCRIBED.format(id=dict(chosen.dtypes)["doc_id"]))
+        lambda batches: handing_back(_sketches(batches, plan)), DESCRIBED.format(id=dict(chosen.dtypes)["doc_id"]))
 
 
 # ---- estimates from packed bits ----------------------------------------------------------------

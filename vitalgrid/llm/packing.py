@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vitalgrid.llm.common import handing_back
 from vitalgrid.llm.tokens import default_vocabulary, text_slices, word_tokenizer
 
 MAX_LENGTH = 2048
@@ -74,7 +75,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, most: int = MAX_LENGTH,
         raise ValueError("the longest piece must be a power of two")
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     pieces = chosen.mapInArrow(
-        lambda batches: _pieces_of(batches, vocabulary, most),
+        lambda batches: handing_back(_pieces_of(batches, vocabulary, most)),
         PIECES.format(id=dict(chosen.dtypes)["doc_id"]))
     return pieces.select(
         "*", F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"))

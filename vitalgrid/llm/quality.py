@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import crc_remainder
+from vitalgrid.llm.common import crc_remainder, handing_back
 from vitalgrid.llm.near_dedup import mix64
 from vitalgrid.llm.tokens import Numbers, text_slices
 
@@ -32,7 +32,7 @@ RATE = 0.5
 THRESHOLD = 0.3
 #: features without meaning that every document has besides its own, so that few words decide little
 BLANKS = 50
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 150_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -216,7 +216,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL, s
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
         F.broadcast(drawn), "doc_id").select("doc_id", "label", "text")
     kind = dict(texts.dtypes)["doc_id"]
-    rows = texts.mapInArrow(_extract, f"doc_id {kind}, label int, rows binary, often binary")
+    rows = texts.mapInArrow(lambda batches: handing_back(_extract(batches)), f"doc_id {kind}, label int, rows binary, often binary")
     found = sorted(rows.dropDuplicates(["doc_id"]).collect(), key=lambda r: r["doc_id"])
     examples = [(r["label"], np.frombuffer(r["rows"], np.int32), np.frombuffer(r["often"], np.float32)) for r in found]
     total = sum(numbers.values())
@@ -238,7 +238,7 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
     """
     chosen = docs.select(F.col("text").cast("string").alias("_text"), *keep)
     schema = ", ".join(f"`{c}` {t}" for c, t in chosen.dtypes[1:]) + ", score double"
-    return chosen.mapInArrow(lambda batches: _score(batches, model), schema)
+    return chosen.mapInArrow(lambda batches: handing_back(_score(batches, model)), schema)
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
@@ -248,7 +248,7 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Da
         for batch in text_slices(batches, "text"):
             yield batch.filter(pa.array(scorer.scores(batch.column("text").to_pylist()) >= threshold))
 
-    return docs.mapInArrow(good, docs.schema)
+    return docs.mapInArrow(lambda batches: handing_back(good(batches)), docs.schema)
 
 
 def learnable(labels: DataFrame) -> DataFrame:
