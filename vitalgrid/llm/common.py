@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 import zipfile
@@ -82,8 +83,10 @@ def handing_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     try:
         yield from batches
     finally:
-        for pool in (pa.default_memory_pool(), pa.system_memory_pool()):  # the latter trims the heap of the process
-            pool.release_unused()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library of Linux
+        if trim is not None:
+            trim(0)
 
 
 def shuffle_tasks(spark: SparkSession) -> int:
