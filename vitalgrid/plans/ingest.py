@@ -23,6 +23,8 @@ from vitalgrid.sources.tables import Commit, delete_folder, read_table
 LAST_ORDER = ("export_ts", "export_dir", "file_name", "row_no")
 #: headers of which each task is told; more of them are joined
 TOLD_HEADERS = 10_000
+#: bytes of the rows of which a staged file keeps its columns side by side; a task reads one group or more
+STAGED_GROUP_BYTES = 4 << 20
 HEADERS = "datatype_id string, header_id long, names array<string>"
 #: type id -> its column names in order
 Columns = dict[str, list[str]]
@@ -32,16 +34,23 @@ def stage_rows(rows: DataFrame, staging: str) -> DataFrame:
     """Write rows of files once, split into headers and data and by record type, so that each
     reader opens only what it needs.
 
-    The rebalance evens out the files and lets adaptive execution split a dominant type.
+    The rebalance evens out the files and lets adaptive execution split a dominant type. Files consist of small groups of
+    rows, so that several tasks can read one.
     """
     sized = rows.withColumn("n_cells", F.size("cells"))
     (sized.hint("rebalance", "part", "datatype_id")
-     .write.mode("overwrite").partitionBy("part", "datatype_id").parquet(staging))
+     .write.mode("overwrite").option("parquet.block.size", STAGED_GROUP_BYTES).partitionBy("part", "datatype_id").parquet(staging))
     stored = sized.drop("part", "datatype_id").schema
     return rows.sparkSession.read.schema(
         stored.add("part", "string").add("datatype_id", "string")).parquet(staging)
 
 
+def stage_names(blobs: export.Blobs, staging: str) -> export.Blobs:
+    """Write the names of blobs once: every table that refers to some looks for them."""
+    blobs.names.write.parquet(staging)
+    return blobs._replace(names=blobs.names.sparkSession.read.schema("path string").parquet(staging))
+
+
 def header_table(staged: DataFrame) -> DataFrame:
     """``datatype_id, header_id, names``: the dictionary of headers, one row for each distinct one of a type.
 
@@ -105,7 +114,7 @@ def _places(headers: DataFrame, datatype_ids: list[str], names: list[str]) -> Da
 
 
 def build_table(
-    staged: DataFrame, headers: DataFrame, columns: Columns, spec: TableSpec, blobs: DataFrame | None
+    staged: DataFrame, headers: DataFrame, columns: Columns, spec: TableSpec, blobs: export.Blobs | DataFrame | None
 ) -> DataFrame:
     """Typed and de-duplicated rows of one table; ``columns`` are those of all its record types.
 
@@ -168,6 +177,8 @@ def ingest(
         if archives:  # unpack their blobs once, not for each table that refers to some
             blobs.write.parquet(f"{staging}/blobs")
             blobs = spark.read.schema(blobs.schema).parquet(f"{staging}/blobs")
+        else:
+            blobs = stage_names(blobs, f"{staging}/blobs")
         cut = {r["datatype_id"]: r["wide_rows"] for r in wide_rows(staged, headers).collect()}
         report = []
         with Commit(spark, out) as commit:

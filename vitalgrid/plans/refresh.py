@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.params import MetricParams
-from vitalgrid.plans.ingest import HEADERS, build_table, columns_by_table, header_table, stage_rows
+from vitalgrid.plans.ingest import HEADERS, build_table, columns_by_table, header_table, stage_names, stage_rows
 from vitalgrid.plans.metrics import METRICS_TABLE, write_metrics
 from vitalgrid.shipping import scratch_folder, ship_package
 from vitalgrid.sources import export
@@ -83,7 +83,8 @@ def refresh(
         # listed once: files that come later are found the next time
         export.list_export_files(spark, root, files).write.parquet(f"{staging}/files")
         now = spark.read.schema(LEDGER_COLUMNS).parquet(f"{staging}/files")
-        run = _Refresh(spark, root, out, files, buckets, now)
+        listed = spark.read.schema("path string").parquet(f"{staging}/files")
+        run = _Refresh(spark, root, out, files, buckets, now, listed)
         report = run.replace(f"{staging}/some", read_table(spark, out, LEDGER)) if known else None
         some = report is not None
         if not some:
@@ -102,8 +103,9 @@ def refresh(
 class _Refresh:
     """One refresh of the tables at ``out`` from the files listed in ``now``."""
 
-    def __init__(self, spark: SparkSession, root: str, out: str, files: str, buckets: int, now: DataFrame):
-        self.spark, self.root, self.out, self.files, self.buckets, self.now = spark, root, out, files, buckets, now
+    def __init__(self, spark: SparkSession, root: str, out: str, files: str, buckets: int, now: DataFrame, listed: DataFrame):
+        self.spark, self.root, self.out, self.files, self.buckets = spark, root, out, files, buckets
+        self.now, self.listed = now, listed
 
     def replace(self, staging: str, before: DataFrame | None) -> list[tuple[str, int]] | None:
         """Replace the rows of persons whose files differ from the ledger ``before`` (None: of all persons).
@@ -138,7 +140,7 @@ class _Refresh:
             commit.write(now, LEDGER, about=json.dumps({"root": self.root, "buckets": self.buckets}))
         return report
 
-    def _staged(self, staging: str, everyone: bool) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    def _staged(self, staging: str, everyone: bool) -> tuple[DataFrame, DataFrame, export.Blobs | None]:
         """Rows of the changed persons, the headers of all persons, and blobs."""
         spark, changed = self.spark, self.changed
         within = None if everyone else _folders(self.now, changed)
@@ -149,7 +151,7 @@ class _Refresh:
             if within is None and not everyone:
                 since["since"] = self.now.join(changed, "user_id", "left_semi").agg(F.min("written")).first()[0]
             rows = export.read_export_rows(spark, self.root, self.files, within, **since)
-            blobs = export.read_export_blobs(spark, self.root, within)
+            blobs = stage_names(export.read_export_blobs(spark, self.root, within, self.listed), f"{staging}/blobs")
         if not everyone:
             rows = rows.join(changed, "user_id", "left_semi").select(rows.columns)
         staged = stage_rows(rows, f"{staging}/rows")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalgrid.functions.json import LOOKS_LIKE_JSON, inline_json, normalized_json
-from vitalgrid.sources.export import BLOB_FOLDER
+from vitalgrid.sources.export import BLOB_FOLDER, Blobs, blobs_of
 
 ROW_KEY = ("export_dir", "file_name", "row_no")
 
@@ -44,10 +44,10 @@ def _candidates(cell: Column) -> Column:
     )
 
 
-def attach_blobs(rows: DataFrame, column: str, blobs: DataFrame | None) -> DataFrame:
+def attach_blobs(rows: DataFrame, column: str, blobs: Blobs | DataFrame | None) -> DataFrame:
     """Add ``<column>_json``: the cell's inline JSON or that of the first existing candidate file.
 
-    ``rows`` has ``ROW_KEY`` and ``datatype_id``. Which file a cell means is settled by names alone; only
+    ``rows`` has ``ROW_KEY`` and ``datatype_id``, a frame of blobs ``path, content``. Which file a cell means is settled by names alone; only
     the content of those files is then read, each once, and decoded before it meets the rows. Rows
     without a reference take no part. All joins are equi-joins that adaptive execution splits when many
     rows share one blob.
@@ -56,12 +56,14 @@ def attach_blobs(rows: DataFrame, column: str, blobs: DataFrame | None) -> DataF
     inline = inline_json(cell)
     if blobs is None:
         return rows.withColumn(f"{column}_json", inline)
+    if isinstance(blobs, DataFrame):
+        blobs = blobs_of(blobs)
     is_reference = cell.isNotNull() & (F.trim(cell) != "") & ~cell.rlike(LOOKS_LIKE_JSON)
     references = rows.where(is_reference).select(
         *ROW_KEY, F.posexplode(_candidates(cell)).alias("priority", "path")).where("path is not null")
-    best = references.join(blobs.select("path"), "path").groupBy(*ROW_KEY).agg(
+    best = references.join(blobs.names, "path").groupBy(*ROW_KEY).agg(
         F.min_by("path", "priority").alias("path"))
-    texts = blobs.join(best.select("path").distinct(), "path", "left_semi").select(
+    texts = blobs.read(best.select("path").distinct()).select(
         "path", normalized_json(blob_text("content")).alias("_blob_json"))
     found = best.join(texts, "path").drop("path")
     return rows.join(found, list(ROW_KEY), "left").withColumn(

@@ -1,6 +1,7 @@
 """CSV files of any size read in chunks, although quoted cells may hold line breaks.
 
-Spark's text reader deals out lines, and a chunk is what one task reads of one file. Whether a chunk begins inside a
+Tasks read mounted folders themselves (see :mod:`vitalgrid.sources.folders`), small files whole; elsewhere Spark's text reader
+deals out lines. A chunk is what one task reads of one file. Whether a chunk begins inside a
 quoted cell depends on all before it. A line maps that state to the state after it, so a chunk is a
 function of two states, and a scan along the chunks of a file (a few numbers each) tells where every chunk
 begins. Only files of several chunks take part in that first pass; others are read once. Records that
@@ -20,10 +21,12 @@ from urllib.parse import unquote
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitalgrid.shipping import READING_TASKS, few_listing_tasks, in_few_tasks
+from vitalgrid.sources import folders
 
 #: what is known of each record; ``row_no`` grows along a file
 FILE_COLUMNS = ("user_id", "export_ts", "export_dir", "file_name", "row_no", "part", "datatype_id", "version", "header_id")
@@ -37,6 +40,10 @@ CHUNKS = ("path string, block long, after_outside boolean, after_inside boolean,
 TOLD = {"inside": "boolean", "datatype_id": "string", "version": "string", "header_id": "long", "header_position": "long"}
 #: chunks of large files of which each task is told; more of them are joined
 TOLD_CHUNKS = 100_000
+#: names of files that Spark's text reader takes as they are, not as compressed ones, whatever the rest of the name
+PLAIN_FILES = re.compile(r"[^\[\]{}\\]*\.(?:csv|txt)$")
+#: files of mounted folders are read whole up to so many times what Spark takes for the opening of a file
+READ_AT_ONCE = 4
 #: rows and bytes of small files that a task hands on at once
 BATCH_ROWS, BATCH_BYTES = 10_000, 4_000_000
 BLOB_FOLDER = "jsons"
@@ -115,14 +122,16 @@ class _Place:
 
     def __call__(self, encoded: str) -> tuple[str, str, str | None, str] | None:
         if encoded not in self.known:
-            path = unquote(encoded)
-            inside = self.root.sub("", path, count=1)
-            folder, _, name = path.rpartition("/")
-            below = inside.rpartition("/")[0]
-            blob = f"/{BLOB_FOLDER}/" in f"/{inside}"
-            self.known[encoded] = None if blob else (*person_of(folder, below), folder, name)
+            self.known[encoded] = self.of(unquote(encoded))
         return self.known[encoded]
 
+    def of(self, path: str) -> tuple[str, str, str | None, str] | None:
+        inside = self.root.sub("", path, count=1)
+        folder, _, name = path.rpartition("/")
+        below = inside.rpartition("/")[0]
+        blob = f"/{BLOB_FOLDER}/" in f"/{inside}"
+        return None if blob else (*person_of(folder, below), folder, name)
+
 
 # ---- lines to records ---------------------------------------------------------------------------
 
@@ -317,6 +326,91 @@ def _records(batches: Iterator[pa.RecordBatch], pattern: str, raw: bool) -> Iter
         yield from emit(chunk.rest(now["last"]))
 
 
+def whole_records(data: bytes) -> tuple[list[bytes], list[int]]:
+    """The records of a whole file and their positions, blank ones left out: what ``_Chunk`` finds, without arrays."""
+    lines = data.split(b"\n")
+    if not lines[-1]:
+        lines.pop()
+    texts, at = lines, list(range(len(lines)))
+    if b'"' in data:
+        texts, at, i, n = [], [], 0, len(lines)
+        while i < n:
+            start, text = i, lines[i]
+            i += 1
+            if b'"' in text and ends_open(text, False):
+                while i < n and not (b'"' in lines[i] and not ends_open(lines[i], True)):
+                    i += 1
+                i = min(i + 1, n)
+                text = b"\n".join(lines[start:i])
+            texts.append(text)
+            at.append(start)
+    if b"\r" in data:
+        texts = [text.rstrip(b"\r") for text in texts]
+    if not all(texts):
+        at = [p for text, p in zip(texts, at) if text]
+        texts = [text for text in texts if text]
+    return texts, at
+
+
+class _Rows:
+    """Records of many files, handed on together; what is the same in a file is told once."""
+
+    def __init__(self):
+        self.files, self.counts, self.texts, self.at, self.headers, self.size = [], [], [], [], [], 0
+
+    def add(self, about: tuple, texts: list[bytes], at: list[int], header: bool) -> None:
+        if header:
+            self.headers.append(len(self.at))
+        self.files.append(about)
+        self.counts.append(len(texts))
+        self.texts += texts
+        self.at += at
+        self.size += sum(map(len, texts))
+
+    def full(self) -> bool:
+        return len(self.at) >= BATCH_ROWS or self.size >= BATCH_BYTES
+
+    def batch(self) -> pa.RecordBatch:
+        of_file = pa.array(np.repeat(np.arange(len(self.files)), self.counts))
+        same = [pa.array([f[k] for f in self.files], pa.string() if k < 6 else pa.int64()).take(of_file) for k in range(7)]
+        kinds = np.zeros(len(self.at), np.int8)
+        kinds[self.headers] = 1
+        out = pa.RecordBatch.from_arrays(
+            [*same[:4], pa.array(self.at, pa.int64()), pa.array(["data", "header"]).take(pa.array(kinds)), *same[4:],
+             pa.array(np.full(len(self.at), WHOLE, np.int32)), _strings(self.texts)],
+            names=[*FILE_COLUMNS, "piece", "record"])
+        self.__init__()
+        return out
+
+
+def _small_files(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[pa.RecordBatch]:
+    """Records of files, each read whole: as ``_records`` of files of one chunk."""
+    place, rows, types, numbers = _Place(pattern), _Rows(), {}, {}
+
+    def known(cache: dict, text: bytes, of) -> object:
+        if text not in cache:
+            if len(cache) >= BATCH_ROWS:
+                cache.clear()
+            cache[text] = of(text.decode("utf-8", "replace"))
+        return cache[text]
+
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            where = place.of(path)
+            if where is None:
+                continue
+            texts, at = whole_records(folders.read_whole(path))
+            if len(texts) < 2:
+                continue
+            about = (*where, *known(types, texts[0], lambda meta: type_of(cells_of(meta))), known(numbers, texts[1], header_id))
+            for i in range(1, len(texts), BATCH_ROWS):
+                rows.add(about, texts[i:i + BATCH_ROWS], at[i:i + BATCH_ROWS], i == 1)
+                if rows.full():
+                    yield rows.batch()
+    if rows.at:
+        yield rows.batch()
+
+
 def _joined(table: pa.Table) -> pa.Table:
     """The records of a file that cross its chunks, from their pieces."""
     rows, out, open_ = sorted(table.to_pylist(), key=lambda r: r["row_no"]), [], None
@@ -364,6 +458,20 @@ def read_records(
     ``within`` names folders below the root, none inside another, if only their files are wanted; ``since`` is a time in
     microseconds if only files written then or later are, which the listing tells.
     """
+    pattern = root_pattern(root)
+    folder = folders.mounted(spark, root) if PLAIN_FILES.match(files) else None
+    if folder is not None:
+        listed = folders.list_files(spark, [folder] if within is None else within, folders.name_pattern(files))
+        if since is not None:
+            listed = listed.where(F.col("written") >= since)
+        listed = listed.persist(StorageLevel.DISK_ONLY)  # what is small and what is large are two reads of it
+        chunk = min(READ_AT_ONCE * _bytes(spark, "spark.sql.files.openCostInBytes"), _bytes(spark, "spark.sql.files.maxPartitionBytes"))
+        largest = listed.agg(F.max("size")).first()[0] or 0
+        found = listed.where(F.col("size") <= chunk).select("path").mapInArrow(lambda b: _small_files(b, pattern), RECORDS)
+        if largest <= chunk:
+            return found
+        lines = folders.chunks_of(listed.where(F.col("size") > chunk), chunk).mapInArrow(lambda b: folders.chunk_lines(b, chunk), folders.LINES)
+        return found.unionByName(_records_of(lines, lines, pattern))
     meta = F.col("_metadata")
     with few_listing_tasks(spark):
         scan = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", files).option("lineSep", "\n").text(within or root)
@@ -375,10 +483,13 @@ def read_records(
     # no file up to this size is ever dealt out in parts, and the listing leaves such files out of the first pass
     never = min(_bytes(spark, "spark.sql.files.openCostInBytes"), _bytes(spark, "spark.sql.files.maxPartitionBytes"))
     large = lines.where((F.col("size") > never) & ~((F.col("block") == 0) & F.col("last")))
-    pattern = root_pattern(root)
+    return _records_of(in_few_tasks(lines, READING_TASKS), large, pattern)
+
+
+def _records_of(lines: DataFrame, large: DataFrame, pattern: str) -> DataFrame:
+    """``RECORDS`` of lines of files, of which ``large`` has those of files of several chunks."""
     told = _told(large, pattern)
     number = told.count()
-    lines = in_few_tasks(lines, READING_TASKS)
     if not number:
         lines = lines.withColumns({c: F.lit(None).cast(t) for c, t in TOLD.items()})
         return lines.mapInArrow(lambda b: _together(_records(b, pattern, False)), RECORDS)

@@ -6,8 +6,8 @@ that may be longer or shorter than the header and whose quoted cells may hold li
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pandas as pd
 import pyarrow as pa
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalgrid.shipping import LISTING_TASKS, few_listing_tasks, in_few_tasks
+from vitalgrid.sources import folders
 from vitalgrid.sources.csv_chunks import (
     BLOB_FOLDER, FILE_COLUMNS, header_id, person_of, read_records, root_pattern, type_of)
 
@@ -175,16 +176,20 @@ def _person(export_dir: pd.Series, below: pd.Series) -> pd.Series:
 
 
 def list_export_files(spark: SparkSession, root: str, files: str = "*.csv") -> DataFrame:
-    """``file, user_id, export_dir, stamp, written`` of every CSV file and blob below ``root``, from listings alone.
+    """``file, user_id, export_dir, stamp, written, path`` of every CSV file and blob below ``root``, from listings alone.
 
     ``file`` is the path below the root; a file that was written again has another ``stamp``. ``written`` is in microseconds.
     """
-    with few_listing_tasks(spark):
-        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    written = F.unix_micros("modificationTime")
-    found = in_few_tasks(listed.select(
-        file_path().alias("path"), F.xxhash64("length", written).alias("stamp"), written.alias("written")), LISTING_TASKS)
-    pattern = "^" + re.escape(files).replace(r"\*", ".*").replace(r"\?", ".") + "$"
+    mounted = folders.mounted(spark, root)
+    if mounted is not None:
+        listed = folders.list_files(spark, [mounted])
+    else:
+        with few_listing_tasks(spark):
+            listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        listed = in_few_tasks(listed.select(
+            file_path().alias("path"), F.col("length").alias("size"), F.unix_micros("modificationTime").alias("written")), LISTING_TASKS)
+    found = listed.select("path", F.xxhash64("size", "written").alias("stamp"), "written")
+    pattern = folders.name_pattern(files)
     placed = found.withColumn("file", below_root(F.col("path"), root))
     blob = _in_blob_folder(F.col("file"))
 
@@ -192,14 +197,34 @@ def list_export_files(spark: SparkSession, root: str, files: str = "*.csv") -> D
         return F.when(blob, F.regexp_replace(path, f"(^|/){BLOB_FOLDER}/.*$", "")).otherwise(_folder_of(F.col(path)))
 
     return placed.where(blob | F.regexp_extract("file", "[^/]*$", 0).rlike(pattern)).select(
-        "file", _person(folder("path"), folder("file")).alias("user_id"), folder("path").alias("export_dir"), "stamp", "written")
+        "file", _person(folder("path"), folder("file")).alias("user_id"), folder("path").alias("export_dir"), "stamp", "written",
+        "path")
+
+
+class Blobs(NamedTuple):
+    """Files in blob folders: ``path`` of each, and what gives ``path, content`` of those among some distinct paths."""
+    names: DataFrame
+    read: Callable[[DataFrame], DataFrame]
+
+
+def blobs_of(files: DataFrame) -> Blobs:
+    """Of a frame that has ``path, content``."""
+    return Blobs(files.select("path"), lambda paths: files.join(paths, "path", "left_semi"))
 
 
-def read_export_blobs(spark: SparkSession, root: str, within: list[str] | None = None) -> DataFrame:
-    """``path, content`` of the files in blob folders below ``root``, or of some folders there."""
+def read_export_blobs(
+    spark: SparkSession, root: str, within: list[str] | None = None, listed: DataFrame | None = None,
+) -> Blobs:
+    """The files in blob folders below ``root``, or of some folders there; ``listed`` has the ``path`` of them all where known."""
+    mounted = folders.mounted(spark, root)
+    if mounted is not None:
+        if listed is None:
+            listed = folders.list_files(spark, [mounted] if within is None else within)
+        names = listed.where(_in_blob_folder(below_root(F.col("path"), root))).select("path")
+        return Blobs(names, lambda paths: paths.mapInArrow(folders.contents, "path string, content binary"))
     with few_listing_tasks(spark):
         listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(within or root)
-    return (
+    return blobs_of(
         listed.withColumn("decoded", file_path())
         .where(_in_blob_folder(below_root(F.col("decoded"), root)))
         .select(F.col("decoded").alias("path"), "content")
