@@ -1,7 +1,7 @@
 """Mounted folders, listed and read by tasks.
 
 Spark's readers list all files on the driver, which holds a few hundred bytes of each of them and of each folder as long as the
-frame lives. Where folders are mounted, as local ones are, tasks walk them, and no file is known to the driver. The files found,
+frame lives. Where folders are mounted, as local ones are, tasks walk them, and of many files none is known to the driver. The files found,
 their paths, lengths and times are those that Spark's readers would find.
 """
 
@@ -23,6 +23,9 @@ from vitalgrid.shipping import LISTING_TASKS
 
 #: files with their length in bytes and time of writing in microseconds; folders still to be listed have neither
 LISTED = "path string, size long, written long"
+#: files and folders that the driver looks at to know whether there are more: so few are not dealt out
+FEW_ENTRIES = 1000
+FEW_BYTES = 64 << 20
 #: folders that the first task looks for before they are dealt out; those in them are dealt out again, and each is then walked
 #: with all below it
 FIRST_FOLDERS = 1000
@@ -111,9 +114,27 @@ def name_pattern(files: str) -> str:
     return "^" + re.escape(files).replace(r"\*", ".*").replace(r"\?", ".") + "$"
 
 
+def _few(folders: list[str], pattern: str | None) -> list[tuple[str, int, int]] | None:
+    """``LISTED`` of the files below folders that hold few entries; None of others."""
+    name_pattern, todo, files, seen = pattern and re.compile(pattern, re.S), [local(f) for f in folders], [], 0
+    while todo:
+        for row in _entries(todo.pop(), None):
+            seen += 1
+            if seen > FEW_ENTRIES:
+                return None
+            if row[1] is None:
+                todo.append(local(row[0]))
+            elif name_pattern is None or name_pattern.match(os.path.basename(row[0])):
+                files.append(row)
+    return files
+
+
 def list_files(spark: SparkSession, folders: list[str], pattern: str | None = None) -> DataFrame:
     """``LISTED`` of the files below mounted folders, none inside another, dealt out evenly; ``pattern`` is one of names."""
-    cores = spark.sparkContext.defaultParallelism
+    few, cores = _few(folders, pattern), spark.sparkContext.defaultParallelism
+    if few is not None:
+        found = spark.createDataFrame(few, LISTED)
+        return found if sum(f[1] for f in few) < FEW_BYTES else found.repartition(LISTING_TASKS * cores, "path")
     found = spark.createDataFrame([(SCHEME + local(f), None, None) for f in folders], LISTED)
     for until, tasks in ((FIRST_FOLDERS, WALKING_TASKS), (1, WALKING_TASKS), (None, LISTING_TASKS)):
         found = found.mapInArrow(lambda b, until=until: _listed(b, pattern, until), LISTED).repartition(tasks * cores, "path")
